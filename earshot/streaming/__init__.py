@@ -1,0 +1 @@
+"""Empty on purpose: every input is a full batch refresh, there are no streams."""
