@@ -25,9 +25,15 @@ def safe_long(text: Column) -> Column:
 
 
 def rounded_mean(value: Column | str, digits: int, divisor: float = 1.0) -> Column:
-    """Aggregate: mean (then divided by `divisor`), rounded."""
+    """Aggregate: mean (then divided by `divisor`), rounded halves away from zero.
+
+    The last bits of a mean depend on how rows were partitioned and merged. They
+    are dropped by a first, much finer rounding, so that a mean which is exactly
+    a half is rounded the same way in every run.
+    """
     mean = F.avg(value)
-    return F.round(mean if divisor == 1.0 else mean / divisor, digits)
+    scaled = mean if divisor == 1.0 else mean / divisor
+    return F.round(F.round(scaled, digits + 8), digits)
 
 
 def rounded_ratio(part: Column | str, whole: Column | str, digits: int) -> Column:

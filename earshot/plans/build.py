@@ -47,9 +47,8 @@ def stage(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Write the staged tables, then check the tables written; returns them."""
     staged = {}
     for name, model in STAGED.items():
-        path = f"{out}/staged/{name}"
-        write_table(model.build(raw[name]), path, model.partition_by, model.cluster_by)
-        staged[name] = read_table(raw[name].sparkSession, path)
+        table = model.build(raw[name])
+        staged[name] = write_table(table, f"{out}/staged/{name}", model.partition_by, model.cluster_by)
     enforce(*[quality_report(staged[name], name, model.checks) for name, model in STAGED.items()])
     return staged
 
@@ -62,9 +61,7 @@ def build_marts(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFram
     tables: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out}/marts/{name}"
-        write_table(df, path)
-        tables[name] = read_table(df.sparkSession, path)
+        tables[name] = write_table(df, f"{out}/marts/{name}")
         return tables[name]
 
     genres = store("genre_monthly", marts.genre_monthly(staged["music_charts_historical"]))

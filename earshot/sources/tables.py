@@ -39,8 +39,9 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-) -> None:
-    """Replace the table at `path`, optionally partitioned and clustered.
+) -> DataFrame:
+    """Replace the table at `path`, optionally partitioned and clustered, and
+    return the stored table: what is built on it starts from its files.
 
     A layout needs one shuffle by the partition columns. It is a rebalance: AQE
     cuts a partition value that holds too much data into several tasks and joins
@@ -49,14 +50,14 @@ def write_table(
     narrow min/max ranges to skip by.
     """
     keys = [F.col(c) for c in (partition_by or cluster_by)]
-    if keys:
-        df = df.hint("rebalance", *keys)
+    arranged = df.hint("rebalance", *keys) if keys else df
     if cluster_by:
-        df = df.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        arranged = arranged.sortWithinPartitions(*partition_by, *cluster_by)
+    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -79,5 +80,5 @@ def load_raw(
 
     The count comes from the file footers of the new table.
     """
-    write_table(read_table(spark, source), target, [partition_by] if partition_by else [], cluster_by)
-    return read_table(spark, target).count()
+    raw = read_table(spark, source)
+    return write_table(raw, target, [partition_by] if partition_by else [], cluster_by).count()

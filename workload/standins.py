@@ -6,12 +6,9 @@ readers do. Columns that no mart needs are derived from the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.functions import epoch_ns
 from earshot.operators.filters import Window, in_window
 from earshot.session import prepare
 
@@ -33,24 +30,42 @@ GENRES_BY_TYPE = {
     "LARGE": "k-pop, korean r&b",
 }
 
+# Schemas of the driver's tables; with them a read needs no look at the files.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _cases(value: str, options: dict, otherwise: str) -> str:
+    arms = " ".join(f"when {key!r} then {result!r}" for key, result in options.items())
+    return f"case {value} {arms} else {otherwise} end"
 
 
-def _choose(value: Column, options: Mapping, otherwise: Column | None = None) -> Column:
-    expr = F
-    for key, result in options.items():
-        expr = expr.when(value == key, result)
-    return expr.otherwise(otherwise) if otherwise is not None else expr
+def _epoch_ns(moment: str) -> str:
+    return f"unix_micros(cast({moment} as timestamp)) * 1000"
 
 
-def _date_text(moment: Column, variant: Column) -> Column:
+def _date_text(moment: str, variant: str) -> str:
     """Year, year-month or full date text, by variant 0, 1, 2."""
     return (
-        F.when(variant == 0, F.date_format(moment, "yyyy"))
-        .when(variant == 1, F.date_format(moment, "yyyy-MM"))
-        .otherwise(F.date_format(moment, "yyyy-MM-dd"))
+        f"case {variant} when 0 then date_format({moment}, 'yyyy') "
+        f"when 1 then date_format({moment}, 'yyyy-MM') else date_format({moment}, 'yyyy-MM-dd') end"
     )
 
 
@@ -59,129 +74,105 @@ def _sold_parts(spark: SparkSession, sf_dir: str, window: Window) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").filter(in_window(F.col("l_shipdate"), window, zoned=False))
     part = table(spark, sf_dir, "part")
     markets = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        markets, F.col("l_suppkey") == F.col("s_suppkey")
+        table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey")
     )
+    return lines.join(part, F.expr("l_partkey = p_partkey")).join(markets, F.expr("l_suppkey = s_suppkey"))
 
 
 def raw_music_charts(spark: SparkSession, sf_dir: str, window: Window = MUSIC_CHARTS_WINDOW) -> DataFrame:
-    c = F.col
-    line = c("l_linenumber").cast("bigint")
-    return _sold_parts(spark, sf_dir, window).select(
-        c("l_partkey").cast("string").alias("spotify_id"),
-        c("p_name").alias("name"),
-        c("p_brand").alias("artists"),
-        c("p_type").alias("album_name"),
-        line.alias("daily_rank"),
-        (line - 4).alias("daily_movement"),
-        (c("l_partkey") % 7 - 3).alias("weekly_movement"),
-        F.when(c("s_nationkey") != 0, _choose(c("s_nationkey"), MARKET_CODES, c("n_name"))).alias("country"),
-        epoch_ns(c("l_shipdate")).alias("snapshot_date"),
-        c("l_quantity").alias("popularity"),
-        (c("l_returnflag") == "R").alias("is_explicit"),
-        c("l_extendedprice").alias("duration_ms"),
-        _date_text(c("l_shipdate"), line % 3).alias("album_release_date"),
-        c("l_discount").alias("danceability"),
-        c("l_tax").alias("energy"),
-        (c("l_discount") * c("l_tax")).alias("speechiness"),
-        (c("p_size") / 50.0).alias("acousticness"),
-        (c("l_tax") / 2).alias("instrumentalness"),
-        (c("l_tax") * 2).alias("liveness"),
-        (c("l_discount") + c("l_tax")).alias("valence"),
-        (c("l_quantity") + 60).alias("tempo"),
-        (c("l_quantity") / -2).alias("loudness"),
-        (c("l_orderkey") % 12).alias("key"),
-        (line % 2).alias("mode"),
-        (line % 3 + 3).alias("time_signature"),
+    return _sold_parts(spark, sf_dir, window).selectExpr(
+        "cast(l_partkey as string) as spotify_id",
+        "p_name as name",
+        "p_brand as artists",
+        "p_type as album_name",
+        "cast(l_linenumber as bigint) as daily_rank",
+        "cast(l_linenumber - 4 as bigint) as daily_movement",
+        "l_partkey % 7 - 3 as weekly_movement",
+        f"case when s_nationkey <> 0 then {_cases('s_nationkey', MARKET_CODES, 'n_name')} end as country",
+        f"{_epoch_ns('l_shipdate')} as snapshot_date",
+        "l_quantity as popularity",
+        "l_returnflag = 'R' as is_explicit",
+        "l_extendedprice as duration_ms",
+        f"{_date_text('l_shipdate', 'l_linenumber % 3')} as album_release_date",
+        "l_discount as danceability",
+        "l_tax as energy",
+        "l_discount * l_tax as speechiness",
+        "p_size / 50.0D as acousticness",
+        "l_tax / 2 as instrumentalness",
+        "l_tax * 2 as liveness",
+        "l_discount + l_tax as valence",
+        "l_quantity + 60 as tempo",
+        "l_quantity / -2 as loudness",
+        "l_orderkey % 12 as key",
+        "cast(l_linenumber % 2 as bigint) as mode",
+        "cast(l_linenumber % 3 + 3 as bigint) as time_signature",
     )
 
 
 def raw_music_charts_historical(
     spark: SparkSession, sf_dir: str, window: Window = HISTORICAL_WINDOW
 ) -> DataFrame:
-    c = F.col
-    genres = (
-        F.when(c("p_size") > 42, "EDM, deep house")
-        .when(c("p_size") < 6, "contemporary country, soul")
-        .otherwise(_choose(c("p_type"), GENRES_BY_TYPE))
-    )
-    return _sold_parts(spark, sf_dir, window).select(
-        c("l_partkey").cast("string").alias("track_id"),
-        c("p_name").alias("name"),
-        c("p_brand").alias("artists"),
-        genres.alias("artist_genres"),
-        c("n_name").alias("country"),
-        epoch_ns(c("l_shipdate")).alias("date"),
-        c("l_linenumber").cast("double").alias("position"),
-        c("l_extendedprice").alias("streams"),
-        (c("l_extendedprice") * 10).alias("duration"),
-        (c("l_returnflag") == "R").alias("explicit"),
+    return _sold_parts(spark, sf_dir, window).selectExpr(
+        "cast(l_partkey as string) as track_id",
+        "p_name as name",
+        "p_brand as artists",
+        "case when p_size > 42 then 'EDM, deep house' when p_size < 6 then 'contemporary country, soul' "
+        f"else {_cases('p_type', GENRES_BY_TYPE, 'null')} end as artist_genres",
+        "cast(l_linenumber as double) as position",
+        "n_name as country",
+        f"{_epoch_ns('l_shipdate')} as date",
+        "l_extendedprice as streams",
+        "l_extendedprice * 10 as duration",
+        "l_returnflag = 'R' as explicit",
     )
 
 
 def raw_podcast_reviews(spark: SparkSession, sf_dir: str, window: Window = REVIEWS_WINDOW) -> DataFrame:
-    c = F.col
-    orders = table(spark, sf_dir, "orders").filter(in_window(c("o_orderdate"), window, zoned=False))
-    rating = (
-        F.when(c("o_orderkey") % 50 == 0, 0)
-        .when(c("o_orderkey") % 51 == 0, None)
-        .otherwise(F.substring("o_orderpriority", 1, 1).cast("bigint"))
-    )
-    return orders.select(
-        F.concat(F.lit("r"), (c("o_orderkey") % 311).cast("string")).alias("podcast_id"),
-        c("o_custkey").cast("string").alias("author_id"),
-        c("o_orderpriority").alias("title"),
-        F.concat(c("o_orderstatus"), F.lit(" "), c("o_orderkey").cast("string")).alias("content"),
-        rating.cast("bigint").alias("rating"),
-        epoch_ns(c("o_orderdate")).alias("created_at"),
+    orders = table(spark, sf_dir, "orders").filter(in_window(F.col("o_orderdate"), window, zoned=False))
+    return orders.selectExpr(
+        "'r' || cast(o_orderkey % 311 as string) as podcast_id",
+        "cast(o_custkey as string) as author_id",
+        "o_orderpriority as title",
+        "o_orderstatus || ' ' || cast(o_orderkey as string) as content",
+        "case when o_orderkey % 50 = 0 then 0L when o_orderkey % 51 = 0 then null "
+        "else cast(substr(o_orderpriority, 1, 1) as bigint) end as rating",
+        f"{_epoch_ns('o_orderdate')} as created_at",
     )
 
 
 def raw_podcast_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col
-    key = c("p_partkey")
-    category = (
-        F.when(key % 211 == 0, F.concat(F.lit("Rare "), c("p_type")))
-        .when(key % 97 == 0, None)
-        .otherwise(c("p_brand"))
-    )
-    return table(spark, sf_dir, "part").select(
-        F.concat(F.lit("s"), key.cast("string")).alias("podcast_id"),
-        key.alias("itunes_id_x"),
-        c("p_name").alias("title"),
-        F.concat(F.lit("studio "), c("p_brand")).alias("author"),
-        F.concat(c("p_name"), F.lit(", "), c("p_type")).alias("description"),
-        (c("p_retailprice") / 400.0).alias("average_rating"),
-        _choose(key % 9, {0: "12.0", 1: "n/a"}, c("p_size").cast("string")).alias("ratings_count"),
-        key.alias("itunes_id_y"),
-        category.alias("category"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "'s' || cast(p_partkey as string) as podcast_id",
+        "p_partkey as itunes_id_x",
+        "p_name as title",
+        "'studio ' || p_brand as author",
+        "p_name || ', ' || p_type as description",
+        "p_retailprice / 400.0D as average_rating",
+        "case p_partkey % 9 when 0 then '12.0' when 1 then 'n/a' else cast(p_size as string) end as ratings_count",
+        "p_partkey as itunes_id_y",
+        "case when p_partkey % 211 = 0 then 'Rare ' || p_type when p_partkey % 97 = 0 then null "
+        "else p_brand end as category",
     )
 
 
 def raw_podcast_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col
-    key = c("event_id")
-    user = c("user_id").cast("string")
-    shifted = epoch_ns(c("ts")) + ((key % 15) * 30 - 8522) * F.lit(86_400_000_000_000)
-    return table(spark, sf_dir, "events").select(
-        shifted.alias("date"),
-        (key % 200 + 1).alias("rank"),
-        c("event_type").alias("region"),
-        _choose(key % 3, {0: "UP", 1: "DOWN"}, F.lit("UNCHANGED")).alias("chartRankMove"),
-        F.concat(F.lit("episode:"), key.cast("string")).alias("episodeUri"),
-        F.concat(F.lit("show:"), user).alias("showUri"),
-        F.concat(F.lit("episode "), key.cast("string")).alias("episodeName"),
-        F.concat(F.lit("show "), user).alias("show_name"),
-        F.concat(F.lit("publisher "), (c("user_id") % 50).cast("string")).alias("show_publisher"),
-        c("props").alias("show_description"),
-        F.lit("audio").alias("show_media_type"),
-        (c("value") / 2).alias("show_total_episodes"),
-        (c("value") * 60000).alias("duration_ms"),
-        (key % 2 == 0).alias("explicit"),
-        _choose(key % 2, {0: "en"}, F.lit("es,pt")).alias("languages"),
-        _date_text(c("ts"), key % 3).alias("release_date"),
+    return table(spark, sf_dir, "events").selectExpr(
+        f"{_epoch_ns('ts')} + ((event_id % 15) * 30 - 8522) * 86400000000000 as date",
+        "event_id % 200 + 1 as rank",
+        "event_type as region",
+        "case event_id % 3 when 0 then 'UP' when 1 then 'DOWN' else 'UNCHANGED' end as chartRankMove",
+        "'episode:' || cast(event_id as string) as episodeUri",
+        "'show:' || cast(user_id as string) as showUri",
+        "'episode ' || cast(event_id as string) as episodeName",
+        "'show ' || cast(user_id as string) as show_name",
+        "'publisher ' || cast(user_id % 50 as string) as show_publisher",
+        "props as show_description",
+        "'audio' as show_media_type",
+        "value / 2 as show_total_episodes",
+        "value * 60000 as duration_ms",
+        "event_id % 2 = 0 as explicit",
+        "case event_id % 2 when 0 then 'en' else 'es,pt' end as languages",
+        f"{_date_text('ts', 'event_id % 3')} as release_date",
     )
 
 
