@@ -25,8 +25,8 @@ def left_join_fanout(
     left table's shuffle, so it is moved once.
     """
     clashes = (set(left.columns) & set(right.columns)) - {key}
-    left = left.select(*[F.col(c).alias(c + suffixes[0] if c in clashes else c) for c in left.columns])
-    right = right.select(*[F.col(c).alias(c + suffixes[1] if c in clashes else c) for c in right.columns])
+    left = left.withColumnsRenamed({c: c + suffixes[0] for c in clashes})
+    right = right.withColumnsRenamed({c: c + suffixes[1] for c in clashes})
     right_key = F.col("__right_key")
 
     matches = right.withColumnRenamed(key, "__right_key")

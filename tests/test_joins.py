@@ -1,0 +1,126 @@
+from itertools import product
+
+import pandas as pd
+
+from earshot.operators import full_join_on_month, left_join_fanout, lookup_or_keep, pair_months_with
+
+
+def as_set(df):
+    return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+
+def test_fanout_and_suffixes(spark):
+    shows = spark.createDataFrame([("p1", 1, "one"), ("p2", 2, "two")], "podcast_id string, itunes_id int, title string")
+    categories = spark.createDataFrame([("p1", 9, "a"), ("p1", 9, "b")], "podcast_id string, itunes_id int, category string")
+    got = left_join_fanout(shows, categories, "podcast_id")
+    assert got.columns == ["podcast_id", "itunes_id_x", "title", "itunes_id_y", "category"]
+    assert as_set(got) == sorted(
+        map(repr, [("p1", 1, "one", 9, "a"), ("p1", 1, "one", 9, "b"), ("p2", 2, "two", None, None)])
+    )
+
+
+def test_fanout_equals_pandas_merge(spark):
+    """Duplicates and missing keys on both sides, one key owning a third of the rows."""
+    left = [(None if i % 7 == 0 else f"k{i % 20}", i) for i in range(90)]
+    right = [("k1" if i % 3 == 0 else None if i % 11 == 0 else f"k{i % 25}", i) for i in range(120)]
+    expected = pd.DataFrame(left, columns=["k", "v"]).merge(
+        pd.DataFrame(right, columns=["k", "v"]), on="k", how="left"
+    )
+    got = left_join_fanout(
+        spark.createDataFrame(left, "k string, v int"), spark.createDataFrame(right, "k string, v int"), "k"
+    ).toPandas()
+    order = ["k", "v_x", "v_y"]
+    clean = [f.astype(object).where(f.notna(), None)[order] for f in (got, expected)]
+    rows = [sorted(map(repr, ((r.k, int(r.v_x), None if r.v_y is None else int(r.v_y)) for r in f.itertuples())))
+            for f in clean]
+    assert rows[0] == rows[1]
+
+
+def test_fanout_with_shuffled_sides_moves_the_left_table_once(spark, tmp_path):
+    """Without broadcast: two joins, one exchange of the left table, reused."""
+    spark.range(1000).selectExpr("id as k", "id as v").write.parquet(str(tmp_path / "l"))
+    spark.range(3000).selectExpr("id % 700 as k", "id as w").write.parquet(str(tmp_path / "r"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = left_join_fanout(
+            spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")), "k"
+        )
+        assert got.count() == 3000 + 300
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ReusedExchange" in plan
+    assert "LeftOuter" not in plan
+
+
+def test_hot_key_is_split_over_tasks(spark, tmp_path):
+    """A key with a third of the right table: AQE splits the skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    spark.range(2000).selectExpr("id as k").write.parquet(str(tmp_path / "l"))
+    spark.range(60000).selectExpr("if(id % 3 = 0, 1, id % 2000) as k", "uuid() as w").repartition(8).write.parquet(
+        str(tmp_path / "r")
+    )
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = left_join_fanout(
+            spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")), "k"
+        )
+        assert len(got.collect()) == 60000
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+    assert "skew=true" in plan
+
+
+def test_pairs_are_the_whole_product(spark):
+    months = [(f"2024-{m:02d}",) for m in range(1, 13)]
+    others = [(f"c{i}", i) for i in range(37)] + [(None, None)]
+    got = pair_months_with(
+        spark.createDataFrame(months, "trend_month string"),
+        spark.createDataFrame(others, "category string, n int"),
+    )
+    assert got.columns == ["trend_month", "category", "n"]
+    assert as_set(got) == sorted(map(repr, ((m, c, n) for (m,), (c, n) in product(months, others))))
+
+
+def test_pairs_keep_equal_rows_and_need_no_nested_loop(spark):
+    months = spark.createDataFrame([("2024-01",), ("2024-02",)], "trend_month string")
+    others = spark.createDataFrame([("c",), ("c",)], "category string")
+    got = pair_months_with(months, others, slots=3)
+    assert got.count() == 4
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_pairs_with_an_empty_side(spark):
+    months = spark.createDataFrame([], "trend_month string")
+    others = spark.createDataFrame([("c",)], "category string")
+    assert pair_months_with(months, others).count() == 0
+    assert pair_months_with(others.toDF("trend_month"), months.toDF("category")).count() == 0
+
+
+def test_full_join_merges_the_month(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "trend_month string, x int")
+    right = spark.createDataFrame([("b", 3), ("c", 4)], "trend_month string, y int")
+    got = {r[0]: (r.x, r.y) for r in full_join_on_month(left, right).collect()}
+    assert got == {"a": (1, None), "b": (2, 3), "c": (None, 4)}
+
+
+def test_lookup_keeps_unknown_codes(spark):
+    df = spark.createDataFrame([("US",), ("XX",)], "country string")
+    names = spark.createDataFrame([("US", "US – United States")], "country string, display_name string")
+    got = lookup_or_keep(df, names, "country", "display_name", "display_name")
+    assert sorted(map(tuple, got.select("country", "display_name").collect())) == [
+        ("US", "US – United States"), ("XX", "XX"),
+    ]
