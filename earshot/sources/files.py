@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions import null_words_to_null
+from earshot.sources.records import csv_records, records_span_lines
 
 
 @contextmanager
@@ -48,16 +50,15 @@ def first_csv(spark: SparkSession, folder: str, dataset: str) -> str:
     return path
 
 
-def records_span_lines(spark: SparkSession, path: str, glob: str = "*") -> bool:
-    """True if some line leaves a quote open, so a record may continue after it.
-
-    If every line has an even number of quotes, every line starts outside of
-    quotes and is a record of its own.
-    """
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.translate(line, '"', ""))
-    lines = spark.read.option("pathGlobFilter", glob).text(path)
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+def parsed_records(records: DataFrame, names: list[str], options: dict[str, str]) -> DataFrame:
+    """Records of `csv_records` as text columns; every file must have the header."""
+    schema = ", ".join(f"`{name}` string" for name in names)
+    rows = records.withColumn("row", F.from_csv("value", schema, options))
+    header = reduce(lambda a, b: a & b, [F.col(f"row.`{n}`").eqNullSafe(F.lit(n)) for n in names])
+    other = F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean")
+    is_row = F.when(~F.col("is_first"), True).when(header, False).otherwise(other)
+    # empty lines are no records
+    return rows.filter(is_row & (F.col("value") != "")).select("row.*")
 
 
 def read_csv(
@@ -73,23 +74,23 @@ def read_csv(
     one with files="all" (their headers must agree). Columns are taken by header
     name and get the type declared in `types`; there is no inference pass.
 
-    Spark cannot split a file whose records span lines: such a file is one task.
-    A splittable pass over the lines finds out, and files without such records
-    are read in parallel splits. Very large inputs that do have them should come
-    as many files.
+    Spark reads a file whose records span lines as one task. So a pass over the
+    lines, in splits, finds out whether any does; if none, each line is a record
+    and Spark's reader takes the file in splits. If some do, the records are put
+    together from the lines of all splits.
     """
     if files == "first" and not path.endswith(".csv"):
         path = first_csv(spark, path, dataset)
     glob = "*.csv" if files == "all" else "*"
-    reader = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", glob)
-    )
+    options = {"quote": '"', "escape": '"'}
+    reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **options)
     with required(dataset, path):
-        raw = reader.option("multiLine", records_span_lines(spark, path, glob)).csv(path)
+        if records_span_lines(spark, path, glob):
+            # the header alone; this reader stops behind the first record
+            names = reader.option("multiLine", True).csv(path).columns
+            raw = parsed_records(csv_records(spark, path, glob), names, options)
+        else:
+            raw = reader.csv(path)
     words = raw.select(*[null_words_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
     return apply_types(words, types or {})
 

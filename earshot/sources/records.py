@@ -1,0 +1,143 @@
+"""CSV records that continue over several lines, found without reading a file
+in one task.
+
+A line is a small function of one bit: does it start inside a quoted field or
+not, and does it end inside one? The bit at the start of every line follows from
+the lines before it; it is carried inside each input split first, then over the
+splits of a file (one row each), and only the lines of records that do span
+lines are put together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+# Where a scan of a line stands: at the start of a field, later in a plain
+# field, inside quotes, or just behind a quote that was inside quotes.
+FIELD_START, PLAIN, QUOTED, QUOTE_SEEN = 0, 1, 2, 3
+
+
+def _after_text(state: Column, text: Column) -> Column:
+    plain = F.when(text.endswith(","), FIELD_START).otherwise(PLAIN)
+    return F.when((text == "") | (state == QUOTED), state).otherwise(plain)
+
+
+def _after_quote(state: Column) -> Column:
+    """A quote opens only at the start of a field; doubled, it stands for itself."""
+    return (
+        F.when(state.isin(FIELD_START, QUOTE_SEEN), QUOTED).when(state == QUOTED, QUOTE_SEEN).otherwise(PLAIN)
+    )
+
+
+def ends_inside(line: Column, starts_inside: bool) -> Column:
+    """1 if the line ends inside a quoted field, else 0."""
+    pieces = F.split(line, '"')
+    start = F.lit(QUOTED if starts_inside else FIELD_START)
+    state = F.aggregate(
+        F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
+        _after_text(start, F.element_at(pieces, 1)),
+        lambda state, text: _after_text(_after_quote(state), text),
+    )
+    no_quotes = F.lit(int(starts_inside))
+    return F.when(F.instr(line, '"') == 0, no_quotes).otherwise((state == QUOTED).cast("int"))
+
+
+def read_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+
+
+def records_span_lines(spark: SparkSession, path: str, glob: str = "*") -> bool:
+    """True if some line that starts a record does not end it."""
+    line = F.rtrim(F.col("value"), F.lit("\r"))
+    return not read_lines(spark, path, glob).filter(ends_inside(line, False) == 1).isEmpty()
+
+
+def _with_state_before(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add `if_outside` and `if_inside`: the bit before each row, for either bit
+    before the first row of its group.
+
+    A row keeps the bit, flips it, or sets it. So the bit is the last one set,
+    flipped as often as rows flipped it since.
+    """
+    rows = Window.partitionBy(*keys).orderBy(order)
+    before = rows.rowsBetween(Window.unboundedPreceding, -1)
+    flips = ((F.col("from_outside") == 1) & (F.col("from_inside") == 0)).cast("bigint")
+    sets = F.col("from_outside") == F.col("from_inside")
+    counted = df.withColumn("flips", F.sum(flips).over(rows.rowsBetween(Window.unboundedPreceding, 0)))
+    last = F.last(F.when(sets, F.struct(F.col("from_outside").alias("bit"), "flips")), ignorenulls=True)
+    marked = counted.withColumn("last_set", last.over(before))
+
+    def bit(first: int) -> Column:
+        so_far = F.col("flips") - flips
+        since_set = F.col("last_set.bit") + so_far - F.col("last_set.flips")
+        return (F.when(F.col("last_set").isNull(), so_far + first).otherwise(since_set) % 2).cast("int")
+
+    return marked.withColumns({"if_outside": bit(0), "if_inside": bit(1)}).drop("flips", "last_set")
+
+
+def _after(bit: str) -> Column:
+    return F.when(F.col(bit) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
+
+
+def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Whole records: file, is_first (of its file), value."""
+    text = F.col("value")
+    by_line = Window.partitionBy("file", "split").orderBy("id")
+    lines = (
+        read_lines(spark, path, glob)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("id"),
+        )
+        .withColumns(
+            {
+                "from_outside": ends_inside(F.rtrim(text, F.lit("\r")), False),
+                "from_inside": ends_inside(F.rtrim(text, F.lit("\r")), True),
+            }
+        )
+        # the position in the split, not the id, names a line: it is the same in every scan
+        .withColumn("position", F.row_number().over(by_line))
+    )
+    lines = _with_state_before(lines, ["file", "split"], "position")
+
+    splits = lines.groupBy("file", "split").agg(
+        F.max_by(_after("if_outside"), "position").alias("from_outside"),
+        F.max_by(_after("if_inside"), "position").alias("from_inside"),
+        F.max(F.when(F.col("if_outside") == 0, F.col("position"))).alias("start_if_outside"),
+        F.max(F.when(F.col("if_inside") == 0, F.col("position"))).alias("start_if_inside"),
+    )
+    outside = F.col("if_outside") == 0  # a file starts outside
+    start = F.when(outside, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        _with_state_before(splits, ["file"], "split")
+        .withColumn("own", F.when(start.isNotNull(), F.struct("split", start.alias("position"))))
+        .select(
+            "file",
+            "split",
+            outside.alias("outside"),
+            F.last("own", ignorenulls=True).over(earlier).alias("open_record"),
+        )
+    )
+
+    bit = F.when(F.col("outside"), F.col("if_outside")).otherwise(F.col("if_inside"))
+    so_far = Window.partitionBy("file", "split").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    here = F.struct("split", "position")
+    placed = (
+        lines.join(splits, ["file", "split"])
+        .withColumn("starts", bit == 0)
+        .withColumn("own", F.last(F.when(F.col("starts"), here), ignorenulls=True).over(so_far))
+        .withColumn("record", F.coalesce("own", "open_record"))
+        .withColumn("whole", F.col("starts") & (F.col("from_outside") == 0))
+    )
+    single = placed.filter("whole").select("file", "record", "value")
+    piece = F.struct("split", "position", "value")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["value"]), "\n")
+    spanning = placed.filter(~F.col("whole")).groupBy("file", "record").agg(joined.alias("value"))
+    first = (F.col("record.split") == 0) & (F.col("record.position") == 1)
+    return single.unionByName(spanning).select(
+        "file", first.alias("is_first"), F.rtrim(text, F.lit("\r")).alias("value")
+    )

@@ -1,7 +1,10 @@
+import csv
 import json
+import random
 from datetime import datetime
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -25,7 +28,7 @@ from earshot.sources import (
     read_table_by_month,
     write_table,
 )
-from earshot.sources.files import records_span_lines
+from earshot.sources.records import csv_records, ends_inside, records_span_lines
 
 
 def write(path: Path, text: str) -> str:
@@ -40,9 +43,10 @@ def write(path: Path, text: str) -> str:
 def test_csv_quotes_newlines_and_null_words(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'name,country,rank\n"He said ""hi""\nline2",NA,1\nNone,US,x\nnull,"",12.0\n')
     got = read_csv(spark, path, {"rank": "bigint"}).collect()
-    assert [tuple(r) for r in got] == [
+    assert {tuple(r) for r in got} == {
         ('He said "hi"\nline2', None, 1), (None, "US", None), (None, None, 12),
-    ]
+    }
+    assert len(got) == 3
 
 
 def test_csv_without_spanning_records_is_read_in_splits(spark, tmp_path):
@@ -59,6 +63,91 @@ def test_csv_without_spanning_records_is_read_in_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+LINES = {  # line: (ends inside if started outside, if started inside)
+    "a,b": (0, 1),
+    "": (0, 1),
+    '"a",b': (0, 0),
+    '"a': (1, 0),
+    'a"': (0, 0),
+    '5" vinyl,x': (0, 0),
+    'x,"open': (1, 0),
+    '"a ""quoted"" b",c': (0, 0),
+    '"a "" b': (1, 1),
+    '"",x': (0, 1),
+    '""': (0, 1),
+    '"""': (1, 0),
+    'end","next': (1, 1),
+    'end",plain "x': (0, 0),
+    '"a"b"c': (0, 0),
+}
+
+
+def scan(line, inside):
+    """Brute force: one character at a time."""
+    state = "quoted" if inside else "start"
+    for char in line:
+        if state == "seen":
+            if char == '"':
+                state = "quoted"
+                continue
+            state = "plain"
+        if state == "quoted":
+            state = "seen" if char == '"' else state
+        elif char == ",":
+            state = "start"
+        else:
+            state = "quoted" if state == "start" and char == '"' else "plain"
+    return int(state == "quoted")
+
+
+def test_lines_end_inside_or_outside_of_quotes(spark):
+    rng = random.Random(2)
+    texts = list(LINES) + ["".join(rng.choice('",a') for _ in range(rng.randint(1, 9))) for _ in range(500)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = frame.select("t", ends_inside(F.col("t"), False), ends_inside(F.col("t"), True)).collect()
+    for text, outside, inside in got:
+        assert (outside, inside) == (scan(text, False), scan(text, True)), text
+
+
+@pytest.mark.parametrize("split_bytes", [40, 300, 100000])
+def test_spanning_records_equal_a_whole_file_read(spark, tmp_path, split_bytes):
+    """Records over several lines and splits, against pandas reading the file at once."""
+    rng = random.Random(split_bytes)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    frames = []
+    for name in ("a", "b"):
+        rows = [
+            [str(i), "".join(rng.choice(['"', "\n", ",", "x", "yz", " "]) for _ in range(rng.randint(1, 25))) + "."]
+            for i in range(60)
+        ]
+        with open(folder / f"{name}.csv", "w", newline="") as out:
+            writer = csv.writer(out, lineterminator="\n" if name == "a" else "\r\n")
+            writer.writerow(["id", "text"])
+            writer.writerows(rows)
+        frames.append(pd.read_csv(folder / f"{name}.csv", dtype=str))
+    assert records_span_lines(spark, str(folder))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        got = read_csv(spark, str(folder), {"id": "bigint"}, files="all").toPandas()
+        tasks = csv_records(spark, str(folder)).rdd.getNumPartitions() if split_bytes < 100 else None
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    expected = pd.concat(frames)
+    assert sorted(zip(got["id"], got["text"])) == sorted(zip(expected["id"].astype(int), expected["text"]))
+    assert tasks is None or tasks > 1
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    write(tmp_path / "d" / "a.csv", 'x,y\n1,"a\nb"\n')
+    write(tmp_path / "d" / "b.csv", 'y,x\n1,"a\nb"\n')
+    with pytest.raises(Exception, match="another header"):
+        read_csv(spark, str(tmp_path / "d"), files="all").collect()
+
+
 def test_csv_takes_the_first_file_of_a_folder_or_all(spark, tmp_path):
     write(tmp_path / "d" / "b.csv", "x\n2\n")
     write(tmp_path / "d" / "a.csv", "x\n1\n")
