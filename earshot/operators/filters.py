@@ -104,15 +104,17 @@ def parse_and_window(
     column: str,
     window: Window,
     layouts: Sequence[str] | None = None,
+    head: DataFrame | None = None,
 ) -> DataFrame:
     """Parse a text date column, drop rows without a date, keep the window.
 
     With `layouts` given they are tried in order; without, the layout of the
-    first value is used for all.
+    first value is used for all. `head` is a cheaper frame to find that value in,
+    for a `df` whose first row would need all of the input.
     """
     offset = "+00:00"
     if layouts is None:
-        layout, offset = detect_layout(df, column)
+        layout, offset = detect_layout(head or df, column)
         layouts = [layout] if layout else DATE_LAYOUTS
     dated = keep_complete(df.withColumn(column, parse_moment(F.col(column), layouts)), column)
     return dated.filter(in_window(F.col(column), window, offset))

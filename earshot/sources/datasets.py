@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot.operators.filters import Window, parse_and_window, pick_date_column, rename_dots
 from earshot.operators.joins import left_join_fanout
-from earshot.sources.files import read_csv, read_json
+from earshot.sources.files import csv_head, read_csv, read_json
 
 # Column names and types of the inputs. Dates stay text here and
 # are parsed by the window step.
@@ -86,7 +86,7 @@ def read_music_charts(
 ) -> DataFrame:
     """Current music charts, inside the window by snapshot date."""
     df = read_csv(spark, folder, MUSIC_CHARTS, "music charts", files)
-    return parse_and_window(df, "snapshot_date", window, layouts)
+    return parse_and_window(df, "snapshot_date", window, layouts, csv_head(spark, folder))
 
 
 def read_music_charts_historical(
@@ -98,7 +98,7 @@ def read_music_charts_historical(
 ) -> DataFrame:
     """Historical music charts, inside the window by chart date."""
     df = read_csv(spark, folder, MUSIC_CHARTS_HISTORICAL, "historical music charts", files)
-    return parse_and_window(df, "date", window, layouts)
+    return parse_and_window(df, "date", window, layouts, csv_head(spark, folder))
 
 
 def read_podcast_charts(
@@ -112,7 +112,9 @@ def read_podcast_charts(
     among the known names; without one every row is kept."""
     df = rename_dots(read_csv(spark, folder, PODCAST_CHARTS, "podcast charts", files))
     column = pick_date_column(df.columns)
-    return parse_and_window(df, column, window, layouts) if column else df
+    if column is None:
+        return df
+    return parse_and_window(df, column, window, layouts, rename_dots(csv_head(spark, folder)))
 
 
 def merge_categories(shows: DataFrame, categories: DataFrame | None) -> DataFrame:

@@ -61,6 +61,9 @@ def parsed_records(records: DataFrame, names: list[str], options: dict[str, str]
     return rows.filter(is_row & (F.col("value") != "")).select("row.*")
 
 
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -82,17 +85,32 @@ def read_csv(
     if files == "first" and not path.endswith(".csv"):
         path = first_csv(spark, path, dataset)
     glob = "*.csv" if files == "all" else "*"
-    options = {"quote": '"', "escape": '"'}
-    reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **options)
+    reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **CSV_OPTIONS)
     with required(dataset, path):
         if records_span_lines(spark, path, glob):
             # the header alone; this reader stops behind the first record
             names = reader.option("multiLine", True).csv(path).columns
-            raw = parsed_records(csv_records(spark, path, glob), names, options)
+            raw = parsed_records(csv_records(spark, path, glob), names, CSV_OPTIONS)
         else:
             raw = reader.csv(path)
+    return _clean(raw, types or {})
+
+
+def csv_head(
+    spark: SparkSession, path: str, types: Mapping[str, str] | None = None, dataset: str = "csv"
+) -> DataFrame:
+    """The first file in file order, for taking a few rows: it is read from its
+    beginning by one task, which stops when it has enough."""
+    if not path.endswith(".csv"):
+        path = first_csv(spark, path, dataset)
+    reader = spark.read.options(header=True, multiLine=True, **CSV_OPTIONS)
+    with required(dataset, path):
+        return _clean(reader.csv(path), types or {})
+
+
+def _clean(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
     words = raw.select(*[null_words_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-    return apply_types(words, types or {})
+    return apply_types(words, types)
 
 
 def is_json_array(spark: SparkSession, path: str) -> bool:
