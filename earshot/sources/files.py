@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions import null_words_to_null
-from earshot.sources.records import csv_records, records_span_lines
+from earshot.sources.records import csv_records, json_array_chunks, records_span_lines
 
 
 @contextmanager
@@ -128,13 +128,16 @@ def read_json(
     """A JSON array or JSON Lines, whichever the file is.
 
     Fields are read as text and cast, so a number in quotes is still a number.
-    Malformed input raises. JSON Lines are read in parallel splits; an array is
-    one task per file.
+    Malformed input raises. Both are read in splits; an array without line ends
+    is one line and so one task.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in types])
     with required(dataset, path):
-        array = is_json_array(spark, path)
-        raw = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", array).json(path)
+        if is_json_array(spark, path):
+            elements = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+            raw = json_array_chunks(spark, path).select(F.inline(elements))
+        else:
+            raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return apply_types(raw, types)
 
 

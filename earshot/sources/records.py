@@ -1,11 +1,12 @@
-"""CSV records that continue over several lines, found without reading a file
-in one task.
-
-A line is a small function of one bit: does it start inside a quoted field or
-not, and does it end inside one? The bit at the start of every line follows from
-the lines before it; it is carried inside each input split first, then over the
-splits of a file (one row each), and only the lines of records that do span
-lines are put together.
+"""Records that continue over several lines, found without reading a file in
+one task.
+
+CSV: a line is a small function of one bit: does it start inside a quoted field
+or not, and does it end inside one? JSON: a string cannot hold a line end, so a
+line just adds to the depth of brackets. The bit or depth at the start of every
+line follows from the lines before it; it is carried inside each input split
+first, then over the splits of a file (one row each), and lines are put together
+to records from there.
 """
 
 from __future__ import annotations
@@ -47,6 +48,31 @@ def read_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
 
 
+def numbered_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Lines with their file, split and position in the split.
+
+    The position, not the id, names a line: it is the same in every scan.
+    """
+    lines = read_lines(spark, path, glob).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    by_id = Window.partitionBy("file", "split").orderBy("id")
+    return lines.withColumn("position", F.row_number().over(by_id)).drop("id")
+
+
+def _before(keys: list[str], order: str):
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _joined_lines() -> Column:
+    """Aggregate: the lines of one record in file order."""
+    pieces = F.array_sort(F.collect_list(F.struct("split", "position", "value")))
+    return F.array_join(F.transform(pieces, lambda p: p["value"]), "\n")
+
+
 def records_span_lines(spark: SparkSession, path: str, glob: str = "*") -> bool:
     """True if some line that starts a record does not end it."""
     line = F.rtrim(F.col("value"), F.lit("\r"))
@@ -82,24 +108,9 @@ def _after(bit: str) -> Column:
 
 def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Whole records: file, is_first (of its file), value."""
-    text = F.col("value")
-    by_line = Window.partitionBy("file", "split").orderBy("id")
-    lines = (
-        read_lines(spark, path, glob)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("id"),
-        )
-        .withColumns(
-            {
-                "from_outside": ends_inside(F.rtrim(text, F.lit("\r")), False),
-                "from_inside": ends_inside(F.rtrim(text, F.lit("\r")), True),
-            }
-        )
-        # the position in the split, not the id, names a line: it is the same in every scan
-        .withColumn("position", F.row_number().over(by_line))
+    text = F.rtrim(F.col("value"), F.lit("\r"))
+    lines = numbered_lines(spark, path, glob).withColumns(
+        {"from_outside": ends_inside(text, False), "from_inside": ends_inside(text, True)}
     )
     lines = _with_state_before(lines, ["file", "split"], "position")
 
@@ -111,7 +122,6 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
     outside = F.col("if_outside") == 0  # a file starts outside
     start = F.when(outside, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         _with_state_before(splits, ["file"], "split")
         .withColumn("own", F.when(start.isNotNull(), F.struct("split", start.alias("position"))))
@@ -119,25 +129,67 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
             "file",
             "split",
             outside.alias("outside"),
-            F.last("own", ignorenulls=True).over(earlier).alias("open_record"),
+            F.last("own", ignorenulls=True).over(_before(["file"], "split")).alias("open_record"),
         )
     )
 
     bit = F.when(F.col("outside"), F.col("if_outside")).otherwise(F.col("if_inside"))
-    so_far = Window.partitionBy("file", "split").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    here = F.struct("split", "position")
     placed = (
-        lines.join(splits, ["file", "split"])
-        .withColumn("starts", bit == 0)
-        .withColumn("own", F.last(F.when(F.col("starts"), here), ignorenulls=True).over(so_far))
-        .withColumn("record", F.coalesce("own", "open_record"))
+        _with_record(lines.join(splits, ["file", "split"]).withColumn("starts", bit == 0))
         .withColumn("whole", F.col("starts") & (F.col("from_outside") == 0))
     )
     single = placed.filter("whole").select("file", "record", "value")
-    piece = F.struct("split", "position", "value")
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["value"]), "\n")
-    spanning = placed.filter(~F.col("whole")).groupBy("file", "record").agg(joined.alias("value"))
+    spanning = placed.filter(~F.col("whole")).groupBy("file", "record").agg(_joined_lines().alias("value"))
     first = (F.col("record.split") == 0) & (F.col("record.position") == 1)
-    return single.unionByName(spanning).select(
-        "file", first.alias("is_first"), F.rtrim(text, F.lit("\r")).alias("value")
+    return single.unionByName(spanning).select("file", first.alias("is_first"), text.alias("value"))
+
+
+def _with_record(lines: DataFrame) -> DataFrame:
+    """Add `record`: the place of the last line so far that starts one, or the
+    record left open by earlier splits."""
+    so_far = Window.partitionBy("file", "split").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.last(F.when(F.col("starts"), F.struct("split", "position")), ignorenulls=True).over(so_far)
+    return lines.withColumn("record", F.coalesce(own, F.col("open_record")))
+
+
+def _count(text: Column, characters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, characters, ""))
+
+
+def added_depth(line: Column) -> Column:
+    """Brackets opened less brackets closed, outside of strings."""
+    bare = F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    outside = F.array_join(F.filter(F.split(bare, '"'), lambda piece, i: i % 2 == 0), "")
+    return (_count(outside, "[{") - _count(outside, "]}")).cast("bigint")
+
+
+def json_array_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """A file holding one array, as rows `value`, each an array of some of its
+    elements. A chunk ends at the first line end between two elements."""
+    lines = numbered_lines(spark, path, "*").withColumn("added", added_depth(F.col("value")))
+    in_split = F.sum("added").over(_before(["file", "split"], "position"))
+    totals = lines.groupBy("file", "split").agg(F.sum("added").alias("added"))
+    bases = totals.select(
+        "file", "split", F.coalesce(F.sum("added").over(_before(["file"], "split")), F.lit(0)).alias("base")
+    )
+    deep = lines.join(bases, ["file", "split"]).withColumn(
+        "depth", F.col("base") + F.coalesce(in_split, F.lit(0))
+    )
+    # depth 0 is outside of the array, 1 between its elements
+    marked = deep.withColumn("starts", F.col("depth") <= 1)
+    own = F.max(F.when(F.col("starts"), F.struct("split", "position")))
+    last_starts = marked.groupBy("file", "split").agg(own.alias("own"))
+    open_records = last_starts.select(
+        "file", "split", F.last("own", ignorenulls=True).over(_before(["file"], "split")).alias("open_record")
+    )
+    placed = _with_record(marked.join(open_records, ["file", "split"]))
+    chunks = placed.groupBy("file", "record").agg(
+        _joined_lines().alias("value"),
+        F.min("depth").alias("start"),
+        (F.min("depth") + F.sum("added")).alias("end"),
     )
+    space = F.lit(" ,\r\n\t")
+    text = F.btrim("value", space)
+    text = F.when((F.col("start") == 0) & text.startswith("["), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
+    text = F.when((F.col("end") == 0) & text.endswith("]"), F.left(text, F.length(text) - 1)).otherwise(text)
+    return chunks.select(F.concat(F.lit("["), F.btrim(text, space), F.lit("]")).alias("value"))

@@ -185,6 +185,34 @@ def test_json_array_or_lines(spark, tmp_path, text):
     assert sorted(map(tuple, got.collect())) == [("p1", 5), ("p2", 4)]
 
 
+@pytest.mark.parametrize("indent", [None, 0, 2], ids=["line per object", "line per field", "indented"])
+@pytest.mark.parametrize("split_bytes", [30, 500])
+def test_json_array_in_splits_equals_a_whole_read(spark, tmp_path, indent, split_bytes):
+    rng = random.Random(indent)
+    odd = ['"', "\\", "[", "{", "}", "]", ",", "\n", "x", "é"]
+    rows = [{"id": i, "text": "".join(rng.choices(odd, k=rng.randint(0, 12))), "tags": [1, {"a": "]"}]} for i in range(40)]
+    if indent is None:
+        text = "[" + "\n, ".join(json.dumps(r, ensure_ascii=False) for r in rows) + "]\n"
+    else:
+        text = json.dumps(rows, indent=indent, ensure_ascii=False)
+    path = write(tmp_path / "a.json", text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        got = read_json(spark, path, {"id": "bigint", "text": "string"}).collect()
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+    assert sorted(map(tuple, got)) == [(r["id"], r["text"]) for r in rows]
+
+
+def test_broken_arrays_raise(spark, tmp_path):
+    path = write(tmp_path / "r.json", '[{"podcast_id": "p1"},\n{"podcast_id" "p2"}]')
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        read_json(spark, path, TYPES).collect()
+
+
 def test_broken_json_raises(spark, tmp_path):
     path = write(tmp_path / "r.json", json.dumps(ROWS[0]) + "\n{broken\n")
     with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
