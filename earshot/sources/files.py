@@ -40,11 +40,25 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.select(*[typed(F.col(f"`{c}`"), types.get(c, "string")).alias(c) for c in df.columns])
 
 
+def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Files with path and length; reads no content."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+
+
+def is_split(spark: SparkSession, path: str, glob: str = "*") -> bool:
+    """True if some file is larger than one input split."""
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    split = int(setting.rstrip("kmgt")) * units.get(setting[-1:], 1)
+    largest = listing(spark, path, glob).agg(F.max("length")).first()[0]
+    return (largest or 0) > split
+
+
 def first_csv(spark: SparkSession, folder: str, dataset: str) -> str:
-    """The first *.csv of a folder by name. Lists the folder, reads no content."""
+    """The first *.csv of a folder by name."""
     with required(dataset, folder):
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    path = listing.agg(F.min("path").alias("path")).first()["path"]
+        files = listing(spark, folder, "*.csv")
+    path = files.agg(F.min("path").alias("path")).first()["path"]
     if path is None:
         raise FileNotFoundError(f"{dataset}: no CSV file in {folder}")
     return path
@@ -77,17 +91,20 @@ def read_csv(
     one with files="all" (their headers must agree). Columns are taken by header
     name and get the type declared in `types`; there is no inference pass.
 
-    Spark reads a file whose records span lines as one task. So a pass over the
-    lines, in splits, finds out whether any does; if none, each line is a record
-    and Spark's reader takes the file in splits. If some do, the records are put
-    together from the lines of all splits.
+    Spark reads a file whose records may span lines as one task, which is no loss
+    for files of one split. For larger ones a pass over the lines, in splits,
+    finds out whether any record does; if none, each line is a record and Spark's
+    reader takes the file in splits. If some do, the records are put together
+    from the lines of all splits.
     """
     if files == "first" and not path.endswith(".csv"):
         path = first_csv(spark, path, dataset)
     glob = "*.csv" if files == "all" else "*"
     reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **CSV_OPTIONS)
     with required(dataset, path):
-        if records_span_lines(spark, path, glob):
+        if not is_split(spark, path, glob):
+            raw = reader.option("multiLine", True).csv(path)
+        elif records_span_lines(spark, path, glob):
             # the header alone; this reader stops behind the first record
             names = reader.option("multiLine", True).csv(path).columns
             raw = parsed_records(csv_records(spark, path, glob), names, CSV_OPTIONS)
@@ -128,16 +145,17 @@ def read_json(
     """A JSON array or JSON Lines, whichever the file is.
 
     Fields are read as text and cast, so a number in quotes is still a number.
-    Malformed input raises. Both are read in splits; an array without line ends
-    is one line and so one task.
+    Malformed input raises. Both are read in splits, except that an array without
+    line ends is one line and so one task.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in types])
     with required(dataset, path):
-        if is_json_array(spark, path):
+        array = is_json_array(spark, path)
+        if array and is_split(spark, path):
             elements = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
             raw = json_array_chunks(spark, path).select(F.inline(elements))
         else:
-            raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+            raw = spark.read.schema(schema).options(mode="FAILFAST", multiLine=array).json(path)
     return apply_types(raw, types)
 
 
