@@ -45,13 +45,18 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
 
 
-def is_split(spark: SparkSession, path: str, glob: str = "*") -> bool:
-    """True if some file is larger than one input split."""
+# Up to this many splits one task reads a CSV file with Spark's whole-file reader
+# sooner than its records are put together from all splits.
+WHOLE_FILE_SPLITS = 16
+
+
+def is_split(spark: SparkSession, path: str, glob: str = "*", splits: int = 1) -> bool:
+    """True if some file is larger than so many input splits."""
     setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     split = int(setting.rstrip("kmgt")) * units.get(setting[-1:], 1)
     largest = listing(spark, path, glob).agg(F.max("length")).first()[0]
-    return (largest or 0) > split
+    return (largest or 0) > split * splits
 
 
 def first_csv(spark: SparkSession, folder: str, dataset: str) -> str:
@@ -94,22 +99,18 @@ def read_csv(
     Spark reads a file whose records may span lines as one task, which is no loss
     for files of one split. For larger ones a pass over the lines, in splits,
     finds out whether any record does; if none, each line is a record and Spark's
-    reader takes the file in splits. If some do, the records are put together
-    from the lines of all splits.
+    reader takes the file in splits. If some do, a large file's records are put
+    together from the lines of all splits.
     """
     if files == "first" and not path.endswith(".csv"):
         path = first_csv(spark, path, dataset)
     glob = "*.csv" if files == "all" else "*"
     reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **CSV_OPTIONS)
     with required(dataset, path):
-        if not is_split(spark, path, glob):
-            raw = reader.option("multiLine", True).csv(path)
-        elif records_span_lines(spark, path, glob):
-            # the header alone; this reader stops behind the first record
-            names = reader.option("multiLine", True).csv(path).columns
-            raw = parsed_records(csv_records(spark, path, glob), names, CSV_OPTIONS)
-        else:
-            raw = reader.csv(path)
+        spanning = not is_split(spark, path, glob) or records_span_lines(spark, path, glob)
+        raw = reader.option("multiLine", spanning).csv(path)
+        if spanning and is_split(spark, path, glob, WHOLE_FILE_SPLITS):
+            raw = parsed_records(csv_records(spark, path, glob), raw.columns, CSV_OPTIONS)
     return _clean(raw, types or {})
 
 

@@ -79,64 +79,125 @@ def records_span_lines(spark: SparkSession, path: str, glob: str = "*") -> bool:
     return not read_lines(spark, path, glob).filter(ends_inside(line, False) == 1).isEmpty()
 
 
-def _with_state_before(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Add `if_outside` and `if_inside`: the bit before each row, for either bit
-    before the first row of its group.
+LINE_STATE = (
+    "value string, file string, split bigint, run bigint, from_outside int, from_inside int, position bigint, "
+    "if_outside int, if_inside int, start_if_outside bigint, start_if_inside bigint"
+)
 
-    A row keeps the bit, flips it, or sets it. So the bit is the last one set,
-    flipped as often as rows flipped it since.
-    """
-    rows = Window.partitionBy(*keys).orderBy(order)
-    before = rows.rowsBetween(Window.unboundedPreceding, -1)
-    flips = ((F.col("from_outside") == 1) & (F.col("from_inside") == 0)).cast("bigint")
-    sets = F.col("from_outside") == F.col("from_inside")
-    counted = df.withColumn("flips", F.sum(flips).over(rows.rowsBetween(Window.unboundedPreceding, 0)))
-    last = F.last(F.when(sets, F.struct(F.col("from_outside").alias("bit"), "flips")), ignorenulls=True)
-    marked = counted.withColumn("last_set", last.over(before))
-
-    def bit(first: int) -> Column:
-        so_far = F.col("flips") - flips
-        since_set = F.col("last_set.bit") + so_far - F.col("last_set.flips")
-        return (F.when(F.col("last_set").isNull(), so_far + first).otherwise(since_set) % 2).cast("int")
 
-    return marked.withColumns({"if_outside": bit(0), "if_inside": bit(1)}).drop("flips", "last_set")
+def line_state():
+    """A function over the record batches of a scan, which hold the lines of one
+    split after another in file order. It adds, for each line,
 
+    - position: its number in the split, from 1;
+    - if_outside, if_inside: the bit before it, if the split starts with that bit;
+    - start_if_...: the position of the last line so far that starts a record,
+      0 if there is none.
 
-def _after(bit: str) -> Column:
-    return F.when(F.col(bit) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
+    A line keeps the bit, flips it, or sets it: the bit is the last one set,
+    flipped as often as lines flipped it since. (A nested function travels to
+    the tasks by value, so they need not have this package.)
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def bits_before(first, sets, set_to, flips):
+        """The bit before each line of a run of lines, and after the last one."""
+        flipped = np.concatenate(([0], np.cumsum(flips)))
+        at = np.where(sets, np.arange(1, len(sets) + 1), 0)
+        last = np.maximum.accumulate(np.concatenate(([0], at)))
+        base = np.where(last > 0, np.concatenate(([0], set_to))[last] - flipped[last], first)
+        bits = (base + flipped) % 2
+        return bits[:-1], int(bits[-1])
+
+    def add_state(batches):
+        run, count, bits, starts = None, 0, [0, 1], [0, 0]
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            runs = batch.column("run").to_numpy()
+            from_outside = batch.column("from_outside").to_numpy()
+            from_inside = batch.column("from_inside").to_numpy()
+            sets = from_outside == from_inside
+            flips = (from_outside == 1) & (from_inside == 0)
+            edges = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(runs)]
+            columns = [[], [], [], [], []]
+            for low, high in zip(edges, edges[1:]):
+                if runs[low] != run:
+                    run, count, bits, starts = runs[low], 0, [0, 1], [0, 0]
+                position = np.arange(count + 1, count + high - low + 1)
+                columns[0].append(position)
+                for i in (0, 1):
+                    before, bits[i] = bits_before(
+                        bits[i], sets[low:high], from_outside[low:high], flips[low:high]
+                    )
+                    start = np.maximum(np.maximum.accumulate(np.where(before == 0, position, 0)), starts[i])
+                    starts[i] = int(start[-1])
+                    columns[1 + i].append(before)
+                    columns[3 + i].append(start)
+                count += high - low
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            added = [pa.array(np.concatenate(c), type=t) for c, t in zip(columns, types)]
+            names = ["position", "if_outside", "if_inside", "start_if_outside", "start_if_inside"]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], names=[*batch.schema.names, *names]
+            )
+
+    return add_state
 
 
 def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Whole records: file, is_first (of its file), value."""
     text = F.rtrim(F.col("value"), F.lit("\r"))
-    lines = numbered_lines(spark, path, glob).withColumns(
-        {"from_outside": ends_inside(text, False), "from_inside": ends_inside(text, True)}
+    lines = (
+        read_lines(spark, path, glob)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+        )
+        .select(
+            "*",
+            F.xxhash64("file", "split").alias("run"),
+            ends_inside(text, False).alias("from_outside"),
+            ends_inside(text, True).alias("from_inside"),
+        )
+        .mapInArrow(line_state(), LINE_STATE)
     )
-    lines = _with_state_before(lines, ["file", "split"], "position")
 
+    # one row per split: its effect on the bit, and its last start for either bit
     splits = lines.groupBy("file", "split").agg(
         F.max_by(_after("if_outside"), "position").alias("from_outside"),
         F.max_by(_after("if_inside"), "position").alias("from_inside"),
-        F.max(F.when(F.col("if_outside") == 0, F.col("position"))).alias("start_if_outside"),
-        F.max(F.when(F.col("if_inside") == 0, F.col("position"))).alias("start_if_inside"),
+        F.max("start_if_outside").alias("start_if_outside"),
+        F.max("start_if_inside").alias("start_if_inside"),
     )
-    outside = F.col("if_outside") == 0  # a file starts outside
-    start = F.when(outside, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
+    so_far = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, 0)
+    flips = (F.col("from_outside") == 1) & (F.col("from_inside") == 0)
+    set_to = F.when(F.col("from_outside") == F.col("from_inside"), F.col("from_outside") - F.col("flipped"))
+    flipped_before = F.col("flipped") - flips.cast("bigint")
+    earlier = _before(["file"], "split")
     splits = (
-        _with_state_before(splits, ["file"], "split")
-        .withColumn("own", F.when(start.isNotNull(), F.struct("split", start.alias("position"))))
-        .select(
-            "file",
-            "split",
-            outside.alias("outside"),
-            F.last("own", ignorenulls=True).over(_before(["file"], "split")).alias("open_record"),
-        )
+        splits.withColumn("flipped", F.sum(flips.cast("bigint")).over(so_far))
+        # a file starts outside
+        .withColumn("base", F.coalesce(F.last(set_to, ignorenulls=True).over(earlier), F.lit(0)))
+        .withColumn("bit", F.pmod(F.col("base") + flipped_before, F.lit(2)))
+        .withColumn("start", F.when(F.col("bit") == 0, F.col("start_if_outside")).otherwise(F.col("start_if_inside")))
+        .withColumn("own", F.when(F.col("start") > 0, F.struct("split", F.col("start").alias("position"))))
+        .select("file", "split", "bit", F.last("own", ignorenulls=True).over(earlier).alias("open_record"))
     )
 
-    bit = F.when(F.col("outside"), F.col("if_outside")).otherwise(F.col("if_inside"))
-    placed = (
-        _with_record(lines.join(splits, ["file", "split"]).withColumn("starts", bit == 0))
-        .withColumn("whole", F.col("starts") & (F.col("from_outside") == 0))
+    outside = F.col("bit") == 0
+    start = F.when(outside, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
+    own = F.when(start > 0, F.struct("split", start.alias("position")))
+    starts = F.when(outside, F.col("if_outside")).otherwise(F.col("if_inside")) == 0
+    placed = lines.join(splits, ["file", "split"]).select(
+        "file",
+        "split",
+        "position",
+        "value",
+        F.coalesce(own, F.col("open_record")).alias("record"),
+        (starts & (F.col("from_outside") == 0)).alias("whole"),
     )
     single = placed.filter("whole").select("file", "record", "value")
     spanning = placed.filter(~F.col("whole")).groupBy("file", "record").agg(_joined_lines().alias("value"))
@@ -144,6 +205,10 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return single.unionByName(spanning).select("file", first.alias("is_first"), text.alias("value"))
 
 
+def _after(bit: str) -> Column:
+    return F.when(F.col(bit) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
+
+
 def _with_record(lines: DataFrame) -> DataFrame:
     """Add `record`: the place of the last line so far that starts one, or the
     record left open by earlier splits."""

@@ -109,7 +109,7 @@ def test_lines_end_inside_or_outside_of_quotes(spark):
         assert (outside, inside) == (scan(text, False), scan(text, True)), text
 
 
-@pytest.mark.parametrize("split_bytes", [40, 300, 100000])
+@pytest.mark.parametrize("split_bytes", [40, 100, 300, 100000])
 def test_spanning_records_equal_a_whole_file_read(spark, tmp_path, split_bytes):
     """Records over several lines and splits, against pandas reading the file at once."""
     rng = random.Random(split_bytes)
@@ -144,8 +144,8 @@ def test_spanning_records_equal_a_whole_file_read(spark, tmp_path, split_bytes):
 @pytest.mark.parametrize("split_bytes", [10, 1000])
 def test_files_with_another_header_are_refused(spark, tmp_path, split_bytes):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    write(tmp_path / "d" / "a.csv", 'x,y\n1,"a\nb"\n')
-    write(tmp_path / "d" / "b.csv", 'y,x\n1,"a\nb"\n')
+    write(tmp_path / "d" / "a.csv", "x,y\n" + '1,"a\nb"\n' * 50)
+    write(tmp_path / "d" / "b.csv", "y,x\n" + '1,"a\nb"\n' * 50)
     try:
         with pytest.raises(Exception, match="another header|CSV header does not conform"):
             read_csv(spark, str(tmp_path / "d"), files="all").collect()
@@ -266,7 +266,11 @@ def test_layout_comes_from_the_first_row_of_the_file(spark, tmp_path):
     """Records over several lines are regrouped in no order; the head keeps it."""
     rows = "".join(f'"a\n{i}",{"2024-05-01" if i < 3 else "2024/05/01"}\n' for i in range(200))
     write(tmp_path / "c" / "x.csv", "name,date\n" + rows)
-    assert read_music_charts_historical(spark, str(tmp_path / "c")).count() == 3
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    try:
+        assert read_music_charts_historical(spark, str(tmp_path / "c")).count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_podcast_charts_reader(spark, tmp_path):

@@ -273,21 +273,26 @@ def json_lines_roundtrip(spark, sf_dir):
     return read_json(spark, path, types, "conversations")
 
 
-def _as_arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The JSON rows of a partition as the lines of one array."""
-    lead = "["
-    for batch in batches:
-        lines = batch["value"].tolist()
-        yield pd.DataFrame({"value": [(lead if i == 0 else ",") + line for i, line in enumerate(lines)]})
-        lead = "," if lines else lead
-    yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+def _array_lines() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A function (nested, so that it travels by value) from the JSON rows of a
+    partition to the lines of one array."""
+
+    def lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lead = "["
+        for batch in batches:
+            lines = batch["value"].tolist()
+            yield batch.assign(value=[(lead if i == 0 else ",") + line for i, line in enumerate(lines)])
+            lead = "," if lines else lead
+        yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+
+    return lines_of
 
 
 @query
 def json_array_roundtrip(spark, sf_dir):
     path = scratch_folder(spark, "json")
     rows = table(spark, sf_dir, "pages").select(F.to_json(F.struct("page_id", "url", "html")).alias("value"))
-    rows.mapInPandas(_as_arrays, "value string").write.text(path)
+    rows.mapInPandas(_array_lines(), "value string").write.text(path)
     return read_json(spark, path, {"page_id": "bigint", "url": "string", "html": "string"}, "pages")
 
 
