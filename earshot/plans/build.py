@@ -7,6 +7,7 @@ lost executor costs a task of the current step. Tables are replaced as a whole.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,37 +44,52 @@ def ingest(spark: SparkSession, folders: Mapping[str, str], lake: str, window: W
     return written
 
 
+def store(tables: Mapping[str, DataFrame], folder: str, layouts: Mapping[str, tuple] | None = None) -> dict[str, DataFrame]:
+    """Write tables that do not depend on each other at the same time, so that
+    the last tasks of one do not leave the cluster idle; returns them as stored."""
+    layouts = layouts or {}
+
+    def write(name: str) -> DataFrame:
+        return write_table(tables[name], f"{folder}/{name}", *layouts.get(name, ()))
+
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return dict(zip(tables, pool.map(write, tables)))
+
+
 def stage(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Write the staged tables, then check the tables written; returns them."""
-    staged = {}
-    for name, model in STAGED.items():
-        table = model.build(raw[name])
-        staged[name] = write_table(table, f"{out}/staged/{name}", model.partition_by, model.cluster_by)
+    built = {name: model.build(raw[name]) for name, model in STAGED.items()}
+    layouts = {name: (model.partition_by, model.cluster_by) for name, model in STAGED.items()}
+    staged = store(built, f"{out}/staged", layouts)
     enforce(*[quality_report(staged[name], name, model.checks) for name, model in STAGED.items()])
     return staged
 
 
-def build_marts(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """Write the monthly tables and the marts from staged tables; returns them.
+def build_monthly(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """The tables that read staged facts; everything after them is small."""
+    return store(
+        {
+            "genre_monthly": marts.genre_monthly(staged["music_charts_historical"]),
+            "review_monthly": marts.review_monthly(staged["podcast_reviews"]),
+            "chart_monthly": marts.chart_monthly(staged["podcast_charts"]),
+            "category_totals": marts.category_totals(staged["podcast_shows"]),
+            "music_trends": marts.music_trends(staged["music_charts"]),
+        },
+        f"{out}/marts",
+    )
 
-    The staged facts are read by the monthly tables and `music_trends` only.
-    """
-    tables: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = write_table(df, f"{out}/marts/{name}")
-        return tables[name]
-
-    genres = store("genre_monthly", marts.genre_monthly(staged["music_charts_historical"]))
-    reviews = store("review_monthly", marts.review_monthly(staged["podcast_reviews"]))
-    charts = store("chart_monthly", marts.chart_monthly(staged["podcast_charts"]))
-    totals = store("category_totals", marts.category_totals(staged["podcast_shows"]))
-
-    music = store("music_trends", marts.music_trends(staged["music_charts"]))
-    podcasts = store("podcast_trends", marts.podcast_trends(reviews, charts, totals))
-    store("genre_category_matrix", marts.genre_category_matrix(genres, reviews, totals))
-    store("ecosystem_timeline", marts.ecosystem_timeline(genres, reviews, music, podcasts))
-    return tables
+
+def build_marts(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Write the monthly tables and the marts from staged tables; returns them."""
+    tables = build_monthly(staged, out)
+    genres, reviews, totals = (tables[t] for t in ("genre_monthly", "review_monthly", "category_totals"))
+    pairs = {
+        "podcast_trends": marts.podcast_trends(reviews, tables["chart_monthly"], totals),
+        "genre_category_matrix": marts.genre_category_matrix(genres, reviews, totals),
+    }
+    tables |= store(pairs, f"{out}/marts")
+    timeline = marts.ecosystem_timeline(genres, reviews, tables["music_trends"], tables["podcast_trends"])
+    return tables | store({"ecosystem_timeline": timeline}, f"{out}/marts")
 
 
 def build_all(spark: SparkSession, lake: str, out: str) -> dict[str, DataFrame]:

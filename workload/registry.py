@@ -37,6 +37,7 @@ from earshot.operators import (
 )
 from earshot.operators.filters import parse_moment
 from earshot.plans import marts, views
+from earshot.plans.build import build_monthly, store
 from earshot.plans.staging import STAGED
 from earshot.session import prepare, scratch_folder
 from earshot.sources import (
@@ -385,26 +386,27 @@ def podcast_trends_mart(spark, sf_dir):
 
 
 def matrix_mart(spark, sf_dir):
-    return marts.genre_category_matrix(
-        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), totals(spark, sf_dir)
-    )
+    monthly = {
+        "genres": genre_monthly(spark, sf_dir),
+        "reviews": review_monthly(spark, sf_dir),
+        "totals": totals(spark, sf_dir),
+    }
+    tables = store(monthly, scratch_folder(spark, "monthly"))
+    return marts.genre_category_matrix(tables["genres"], tables["reviews"], tables["totals"])
 
 
 def stored_marts(spark, sf_dir) -> dict[str, DataFrame]:
-    """The tables several marts share, written once, and the timeline on them."""
+    """The monthly tables, written once as the refresh does, and the marts on them."""
     folder = scratch_folder(spark, "marts")
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{folder}/{name}")
-
-    reviews = store("review_monthly", review_monthly(spark, sf_dir))
-    genres = store("genre_monthly", genre_monthly(spark, sf_dir))
-    music = store("music_trends", music_trends_mart(spark, sf_dir))
-    podcasts = store(
-        "podcast_trends", marts.podcast_trends(reviews, chart_monthly(spark, sf_dir), totals(spark, sf_dir))
+    tables = build_monthly({name: staged(spark, sf_dir, name) for name in STAGED}, folder)
+    podcasts = marts.podcast_trends(
+        tables["review_monthly"], tables["chart_monthly"], tables["category_totals"]
+    )
+    tables |= store({"podcast_trends": podcasts}, f"{folder}/marts")
+    timeline = marts.ecosystem_timeline(
+        tables["genre_monthly"], tables["review_monthly"], tables["music_trends"], tables["podcast_trends"]
     )
-    timeline = marts.ecosystem_timeline(genres, reviews, music, podcasts)
-    return {"music_trends": music, "podcast_trends": podcasts, "ecosystem_timeline": timeline}
+    return tables | {"ecosystem_timeline": timeline}
 
 
 @query
