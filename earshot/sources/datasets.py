@@ -141,6 +141,10 @@ def read_podcast_reviews(
     window: Window = Window(),
     layouts: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Reviews inside the window by creation time."""
+    """Reviews inside the window by creation time.
+
+    Without `layouts` the first row is looked at, which is cheap for JSON Lines;
+    for one large array, whose rows come in no order, give them.
+    """
     df = read_json(spark, f"{folder}/reviews.json", REVIEWS, "podcast reviews")
     return parse_and_window(df, "created_at", window, layouts)
