@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -45,16 +49,30 @@ def build_session(app: str = "earshot", master: str | None = None, **conf: str)
     return prepare(builder.getOrCreate())
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder named by `spark.checkpoint.dir`.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by `spark.checkpoint.dir`, also set as Spark's checkpoint folder.
 
-    Only a local session without that setting falls back to a folder on this
-    machine; a cluster session without it is an error, because executors could
-    not see each other's files.
+    A cluster session without the setting is an error, because executors could
+    not see each other's files. A local session is one machine; where it names
+    no folder it gets one for its lifetime.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/earshot-{name}-{uuid.uuid4().hex}"
+        base = _local_folder()
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+@functools.cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="earshot-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/earshot-{name}-{uuid.uuid4().hex}"
