@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from earshot.llm import quality, wordbpe
+from earshot.llm import quality, simhash, wordbpe
 from earshot.llm.common import documents_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,9 @@ def op2_bpe_encode_decode(spark, sf_dir):
         sha256_of_ids("ids").alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(documents_of(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
