@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from earshot.llm import quality, simhash, wordbpe
+from earshot.llm import quality, simhash, tokenstore, wordbpe
 from earshot.llm.common import documents_of
+from earshot.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,25 +28,27 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judge_documents(docs, carry=["doc_id"]).drop("clean_text")
 
 
-@F.arrow_udf(T.StringType())
-def sha256_of_ids(ids: pa.Array) -> pa.Array:
-    """Lowercase hex digest of ids as little-endian unsigned 32-bit integers."""
-    return pa.array([hashlib.sha256(own.values.to_numpy().astype("<u4").tobytes()).hexdigest() for own in ids])
-
-
 @query
 def op2_bpe_encode_decode(spark, sf_dir):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = documents_of(spark, sf_dir).select("doc_id", "text")
     encoded = wordbpe.encode_documents(docs, vocabulary, carry=["doc_id"])
-    return wordbpe.decode_documents(encoded, vocabulary).select(
+    return wordbpe.decode_documents(encoded, vocabulary, digest="ids_sha256").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        sha256_of_ids("ids").alias("ids_sha256"),
+        "ids_sha256",
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
+@query
+def op5_token_files(spark, sf_dir):
+    folder = scratch_folder(spark, "tokens")
+    docs = documents_of(spark, sf_dir).select("doc_id", "text")
+    tokenstore.write_tokens(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenstore.token_index(spark, folder)
+
+
 @query
 def op9_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(documents_of(spark, sf_dir).select("doc_id", "text"))
