@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import quality, simhash, tokenstore, wordbpe
+from earshot.llm import linededup, quality, simhash, tokenstore, wordbpe
 from earshot.llm.common import documents_of
 from earshot.session import scratch_folder
 
@@ -41,6 +41,52 @@ def op2_bpe_encode_decode(spark, sf_dir):
     )
 
 
+@query
+def op3_line_dedup(spark, sf_dir):
+    docs = documents_of(spark, sf_dir).select("doc_id", "text")
+    found = linededup.dedup_lines(docs)
+    return found.select(F.col("c0").alias("doc_id"), F.col("c1").alias("text"), "n_lines", "n_deleted")
+
+
+ORACLE["op3_line_dedup"] = r"""
+with texts as (select doc_id, string_split(text, chr(10)) as lines from documents),
+lines as (
+    select doc_id, i, lines[i] as line, len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) as words
+    from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i from texts)
+),
+worded as (
+    select *, sum(words) over (partition by doc_id order by i) as upto from lines where words > 0
+),
+spans as (
+    select a.doc_id, a.i as first, e.i as last
+    from worded a asof join worded e on a.doc_id = e.doc_id and a.upto - a.words + 25 <= e.upto
+    union
+    select e.doc_id, a.i, e.i
+    from worded e asof join worded a on a.doc_id = e.doc_id and e.upto - 25 >= a.upto - a.words
+),
+runs as (
+    select s.doc_id, s.first, s.last, string_agg(w.line, chr(10) order by w.i) as content
+    from spans s join worded w on w.doc_id = s.doc_id and w.i between s.first and s.last
+    group by all
+),
+placed as (
+    select *, row_number() over (partition by content order by doc_id, first) as copy from runs
+),
+gone as (
+    select distinct l.doc_id, l.i from placed p join lines l
+    on l.doc_id = p.doc_id and l.i between p.first and p.last where p.copy > 1
+)
+select t.doc_id,
+       case when t.lines is not null then coalesce(string_agg(l.line, chr(10) order by l.i)
+            filter (where g.i is null), '') end as text,
+       case when coalesce(array_to_string(t.lines, ''), '') = '' and coalesce(len(t.lines), 0) < 2 then 0
+            else len(t.lines) end as n_lines,
+       count(g.i) as n_deleted
+from texts t left join lines l on l.doc_id = t.doc_id left join gone g on g.doc_id = l.doc_id and g.i = l.i
+group by t.doc_id, t.lines
+"""
+
+
 @query
 def op5_token_files(spark, sf_dir):
     folder = scratch_folder(spark, "tokens")
