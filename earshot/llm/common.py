@@ -18,6 +18,7 @@ from earshot.session import checkpoint_folder
 # An Arrow batch that reaches Python is cut into pieces of about this many
 # bytes, so that the memory of a task follows the longest text, not the batch.
 PIECE_BYTES = 8 << 20
+BATCH_ROWS = 1000
 
 
 def whole(column: str) -> "F.Column":
@@ -80,4 +81,6 @@ def reliable(df: DataFrame) -> DataFrame:
 
 
 def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; texts are long, so that fewer rows make an Arrow batch than usual."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -25,6 +25,7 @@ left out when decoding. An empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import re
 import unicodedata
@@ -42,7 +43,7 @@ from earshot.llm.common import PIECE_BYTES, whole, with_results
 # A worker's memos hold this many words and pieces of at most this many characters.
 MEMO_ENTRIES = 250_000
 MEMO_CHARS = 64
-MEMO_PAIRS = 1_000_000
+MEMO_PAIRS = 300_000
 
 # Beyond these letters Unicode versions differ; the library's own normaliser and
 # word pattern are asked there.
@@ -96,7 +97,7 @@ class Vocabulary:
                 raise ValueError(f"two merges make the token {left + right!r}")
             self.halves[token], self.rank[token], self.pair_rank[pair] = pair, rank, rank
             self.atoms[token] = self.atoms[pair[0]] + self.atoms[pair[1]]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         stable: dict[int, bool] = {}
         for token, atoms in enumerate(self.atoms):
@@ -131,7 +132,7 @@ class Vocabulary:
     def may_follow(self, left: int, right: int) -> bool:
         if len(self.pairs) >= MEMO_PAIRS:
             self.pairs.clear()
-        fits = self.pairs[left, right] = self.side_by_side(left, right)
+        fits = self.pairs[left << 32 | right] = self.side_by_side(left, right)
         return fits
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -145,7 +146,7 @@ class Vocabulary:
                 if length > end:
                     last[end] = found
                 elif before := last[end - length]:
-                    fits = known((before[0], token))
+                    fits = known(before[0] << 32 | token)
                     if fits or (fits is None and self.may_follow(before[0], token)):
                         last[end] = found
         ids, end = [], len(atoms) - 1
@@ -247,8 +248,12 @@ def encode_documents(
 
 @functools.cache
 def strings_of(path: str) -> np.ndarray:
-    strings = memo_of(path).vocabulary.strings
-    return np.array([*strings, None], dtype=object)
+    """Token strings by id, None where there is none and at the end."""
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    by_id = {token: string for string, token in content["model"]["vocab"].items()}
+    by_id |= {token["id"]: token["content"] for token in content["added_tokens"]}
+    return np.array([by_id.get(token) for token in range(max(by_id) + 2)], dtype=object)
 
 
 def decode_ids(strings: np.ndarray, ids: np.ndarray) -> str:
@@ -256,10 +261,19 @@ def decode_ids(strings: np.ndarray, ids: np.ndarray) -> str:
     return " ".join([s for s in strings[known].tolist() if s is not None])
 
 
-def decode_documents(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """`df` with the column `text`, decoded from the array `ids`; null ids decode to the empty text."""
-    kept = [c for c in df.columns if c.lower() != text.lower()]
-    schema = df.select(*map(whole, kept)).schema.add(text, "string")
+def decode_documents(
+    df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded", digest: str | None = None
+) -> DataFrame:
+    """`df` with the column `text`, decoded from the array `ids`; null ids decode to the empty text.
+
+    `digest` names one more column for the SHA-256 (lowercase hex) of the ids as
+    little-endian unsigned 32-bit integers.
+    """
+    new = [text] + [digest] * bool(digest)
+    kept = [c for c in df.columns if c.lower() not in {name.lower() for name in new}]
+    schema = df.select(*map(whole, kept)).schema
+    for name in new:
+        schema = schema.add(name, "string")
     place = kept.index(ids)
 
     def run(batches):
@@ -268,10 +282,12 @@ def decode_documents(df: DataFrame, vocabulary: str, ids: str = "ids", text: str
             step = max(1, PIECE_BYTES * batch.num_rows // max(1, batch.column(place).nbytes))
             for start in range(0, batch.num_rows, step):
                 piece = batch.slice(start, step)
-                decoded = [
-                    decode_ids(strings, own.values.to_numpy(zero_copy_only=False)) if own.is_valid else ""
-                    for own in piece.column(place)
-                ]
-                yield pa.RecordBatch.from_arrays(piece.columns + [pa.array(decoded, pa.string())], names=[*kept, text])
+                own = [x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.empty(0, np.int32)
+                       for x in piece.column(place)]
+                results = [pa.array([decode_ids(strings, x) for x in own], pa.string())]
+                if digest:
+                    sums = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in own]
+                    results.append(pa.array(sums, pa.string()))
+                yield pa.RecordBatch.from_arrays(piece.columns + results, names=kept + new)
 
     return df.select(*map(whole, kept)).mapInArrow(run, schema)
