@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import linededup, quality, simhash, tokenstore, wordbpe
+from earshot.llm import langid, linededup, quality, simhash, tokenstore, wordbpe
 from earshot.llm.common import documents_of
 from earshot.session import scratch_folder
 
@@ -95,6 +95,14 @@ def op5_token_files(spark, sf_dir):
     return tokenstore.token_index(spark, folder)
 
 
+@query
+def op8_language_id(spark, sf_dir):
+    docs = documents_of(spark, sf_dir).select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~langid.held_out() & F.col("doc_id").isNotNull()))
+    predicted = langid.predict(docs.select("doc_id", "text"), model, carry=["doc_id"])
+    return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(documents_of(spark, sf_dir).select("doc_id", "text"))
