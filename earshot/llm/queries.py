@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import langid, linededup, quality, simhash, tokenstore, wordbpe
+from earshot.llm import langid, linededup, packing, quality, simhash, tokenstore, wordbpe
 from earshot.llm.common import documents_of
 from earshot.session import scratch_folder
 
@@ -87,6 +87,13 @@ group by t.doc_id, t.lines
 """
 
 
+@query
+def op4_best_fit_packing(spark, sf_dir):
+    docs = documents_of(spark, sf_dir).select("doc_id", "text")
+    lengths = tokenstore.with_token_count(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id"])
+    return packing.pack(lengths)
+
+
 @query
 def op5_token_files(spark, sf_dir):
     folder = scratch_folder(spark, "tokens")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm.common import pieces, reliable, whole
+from earshot.llm.common import pieces, reliable, whole, with_results
 
 BLOCK = 128
 FRAME_IDS = 1 << 16
@@ -123,6 +123,18 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
+def with_token_count(
+    docs: DataFrame, tokenizer: str, text: str = "text", name: str = "n_tokens", carry: list[str] | None = None
+) -> DataFrame:
+    """`docs` with the number of ids of each text, the end id included."""
+
+    def count(texts: list[str | None]) -> list:
+        encoder = encoder_of(tokenizer)
+        return [[len(encoder.encode(t)) // 4 + 1 for t in texts]]
+
+    return with_results(docs, text, f"`{name}` bigint", count, carry)
+
+
 # ---- blocks ----------------------------------------------------------------
 
 
