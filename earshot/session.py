@@ -8,6 +8,8 @@ import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +51,22 @@ def build_session(app: str = "earshot", master: str | None = None, **conf: str)
     return prepare(builder.getOrCreate())
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, for functions that run in Python there."""
+    context = spark.sparkContext
+    if getattr(context, "_earshot_shared", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="earshot-code-")) / "earshot.zip"
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    with zipfile.ZipFile(archive, "w") as content:
+        for source in sorted(package.rglob("*.py")):
+            content.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._earshot_shared = True
+    return spark
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`, also set as Spark's checkpoint folder.
 
