@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import chat, langid, linededup, packing, quality, simhash, tokenstore, wordbpe
+from earshot.llm import ann, chat, langid, linededup, packing, quality, simhash, tokenstore, wordbpe
 from earshot.llm.common import documents_of
-from earshot.session import scratch_folder
+from earshot.session import scratch_folder, share_code
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +18,8 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query; its code is sent to the executors before it runs."""
+    QUERIES[function.__name__] = lambda spark, sf_dir: function(share_code(spark), sf_dir)
     return function
 
 
@@ -134,6 +135,11 @@ from turns group by conv_id
 """
 
 
+@query
+def op7_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
 @query
 def op8_language_id(spark, sf_dir):
     docs = documents_of(spark, sf_dir).select("doc_id", "text", "lang")
