@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, chat, langid, linededup, packing, quality, simhash, tokenstore, wordbpe
+from earshot.llm import ann, chat, langid, linededup, packing, quality, simhash, tokenstore, warc, wordbpe
 from earshot.llm.common import documents_of
 from earshot.session import scratch_folder, share_code
 
@@ -152,3 +152,28 @@ def op8_language_id(spark, sf_dir):
 def op9_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(documents_of(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_warc_audit(spark, sf_dir):
+    """Two replicas of all pages; in the second, one record in 97 is damaged."""
+    folder = scratch_folder(spark, "warc")
+    records = warc.records_of(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    warc.write_warc(records, f"{folder}/first")
+    warc.write_warc(warc.damaged(records, F.col("page_id") % 97 == 13), f"{folder}/second")
+    found = warc.check_replicas(spark, f"{folder}/first", f"{folder}/second")
+    return found.select("page_id", "length", F.lower(F.hex("hash")).alias("sha256"), "intact")
+
+
+ORACLE["op10_warc_audit"] = r"""
+with records as (
+    select page_id,
+           'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
+           || 'WARC-Block-Digest: sha256:' || sha256(coalesce(html, '')) || e
+           || 'X-Page-Id: ' || coalesce(cast(page_id as varchar), '') || e || 'Content-Type: text/html' || e
+           || 'Content-Length: ' || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || e as record
+    from pages, (select chr(13) || chr(10) as e)
+)
+select page_id, strlen(record) as length, sha256(record) as sha256, coalesce(page_id % 97 <> 13, true) as intact
+from records
+"""
