@@ -80,7 +80,11 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents; texts are long, so that fewer rows make an Arrow batch than usual."""
+def few_rows(spark: SparkSession) -> None:
+    """Texts are long: fewer rows than usual make an Arrow batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    few_rows(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
