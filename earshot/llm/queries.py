@@ -158,9 +158,9 @@ def op9_simhash_near_dedup(spark, sf_dir):
 def op10_warc_audit(spark, sf_dir):
     """Two replicas of all pages; in the second, one record in 97 is damaged."""
     folder = scratch_folder(spark, "warc")
-    records = warc.records_of(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    warc.write_warc(records, f"{folder}/first")
-    warc.write_warc(warc.damaged(records, F.col("page_id") % 97 == 13), f"{folder}/second")
+    warc.write_warc(warc.records_of(spark.read.parquet(f"{sf_dir}/pages.parquet")), f"{folder}/first")
+    copies = warc.read_records(spark, f"{folder}/first")
+    warc.write_warc(warc.damaged(copies, F.col("page_id") % 97 == 13), f"{folder}/second")
     found = warc.check_replicas(spark, f"{folder}/first", f"{folder}/second")
     return found.select("page_id", "length", F.lower(F.hex("hash")).alias("sha256"), "intact")
 

@@ -49,6 +49,9 @@ NEXT = b"\r\n\r\n" + VERSION + b"\r\n"
 SHARDS_PER_SPLIT = 1 << 12
 
 
+RECORDS = "shard bigint, number bigint, page_id bigint, record binary"
+
+
 def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
     """A record without its closing line ends."""
     block = (html or "").encode("utf-8")
@@ -63,7 +66,10 @@ def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
 
 
 def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(shard, number, page_id, record): the records in their shards, in the order of the input's splits."""
+    """(shard, number, page_id, record): the records in their shards, in the order of the input's splits.
+
+    Only a written replica fixes that order: make the next one from its `read_records`.
+    """
     rows = pages.select(whole(page_id).cast("bigint").alias("page_id"), whole(url).alias("url"), whole(html).alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,12 +92,12 @@ def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
                     [pa.array(c, t) for c, t in zip(columns, kinds)], names=["shard", "number", "page_id", "record"]
                 )
 
-    return rows.mapInArrow(run, "shard bigint, number bigint, page_id bigint, record binary")
+    return rows.mapInArrow(run, RECORDS)
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
-    """One gzipped file per shard, its records in order; rows of a shard are consecutive already."""
-    text = records.select("shard", F.col("record").cast("string").alias("value"))
+    """One gzipped file per shard, its records in order. `records` has a shard's rows in one partition."""
+    text = records.sortWithinPartitions("shard", "number").select("shard", F.col("record").cast("string").alias("value"))
     text.write.partitionBy("shard").option("lineSep", END.decode()).option("compression", "gzip").text(folder)
 
 
@@ -136,6 +142,24 @@ def ranges_of(content: bytes) -> Iterator[tuple[int, int, int | None]]:
         at = end
 
 
+def read_records(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, number, page_id, record) of a replica, as they can be written to another one."""
+
+    def run(batches):
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = plain(content.as_py())
+                rows = [(shard, n, page, data[at : at + size].removesuffix(END))
+                        for n, (at, size, page) in enumerate(ranges_of(data))]
+                columns = list(zip(*rows)) or [[]] * 4
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, kinds)], names=["shard", "number", "page_id", "record"]
+                )
+
+    return files_of(spark, folder).mapInArrow(run, RECORDS)
+
+
 def scan(spark: SparkSession, folder: str) -> DataFrame:
     """(shard, offset, length, page_id, hash): the records of a replica as hashed offset ranges."""
 
