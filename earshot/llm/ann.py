@@ -273,7 +273,7 @@ class Bucket:
 
 def nearest(
     vectors: DataFrame,
-    is_query: Column,
+    is_query: Column | str,
     ids: str = "vec_id",
     vector: str = "embedding",
     neighbours: int = NEIGHBOURS,
