@@ -8,26 +8,26 @@ from workload.registry import QUERIES
 from workload.standins import RAW
 
 RAW_ROWS = {
-    "music_charts": 15202,
-    "music_charts_historical": 13322,
-    "podcast_reviews": 2805,
+    "music_charts": 60000,
+    "music_charts_historical": 60000,
+    "podcast_reviews": 15000,
     "podcast_shows": 2000,
     "podcast_charts": 10000,
 }
 MART_ROWS = {
     "music_trends": 525,
-    "review_monthly": 15,
+    "review_monthly": 36,
     "chart_monthly": 15,
     "category_summary_shows": 25,
     "category_summary_ratings": 25,
-    "podcast_trends": 750,
+    "podcast_trends": 1175,
     "genre_monthly": 18,
     "genre_category_matrix": 300,
-    "ecosystem_window_1": 21,
+    "ecosystem_window_1": 42,
     "current_music": 21,
-    "current_podcasts": 30,
-    "ecosystem_window_2": 41,
-    "ecosystem_timeline": 62,
+    "current_podcasts": 47,
+    "ecosystem_window_2": 47,
+    "ecosystem_timeline": 89,
 }
 
 
@@ -43,7 +43,7 @@ def test_mart_rows(spark, sf_dir, name, rows):
 
 def test_timeline_quirks(spark, sf_dir):
     timeline = QUERIES["ecosystem_timeline"](spark, sf_dir).toPandas()
-    assert (timeline["trend_month"].value_counts() == 2).sum() == 15
+    assert (timeline["trend_month"].value_counts() == 2).sum() == 36
     ratio = timeline["podcast_to_music_ratio"].notna()
     assert ratio.sum() == 12
     assert set(timeline.loc[ratio, "podcast_data_source"]) == {"reviews"}

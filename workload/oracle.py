@@ -12,7 +12,7 @@ from earshot.functions import NULL_WORDS
 from earshot.plans.marts import GENRE_WORDS
 from earshot.plans.staging import STAGED
 from earshot.plans.views import COUNTRY_NAMES, FEATURE_LABELS, GENRE_LABELS
-from workload.standins import GENRES_BY_TYPE, MARKET_CODES
+from workload.standins import GENRES_BY_TYPE, HISTORICAL_DAYS, MARKET_CODES, MUSIC_CHARTS_DAYS, REVIEWS_DAYS
 
 
 def sql_text(value: str) -> str:
@@ -57,6 +57,12 @@ def date_text(value: str, variant: str) -> str:
     )
 
 
+def shifted(value: str, days: tuple[int, int]) -> str:
+    """Nanoseconds of the day, moved into the days of the input."""
+    first, count = days
+    return f"(date_diff('day', DATE '1970-01-01', CAST({value} AS DATE)) % {count} + {first}) * 86400000000000"
+
+
 SOLD = """FROM lineitem JOIN part ON l_partkey = p_partkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
 
@@ -65,11 +71,11 @@ TABLES: dict[str, str] = {}
 # ---- raw inputs --------------------------------------------------------------
 
 TABLES["raw_music_charts"] = f"""
-  SELECT CAST(l_partkey AS VARCHAR) AS spotify_id, p_name AS name, p_brand AS artists, p_type AS album_name,
-    CAST(l_linenumber AS BIGINT) AS daily_rank, CAST(l_linenumber - 4 AS BIGINT) AS daily_movement,
+  SELECT CASE WHEN l_partkey % 101 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS spotify_id, p_name AS name, p_brand AS artists, p_type AS album_name,
+    CASE WHEN l_orderkey % 79 = 0 THEN 0 ELSE CAST(l_linenumber AS BIGINT) END AS daily_rank, CAST(l_linenumber - 4 AS BIGINT) AS daily_movement,
     l_partkey % 7 - 3 AS weekly_movement,
     CASE WHEN s_nationkey <> 0 THEN {cases("s_nationkey", MARKET_CODES, "n_name")} END AS country,
-    epoch_us(l_shipdate) * 1000 AS snapshot_date, l_quantity AS popularity,
+    {shifted("l_shipdate", MUSIC_CHARTS_DAYS)} AS snapshot_date, l_quantity AS popularity,
     l_returnflag = 'R' AS is_explicit, l_extendedprice AS duration_ms,
     {date_text("l_shipdate", "l_linenumber % 3")} AS album_release_date,
     l_discount AS danceability, l_tax AS energy, l_discount * l_tax AS speechiness,
@@ -77,29 +83,28 @@ TABLES["raw_music_charts"] = f"""
     l_discount + l_tax AS valence, l_quantity + 60 AS tempo, l_quantity / -2 AS loudness,
     l_orderkey % 12 AS "key", CAST(l_linenumber % 2 AS BIGINT) AS mode,
     CAST(l_linenumber % 3 + 3 AS BIGINT) AS time_signature
-  {SOLD}
-  WHERE l_shipdate >= TIMESTAMP '1999-10-01' AND l_shipdate < TIMESTAMP '2001-07-01'"""
+  {SOLD}"""
 
 TABLES["raw_music_charts_historical"] = f"""
-  SELECT CAST(l_partkey AS VARCHAR) AS track_id, p_name AS name, p_brand AS artists,
+  SELECT CASE WHEN l_partkey % 89 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS track_id, p_name AS name, p_brand AS artists,
     CASE WHEN p_size > 42 THEN 'EDM, deep house' WHEN p_size < 6 THEN 'contemporary country, soul'
       ELSE CASE p_type {" ".join(f"WHEN {sql_text(k)} THEN {sql_text(v)}" for k, v in GENRES_BY_TYPE.items())} END
     END AS artist_genres,
-    CAST(l_linenumber AS DOUBLE) AS position, n_name AS country, epoch_us(l_shipdate) * 1000 AS date,
+    CASE WHEN l_orderkey % 83 = 0 THEN 0 ELSE CAST(l_linenumber AS DOUBLE) END AS position, n_name AS country,
+    {shifted("l_shipdate", HISTORICAL_DAYS)} AS date,
     l_extendedprice AS streams, l_extendedprice * 10 AS duration, l_returnflag = 'R' AS explicit
-  {SOLD}
-  WHERE l_shipdate >= TIMESTAMP '1997-07-01' AND l_shipdate < TIMESTAMP '1999-01-01'"""
+  {SOLD}"""
 
-TABLES["raw_podcast_reviews"] = """
+TABLES["raw_podcast_reviews"] = f"""
   SELECT 'r' || CAST(o_orderkey % 311 AS VARCHAR) AS podcast_id, CAST(o_custkey AS VARCHAR) AS author_id,
     o_orderpriority AS title, o_orderstatus || ' ' || CAST(o_orderkey AS VARCHAR) AS content,
     CASE WHEN o_orderkey % 50 = 0 THEN 0 WHEN o_orderkey % 51 = 0 THEN NULL
       ELSE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) END AS rating,
-    epoch_us(o_orderdate) * 1000 AS created_at
-  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-04-01'"""
+    {shifted("o_orderdate", REVIEWS_DAYS)} AS created_at
+  FROM orders"""
 
 TABLES["raw_podcast_shows"] = """
-  SELECT 's' || CAST(p_partkey AS VARCHAR) AS podcast_id, p_partkey AS itunes_id_x, p_name AS title,
+  SELECT CASE WHEN p_partkey % 103 <> 0 THEN 's' || CAST(p_partkey AS VARCHAR) END AS podcast_id, p_partkey AS itunes_id_x, p_name AS title,
     'studio ' || p_brand AS author, p_name || ', ' || p_type AS description,
     p_retailprice / 400.0 AS average_rating,
     CASE p_partkey % 9 WHEN 0 THEN '12.0' WHEN 1 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS ratings_count,
@@ -110,7 +115,7 @@ TABLES["raw_podcast_shows"] = """
 
 TABLES["raw_podcast_charts"] = f"""
   SELECT epoch_us(ts) * 1000 + ((event_id % 15) * 30 - 8522) * 86400000000000 AS date,
-    event_id % 200 + 1 AS rank, event_type AS region,
+    CASE WHEN event_id % 173 <> 0 THEN event_id % 200 END AS rank, event_type AS region,
     CASE event_id % 3 WHEN 0 THEN 'UP' WHEN 1 THEN 'DOWN' ELSE 'UNCHANGED' END AS "chartRankMove",
     'episode:' || CAST(event_id AS VARCHAR) AS "episodeUri", 'show:' || CAST(user_id AS VARCHAR) AS "showUri",
     'episode ' || CAST(event_id AS VARCHAR) AS "episodeName", 'show ' || CAST(user_id AS VARCHAR) AS show_name,
@@ -411,7 +416,8 @@ SELECTS: dict[str, str] = {
     "left_join_with_fanout": """SELECT s.podcast_id, c_nationkey AS itunes_id_x, c_name AS title,
         o_orderkey AS itunes_id_y, o_orderpriority AS category
       FROM (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS podcast_id, * FROM customer) s
-        LEFT JOIN orders ON s.podcast_id = o_custkey""",
+        LEFT JOIN (SELECT CASE WHEN o_orderkey % 997 <> 0 THEN o_custkey END AS podcast_id, * FROM orders) o
+        ON s.podcast_id IS NOT DISTINCT FROM o.podcast_id""",
     "csv_roundtrip": f"""SELECT doc_id, CASE WHEN text NOT IN ({NULL_LIST}) THEN text END AS text,
         CASE WHEN lang NOT IN ({NULL_LIST}) THEN lang END AS lang,
         CASE WHEN source NOT IN ({NULL_LIST}) THEN source END AS source, n_chars FROM documents""",

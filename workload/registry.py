@@ -233,14 +233,15 @@ def profile_of_inputs(spark, sf_dir):
 
 @query
 def left_join_with_fanout(spark, sf_dir):
-    """Customers as shows, their orders as categories; some customers have none."""
+    """Customers as shows, their orders as categories; some customers have none, and
+    missing keys on both sides meet."""
     shows = table(spark, sf_dir, "customer").select(
         F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")).alias("podcast_id"),
         F.col("c_nationkey").alias("itunes_id"),
         F.col("c_name").alias("title"),
     )
     categories = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("podcast_id"),
+        F.when(F.col("o_orderkey") % 997 != 0, F.col("o_custkey")).alias("podcast_id"),
         F.col("o_orderkey").alias("itunes_id"),
         F.col("o_orderpriority").alias("category"),
     )

@@ -1,7 +1,8 @@
 """The five raw inputs, shaped from the driver's tables (FIXTURES.md).
 
-Each stand-in scans its whole driver table and keeps an input window, as the
-readers do. Columns that no mart needs are derived from the same rows.
+Each stand-in holds a row for every row of its driver table: dates are shifted
+into the months of the input, none is cut off. Columns that no mart needs are
+derived from the same rows. The driver's tables hold no NULLs, so some are made.
 """
 
 from __future__ import annotations
@@ -9,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.operators.filters import Window, in_window
 from earshot.session import prepare
 
-# The window of each input, both ends kept (all dates are midnights).
-MUSIC_CHARTS_WINDOW = Window("1999-10-01", "2001-06-30")
-HISTORICAL_WINDOW = Window("1997-07-01", "1998-12-31")
-REVIEWS_WINDOW = Window("1998-01-01", "1999-03-31")
+# First day (days since 1970-01-01) and number of days of each
+# input. They overlap in part, as in the source: 1999-10 to 2001-06, 1997-07 to
+# 1998-12, and 1998-01 to 2000-12; podcast charts start in 2000-09.
+MUSIC_CHARTS_DAYS = (10865, 639)
+HISTORICAL_DAYS = (10043, 549)
+REVIEWS_DAYS = (10227, 1096)
 
 # Some nations carry the code of a known market, so the name
 # lookup has hits and misses; nation 0 is the global list without a country.
@@ -69,9 +71,15 @@ def _date_text(moment: str, variant: str) -> str:
     )
 
 
-def _sold_parts(spark: SparkSession, sf_dir: str, window: Window) -> DataFrame:
-    """Line items of a window with their part and the supplier's nation."""
-    lines = table(spark, sf_dir, "lineitem").filter(in_window(F.col("l_shipdate"), window, zoned=False))
+def _shifted_ns(moment: str, days: tuple[int, int]) -> str:
+    """Nanoseconds of a day, moved into the given days by its remainder."""
+    first, count = days
+    return f"(unix_date(cast({moment} as date)) % {count} + {first}) * 86400000000000"
+
+
+def _sold_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their part and the supplier's nation."""
+    lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     markets = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey")
@@ -79,17 +87,17 @@ def _sold_parts(spark: SparkSession, sf_dir: str, window: Window) -> DataFrame:
     return lines.join(part, F.expr("l_partkey = p_partkey")).join(markets, F.expr("l_suppkey = s_suppkey"))
 
 
-def raw_music_charts(spark: SparkSession, sf_dir: str, window: Window = MUSIC_CHARTS_WINDOW) -> DataFrame:
-    return _sold_parts(spark, sf_dir, window).selectExpr(
-        "cast(l_partkey as string) as spotify_id",
+def raw_music_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sold_parts(spark, sf_dir).selectExpr(
+        "case when l_partkey % 101 <> 0 then cast(l_partkey as string) end as spotify_id",
         "p_name as name",
         "p_brand as artists",
         "p_type as album_name",
-        "cast(l_linenumber as bigint) as daily_rank",
+        "case when l_orderkey % 79 = 0 then 0L else cast(l_linenumber as bigint) end as daily_rank",
         "cast(l_linenumber - 4 as bigint) as daily_movement",
         "l_partkey % 7 - 3 as weekly_movement",
         f"case when s_nationkey <> 0 then {_cases('s_nationkey', MARKET_CODES, 'n_name')} end as country",
-        f"{_epoch_ns('l_shipdate')} as snapshot_date",
+        f"{_shifted_ns('l_shipdate', MUSIC_CHARTS_DAYS)} as snapshot_date",
         "l_quantity as popularity",
         "l_returnflag = 'R' as is_explicit",
         "l_extendedprice as duration_ms",
@@ -109,40 +117,37 @@ def raw_music_charts(spark: SparkSession, sf_dir: str, window: Window = MUSIC_CH
     )
 
 
-def raw_music_charts_historical(
-    spark: SparkSession, sf_dir: str, window: Window = HISTORICAL_WINDOW
-) -> DataFrame:
-    return _sold_parts(spark, sf_dir, window).selectExpr(
-        "cast(l_partkey as string) as track_id",
+def raw_music_charts_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sold_parts(spark, sf_dir).selectExpr(
+        "case when l_partkey % 89 <> 0 then cast(l_partkey as string) end as track_id",
         "p_name as name",
         "p_brand as artists",
         "case when p_size > 42 then 'EDM, deep house' when p_size < 6 then 'contemporary country, soul' "
         f"else {_cases('p_type', GENRES_BY_TYPE, 'null')} end as artist_genres",
-        "cast(l_linenumber as double) as position",
+        "case when l_orderkey % 83 = 0 then 0.0D else cast(l_linenumber as double) end as position",
         "n_name as country",
-        f"{_epoch_ns('l_shipdate')} as date",
+        f"{_shifted_ns('l_shipdate', HISTORICAL_DAYS)} as date",
         "l_extendedprice as streams",
         "l_extendedprice * 10 as duration",
         "l_returnflag = 'R' as explicit",
     )
 
 
-def raw_podcast_reviews(spark: SparkSession, sf_dir: str, window: Window = REVIEWS_WINDOW) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(in_window(F.col("o_orderdate"), window, zoned=False))
-    return orders.selectExpr(
+def raw_podcast_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(
         "'r' || cast(o_orderkey % 311 as string) as podcast_id",
         "cast(o_custkey as string) as author_id",
         "o_orderpriority as title",
         "o_orderstatus || ' ' || cast(o_orderkey as string) as content",
         "case when o_orderkey % 50 = 0 then 0L when o_orderkey % 51 = 0 then null "
         "else cast(substr(o_orderpriority, 1, 1) as bigint) end as rating",
-        f"{_epoch_ns('o_orderdate')} as created_at",
+        f"{_shifted_ns('o_orderdate', REVIEWS_DAYS)} as created_at",
     )
 
 
 def raw_podcast_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
-        "'s' || cast(p_partkey as string) as podcast_id",
+        "case when p_partkey % 103 <> 0 then 's' || cast(p_partkey as string) end as podcast_id",
         "p_partkey as itunes_id_x",
         "p_name as title",
         "'studio ' || p_brand as author",
@@ -158,7 +163,7 @@ def raw_podcast_shows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_podcast_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         f"{_epoch_ns('ts')} + ((event_id % 15) * 30 - 8522) * 86400000000000 as date",
-        "event_id % 200 + 1 as rank",
+        "case when event_id % 173 <> 0 then event_id % 200 end as rank",
         "event_type as region",
         "case event_id % 3 when 0 then 'UP' when 1 then 'DOWN' else 'UNCHANGED' end as chartRankMove",
         "'episode:' || cast(event_id as string) as episodeUri",
