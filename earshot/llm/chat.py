@@ -54,9 +54,10 @@ def format_batch(encoder, roles: list[str | None], texts: list[str | None]) -> t
     start, sep, end = (np.array([first + k], "<i4").tobytes() for k in range(len(MARKS)))
     turns, lengths, begins, ends = [], [], [], []
     at = 0
-    for role, text in zip(roles, texts):
-        head = start + encoder.encode(escape(role or "")) + sep
-        body = encoder.encode(escape(text or ""))
+    heads = encoder.encode_all([escape(role or "") for role in roles])
+    bodies = encoder.encode_all([escape(text or "") for text in texts])
+    for role, head, body in zip(roles, heads, bodies):
+        head = start + head + sep
         turns.append(head + body + end)
         if role == LOSS_ROLE:
             begins.append(at + len(head) // 4)

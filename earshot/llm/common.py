@@ -74,6 +74,18 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.select(*(whole(c).alias(f"c{i}") for i, c in enumerate(df.columns)))
 
 
+def byte_letters() -> list[str]:
+    """The printable letter of each byte: itself if visible Latin-1, else the next from U+0100 on."""
+    letters, spare = [], 256
+    for byte in range(256):
+        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
+            letters.append(chr(byte))
+        else:
+            letters.append(chr(spare))
+            spare += 1
+    return letters
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage: rows written to the shared checkpoint folder, read from there."""
     checkpoint_folder(df.sparkSession)

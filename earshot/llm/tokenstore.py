@@ -16,8 +16,9 @@ exceptions. Parts are ranges of doc_id in ascending order, one file each, so a
 document's place in the whole is the ids of all earlier parts plus its place in
 its own part.
 
-Encoding is the tokenizers library's, asked once per distinct piece between white
-space: its pattern never joins characters across the cuts made here.
+Encoding is the tokenizers library's, asked once for each distinct word of many
+texts: its pattern never joins characters across white space, save that a space
+belongs to the word after it.
 
 Defined results: a null or empty text has the end id alone; rows with equal
 doc_id are ordered by text; null doc_ids come first. An empty table gives no rows.
@@ -26,6 +27,7 @@ doc_id are ordered by text; null doc_ids come first. An empty table gives no row
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import struct
 import zlib
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm.common import pieces, reliable, whole, with_results
+from earshot.llm.common import byte_letters, pieces, reliable, whole, with_results
 
 BLOCK = 128
 FRAME_IDS = 1 << 16
@@ -53,69 +55,105 @@ CONTINUES, NULL_ID = 1, 2
 
 # ---- encoding --------------------------------------------------------------
 
+# A worker's memo is emptied between batches beyond so many words or bytes of them.
 MEMO_ENTRIES = 400_000
-MEMO_CHARS = 64
+MEMO_BYTES = 32 << 20
+
+# White space of the library's pattern; a space and what follows it, white space up
+# to its last character, that character.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# A space and what follows it, white space up to its last character, that character.
 UNIT = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
 # The library and Python differ on whether these are white space.
 CONTROLS = re.compile("[\x1c-\x1f]")
-# Line ends beside white space, runs of spaces, and all other white space.
-UNEVEN = re.compile("\n[\n ]|  | \n|^[ \n]|[ \n]$|[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+NEWLINE = "\n"
+# Latin letters, the same in all Unicode versions, and a mark that may stand behind them.
+PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,]?)")
 
 
-class UnitMemo(dict):
-    """Unit of text -> its ids as little-endian bytes; bounded. `prefix` stands before every unit."""
+class Words(dict):
+    """Word -> its ids as little-endian bytes, after a prefix that stands before every word."""
 
     def __init__(self, library: Tokenizer, prefix: str):
         super().__init__()
-        self.library, self.prefix = library, prefix
-
-    def ids(self, unit: str) -> bytes:
-        return array("i", self.library.encode(self.prefix + unit, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(unit) > 1 and unit[-1] in ".," and "A" <= unit[-2] <= "ɏ" and unit[-2].isalpha():
-            # a mark after a letter is a word of its own
-            ids = self[unit[:-1]] + array("i", self.library.encode(unit[-1], add_special_tokens=False).ids).tobytes()
-        else:
-            ids = self.ids(unit)
-        if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[unit] = ids
-        return ids
+        self.library, self.prefix, self.bytes = library, prefix, 0
+        self.letter_of = str.maketrans({chr(byte): letter for byte, letter in enumerate(byte_letters())})
+        self.tails = {tail: self.ids(tail) for tail in ".,"}
+
+    def ids(self, text: str) -> bytes:
+        return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Ask the library for all words that are not known yet.
+
+        A word of letters alone is one piece of its pattern, and a mark after a
+        letter is another: these go straight to the library's model, as byte letters.
+        """
+        if len(self) > MEMO_ENTRIES or self.bytes > MEMO_BYTES:
+            self.clear()
+            self.bytes = 0
+        new = words - self.keys()
+        tokenize, letter_of = self.library.model.tokenize, self.letter_of
+        prefix, tails = self.prefix.translate(letter_of), self.tails
+        for word in new:
+            plain = PLAIN.fullmatch(word)
+            if not plain:
+                self[word] = self.ids(self.prefix + word)
+                continue
+            core, tail = plain.groups()
+            ids = self.get(core)
+            if ids is None:
+                letters = core if core.isascii() else core.encode().decode("latin-1").translate(letter_of)
+                ids = self[core] = array("i", [token.id for token in tokenize(prefix + letters)]).tobytes()
+            if tail:
+                self[word] = ids + tails[tail]
+        self.bytes += sum(map(len, new))
 
 
 class Encoder:
-    """The library's ids of whole texts, by way of units that its pattern keeps apart."""
+    """The library's ids of whole texts, by way of words that its pattern keeps apart."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = re.compile("|".join(map(re.escape, self._special())) or r"(?!)")
-        self.spaced, self.plain = UnitMemo(self.library, " "), UnitMemo(self.library, "")
-        self.newline = self.plain["\n"]
-
-    def _special(self) -> list[str]:
-        return [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.spaced, self.plain = Words(self.library, " "), Words(self.library, "")
+
+    def slowly(self, text: str) -> bytes:
+        """Ids of a text with uneven white space, control characters or special tokens."""
+        if any(token in text for token in self.special) or CONTROLS.search(text):
+            return self.plain.ids(text)
+        return b"".join([self.plain.ids(unit) for unit in UNIT.findall(text)])
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        done: list[bytes | list] = []
+        firsts, rests = set(), set()
+        for text in texts:
+            lines = [line.split(" ") for line in text.split(NEWLINE)] if text else []
+            words = list(itertools.chain.from_iterable(lines))
+            if words != (text or "").split() or any(token in text for token in self.special if text):
+                done.append(self.slowly(text))
+                continue
+            firsts.update([line[0] for line in lines])
+            for line in lines:
+                rests.update(line[1:])
+            done.append(lines)
+        self.plain.learn(firsts)
+        self.spaced.learn(rests)
+        newline = self.plain.ids(NEWLINE)
+        plain, spaced = self.plain, self.spaced
+        for at, lines in enumerate(done):
+            if isinstance(lines, list):
+                parts = []
+                for line in lines:
+                    parts += (newline, plain[line[0]])
+                    parts += [spaced[word] for word in line[1:]]
+                done[at] = b"".join(parts[1:])
+        return done
 
     def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if self.special.search(text) or CONTROLS.search(text):
-            return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        spaced, plain = self.spaced, self.plain
-        if UNEVEN.search(text):
-            return b"".join([spaced[u[1:]] if u[0] == " " and len(u) > 1 and u[1] not in " \n" else plain[u]
-                             for u in UNIT.findall(text)])
-        parts = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            parts += (self.newline, plain[first], *[spaced[word] for word in rest])
-        return b"".join(parts[1:])
+        return self.encode_all([text])[0]
 
 
 @functools.cache
@@ -129,8 +167,7 @@ def with_token_count(
     """`docs` with the number of ids of each text, the end id included."""
 
     def count(texts: list[str | None]) -> list:
-        encoder = encoder_of(tokenizer)
-        return [[len(encoder.encode(t)) // 4 + 1 for t in texts]]
+        return [[len(ids) // 4 + 1 for ids in encoder_of(tokenizer).encode_all(texts)]]
 
     return with_results(docs, text, f"`{name}` bigint", count, carry)
 
@@ -252,8 +289,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "do
         def documents():
             for batch in batches:
                 for piece in pieces(batch, 1):
-                    for own, value in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                        yield own, encoder.encode(value) + end
+                    for own, ids in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1).to_pylist())):
+                        yield own, ids + end
 
         for content in frames(TaskContext.get().partitionId(), documents()):
             yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["frame"])

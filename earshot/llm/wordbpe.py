@@ -38,7 +38,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from earshot.llm.common import PIECE_BYTES, whole, with_results
+from earshot.llm.common import PIECE_BYTES, byte_letters, whole, with_results
 
 # A worker's memos hold this many words and pieces of at most this many characters.
 MEMO_ENTRIES = 250_000
@@ -54,18 +54,6 @@ MORE_THAN_SPACE = re.compile("[\x1c-\x1f]")
 PIECE = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
-def byte_letters() -> list[str]:
-    """The printable letter of each byte: itself if visible Latin-1, else the next from U+0100 on."""
-    letters, spare = [], 256
-    for byte in range(256):
-        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
-            letters.append(chr(byte))
-        else:
-            letters.append(chr(spare))
-            spare += 1
-    return letters
-
-
 class Vocabulary:
     """Tokens as strings of atoms (bytes, and bytes that end a word), merges, and the automaton."""
 
