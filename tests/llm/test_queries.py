@@ -1,0 +1,67 @@
+"""The registered queries over the small tables, and the pipeline against its stages by brute force."""
+
+import pytest
+
+import corpus_pipeline
+from check import compare, connect
+from earshot.llm import queries, quality, simhash
+from earshot.llm.linededup import MIN_WORDS
+from tests.conftest import SF_DIR
+from tests.llm.tables import documents, with_clashes
+from tests.llm.test_linededup import by_brute_force
+from tests.llm.test_packing import check
+from tests.llm.test_simhash import components_of, near
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_query_equals_sql(spark, name):
+    assert compare(name, queries.QUERIES[name](spark, SF_DIR).toPandas(), connect(SF_DIR)) == ""
+
+
+def test_one_query_for_each_operator():
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10)]
+
+
+def run_stages(spark, docs, tmp_path):
+    outputs = []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        outputs.append(docs)
+    return outputs
+
+
+def test_stages_by_brute_force(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    outputs = run_stages(spark, docs, tmp_path)
+    assert all(out.columns == docs.columns for out in outputs[:4])
+    rows = [{r["doc_id"]: r["text"] for r in out.collect()} for out in (docs, *outputs[:4])]
+    judged = {doc: quality.judge(text) for doc, text in rows[0].items()}
+    assert rows[1] == {doc: own[-1] for doc, own in judged.items() if own[6]}
+    assert set(rows[2]) <= set(rows[1]) and len(rows[2]) >= 0.99 * len(rows[1])
+    order = sorted(rows[2])
+    assert rows[3] == dict(zip(order, by_brute_force([rows[2][d] for d in order], MIN_WORDS)))
+    fps = {doc: simhash.fingerprint(text) for doc, text in rows[3].items()}
+    roots = components_of(sorted(set(fps.values())), near(sorted(set(fps.values())), 2))
+    first = {}
+    for doc in order:
+        first.setdefault(roots[fps[doc]], doc)
+    assert rows[4] == {doc: rows[3][doc] for doc in first.values()}
+    pieces = outputs[4].collect()
+    assert {r["doc_id"] for r in pieces} == set(rows[4])
+    tokens = {}
+    for r in pieces:
+        tokens[r["doc_id"]] = tokens.get(r["doc_id"], 0) + r["length"]
+    check(pieces, tokens, (1024, 2048, 4096, 8192))
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    docs = with_clashes(documents(spark), ["kept", "row", "fp", "c0", "piece", "score"])
+    outputs = run_stages(spark, docs, tmp_path)
+    assert all(out.columns == docs.columns for out in outputs[:4])
+    assert [out.count() for out in outputs] == [4, 4, 4, 2, 2]
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    outputs = run_stages(spark, documents(spark, []), tmp_path)
+    assert all(out.count() == 0 for out in outputs)
