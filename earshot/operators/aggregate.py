@@ -20,27 +20,34 @@ def aggregate_with_distincts(
     `keys` maps output names to expressions, `measures` are aliased aggregates,
     `distincts` maps output names to the column counted.
 
-    Several distinct counts in one `agg` make Spark expand every row once per
-    distinct column and drag all measure buffers through the shuffle. Here the
-    measures are one aggregation (combined in the map tasks to a row per group),
-    and each distinct count is its own (keys, value) de-duplication that reads
-    only its columns. The de-duplication shuffles on keys and value together, so
-    a group holding most of the rows is spread over all tasks, and a value
-    repeated many times leaves each map task once. The per-group results are
-    stacked and folded, which keeps a NULL key as a group of its own without a
-    null-safe join.
+    The input is read twice, however many distinct counts there are: once for the
+    measures (combined in the map tasks to a row per group), and once for the
+    distinct counts, with a row (keys, tag, value) per counted column. Several
+    distinct counts in one `agg` would drag all measure buffers through the
+    shuffle with every value. The values are de-duplicated by keys, tag and value
+    together, so a group holding most of the rows is spread over all tasks, and a
+    value repeated many times leaves each map task once. The per-group results
+    are stacked and folded, which keeps a NULL key as a group of its own without
+    a null-safe join.
     """
     named_keys = [expr.alias(name) for name, expr in keys.items()]
     key_names = list(keys)
-    parts = [df.groupBy(*named_keys).agg(*measures)]
-    for name, column in distincts.items():
-        pairs = df.select(*named_keys, F.col(column).alias(name)).distinct()
-        parts.append(pairs.groupBy(*key_names).agg(F.count(name).alias(name)))
-    if len(parts) == 1:
-        return parts[0]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    values = [c for c in stacked.columns if c not in key_names]
-    return stacked.groupBy(*key_names).agg(*[F.max(c).alias(c) for c in values])
+    plain = df.groupBy(*named_keys).agg(*measures)
+    if not distincts:
+        return plain
+    # one column per counted column, so that each keeps its type
+    values = [f"__{name}" for name in distincts]
+    tagged = F.array(*[
+        F.struct(F.lit(tag).alias("__tag"), *[
+            (F.col(column) if other == tag else F.lit(None).cast(df.schema[own].dataType)).alias(value)
+            for other, (value, own) in enumerate(zip(values, distincts.values()))
+        ])
+        for tag, column in enumerate(distincts.values())
+    ])
+    pairs = df.select(*named_keys, F.inline(tagged)).distinct()
+    counted = pairs.groupBy(*key_names).agg(*[F.count(value).alias(name) for value, name in zip(values, distincts)])
+    stacked = plain.unionByName(counted, allowMissingColumns=True)
+    return stacked.groupBy(*key_names).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in key_names])
 
 
 def value_at_largest(value: str, order: str) -> Column:

@@ -69,6 +69,7 @@ CHART_COLUMNS = {
     "podcast_shows_charting": "bigint",
     "podcast_top_category": "string",
 }
+# Shows and ratings a category needs.
 MIN_SHOWS = 10
 MIN_RATINGS = 1000
 
@@ -233,12 +234,16 @@ def podcast_trends(reviews: DataFrame, charts: DataFrame, totals: DataFrame) ->
 def genre_category_matrix(genres: DataFrame, reviews: DataFrame, totals: DataFrame) -> DataFrame:
     """Month x category for the months with both charts and reviews, from
     `genre_monthly`, `review_monthly`, `category_totals`."""
-    months = genres.join(monthly_reviews(reviews), MONTH, "inner")
-    return pair_months_with(months, category_summary_by_ratings(totals)).select(
+    months = genre_review_months(genres, reviews)
+    categories = ["category", "shows_in_category", "category_total_ratings"]
+    own = [c for c in months.columns if c != MONTH]
+    return pair_months_with(months, category_summary_by_ratings(totals)).select(MONTH, *categories, *own)
+
+
+def genre_review_months(genres: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Month: reviews, chart entries and genre shares, for the months with both."""
+    return genres.join(monthly_reviews(reviews), MONTH, "inner").select(
         MONTH,
-        "category",
-        "shows_in_category",
-        "category_total_ratings",
         "review_count",
         "podcasts_reviewed",
         "unique_reviewers",
@@ -302,14 +307,24 @@ def current_music(trends: DataFrame) -> DataFrame:
     )
 
 
-def current_podcasts(trends: DataFrame) -> DataFrame:
-    """Window 2, podcast side, from `podcast_trends`."""
-    return trends.groupBy(MONTH).agg(
-        F.countDistinct("category").alias("podcast_categories_active"),
-        F.max("total_chart_entries").alias("podcast_chart_entries"),
-        F.max("unique_shows_charting").alias("podcast_shows_charting"),
+def current_podcasts(reviews: DataFrame, charts: DataFrame, totals: DataFrame) -> DataFrame:
+    """Window 2, podcast side, from the tables `podcast_trends` is made of.
+
+    Categories do not depend on the month: they are reduced to one row, which
+    stands next to every month; no month without a category.
+    """
+    months = full_join_on_month(reviews, charts).select(
+        MONTH,
+        F.col("chart_entries").alias("podcast_chart_entries"),
+        F.col("unique_shows_charting").alias("podcast_shows_charting"),
+    )
+    categories = category_summary_by_shows(totals)
+    active = categories.agg(
+        F.count("category").alias("podcast_categories_active"),
         value_at_largest("category", "category_total_ratings").alias("podcast_top_category"),
-    ).select(MONTH, *_missing(REVIEW_COLUMNS), *CHART_COLUMNS)
+        F.count(F.lit(1)).alias("__rows"),
+    ).filter("__rows > 0")
+    return pair_months_with(months, active, slots=1).select(MONTH, *_missing(REVIEW_COLUMNS), *CHART_COLUMNS)
 
 
 def _timeline_window(music: DataFrame, podcasts: DataFrame, source: str) -> DataFrame:
@@ -332,14 +347,15 @@ def ecosystem_window_1(genres: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def ecosystem_window_2(music: DataFrame, podcasts: DataFrame) -> DataFrame:
-    """Current music charts next to podcast charts, by month."""
-    return _timeline_window(current_music(music), current_podcasts(podcasts), "charts")
+    """Current music charts next to podcast charts, by month, from `music_trends` and `current_podcasts`."""
+    return _timeline_window(current_music(music), podcasts, "charts")
 
 
 def ecosystem_timeline(
     genres: DataFrame, reviews: DataFrame, music: DataFrame, podcasts: DataFrame
 ) -> DataFrame:
-    """Both windows stacked. A month may stand in both; both rows are kept."""
+    """Both windows stacked, from `genre_monthly`, `review_monthly`, `music_trends` and
+    `current_podcasts`. A month may stand in both; both rows are kept."""
     windows = ecosystem_window_1(genres, reviews).unionByName(ecosystem_window_2(music, podcasts))
     ratio = rounded_ratio("podcast_total_reviews", "music_chart_entries", 4)
     return windows.withColumn("podcast_to_music_ratio", ratio)

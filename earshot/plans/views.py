@@ -11,6 +11,7 @@ from earshot.functions import before_separator, percent
 from earshot.operators.aggregate import distinct_values, group_known, one_row_of_totals, one_row_per_key
 from earshot.operators.joins import MONTH, lookup_or_keep
 from earshot.operators.topk import top_ascending
+from earshot.plans.marts import MIN_RATINGS
 
 # Display names of the markets, their separator, the countries
 # shown first, and the labels of features and genres.
@@ -110,7 +111,6 @@ GENRE_LABELS = {
     "K-Pop": "kpop_pct",
 }
 DEFAULT_GENRES = ["Pop", "Hip-Hop/Rap", "Latin", "Rock"]
-MIN_RATINGS = 1000
 
 
 def country_names(spark: SparkSession) -> DataFrame:
@@ -118,25 +118,45 @@ def country_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(COUNTRY_NAMES.items()), "country string, display_name string")
 
 
-def headline_numbers(timeline: DataFrame, music: DataFrame, podcasts: DataFrame) -> DataFrame:
-    """One row: chart entries, reviews, mean popularity, mean category rating."""
+def headline_numbers(
+    genres: DataFrame, reviews: DataFrame, charts: DataFrame, music: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """One row: chart entries, reviews, mean popularity, mean category rating.
 
-    def total(column: str):  # the sum of nothing is 0
-        return F.coalesce(F.sum(column), F.lit(0))
-
-    return one_row_of_totals(
+    From `genre_monthly`, `review_monthly`, `chart_monthly`, `music_trends` and the
+    categories of `podcast_trends`: the timeline holds the entries of both music
+    tables and the reviews of one, and `podcast_trends` repeats every category once
+    a month, which leaves the mean as it is (and empty where there is no month).
+    """
+    entries = "total_chart_entries"
+    months = F.count(F.lit(1))
+    totals = one_row_of_totals(
         [
-            (timeline, total("music_chart_entries").alias("total_music_entries")),
-            (timeline, total("podcast_total_reviews").alias("total_podcast_reviews")),
+            (genres, F.sum(entries).alias("old_entries")),
+            (music, F.sum(entries).alias("new_entries")),
+            (reviews, F.sum("review_count").alias("total_podcast_reviews")),
+            (reviews, months.alias("review_months")),
+            (charts, months.alias("chart_months")),
             (music, F.avg("avg_popularity").alias("avg_music_popularity")),
-            (podcasts, F.avg("category_avg_rating").alias("avg_podcast_rating")),
+            (categories, F.avg("category_avg_rating").alias("avg_category_rating")),
         ]
     )
+    zero = F.lit(0)  # the sum of nothing is 0
+    return totals.select(
+        (F.coalesce("old_entries", zero) + F.coalesce("new_entries", zero)).alias("total_music_entries"),
+        F.coalesce("total_podcast_reviews", zero).alias("total_podcast_reviews"),
+        "avg_music_popularity",
+        F.when(F.col("review_months") + F.col("chart_months") > 0, F.col("avg_category_rating")).alias(
+            "avg_podcast_rating"
+        ),
+    )
 
 
-def top_categories_by_ratings(podcasts: DataFrame, n: int = 15) -> DataFrame:
+def top_categories_by_ratings(categories: DataFrame, n: int = 15) -> DataFrame:
+    """From the categories of `podcast_trends`, or from `podcast_trends` itself, which
+    holds each of them once a month (and none where there is no month)."""
     totals = group_known(
-        podcasts, "category", F.max("category_total_ratings").alias("category_total_ratings")
+        categories, "category", F.max("category_total_ratings").alias("category_total_ratings")
     )
     return top_ascending(totals, "category_total_ratings", tie="category", n=n)
 
@@ -145,10 +165,10 @@ def speechiness_by_month(music: DataFrame) -> DataFrame:
     return group_known(music, MONTH, F.avg("avg_speechiness").alias("avg_speechiness")).orderBy(MONTH)
 
 
-def top_categories_by_score(podcasts: DataFrame, n: int = 15) -> DataFrame:
-    """Best rated categories among those with enough ratings."""
+def top_categories_by_score(categories: DataFrame, n: int = 15) -> DataFrame:
+    """Best rated categories among those with enough ratings; input as above."""
     scores = group_known(
-        podcasts,
+        categories,
         "category",
         F.avg("category_avg_rating").alias("category_avg_rating"),
         F.max("category_total_ratings").alias("category_total_ratings"),
@@ -197,18 +217,19 @@ def country_profile_long(music: DataFrame, countries: Sequence[str] = DEFAULT_CO
     return profile.select("country", "display_name", F.inline(points)).orderBy("country", "position")
 
 
-def genre_share_vs_reviews(matrix: DataFrame, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
+def genre_share_vs_reviews(months: DataFrame, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
     """Month x chosen genre: share of chart entries in percent, and reviews.
 
-    Shares and reviews depend on the month only, so one row per month is kept.
+    `months` is `genre_review_months`, or `genre_category_matrix`, which repeats its
+    rows per category: one row per month is kept.
     Unknown genres, and ones the table has no column for, are left out.
     """
-    columns = {g: GENRE_LABELS[g] for g in genres if GENRE_LABELS.get(g) in matrix.columns}
+    columns = {g: GENRE_LABELS[g] for g in genres if GENRE_LABELS.get(g) in months.columns}
     if not columns:
         raise ValueError("choose at least one genre")
-    overlap = matrix.filter(F.col("review_count").isNotNull())
-    months = one_row_per_key(overlap, MONTH, ["review_count", *columns.values()])
-    shares = months.select(
+    overlap = months.filter(F.col("review_count").isNotNull())
+    single = one_row_per_key(overlap, MONTH, ["review_count", *columns.values()])
+    shares = single.select(
         MONTH, "review_count", *[percent(column).alias(label) for label, column in columns.items()]
     )
     long = shares.unpivot([MONTH, "review_count"], list(columns), "genre", "share_percent")

@@ -113,5 +113,25 @@ def test_genre_shares_skip_unknown_labels(spark):
 
 
 def test_headline_of_empty_marts(spark, sf_dir):
-    empty = {n: QUERIES[n](spark, sf_dir).limit(0) for n in ("ecosystem_timeline", "music_trends", "podcast_trends")}
+    names = ("genre_monthly", "review_monthly", "chart_monthly", "music_trends", "category_summary_shows")
+    tables = {n: QUERIES[n](spark, sf_dir) for n in names}
+    empty = {n: df.limit(0) for n, df in tables.items()}
     assert [tuple(r) for r in views.headline_numbers(*empty.values()).collect()] == [(0, 0, None, None)]
+    no_months = empty | {"category_summary_shows": tables["category_summary_shows"]}
+    assert views.headline_numbers(*no_months.values()).first()["avg_podcast_rating"] is None
+
+
+def test_views_are_the_same_from_the_mart(spark, sf_dir):
+    """The tables the views read now hold what the marts repeat per month or category."""
+    trends, matrix = QUERIES["podcast_trends"](spark, sf_dir), QUERIES["genre_category_matrix"](spark, sf_dir)
+    for view, mart in (("top_categories_by_ratings", trends), ("top_categories_by_score", trends),
+                       ("genre_share_vs_reviews", matrix)):
+        own = [tuple(r) for r in getattr(views, view)(mart).collect()]
+        round9 = [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in own]
+        assert round9 == [tuple(r) for r in QUERIES[view](spark, sf_dir).collect()]
+
+
+def test_no_category_no_current_podcasts(spark, sf_dir):
+    reviews, charts = QUERIES["review_monthly"](spark, sf_dir), QUERIES["chart_monthly"](spark, sf_dir)
+    none = QUERIES["category_summary_shows"](spark, sf_dir).limit(0)
+    assert marts.current_podcasts(reviews, charts, none).count() == 0

@@ -37,7 +37,6 @@ from earshot.operators import (
 )
 from earshot.operators.filters import parse_moment
 from earshot.plans import marts, views
-from earshot.plans.build import build_monthly, store
 from earshot.plans.staging import STAGED
 from earshot.session import prepare, scratch_folder
 from earshot.sources import (
@@ -387,27 +386,13 @@ def podcast_trends_mart(spark, sf_dir):
 
 
 def matrix_mart(spark, sf_dir):
-    monthly = {
-        "genres": genre_monthly(spark, sf_dir),
-        "reviews": review_monthly(spark, sf_dir),
-        "totals": totals(spark, sf_dir),
-    }
-    tables = store(monthly, scratch_folder(spark, "monthly"))
-    return marts.genre_category_matrix(tables["genres"], tables["reviews"], tables["totals"])
-
-
-def stored_marts(spark, sf_dir) -> dict[str, DataFrame]:
-    """The monthly tables, written once as the refresh does, and the marts on them."""
-    folder = scratch_folder(spark, "marts")
-    tables = build_monthly({name: staged(spark, sf_dir, name) for name in STAGED}, folder)
-    podcasts = marts.podcast_trends(
-        tables["review_monthly"], tables["chart_monthly"], tables["category_totals"]
+    return marts.genre_category_matrix(
+        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), totals(spark, sf_dir)
     )
-    tables |= store({"podcast_trends": podcasts}, f"{folder}/marts")
-    timeline = marts.ecosystem_timeline(
-        tables["genre_monthly"], tables["review_monthly"], tables["music_trends"], tables["podcast_trends"]
-    )
-    return tables | {"ecosystem_timeline": timeline}
+
+
+def podcast_window(spark, sf_dir):
+    return marts.current_podcasts(review_monthly(spark, sf_dir), chart_monthly(spark, sf_dir), totals(spark, sf_dir))
 
 
 @query
@@ -477,17 +462,20 @@ def current_music(spark, sf_dir):
 
 @query
 def current_podcasts(spark, sf_dir):
-    return marts.current_podcasts(podcast_trends_mart(spark, sf_dir))
+    return podcast_window(spark, sf_dir)
 
 
 @query
 def ecosystem_window_2(spark, sf_dir):
-    return marts.ecosystem_window_2(music_trends_mart(spark, sf_dir), podcast_trends_mart(spark, sf_dir))
+    return marts.ecosystem_window_2(music_trends_mart(spark, sf_dir), podcast_window(spark, sf_dir))
 
 
 @query
 def ecosystem_timeline(spark, sf_dir):
-    timeline = stored_marts(spark, sf_dir)["ecosystem_timeline"]
+    timeline = marts.ecosystem_timeline(
+        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), music_trends_mart(spark, sf_dir),
+        podcast_window(spark, sf_dir),
+    )
     return marts.in_mart_order(timeline, "ecosystem_timeline")
 
 
@@ -504,16 +492,16 @@ def top_category(spark, sf_dir):
 
 @query
 def headline_numbers(spark, sf_dir):
-    tables = stored_marts(spark, sf_dir)
     numbers = views.headline_numbers(
-        tables["ecosystem_timeline"], tables["music_trends"], tables["podcast_trends"]
+        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), chart_monthly(spark, sf_dir),
+        music_trends_mart(spark, sf_dir), category_summary_shows(spark, sf_dir),
     )
     return rounded(numbers, "avg_music_popularity", "avg_podcast_rating")
 
 
 @query
 def top_categories_by_ratings(spark, sf_dir):
-    return views.top_categories_by_ratings(podcast_trends_mart(spark, sf_dir))
+    return views.top_categories_by_ratings(category_summary_shows(spark, sf_dir))
 
 
 @query
@@ -523,7 +511,7 @@ def speechiness_by_month(spark, sf_dir):
 
 @query
 def top_categories_by_score(spark, sf_dir):
-    return rounded(views.top_categories_by_score(podcast_trends_mart(spark, sf_dir)), "category_avg_rating")
+    return rounded(views.top_categories_by_score(category_summary_shows(spark, sf_dir)), "category_avg_rating")
 
 
 @query
@@ -562,4 +550,6 @@ def country_profile_long(spark, sf_dir):
 
 @query
 def genre_share_vs_reviews(spark, sf_dir):
-    return rounded(views.genre_share_vs_reviews(matrix_mart(spark, sf_dir)), "share_percent")
+    return rounded(views.genre_share_vs_reviews(
+        marts.genre_review_months(genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir))
+    ), "share_percent")
