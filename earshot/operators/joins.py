@@ -62,8 +62,8 @@ def pair_months_with(months: DataFrame, others: DataFrame, slots: int | None = N
 def lookup_or_keep(df: DataFrame, names: DataFrame, key: str, name: str, output: str) -> DataFrame:
     """Add `output`: the looked-up name, or the key itself if it has none.
 
-    `names` is a fixed list of a few dozen rows, so it is broadcast.
+    How it is joined is left to Spark, which knows the size of `names`.
     """
-    return df.join(F.broadcast(names), key, "left").withColumn(
+    return df.join(names, key, "left").withColumn(
         output, F.coalesce(F.col(name), F.col(key))
     ).drop(*({name} - {output}))

@@ -6,7 +6,7 @@ lost executor costs a task of the current step. Tables are replaced as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from earshot.plans import marts
 from earshot.plans.staging import STAGED
 from earshot.session import prepare
 from earshot.sources import datasets
-from earshot.sources.tables import raw_form, raw_path, read_table, write_table
+from earshot.sources.tables import Version, publish, raw_form, raw_path, read_table, write_table, write_version
 
 
 def ingest(spark: SparkSession, folders: Mapping[str, str], lake: str, window: Window = Window()) -> dict[str, str]:
@@ -44,25 +44,41 @@ def ingest(spark: SparkSession, folders: Mapping[str, str], lake: str, window: W
     return written
 
 
-def store(tables: Mapping[str, DataFrame], folder: str, layouts: Mapping[str, tuple] | None = None) -> dict[str, DataFrame]:
+def store(
+    tables: Mapping[str, DataFrame],
+    folder: str,
+    layouts: Mapping[str, tuple] | None = None,
+    check: Callable[[Mapping[str, DataFrame]], None] | None = None,
+) -> dict[str, DataFrame]:
     """Write tables that do not depend on each other at the same time, so that
-    the last tasks of one do not leave the cluster idle; returns them as stored."""
+    the last tasks of one do not leave the cluster idle; returns them as stored.
+
+    They replace the current tables together, after all are written and `check`
+    has seen them: a write or a check that fails leaves every table as it was.
+    """
     layouts = layouts or {}
 
-    def write(name: str) -> DataFrame:
-        return write_table(tables[name], f"{folder}/{name}", *layouts.get(name, ()))
+    def write(name: str) -> Version:
+        return write_version(tables[name], f"{folder}/{name}", *layouts.get(name, ()))
 
     with ThreadPoolExecutor(len(tables)) as pool:
-        return dict(zip(tables, pool.map(write, tables)))
+        versions = dict(zip(tables, pool.map(write, tables)))
+    stored = {name: version.frame for name, version in versions.items()}
+    if check:
+        check(stored)
+    publish(*versions.values())
+    return stored
 
 
 def stage(raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """Write the staged tables, then check the tables written; returns them."""
+    """Write the staged tables, check what was written, then put it in place; returns it."""
     built = {name: model.build(raw[name]) for name, model in STAGED.items()}
     layouts = {name: (model.partition_by, model.cluster_by) for name, model in STAGED.items()}
-    staged = store(built, f"{out}/staged", layouts)
-    enforce(*[quality_report(staged[name], name, model.checks) for name, model in STAGED.items()])
-    return staged
+
+    def check(staged: Mapping[str, DataFrame]) -> None:
+        enforce(*[quality_report(staged[name], name, model.checks) for name, model in STAGED.items()])
+
+    return store(built, f"{out}/staged", layouts, check)
 
 
 def build_monthly(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:

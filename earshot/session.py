@@ -91,6 +91,19 @@ def _local_folder() -> str:
     return folder
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as that system takes it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared checkpoint folder."""
-    return f"{checkpoint_folder(spark)}/earshot-{name}-{uuid.uuid4().hex}"
+    """A new folder name below the shared checkpoint folder; it is removed when the session's JVM ends."""
+    context = spark.sparkContext
+    root = getattr(context, "_earshot_scratch", None)
+    if root is None:
+        root = context._earshot_scratch = f"{checkpoint_folder(spark)}/earshot-{uuid.uuid4().hex}"
+        files, target = file_system(spark, root)
+        files.mkdirs(target)
+        files.deleteOnExit(target)
+    return f"{root}/{name}-{uuid.uuid4().hex}"

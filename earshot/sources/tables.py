@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from earshot.functions import epoch_ns
 from earshot.operators.joins import MONTH
-from earshot.session import prepare
+from earshot.session import file_system, prepare
 
 # Folder and file of each raw dataset below the lake root.
 RAW_LAYOUT = {
@@ -22,6 +24,10 @@ RAW_LAYOUT = {
 }
 
 
+# Name of the file in a table's folder that holds the name of its current version.
+POINTER = "_current"
+
+
 def raw_path(root: str, dataset: str) -> str:
     """<root>/raw/<folder>/<file>.parquet for any URI Spark can write to."""
     folder, name = RAW_LAYOUT[dataset]
@@ -31,17 +37,26 @@ def raw_path(root: str, dataset: str) -> str:
 def raw_form(df: DataFrame) -> DataFrame:
     """Timestamps as bigint nanoseconds, the form the raw tables hold them in."""
     moments = {f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
-    return df.select(*[epoch_ns(F.col(c)).alias(c) if c in moments else F.col(c) for c in df.columns])
+    own = {c: F.col(f"`{c}`") for c in df.columns}
+    return df.select(*[epoch_ns(own[c]).alias(c) if c in moments else own[c] for c in df.columns])
 
 
-def write_table(
+@dataclass(frozen=True)
+class Version:
+    """A written version of a table, not yet the current one."""
+
+    path: str
+    name: str
+    frame: DataFrame
+
+
+def write_version(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-) -> DataFrame:
-    """Replace the table at `path`, optionally partitioned and clustered, and
-    return the stored table: what is built on it starts from its files.
+) -> Version:
+    """Write a new version of the table at `path`; the current one stays as it is.
 
     A layout needs one shuffle by the partition columns. It is a rebalance: AQE
     cuts a partition value that holds too much data into several tasks and joins
@@ -53,15 +68,71 @@ def write_table(
     arranged = df.hint("rebalance", *keys) if keys else df
     if cluster_by:
         arranged = arranged.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = arranged.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    name = f"version-{uuid.uuid4().hex}"
+    folder = f"{path.rstrip('/')}/{name}"
+    writer.parquet(folder)
+    stored = df.sparkSession.read.schema(df.schema).parquet(folder)
+    return Version(path.rstrip("/"), name, stored.select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def publish(*versions: Version) -> None:
+    """Make written versions the current ones: one rename of a pointer file each.
+    What the folder held before is dropped last."""
+    for version in versions:
+        spark = version.frame.sparkSession
+        files, pointer = file_system(spark, f"{version.path}/{POINTER}")
+        _, written = file_system(spark, f"{version.path}/{POINTER}-{version.name}")
+        out = files.create(written, True)
+        out.writeBytes(version.name)
+        out.close()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        overwrite = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        context = hadoop.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(written, pointer, overwrite)
+    for version in versions:
+        files, folder = file_system(version.frame.sparkSession, version.path)
+        for entry in files.listStatus(folder):
+            if entry.getPath().getName().lstrip(".").split(".crc")[0] not in (POINTER, version.name):
+                files.delete(entry.getPath(), True)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> DataFrame:
+    """Replace the table at `path`, optionally partitioned and clustered, and
+    return the stored table: what is built on it starts from its files.
+
+    The new version is written next to the current one and then takes its place,
+    so a write that fails leaves the table as it was.
+    """
+    version = write_version(df, path, partition_by, cluster_by)
+    publish(version)
+    return version.frame
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """Where the files of a table are: its current version, or the folder itself if
+    it was not written by `write_table`."""
+    files, pointer = file_system(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not files.exists(pointer):
+        return path
+    stream = files.open(pointer)
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{path.rstrip('/')}/{name}"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return prepare(spark).read.parquet(path)
+    return prepare(spark).read.parquet(current_folder(spark, path))
 
 
 def read_table_by_month(spark: SparkSession, path: str) -> DataFrame:

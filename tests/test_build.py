@@ -126,3 +126,33 @@ def test_a_failed_check_stops_the_build(spark, sf_dir, tmp_path):
     )
     with pytest.raises(QualityError, match="music_charts_historical.track_id not_null"):
         stage(raw, str(tmp_path / "out"))
+
+
+def sound(spark, sf_dir):
+    """The stand-ins without the rows that break a check."""
+    raw = {name: RAW[name](spark, sf_dir) for name in STAGED}
+    raw["music_charts"] = raw["music_charts"].filter("daily_rank > 0")
+    raw["music_charts_historical"] = raw["music_charts_historical"].filter("track_id is not null and position > 0")
+    raw["podcast_charts"] = raw["podcast_charts"].filter("rank > 0")
+    return raw
+
+
+def test_a_failed_check_leaves_every_table(spark, sf_dir, tmp_path):
+    out, raw = str(tmp_path / "out"), sound(spark, sf_dir)
+    rows = {name: df.count() for name, df in stage(raw, out).items()}
+    raw["podcast_shows"] = raw["podcast_shows"].limit(10)
+    raw["podcast_charts"] = RAW["podcast_charts"](spark, sf_dir)
+    with pytest.raises(QualityError, match="podcast_charts.rank positive"):
+        stage(raw, out)
+    assert {name: read_table(spark, f"{out}/staged/{name}").count() for name in rows} == rows
+
+
+def test_a_failed_write_leaves_every_table(spark, sf_dir, tmp_path):
+    out, raw = str(tmp_path / "out"), sound(spark, sf_dir)
+    rows = {name: df.count() for name, df in stage(raw, out).items()}
+    raw["podcast_reviews"] = raw["podcast_reviews"].selectExpr(
+        "* except (title)", "if(author_id = '7', raise_error('lost'), title) as title")
+    raw["podcast_shows"] = raw["podcast_shows"].limit(10)
+    with pytest.raises(Exception, match="lost"):
+        stage(raw, out)
+    assert {name: read_table(spark, f"{out}/staged/{name}").count() for name in rows} == rows

@@ -339,6 +339,31 @@ def test_write_replaces_and_returns_the_table(spark, tmp_path):
     assert read_table(spark, path).count() == 1
 
 
+def test_a_failed_write_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    with pytest.raises(Exception, match="lost"):
+        write_table(spark.range(7).selectExpr("if(id = 6, raise_error('lost'), id) as id"), path)
+    assert read_table(spark, path).count() == 5
+    # a table can be replaced by what is computed from it, and only one version is kept
+    write_table(read_table(spark, path).filter("id > 1"), path)
+    assert read_table(spark, path).count() == 3
+    assert len(list(Path(path).glob("version-*"))) == 1
+
+
+def test_a_plain_folder_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    assert read_table(spark, path).count() == 5
+    write_table(spark.range(2), path)
+    assert read_table(spark, path).count() == 2 and not list(Path(path).glob("part-*"))
+
+
+def test_names_with_dots(spark, tmp_path):
+    df = raw_form(spark.sql("select 1 as `a.b`, timestamp '2024-01-01' as `c.d`"))
+    assert write_table(df, str(tmp_path / "t")).columns == ["a.b", "c.d"]
+
+
 def test_replace_is_whole_even_with_dynamic_overwrite_on(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -362,9 +387,9 @@ def test_hot_partition_is_split_and_files_are_clustered(spark, tmp_path):
         write_table(source, path, ["day"], ["country"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = sorted(Path(path).glob("day=0/*.parquet"))
+    files = sorted(Path(path).glob("version-*/day=0/*.parquet"))
     assert len(files) > 3
-    assert len(list(Path(path).glob("day=*"))) == 5
+    assert len(list(Path(path).glob("version-*/day=*"))) == 5
     for file in files:
         countries = pq.read_table(file, partitioning=None)["country"].to_pylist()
         assert countries == sorted(countries)
