@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot.operators.filters import Window, parse_and_window, pick_date_column, rename_dots
 from earshot.operators.joins import left_join_fanout
-from earshot.sources.files import csv_head, read_csv, read_json
+from earshot.sources.files import csv_head, json_fields, json_objects, read_csv, read_json
 
 # Column names and types of the inputs. Dates stay text here and
 # are parsed by the window step.
@@ -82,7 +82,7 @@ def read_music_charts(
     folder: str,
     window: Window = Window(),
     layouts: Sequence[str] | None = None,
-    files: str = "first",
+    files: str = "all",
 ) -> DataFrame:
     """Current music charts, inside the window by snapshot date."""
     df = read_csv(spark, folder, MUSIC_CHARTS, "music charts", files)
@@ -94,7 +94,7 @@ def read_music_charts_historical(
     folder: str,
     window: Window = Window(),
     layouts: Sequence[str] | None = None,
-    files: str = "first",
+    files: str = "all",
 ) -> DataFrame:
     """Historical music charts, inside the window by chart date."""
     df = read_csv(spark, folder, MUSIC_CHARTS_HISTORICAL, "historical music charts", files)
@@ -106,7 +106,7 @@ def read_podcast_charts(
     folder: str,
     window: Window = Window(),
     layouts: Sequence[str] | None = None,
-    files: str = "first",
+    files: str = "all",
 ) -> DataFrame:
     """Podcast charts with dots in names replaced. The date column is looked up
     among the known names; without one every row is kept."""
@@ -117,22 +117,28 @@ def read_podcast_charts(
     return parse_and_window(df, column, window, layouts, rename_dots(csv_head(spark, folder)))
 
 
+KEY = "podcast_id"
+
+
 def merge_categories(shows: DataFrame, categories: DataFrame | None) -> DataFrame:
     """Shows with one row per category; unchanged if there is nothing to join."""
-    key = "podcast_id"
-    if categories is None or key not in categories.columns or key not in shows.columns:
+    if categories is None or KEY not in categories.columns or KEY not in shows.columns:
         return shows
-    return left_join_fanout(shows, categories, key)
+    return left_join_fanout(shows, categories, KEY)
 
 
 def read_podcast_shows(spark: SparkSession, folder: str) -> DataFrame:
-    """Shows, joined with their categories if the folder has that file."""
-    shows = read_json(spark, f"{folder}/podcasts.json", SHOWS, "podcast shows")
+    """Shows, joined with their categories if the folder has that file and the
+    objects of both files have the key."""
+    path = f"{folder}/podcasts.json"
+    shows = read_json(spark, path, SHOWS, "podcast shows")
     try:
-        categories = read_json(spark, f"{folder}/categories.json", CATEGORIES, "categories")
+        found = json_fields(json_objects(spark, f"{folder}/categories.json", "categories"))
     except FileNotFoundError:
-        categories = None
-    return merge_categories(shows, categories)
+        return shows
+    if KEY not in found or KEY not in json_fields(json_objects(spark, path)):
+        return shows
+    return merge_categories(shows, read_json(spark, f"{folder}/categories.json", CATEGORIES, "categories"))
 
 
 def read_podcast_reviews(

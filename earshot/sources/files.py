@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from functools import reduce
@@ -9,10 +11,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from earshot.functions import null_words_to_null
-from earshot.sources.records import csv_records, json_array_chunks, records_span_lines
+from earshot.sources.records import csv_records, json_elements, read_lines
 
 
 @contextmanager
@@ -30,8 +31,9 @@ def typed(text: Column, dtype: str) -> Column:
     """Text to a declared type, NULL where it does not fit."""
     if dtype == "string":
         return text
-    if dtype == "bigint":  # whole numbers may be written as 12.0
-        return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    if dtype == "bigint":  # whole numbers may be written as 12.0, 12.7 is none
+        number = text.try_cast("double")
+        return F.coalesce(text.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
     return text.try_cast(dtype)
 
 
@@ -45,28 +47,18 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
 
 
-# Up to this many splits one task reads a CSV file with Spark's whole-file reader
-# sooner than its records are put together from all splits.
-WHOLE_FILE_SPLITS = 16
+# Lines in which a header, which may hold line ends in quotes, has to end.
+HEADER_LINES = 64
 
 
-def is_split(spark: SparkSession, path: str, glob: str = "*", splits: int = 1) -> bool:
-    """True if some file is larger than so many input splits."""
-    setting = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    split = int(setting.rstrip("kmgt")) * units.get(setting[-1:], 1)
-    largest = listing(spark, path, glob).agg(F.max("length")).first()[0]
-    return (largest or 0) > split * splits
-
-
-def first_csv(spark: SparkSession, folder: str, dataset: str) -> str:
-    """The first *.csv of a folder by name."""
-    with required(dataset, folder):
-        files = listing(spark, folder, "*.csv")
-    path = files.agg(F.min("path").alias("path")).first()["path"]
-    if path is None:
-        raise FileNotFoundError(f"{dataset}: no CSV file in {folder}")
-    return path
+def first_file(spark: SparkSession, path: str, glob: str, dataset: str) -> str:
+    """The first file by name."""
+    with required(dataset, path):
+        files = listing(spark, path, glob)
+    found = files.agg(F.min("path").alias("path")).first()["path"]
+    if found is None:
+        raise FileNotFoundError(f"{dataset}: no file {glob} in {path}")
+    return found
 
 
 def parsed_records(records: DataFrame, names: list[str], options: dict[str, str]) -> DataFrame:
@@ -76,8 +68,19 @@ def parsed_records(records: DataFrame, names: list[str], options: dict[str, str]
     header = reduce(lambda a, b: a & b, [F.col(f"row.`{n}`").eqNullSafe(F.lit(n)) for n in names])
     other = F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean")
     is_row = F.when(~F.col("is_first"), True).when(header, False).otherwise(other)
-    # empty lines are no records
-    return rows.filter(is_row & (F.col("value") != "")).select("row.*")
+    # lines of blanks are no records
+    return rows.filter(is_row & (F.btrim("value", F.lit(" \t")) != "")).select("row.*")
+
+
+def csv_header(spark: SparkSession, path: str, glob: str, dataset: str) -> list[str]:
+    """Column names of the first file by name, from the lines of its beginning."""
+    first = first_file(spark, path, glob, dataset)
+    lines = [r["value"] for r in read_lines(spark, first, "*").filter("_metadata.file_block_start = 0").head(HEADER_LINES)]
+    text = "\n".join(line.removesuffix("\r") for line in lines).removeprefix("\ufeff")
+    names = next(csv.reader(io.StringIO(text, newline="")), None)
+    if not names:
+        raise ValueError(f"{dataset}: no header in {first}")
+    return names
 
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
@@ -88,29 +91,27 @@ def read_csv(
     path: str,
     types: Mapping[str, str] | None = None,
     dataset: str = "csv",
-    files: str = "first",
+    files: str = "all",
+    spanning: bool = True,
 ) -> DataFrame:
     """CSV with a header: quoted newlines, doubled quotes, words for missing.
 
-    `path` is a file or a folder; of a folder the first *.csv is read, or every
-    one with files="all" (their headers must agree). Columns are taken by header
-    name and get the type declared in `types`; there is no inference pass.
+    `path` is a file or a folder; of a folder every *.csv is read (their headers
+    must agree), or the first one by name with files="first". Columns are taken by
+    header name and get the type declared in `types`; there is no inference pass.
+    Lines end with a newline, before which a carriage return is dropped; lines of
+    blanks are skipped.
 
-    Spark reads a file whose records may span lines as one task, which is no loss
-    for files of one split. For larger ones a pass over the lines, in splits,
-    finds out whether any record does; if none, each line is a record and Spark's
-    reader takes the file in splits. If some do, a large file's records are put
-    together from the lines of all splits.
+    `spanning` says whether quoted fields may hold line ends. Files of any size
+    are read in the same way, in splits: records are put together from the lines
+    of all splits, or, without `spanning`, each line is one.
     """
+    glob = "*" if path.endswith(".csv") else "*.csv"
     if files == "first" and not path.endswith(".csv"):
-        path = first_csv(spark, path, dataset)
-    glob = "*.csv" if files == "all" else "*"
-    reader = spark.read.options(header=True, enforceSchema=False, pathGlobFilter=glob, **CSV_OPTIONS)
+        path, glob = first_file(spark, path, glob, dataset), "*"
     with required(dataset, path):
-        spanning = not is_split(spark, path, glob) or records_span_lines(spark, path, glob)
-        raw = reader.option("multiLine", spanning).csv(path)
-        if spanning and is_split(spark, path, glob, WHOLE_FILE_SPLITS):
-            raw = parsed_records(csv_records(spark, path, glob), raw.columns, CSV_OPTIONS)
+        names = csv_header(spark, path, glob, dataset)
+        raw = parsed_records(csv_records(spark, path, glob, spanning), names, CSV_OPTIONS)
     return _clean(raw, types or {})
 
 
@@ -120,7 +121,7 @@ def csv_head(
     """The first file in file order, for taking a few rows: it is read from its
     beginning by one task, which stops when it has enough."""
     if not path.endswith(".csv"):
-        path = first_csv(spark, path, dataset)
+        path = first_file(spark, path, "*.csv", dataset)
     reader = spark.read.options(header=True, multiLine=True, **CSV_OPTIONS)
     with required(dataset, path):
         return _clean(reader.csv(path), types or {})
@@ -137,6 +138,23 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
     return head is not None and head["value"].strip().startswith("[")
 
 
+def json_objects(spark: SparkSession, path: str, dataset: str = "json") -> DataFrame:
+    """The objects of a JSON array or of JSON Lines, whichever the file is, as maps
+    from field to text, in the column `fields`. Malformed input raises."""
+    with required(dataset, path):
+        if is_json_array(spark, path):
+            texts = json_elements(spark, path).select("value")
+        else:
+            texts = read_lines(spark, path, "*").filter(F.btrim("value", F.lit(" \t\r")) != "")
+    return texts.select(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("fields"))
+
+
+def json_fields(objects: DataFrame) -> list[str]:
+    """Every field that some object has, sorted by name."""
+    names = objects.select(F.explode(F.map_keys("fields")).alias("name")).distinct().collect()
+    return sorted(r["name"] for r in names)
+
+
 def read_json(
     spark: SparkSession,
     path: str,
@@ -145,18 +163,14 @@ def read_json(
 ) -> DataFrame:
     """A JSON array or JSON Lines, whichever the file is.
 
-    Fields are read as text and cast, so a number in quotes is still a number.
-    Malformed input raises. Both are read in splits, except that an array without
-    line ends is one line and so one task.
+    Fields are read as text and cast, so a number in quotes is still a number. The
+    declared fields come first, NULL where they are missing; all other fields that
+    some object has follow by name, as text. Files of any size are read in the
+    same way, in splits, an array without line ends too.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in types])
-    with required(dataset, path):
-        array = is_json_array(spark, path)
-        if array and is_split(spark, path):
-            elements = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
-            raw = json_array_chunks(spark, path).select(F.inline(elements))
-        else:
-            raw = spark.read.schema(schema).options(mode="FAILFAST", multiLine=array).json(path)
+    objects = json_objects(spark, path, dataset)
+    names = [*types, *(name for name in json_fields(objects) if name not in types)]
+    raw = objects.select(*[F.element_at("fields", F.lit(name)).alias(name) for name in names])
     return apply_types(raw, types)
 
 

@@ -2,11 +2,12 @@
 one task.
 
 CSV: a line is a small function of one bit: does it start inside a quoted field
-or not, and does it end inside one? JSON: a string cannot hold a line end, so a
-line just adds to the depth of brackets. The bit or depth at the start of every
-line follows from the lines before it; it is carried inside each input split
-first, then over the splits of a file (one row each), and lines are put together
-to records from there.
+or not, and does it end inside one? JSON: a file is cut at its closing braces,
+which every object has, with or without line ends; a piece flips the same bit
+once per quote, and adds to the depth of brackets outside of strings. The bit and
+the depth at the start of every piece follow from the pieces before it; they are
+carried inside each input split first, then over the splits of a file (one row
+each), and pieces are put together to records from there.
 """
 
 from __future__ import annotations
@@ -44,16 +45,16 @@ def ends_inside(line: Column, starts_inside: bool) -> Column:
     return F.when(F.instr(line, '"') == 0, no_quotes).otherwise((state == QUOTED).cast("int"))
 
 
-def read_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    return spark.read.option("pathGlobFilter", glob).option("lineSep", "\n").text(path)
+def read_lines(spark: SparkSession, path: str, glob: str, end: str = "\n") -> DataFrame:
+    return spark.read.option("pathGlobFilter", glob).option("lineSep", end).text(path)
 
 
-def numbered_lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, glob: str, end: str = "\n") -> DataFrame:
     """Lines with their file, split and position in the split.
 
     The position, not the id, names a line: it is the same in every scan.
     """
-    lines = read_lines(spark, path, glob).select(
+    lines = read_lines(spark, path, glob, end).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
@@ -67,16 +68,10 @@ def _before(keys: list[str], order: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _joined_lines() -> Column:
+def _joined_lines(end: str = "\n") -> Column:
     """Aggregate: the lines of one record in file order."""
     pieces = F.array_sort(F.collect_list(F.struct("split", "position", "value")))
-    return F.array_join(F.transform(pieces, lambda p: p["value"]), "\n")
-
-
-def records_span_lines(spark: SparkSession, path: str, glob: str = "*") -> bool:
-    """True if some line that starts a record does not end it."""
-    line = F.rtrim(F.col("value"), F.lit("\r"))
-    return not read_lines(spark, path, glob).filter(ends_inside(line, False) == 1).isEmpty()
+    return F.array_join(F.transform(pieces, lambda p: p["value"]), end)
 
 
 LINE_STATE = (
@@ -146,8 +141,13 @@ def line_state():
     return add_state
 
 
-def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Whole records: file, is_first (of its file), value."""
+def csv_records(spark: SparkSession, path: str, glob: str = "*", spanning: bool = True) -> DataFrame:
+    """Whole records: file, is_first (of its file), value.
+
+    Without `spanning` every line is a record, whatever its quotes. With it, a
+    file that ends inside quotes raises with the place of its open record, before
+    any lines are put together.
+    """
     text = F.rtrim(F.col("value"), F.lit("\r"))
     lines = (
         read_lines(spark, path, glob)
@@ -159,8 +159,8 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .select(
             "*",
             F.xxhash64("file", "split").alias("run"),
-            ends_inside(text, False).alias("from_outside"),
-            ends_inside(text, True).alias("from_inside"),
+            (ends_inside(text, False) if spanning else F.lit(0)).alias("from_outside"),
+            (ends_inside(text, True) if spanning else F.lit(0)).alias("from_inside"),
         )
         .mapInArrow(line_state(), LINE_STATE)
     )
@@ -177,6 +177,9 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     set_to = F.when(F.col("from_outside") == F.col("from_inside"), F.col("from_outside") - F.col("flipped"))
     flipped_before = F.col("flipped") - flips.cast("bigint")
     earlier = _before(["file"], "split")
+    all_of_file = Window.partitionBy("file").orderBy("split").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     splits = (
         splits.withColumn("flipped", F.sum(flips.cast("bigint")).over(so_far))
         # a file starts outside
@@ -184,14 +187,24 @@ def csv_records(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         .withColumn("bit", F.pmod(F.col("base") + flipped_before, F.lit(2)))
         .withColumn("start", F.when(F.col("bit") == 0, F.col("start_if_outside")).otherwise(F.col("start_if_inside")))
         .withColumn("own", F.when(F.col("start") > 0, F.struct("split", F.col("start").alias("position"))))
-        .select("file", "split", "bit", F.last("own", ignorenulls=True).over(earlier).alias("open_record"))
+        .withColumn("bit_after", F.when(F.col("bit") == 0, F.col("from_outside")).otherwise(F.col("from_inside")))
+        .select(
+            "file", "split", "bit", F.last("own", ignorenulls=True).over(earlier).alias("open_record"),
+            F.last("bit_after").over(all_of_file).alias("bit_at_end"),
+            F.last("own", ignorenulls=True).over(all_of_file).alias("last_record"),
+        )
     )
+    unclosed = F.raise_error(F.concat(
+        F.lit("unbalanced quote: the record at line "), F.col("last_record.position"), F.lit(" of the split at byte "),
+        F.col("last_record.split"), F.lit(" is not closed in "), F.col("file"),
+    )).cast("boolean")
+    closed = F.when(F.col("bit_at_end") == 0, True).otherwise(unclosed)
 
     outside = F.col("bit") == 0
     start = F.when(outside, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
     own = F.when(start > 0, F.struct("split", start.alias("position")))
     starts = F.when(outside, F.col("if_outside")).otherwise(F.col("if_inside")) == 0
-    placed = lines.join(splits, ["file", "split"]).select(
+    placed = lines.join(splits, ["file", "split"]).filter(closed).select(
         "file",
         "split",
         "position",
@@ -209,52 +222,82 @@ def _after(bit: str) -> Column:
     return F.when(F.col(bit) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
 
 
-def _with_record(lines: DataFrame) -> DataFrame:
-    """Add `record`: the place of the last line so far that starts one, or the
-    record left open by earlier splits."""
-    so_far = Window.partitionBy("file", "split").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    own = F.last(F.when(F.col("starts"), F.struct("split", "position")), ignorenulls=True).over(so_far)
-    return lines.withColumn("record", F.coalesce(own, F.col("open_record")))
-
-
 def _count(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def added_depth(line: Column) -> Column:
-    """Brackets opened less brackets closed, outside of strings."""
-    bare = F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    outside = F.array_join(F.filter(F.split(bare, '"'), lambda piece, i: i % 2 == 0), "")
-    return (_count(outside, "[{") - _count(outside, "]}")).cast("bigint")
+def added_depth(text: Column) -> Column:
+    """Brackets opened less brackets closed."""
+    return (_count(text, "[{") - _count(text, "]}")).cast("bigint")
+
+
+BRACE = "}"
+ORDER_MARK = "\ufeff"
+
 
+def json_elements(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """The objects of files that hold one array each, as text: file, value.
 
-def json_array_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """A file holding one array, as rows `value`, each an array of some of its
-    elements. A chunk ends at the first line end between two elements."""
-    lines = numbered_lines(spark, path, "*").withColumn("added", added_depth(F.col("value")))
-    in_split = F.sum("added").over(_before(["file", "split"], "position"))
-    totals = lines.groupBy("file", "split").agg(F.sum("added").alias("added"))
-    bases = totals.select(
-        "file", "split", F.coalesce(F.sum("added").over(_before(["file"], "split")), F.lit(0)).alias("base")
+    A file whose strings or brackets are not closed at its end raises, before any
+    pieces are put together.
+    """
+    keys = ["file", "split"]
+    so_far = Window.partitionBy(*keys).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    before, earlier = _before(keys, "position"), _before(["file"], "split")
+    all_of_file = Window.partitionBy("file")
+
+    def none_is_0(total: Column) -> Column:
+        return F.coalesce(total, F.lit(0))
+
+    bare = F.replace(F.replace(F.col("value"), F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    segments = F.split(bare, '"')
+    outside = F.array_join(F.filter(segments, lambda _, i: i % 2 == 0), "")
+    inside = F.array_join(F.filter(segments, lambda _, i: i % 2 == 1), "")
+    pieces = numbered_lines(spark, path, glob, BRACE).select(
+        "*",
+        ((F.size(segments) - 1) % 2).alias("flips"),
+        added_depth(outside).alias("if_outside"),
+        added_depth(inside).alias("if_inside"),
+    )
+
+    # inside a string or not, before each piece
+    totals = pieces.groupBy(*keys).agg(F.sum("flips").alias("flips"), F.max("position").alias("last"))
+    totals = totals.select(
+        *keys,
+        none_is_0(F.sum("flips").over(earlier)).alias("flips_before"),
+        F.when(F.col("split") == F.max("split").over(all_of_file), F.col("last")).alias("last"),
+    )
+    starts_inside = (F.col("flips_before") + none_is_0(F.sum("flips").over(before))) % 2
+    placed = pieces.join(totals, keys).withColumn("in_string", starts_inside)
+    # a brace ends every piece but the file's last; it counts outside of strings
+    closes = ((F.col("in_string") + F.col("flips")) % 2 == 0) & ~F.col("position").eqNullSafe(F.col("last"))
+    added = F.when(F.col("in_string") == 0, F.col("if_outside")).otherwise(F.col("if_inside"))
+    placed = placed.withColumn("closes", closes).withColumn("added", added - F.col("closes").cast("bigint"))
+
+    # depth after each piece; an element ends with a brace that leaves the depth of the array
+    depths = placed.groupBy(*keys).agg(F.sum("added").alias("added"), F.sum("flips").alias("flips"))
+    depths = depths.select(
+        *keys,
+        none_is_0(F.sum("added").over(earlier)).alias("depth_before"),
+        F.sum("added").over(all_of_file).alias("depth_at_end"),
+        (F.sum("flips").over(all_of_file) % 2).alias("open_string"),
     )
-    deep = lines.join(bases, ["file", "split"]).withColumn(
-        "depth", F.col("base") + F.coalesce(in_split, F.lit(0))
+    broken = F.raise_error(F.concat(F.lit("an array, object or string is not closed in "), F.col("file"))).cast("boolean")
+    whole = F.when((F.col("depth_at_end") == 0) & (F.col("open_string") == 0), True).otherwise(broken)
+    deep = placed.join(depths, keys).filter(whole).withColumn(
+        "ends", (F.col("closes") & (F.col("depth_before") + F.sum("added").over(so_far) == 1)).cast("int")
     )
-    # depth 0 is outside of the array, 1 between its elements
-    marked = deep.withColumn("starts", F.col("depth") <= 1)
-    own = F.max(F.when(F.col("starts"), F.struct("split", "position")))
-    last_starts = marked.groupBy("file", "split").agg(own.alias("own"))
-    open_records = last_starts.select(
-        "file", "split", F.last("own", ignorenulls=True).over(_before(["file"], "split")).alias("open_record")
+    counts = deep.groupBy(*keys).agg(F.sum("ends").alias("ends")).select(
+        *keys, none_is_0(F.sum("ends").over(earlier)).alias("ends_before")
     )
-    placed = _with_record(marked.join(open_records, ["file", "split"]))
-    chunks = placed.groupBy("file", "record").agg(
-        _joined_lines().alias("value"),
-        F.min("depth").alias("start"),
-        (F.min("depth") + F.sum("added")).alias("end"),
+    element = F.col("ends_before") + none_is_0(F.sum("ends").over(before))
+    joined = (
+        deep.join(counts, keys).withColumn("element", element)
+        .groupBy("file", "element")
+        .agg(_joined_lines(BRACE).alias("value"), F.max("ends").alias("ended"))
     )
-    space = F.lit(" ,\r\n\t")
-    text = F.btrim("value", space)
-    text = F.when((F.col("start") == 0) & text.startswith("["), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
-    text = F.when((F.col("end") == 0) & text.endswith("]"), F.left(text, F.length(text) - 1)).otherwise(text)
-    return chunks.select(F.concat(F.lit("["), F.btrim(text, space), F.lit("]")).alias("value"))
+    space = F.lit(f" ,[\r\n\t{ORDER_MARK}")
+    text = F.ltrim("value", space)
+    rest = F.raise_error(F.concat(F.lit("text that is no object in the array of "), F.col("file"))).cast("boolean")
+    is_element = F.when(F.col("ended") == 1, True).when(F.btrim(text, F.lit(" \r\n\t")).isin("]", ""), False).otherwise(rest)
+    return joined.filter(is_element).select("file", F.concat(text, F.lit(BRACE)).alias("value"))

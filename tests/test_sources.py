@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+from contextlib import contextmanager
 from datetime import datetime
 from pathlib import Path
 
@@ -28,7 +29,8 @@ from earshot.sources import (
     read_table_by_month,
     write_table,
 )
-from earshot.sources.records import ends_inside, read_lines, records_span_lines
+from earshot.sources.files import typed
+from earshot.sources.records import ends_inside, read_lines
 
 
 def write(path: Path, text: str) -> str:
@@ -49,18 +51,59 @@ def test_csv_quotes_newlines_and_null_words(spark, tmp_path):
     assert len(got) == 3
 
 
-def test_csv_without_spanning_records_is_read_in_splits(spark, tmp_path):
-    path = write(tmp_path / "big.csv", "a,b\n" + '"q ""x""",1\n' * 20000)
-    assert not records_span_lines(spark, path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+@contextmanager
+def splits_of(spark, size):
+    keys = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")
+    for key, value in zip(keys, (size, 0, 1)):
+        spark.conf.set(f"spark.sql.files.{key}", str(value))
     try:
-        df = read_csv(spark, path, {"b": "bigint"})
+        yield
+    finally:
+        for key in keys:
+            spark.conf.unset(f"spark.sql.files.{key}")
+
+
+@pytest.mark.parametrize("spanning", [True, False])
+def test_csv_is_read_in_splits(spark, tmp_path, spanning):
+    path = write(tmp_path / "big.csv", "a,b\n" + '"q ""x""",1\n' * 20000)
+    with splits_of(spark, 20000):
+        df = read_csv(spark, path, {"b": "bigint"}, spanning=spanning)
         assert df.select(F.spark_partition_id()).distinct().count() > 4
         assert tuple(df.agg(F.count("a"), F.sum("b")).first()) == (20000, 20000)
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("split_bytes", [40, 1000, 10_000_000])
+def test_one_result_at_every_split_size(spark, tmp_path, split_bytes):
+    """Carriage returns, blank lines, doubled and stray quotes, short rows: pandas' rows at any size."""
+    rng = random.Random(8)
+    lines = ["id,text,more"]
+    for i in range(300):
+        lines.append(f"{i}," + rng.choice([
+            '"lone\rreturn",x', '"two\nlines",x', '"both\r\nends",x', 'plain,"x ""y"" z"', '5" vinyl,x', 'short', '"",x',
+        ]) + rng.choice(["", "\r"]))
+        lines += rng.choice([[], [], [""], ["   "], ["\r"]])
+    path = tmp_path / "a.csv"
+    path.write_bytes(("\n".join(lines) + "\n").encode())
+    expected = pd.read_csv(path, dtype=str, keep_default_na=False, na_values=[""])
+    with splits_of(spark, split_bytes):
+        got = read_csv(spark, str(path), {"id": "bigint"}).toPandas()
+    want = [tuple(None if pd.isna(v) else v for v in r) for r in expected.itertuples(index=False)]
+    found = [(str(a), b, c) for a, b, c in got.itertuples(index=False)]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("split_bytes", [40, 1_000_000])
+def test_an_unbalanced_quote_raises_with_its_place(spark, tmp_path, split_bytes):
+    path = write(tmp_path / "a.csv", "a,b\n" + "1,x\n" * 50 + '2,"open\n' + "3,y\n" * 50)
+    with splits_of(spark, split_bytes), pytest.raises(Exception, match=r"unbalanced quote.*a\.csv"):
+        read_csv(spark, path).collect()
+
+
+def test_no_number_is_cut(spark):
+    texts = ["12", "12.0", "12.7", "1e3", "-0.5", "x", None, "9007199254740993", "1e300"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[1] for r in sorted(frame.select("i", typed(F.col("t"), "bigint")).collect())]
+    assert got == [12, 12, None, 1000, None, None, None, 9007199254740993, None]
 
 
 LINES = {  # line: (ends inside if started outside, if started inside)
@@ -126,7 +169,6 @@ def test_spanning_records_equal_a_whole_file_read(spark, tmp_path, split_bytes):
             writer.writerow(["id", "text"])
             writer.writerows(rows)
         frames.append(pd.read_csv(folder / f"{name}.csv", dtype=str))
-    assert records_span_lines(spark, str(folder))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     spark.conf.set("spark.sql.files.minPartitionNum", "1")
@@ -158,8 +200,8 @@ def test_csv_takes_the_first_file_of_a_folder_or_all(spark, tmp_path):
     write(tmp_path / "d" / "a.csv", "x\n1\n")
     write(tmp_path / "d" / "notes.txt", "ignored")
     folder = str(tmp_path / "d")
-    assert [r.x for r in read_csv(spark, folder, {"x": "bigint"}).collect()] == [1]
-    assert sorted(r.x for r in read_csv(spark, folder, {"x": "bigint"}, files="all").collect()) == [1, 2]
+    assert [r.x for r in read_csv(spark, folder, {"x": "bigint"}, files="first").collect()] == [1]
+    assert sorted(r.x for r in read_csv(spark, folder, {"x": "bigint"}).collect()) == [1, 2]
 
 
 def test_csv_columns_go_by_name(spark, tmp_path):
@@ -190,16 +232,16 @@ def test_json_array_or_lines(spark, tmp_path, text):
     assert sorted(map(tuple, got.collect())) == [("p1", 5), ("p2", 4)]
 
 
-@pytest.mark.parametrize("indent", [None, 0, 2], ids=["line per object", "line per field", "indented"])
-@pytest.mark.parametrize("split_bytes", [30, 500])
+@pytest.mark.parametrize("indent", [None, 0, 2, "none"], ids=["line per object", "line per field", "indented", "one line"])
+@pytest.mark.parametrize("split_bytes", [30, 500, 1_000_000])
 def test_json_array_in_splits_equals_a_whole_read(spark, tmp_path, indent, split_bytes):
-    rng = random.Random(indent)
+    rng = random.Random(7)
     odd = ['"', "\\", "[", "{", "}", "]", ",", "\n", "x", "é"]
     rows = [{"id": i, "text": "".join(rng.choices(odd, k=rng.randint(0, 12))), "tags": [1, {"a": "]"}]} for i in range(40)]
     if indent is None:
         text = "[" + "\n, ".join(json.dumps(r, ensure_ascii=False) for r in rows) + "]\n"
     else:
-        text = json.dumps(rows, indent=indent, ensure_ascii=False)
+        text = json.dumps(rows, indent=None if indent == "none" else indent, ensure_ascii=False)
     path = write(tmp_path / "a.json", text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
@@ -209,7 +251,8 @@ def test_json_array_in_splits_equals_a_whole_read(spark, tmp_path, indent, split
     finally:
         for key in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
             spark.conf.unset(f"spark.sql.files.{key}")
-    assert sorted(map(tuple, got)) == [(r["id"], r["text"]) for r in rows]
+    # undeclared fields are kept as text
+    assert sorted((r["id"], r["text"], r["tags"]) for r in got) == [(r["id"], r["text"], '[1,{"a":"]"}]') for r in rows]
 
 
 @pytest.mark.parametrize("split_bytes", ["10b", "1m"])
@@ -223,6 +266,25 @@ def test_broken_arrays_raise(spark, tmp_path, split_bytes):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("text", ['[{"a": 1}, {"a": "x}]', '[{"a": 1}, {"a": [2}]', '[{"a": 1}', '[{"a": 1}] trailing'])
+@pytest.mark.parametrize("split_bytes", [5, 1_000_000])
+def test_unclosed_arrays_raise(spark, tmp_path, text, split_bytes):
+    path = write(tmp_path / "r.json", text)
+    with splits_of(spark, split_bytes), pytest.raises(Exception, match="not closed in|no object in|MALFORMED"):
+        read_json(spark, path, {"a": "string"}).collect()
+
+
+def test_empty_array(spark, tmp_path):
+    assert read_json(spark, write(tmp_path / "r.json", " []\n"), TYPES).count() == 0
+
+
+def test_categories_file_without_the_key_is_not_joined(spark, tmp_path):
+    write(tmp_path / "podcasts.json", json.dumps([{"podcast_id": "p1", "title": "T", "itunes_id": 1}, {"podcast_id": None}]))
+    write(tmp_path / "categories.json", json.dumps([{"id": "p1", "category": "c"}]))
+    got = read_podcast_shows(spark, str(tmp_path))
+    assert "category" not in got.columns and got.count() == 2
+
+
 def test_broken_json_raises(spark, tmp_path):
     path = write(tmp_path / "r.json", json.dumps(ROWS[0]) + "\n{broken\n")
     with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
