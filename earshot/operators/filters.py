@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Date column names tried in this order, and the default window.
@@ -74,10 +74,7 @@ def in_window(moment: Column, window: Window, offset: str = "+00:00", zoned: boo
 
 
 def detect_layout(df: DataFrame, column: str, layouts: Sequence[str] = DATE_LAYOUTS) -> tuple[str | None, str]:
-    """(layout, offset) of the first non-null value of a text date column.
-
-    The first value decides for the whole column; later values in another layout
-    become NULL. This reads the head of the first input split, not the data.
+    """(layout, offset) of the first non-null value of a text date column. This reads the head of the first input split, not the data.
     """
     text = F.col(column)
     first = (
@@ -99,25 +96,54 @@ def parse_moment(text: Column, layouts: Sequence[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in layouts])
 
 
+# Instead of layouts: the layout of the first value is used for all of a column.
+FIRST_VALUE = "first value"
+
+
+def offset_of(text: Column) -> Column:
+    """Seconds of the zone offset at the end of a text, 0 without one."""
+    sign, hours, minutes = (F.regexp_extract(text, r"([+-])(\d\d):(\d\d)$", i) for i in (1, 2, 3))
+    seconds = (hours.try_cast("int") * 60 + minutes.try_cast("int")) * 60
+    return F.coalesce(F.when(sign == "-", -seconds).otherwise(seconds), F.lit(0))
+
+
 def parse_and_window(
     df: DataFrame,
     column: str,
     window: Window,
-    layouts: Sequence[str] | None = None,
+    layouts: Sequence[str] | str | None = None,
     head: DataFrame | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Parse a text date column, drop rows without a date, keep the window.
 
-    With `layouts` given they are tried in order; without, the layout of the
-    first value is used for all. `head` is a cheaper frame to find that value in,
-    for a `df` whose first row would need all of the input.
+    `layouts` are tried in order, by default all of DATE_LAYOUTS (where a text fits
+    both, the month comes before the day). The window's ends are midnights at the
+    offset of each text. With FIRST_VALUE the first value decides layout and offset
+    for all, and rows in another layout are dropped; `head` is a cheaper frame to
+    find that value in, for a `df` whose first row would need all of the input.
+
+    `observation` gets total_rows, dated_rows and kept_rows when the result is
+    computed, so that what is dropped is known without another pass.
     """
-    offset = "+00:00"
-    if layouts is None:
+    text = F.col(column)
+    if layouts == FIRST_VALUE:
         layout, offset = detect_layout(head or df, column)
-        layouts = [layout] if layout else DATE_LAYOUTS
-    dated = keep_complete(df.withColumn(column, parse_moment(F.col(column), layouts)), column)
-    return dated.filter(in_window(F.col(column), window, offset))
+        dated = df.withColumn(column, parse_moment(text, [layout] if layout else DATE_LAYOUTS))
+        inside = in_window(text, window, offset)
+    else:
+        local = "__local"
+        moment = parse_moment(text, layouts or DATE_LAYOUTS)
+        dated = df.withColumns({local: moment + F.make_dt_interval(secs=offset_of(text)), column: moment})
+        inside = in_window(F.col(local), window)
+    if observation:
+        dated = dated.observe(
+            observation,
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count(column).alias("dated_rows"),
+            F.count_if(inside).alias("kept_rows"),
+        )
+    return keep_complete(dated, column).filter(inside).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def window_report(df: DataFrame, column: str, window: Window) -> DataFrame:

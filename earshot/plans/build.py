@@ -6,44 +6,95 @@ lost executor costs a task of the current step. Tables are replaced as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from earshot.operators.filters import Window
+from earshot.operators.filters import FIRST_VALUE, Window
 from earshot.operators.quality import enforce, quality_report
 from earshot.plans import marts
 from earshot.plans.staging import STAGED
 from earshot.session import prepare
 from earshot.sources import datasets
-from earshot.sources.tables import Version, publish, raw_form, raw_path, read_table, write_table, write_version
-
-
-def ingest(spark: SparkSession, folders: Mapping[str, str], lake: str, window: Window = Window()) -> dict[str, str]:
+from earshot.sources.tables import (
+    RAW_LAYOUT,
+    Version,
+    load_raw,
+    publish,
+    raw_form,
+    raw_path,
+    read_table,
+    write_table,
+    write_version,
+)
+
+
+INGEST_REPORT = "raw/ingest_report"
+REPORT = (
+    "dataset string, total_rows bigint, dated_rows bigint, kept_rows bigint, written_rows bigint, "
+    "column_count bigint, column_names string"
+)
+
+
+def ingest(
+    spark: SparkSession,
+    folders: Mapping[str, str],
+    lake: str,
+    window: Window = Window(),
+    layouts: Sequence[str] | str | None = None,
+    files: str = "all",
+) -> dict[str, str]:
     """Read the source folders, keep the window, write the raw lake files.
 
     `folders` names the folder of each source: music_charts,
     music_charts_historical, podcast_reviews (shows, categories and reviews) and
-    podcast_charts. Returns the path written per raw dataset.
+    podcast_charts. `layouts` and `files` are those of the readers. Returns the
+    path written per raw dataset.
+
+    What was read, had a date, lay in the window and was written is counted as the
+    rows pass, and stored as the table `raw/ingest_report`; an input without a
+    date window has no dated and kept rows.
     """
     prepare(spark)
+    seen = {name: Observation(name) for name in RAW_LAYOUT}
+    charts, history, reviews, podcasts = (
+        folders[k] for k in ("music_charts", "music_charts_historical", "podcast_reviews", "podcast_charts")
+    )
     frames = {
-        "music_charts": datasets.read_music_charts(spark, folders["music_charts"], window),
+        "music_charts": datasets.read_music_charts(spark, charts, window, layouts, files, seen["music_charts"]),
         "music_charts_historical": datasets.read_music_charts_historical(
-            spark, folders["music_charts_historical"], window
+            spark, history, window, layouts, files, seen["music_charts_historical"]
+        ),
+        "podcast_shows": datasets.read_podcast_shows(spark, reviews, seen["podcast_shows"]),
+        "podcast_reviews": datasets.read_podcast_reviews(
+            spark, reviews, window, None if layouts == FIRST_VALUE else layouts, seen["podcast_reviews"]
+        ),
+        "podcast_charts": datasets.read_podcast_charts(
+            spark, podcasts, window, layouts, files, seen["podcast_charts"]
         ),
-        "podcast_shows": datasets.read_podcast_shows(spark, folders["podcast_reviews"]),
-        "podcast_reviews": datasets.read_podcast_reviews(spark, folders["podcast_reviews"], window),
-        "podcast_charts": datasets.read_podcast_charts(spark, folders["podcast_charts"], window),
     }
-    written = {}
+    written, report = {}, []
     for dataset, frame in frames.items():
         written[dataset] = raw_path(lake, dataset)
-        write_table(raw_form(frame), written[dataset])
+        out = Observation(f"{dataset} written")
+        form = raw_form(frame)
+        write_table(form.observe(out, F.count(F.lit(1)).alias("rows")), written[dataset])
+        counts = seen[dataset].get
+        report.append((
+            dataset, counts["total_rows"], counts.get("dated_rows"), counts.get("kept_rows"), out.get["rows"],
+            len(form.columns), ",".join(form.columns),
+        ))
+    write_table(spark.createDataFrame(report, REPORT), f"{lake.rstrip('/')}/{INGEST_REPORT}")
     return written
 
 
+def load_all(spark: SparkSession, lake: str, out: str) -> dict[str, int]:
+    """Load every raw lake file into its raw table; returns the rows of each."""
+    return {name: load_raw(spark, raw_path(lake, name), f"{out}/raw/{name}") for name in STAGED}
+
+
 def store(
     tables: Mapping[str, DataFrame],
     folder: str,
@@ -110,7 +161,8 @@ def build_marts(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFram
 
 
 def build_all(spark: SparkSession, lake: str, out: str) -> dict[str, DataFrame]:
-    """Raw lake files to marts, in order; returns the mart tables."""
+    """Raw lake files to raw tables to marts, in order; returns the mart tables."""
     prepare(spark)
-    raw = {name: read_table(spark, raw_path(lake, name)) for name in STAGED}
+    load_all(spark, lake, out)
+    raw = {name: read_table(spark, f"{out}/raw/{name}") for name in STAGED}
     return build_marts(stage(raw, out), out)

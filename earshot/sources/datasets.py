@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from earshot.operators.filters import Window, parse_and_window, pick_date_column, rename_dots
+from earshot.operators.filters import FIRST_VALUE, Window, parse_and_window, pick_date_column, rename_dots
 from earshot.operators.joins import left_join_fanout
-from earshot.sources.files import csv_head, json_fields, json_objects, read_csv, read_json
+from earshot.sources.files import csv_head, is_json_array, json_fields, json_objects, read_csv, read_json
 
 # Column names and types of the inputs. Dates stay text here and
 # are parsed by the window step.
@@ -77,44 +78,58 @@ PODCAST_CHARTS = {
 }
 
 
+def head_for(spark: SparkSession, folder: str, layouts: Sequence[str] | str | None) -> DataFrame | None:
+    """The beginning of the first file, where its first value is asked for."""
+    return csv_head(spark, folder) if layouts == FIRST_VALUE else None
+
+
+def observed(df: DataFrame, observation: Observation | None) -> DataFrame:
+    """Count the rows of an input without a date window as they pass."""
+    return df.observe(observation, F.count(F.lit(1)).alias("total_rows")) if observation else df
+
+
 def read_music_charts(
     spark: SparkSession,
     folder: str,
     window: Window = Window(),
-    layouts: Sequence[str] | None = None,
+    layouts: Sequence[str] | str | None = None,
     files: str = "all",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Current music charts, inside the window by snapshot date."""
     df = read_csv(spark, folder, MUSIC_CHARTS, "music charts", files)
-    return parse_and_window(df, "snapshot_date", window, layouts, csv_head(spark, folder))
+    return parse_and_window(df, "snapshot_date", window, layouts, head_for(spark, folder, layouts), observation)
 
 
 def read_music_charts_historical(
     spark: SparkSession,
     folder: str,
     window: Window = Window(),
-    layouts: Sequence[str] | None = None,
+    layouts: Sequence[str] | str | None = None,
     files: str = "all",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Historical music charts, inside the window by chart date."""
     df = read_csv(spark, folder, MUSIC_CHARTS_HISTORICAL, "historical music charts", files)
-    return parse_and_window(df, "date", window, layouts, csv_head(spark, folder))
+    return parse_and_window(df, "date", window, layouts, head_for(spark, folder, layouts), observation)
 
 
 def read_podcast_charts(
     spark: SparkSession,
     folder: str,
     window: Window = Window(),
-    layouts: Sequence[str] | None = None,
+    layouts: Sequence[str] | str | None = None,
     files: str = "all",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Podcast charts with dots in names replaced. The date column is looked up
     among the known names; without one every row is kept."""
     df = rename_dots(read_csv(spark, folder, PODCAST_CHARTS, "podcast charts", files))
     column = pick_date_column(df.columns)
     if column is None:
-        return df
-    return parse_and_window(df, column, window, layouts, rename_dots(csv_head(spark, folder)))
+        return observed(df, observation)
+    head = head_for(spark, folder, layouts)
+    return parse_and_window(df, column, window, layouts, rename_dots(head) if head else None, observation)
 
 
 KEY = "podcast_id"
@@ -127,11 +142,11 @@ def merge_categories(shows: DataFrame, categories: DataFrame | None) -> DataFram
     return left_join_fanout(shows, categories, KEY)
 
 
-def read_podcast_shows(spark: SparkSession, folder: str) -> DataFrame:
+def read_podcast_shows(spark: SparkSession, folder: str, observation: Observation | None = None) -> DataFrame:
     """Shows, joined with their categories if the folder has that file and the
     objects of both files have the key."""
     path = f"{folder}/podcasts.json"
-    shows = read_json(spark, path, SHOWS, "podcast shows")
+    shows = observed(read_json(spark, path, SHOWS, "podcast shows"), observation)
     try:
         found = json_fields(json_objects(spark, f"{folder}/categories.json", "categories"))
     except FileNotFoundError:
@@ -145,12 +160,15 @@ def read_podcast_reviews(
     spark: SparkSession,
     folder: str,
     window: Window = Window(),
-    layouts: Sequence[str] | None = None,
+    layouts: Sequence[str] | str | None = None,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Reviews inside the window by creation time.
 
-    Without `layouts` the first row is looked at, which is cheap for JSON Lines;
-    for one large array, whose rows come in no order, give them.
+    FIRST_VALUE is refused for an array, whose objects come in no order.
     """
-    df = read_json(spark, f"{folder}/reviews.json", REVIEWS, "podcast reviews")
-    return parse_and_window(df, "created_at", window, layouts)
+    path = f"{folder}/reviews.json"
+    df = read_json(spark, path, REVIEWS, "podcast reviews")
+    if layouts == FIRST_VALUE and is_json_array(spark, path):
+        raise ValueError("podcast reviews: an array has no first row, give the layouts")
+    return parse_and_window(df, "created_at", window, layouts, observation=observation)

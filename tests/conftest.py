@@ -16,6 +16,7 @@ def spark():
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="8",
+        spark__driver__memory="4g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

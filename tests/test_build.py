@@ -76,6 +76,13 @@ def test_sources_to_marts(spark, sources, tmp_path):
     written = ingest(spark, sources, str(tmp_path / "lake"))
     assert all(Path(path).is_dir() for path in written.values())
     raw = {name: read_table(spark, path) for name, path in written.items()}
+    report = {r["dataset"]: r for r in read_table(spark, str(tmp_path / "lake" / "raw" / "ingest_report")).collect()}
+    assert set(report) == set(written)
+    charts = report["music_charts"]
+    assert charts["total_rows"] == 400 > charts["dated_rows"] > charts["kept_rows"] == charts["written_rows"] > 0
+    for name, df in raw.items():
+        assert report[name]["written_rows"] == df.count() and report[name]["column_names"] == ",".join(df.columns)
+    assert report["podcast_shows"]["total_rows"] == 60 and report["podcast_shows"]["kept_rows"] is None
     assert dict(raw["music_charts"].dtypes)["snapshot_date"] == "bigint"
     assert dict(raw["podcast_reviews"].dtypes)["created_at"] == "bigint"
 

@@ -11,7 +11,7 @@ from earshot.operators import (
     rename_dots,
     window_report,
 )
-from earshot.operators.filters import detect_layout, parse_moment
+from earshot.operators.filters import FIRST_VALUE, detect_layout, parse_moment
 
 WIDE = Window("1900-01-01", "2100-01-01")
 
@@ -33,7 +33,8 @@ def test_first_value_decides_the_layout(spark):
     values = [None, "2024-01-05", "2024-01-06 10:00", "bad", "01/07/2024", "2024-1-8"]
     df = texts(spark, values)
     assert detect_layout(df, "d")[0] == "yyyy-M-d"
-    assert kept(parse_and_window(df, "d", WIDE)) == [1, 5]
+    assert kept(parse_and_window(df, "d", WIDE, FIRST_VALUE)) == [1, 5]
+    assert kept(parse_and_window(df, "d", WIDE)) == [1, 2, 4, 5]
     assert pd.to_datetime(pd.Series(values), errors="coerce").notna().tolist() == [
         False, True, False, False, False, True,
     ]
@@ -53,8 +54,11 @@ def test_plain_date_layout_refuses_other_texts(spark):
 def test_window_is_at_the_offset_of_the_text(spark):
     # midnight of the first day at -07:00 is 07:00 UTC
     df = texts(spark, ["2022-01-01T00:00:00-07:00", "2021-12-31T23:59:59-07:00"])
+    assert kept(parse_and_window(df, "d", Window(), FIRST_VALUE)) == [0]
     got = parse_and_window(df, "d", Window())
     assert kept(got) == [0]
+    mixed = texts(spark, ["2021-12-31T23:30:00+00:00", "2022-01-01T00:30:00+05:30", "2021-12-31T23:30:00-07:00"])
+    assert kept(parse_and_window(mixed, "d", Window())) == [1]
     assert got.select(F.date_format("d", "HH:mm")).first()[0] == "07:00"
 
 

@@ -11,6 +11,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from earshot.operators.filters import FIRST_VALUE
 from earshot.session import scratch_folder
 from earshot.sources import (
     input_profile,
@@ -328,9 +329,10 @@ def test_layout_comes_from_the_first_row_of_the_file(spark, tmp_path):
     """Records over several lines are regrouped in no order; the head keeps it."""
     rows = "".join(f'"a\n{i}",{"2024-05-01" if i < 3 else "2024/05/01"}\n' for i in range(200))
     write(tmp_path / "c" / "x.csv", "name,date\n" + rows)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
     try:
-        assert read_music_charts_historical(spark, str(tmp_path / "c")).count() == 3
+        assert read_music_charts_historical(spark, str(tmp_path / "c"), layouts=FIRST_VALUE).count() == 3
+        assert read_music_charts_historical(spark, str(tmp_path / "c")).count() == 200
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -372,6 +374,12 @@ def test_reviews_reader_keeps_the_instant(spark, tmp_path):
     assert [r.created_at for r in got] == [int(datetime(2022, 1, 1, 7).timestamp()) * 10**9]
 
 
+def test_an_array_has_no_first_row(spark, tmp_path):
+    write(tmp_path / "r" / "reviews.json", json.dumps([{"created_at": "2024-01-01"}]))
+    with pytest.raises(ValueError, match="layouts"):
+        read_podcast_reviews(spark, str(tmp_path / "r"), layouts=FIRST_VALUE)
+
+
 def test_input_profile(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
     assert tuple(input_profile(df, "d").first()) == ("d", 2, 2, "a,b")

@@ -403,6 +403,14 @@ SELECTS: dict[str, str] = {
     "genre_words": f"""SELECT doc_id,
         {", ".join(f"{any_word('text', w)} AS {g}_hit" for g, w in GENRE_WORDS.items())} FROM documents""",
     "date_window_filter": f"SELECT event_id, created_at FROM {CREATED} WHERE {IN_WINDOW}",
+    "first_value_layout": f"SELECT event_id, created_at FROM {CREATED} WHERE {IN_WINDOW}",
+    "mixed_layouts": f"""SELECT event_id, created_at FROM (SELECT event_id, CASE WHEN event_id % 5 = 4
+        THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS created_at FROM events) WHERE {IN_WINDOW}""",
+    "optional_categories": """SELECT 'with' AS file, CAST(c_custkey AS VARCHAR) AS podcast_id, c_name AS title,
+        o_orderpriority AS category FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+      UNION ALL SELECT f.*, CAST(c_custkey AS VARCHAR), c_name, NULL
+        FROM customer, (VALUES ('without'), ('no key')) f(file)""",
+    "load_partitioned": "SELECT *, count(*) OVER () AS loaded_rows FROM orders",
     "filter_report": f"""SELECT count(*) AS total_rows, count(created_at) AS dated_rows,
         count(*) FILTER (WHERE {IN_WINDOW}) AS kept_rows,
         count(created_at) - count(*) FILTER (WHERE {IN_WINDOW}) AS dropped_rows FROM {CREATED}""",
@@ -450,6 +458,14 @@ SELECTS: dict[str, str] = {
     "current_podcasts": "SELECT * FROM new_podcasts",
     "ecosystem_window_2": "SELECT * FROM new_window",
     "ecosystem_timeline": "SELECT * FROM timeline ORDER BY trend_month",
+    "mart_order": """SELECT 'music_trends' AS mart, trend_month, country AS second,
+        row_number() OVER (ORDER BY trend_month NULLS FIRST, country NULLS FIRST) AS position FROM music_by_month
+      UNION ALL SELECT 'podcast_trends', trend_month, CAST(category_total_ratings AS VARCHAR),
+        row_number() OVER (ORDER BY trend_month, category_total_ratings DESC) FROM podcasts_by_month
+      UNION ALL SELECT 'genre_category_matrix', trend_month, CAST(category_total_ratings AS VARCHAR),
+        row_number() OVER (ORDER BY trend_month, category_total_ratings DESC) FROM genre_matrix
+      UNION ALL SELECT 'ecosystem_timeline', trend_month, NULL,
+        row_number() OVER (ORDER BY trend_month) FROM timeline""",
     "top_category": """SELECT p_brand,
         (array_agg(p_name ORDER BY CASE WHEN p_size >= 6 THEN p_size END DESC NULLS LAST, p_name DESC))[1]
           AS top_name

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as WindowSpec
 from pyspark.sql import functions as F
 
 from earshot.functions import (
@@ -35,7 +36,7 @@ from earshot.operators import (
     value_at_largest,
     window_report,
 )
-from earshot.operators.filters import parse_moment
+from earshot.operators.filters import FIRST_VALUE, parse_moment
 from earshot.plans import marts, views
 from earshot.plans.staging import STAGED
 from earshot.session import prepare, scratch_folder
@@ -45,6 +46,7 @@ from earshot.sources import (
     raw_path,
     read_csv,
     read_json,
+    read_podcast_shows,
     read_table,
     read_table_by_month,
     write_table,
@@ -172,17 +174,36 @@ def genre_words(spark, sf_dir):
 # ---- readers and filters ---------------------------------------------------
 
 
-@query
-def date_window_filter(spark, sf_dir):
-    """Text dates in the layout of the first value, a fifth of them unreadable;
-    the last day is kept at midnight only."""
+def events_with_mixed_dates(spark, sf_dir):
     text = F.when(F.col("event_id") % 5 == 4, F.date_format("ts", "dd/MM/yyyy")).otherwise(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     )
-    events = table(spark, sf_dir, "events").select("event_id", text.alias("created_at"))
+    return table(spark, sf_dir, "events").select("event_id", text.alias("created_at"))
+
+
+@query
+def date_window_filter(spark, sf_dir):
+    """Text dates in a given layout, a fifth of them unreadable; the last day is
+    kept at midnight only."""
+    events = events_with_mixed_dates(spark, sf_dir)
     return parse_and_window(events, "created_at", Window("2024-01-05", "2024-01-20"), ["yyyy-M-d H:mm:ss"])
 
 
+@query
+def first_value_layout(spark, sf_dir):
+    """The same by the layout of the first value, looked up in the data."""
+    events = events_with_mixed_dates(spark, sf_dir)
+    return parse_and_window(events, "created_at", Window("2024-01-05", "2024-01-20"), FIRST_VALUE)
+
+
+@query
+def mixed_layouts(spark, sf_dir):
+    """The same with a layout for every text: nothing is unreadable."""
+    events = events_with_mixed_dates(spark, sf_dir)
+    layouts = ["yyyy-M-d H:mm:ss", "d/M/yyyy"]
+    return parse_and_window(events, "created_at", Window("2024-01-05", "2024-01-20"), layouts)
+
+
 @query
 def filter_report(spark, sf_dir):
     text = F.when(F.col("event_id") % 5 == 4, F.date_format("ts", "dd/MM/yyyy")).otherwise(
@@ -297,6 +318,36 @@ def json_array_roundtrip(spark, sf_dir):
     return read_json(spark, path, {"page_id": "bigint", "url": "string", "html": "string"}, "pages")
 
 
+@query
+def optional_categories(spark, sf_dir):
+    """Shows read with a categories file, without one, and with one that lacks the key."""
+    shows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("podcast_id"), F.col("c_name").alias("title")
+    )
+    categories = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("podcast_id"), F.col("o_orderpriority").alias("category")
+    )
+    files = {"with": categories, "without": None, "no key": categories.withColumnRenamed("podcast_id", "id")}
+    found = []
+    for case, file in files.items():
+        folder = scratch_folder(spark, "shows")
+        shows.write.json(f"{folder}/podcasts.json")
+        if file is not None:
+            file.write.json(f"{folder}/categories.json")
+        read = read_podcast_shows(spark, folder)
+        category = F.col("category") if "category" in read.columns else F.lit(None).cast("string")
+        found.append(read.select(F.lit(case).alias("file"), "podcast_id", "title", category.alias("category")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query
+def load_partitioned(spark, sf_dir):
+    """A Parquet input loaded into a raw table with a partition column and a cluster column."""
+    folder = scratch_folder(spark, "load")
+    rows = load_raw(spark, f"{sf_dir}/orders.parquet", f"{folder}/orders", "o_orderstatus", ["o_custkey"])
+    return read_table(spark, f"{folder}/orders").withColumn("loaded_rows", F.lit(rows).cast("bigint"))
+
+
 @query
 def parquet_overwrite_roundtrip(spark, sf_dir):
     """A second write replaces the first."""
@@ -479,6 +530,22 @@ def ecosystem_timeline(spark, sf_dir):
     return marts.in_mart_order(timeline, "ecosystem_timeline")
 
 
+@query
+def mart_order(spark, sf_dir):
+    """The place of each row in the published order of the marts, with what it is ordered by."""
+    order = WindowSpec.orderBy("id")
+    found = None
+    for mart, second in (("music_trends", "country"), ("podcast_trends", "category_total_ratings"),
+                         ("genre_category_matrix", "category_total_ratings"), ("ecosystem_timeline", None)):
+        rows = QUERIES[mart](spark, sf_dir).select(
+            F.lit(mart).alias("mart"), F.monotonically_increasing_id().alias("id"), "trend_month",
+            (F.col(second).cast("string") if second else F.lit(None).cast("string")).alias("second"),
+        )
+        rows = rows.withColumn("position", F.row_number().over(order).cast("bigint")).drop("id")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def top_category(spark, sf_dir):
     """Value at the largest measure, with missing measures and ties: per brand,
