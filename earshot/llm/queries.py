@@ -29,6 +29,58 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judge_documents(docs, carry=["doc_id"]).drop("clean_text")
 
 
+def sql_list(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values)) + ")"
+
+
+WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+ORACLE["op1_quality_rules"] = rf"""
+with texts as (select doc_id, coalesce(text, '') as text, {WORDS_SQL.format("text")} as words from documents),
+windows as (
+    select doc_id, i, words[i : i + {quality.WINDOW_WORDS - 1}] as content
+    from (select doc_id, words, unnest(range(1, len(words) - {quality.WINDOW_WORDS - 2})) as i from texts)
+),
+repeated as (
+    select doc_id, unnest(range(i, i + {quality.WINDOW_WORDS})) as place
+    from (select *, count(*) over (partition by doc_id, content) as copies from windows) where copies > 1
+),
+repeats as (select doc_id, count(distinct place) as n from repeated group by doc_id),
+lines as (
+    select doc_id, line, trim(line, ' ' || chr(9) || chr(13)) as body, {WORDS_SQL.format("line")} as own
+    from (select doc_id, unnest(string_split(text, chr(10))) as line from texts)
+),
+judged as (
+    select doc_id, line, length(array_to_string(own, '')) as chars,
+        len(own) < {quality.MIN_OPEN_WORDS} and not suffix(body, '.') and right(body, 1) not in {sql_list(quality.END_MARKS)}
+        or len(list_filter(own, lambda w: w in {sql_list(x.decode() for x in quality.SEPARATORS)}))
+            >= greatest({quality.MIN_SEPARATORS}, len(own) / {quality.MAX_WORDS_PER_SEPARATOR})
+        or len(own) <= {quality.MAX_MENU_WORDS} and len(list_filter(own,
+            lambda w: trim(lower(w), '.,:!') not in {sql_list(x.decode() for x in quality.MENU_WORDS)})) = 0
+        or len(regexp_extract_all(body, '[^\p{{L}}\p{{N}}\s]')) >= greatest({quality.LEAST_MARKS},
+            {quality.MAX_MARK_SHARE} * length(array_to_string(own, '')) + 1e-9)
+        or len(own) <= {quality.MAX_PHRASE_WORDS} and regexp_matches(lower(body), '{quality.PHRASES.pattern}') as fails
+    from lines where len(own) > 0
+),
+lost as (
+    select doc_id, count(*) as n_lines, count(*) - count(distinct line) as dups,
+        count(*) filter (where fails) as removed, coalesce(sum(chars) filter (where fails), 0) as chars
+    from judged group by doc_id
+),
+figures as (
+    select t.doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(dups, 0) as n_dup_lines,
+        coalesce(r.n, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines, coalesce(removed, 0) as n_lines_removed,
+        cast(coalesce(l.chars, 0) as bigint) as n_chars_removed
+    from texts t left join repeats r on r.doc_id = t.doc_id left join lost l on l.doc_id = t.doc_id
+),
+based as (
+    select *, n_words < {quality.MIN_WORDS} or 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words as base_failed
+    from figures
+)
+select *, not base_failed and n_chars_removed <= {quality.MAX_LOSS} * word_chars as kept from based
+"""
+
+
 @query
 def op2_bpe_encode_decode(spark, sf_dir):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
