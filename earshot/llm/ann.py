@@ -204,7 +204,7 @@ def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float,
 
 
 def ranked_in_buckets(rows: DataFrame, dimension: int, most: int) -> DataFrame:
-    """(query, cid, first, score) of the best `most` classes of each query in the buckets of a task.
+    """(query, cid, first, score) of the best `most` other classes of each query in the buckets of a task.
 
     `rows` has tab, bucket, part, kind (0 for points, 1 for queries), cid, first
     and vec, sorted, with a bucket's rows in one partition.
@@ -249,7 +249,8 @@ class Bucket:
         for at in range(0, len(cids), QUERY_ROWS):
             block = vectors[at : at + QUERY_ROWS]
             scores = block @ points.T
-            for query, vector, places in zip(cids[at : at + QUERY_ROWS], block, best_rows(scores, self.most)):
+            for query, vector, places in zip(cids[at : at + QUERY_ROWS], block, best_rows(scores, self.most + 1)):
+                places = places[own_ids[places] != query]
                 exact = (points[places] * vector).sum(1)
                 self.merge(int(query), np.rec.fromarrays([own_ids[places], own_firsts[places], exact], names="c,f,s"))
 
@@ -329,7 +330,7 @@ def nearest(
     itself = queries.select(F.col("cid").alias("query"), "cid", "first", squares.alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "first")
     best = (
-        found.join(itself.select("query", "cid"), ["query", "cid"], "left_anti").unionByName(itself)
+        found.unionByName(itself)
         .groupBy("query", "cid", "first").agg(F.max("score").alias("score"))
         .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     )
