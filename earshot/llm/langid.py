@@ -40,8 +40,9 @@ UNKNOWN = "und"
 
 MARK = "_"
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-MEMO_ENTRIES = 200_000
-MEMO_CHARS = 64
+# A worker's memo is emptied between batches beyond so many pieces or bytes of them.
+MEMO_ENTRIES = 300_000
+MEMO_BYTES = 32 << 20
 
 
 @dataclass
@@ -130,53 +131,68 @@ class Scorer(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.sums = np.zeros((MEMO_ENTRIES + 1, len(model.languages) + 1))
+        self.known = len(model.words)
+        self.logs = np.concatenate([model.word_logs, model.gram_logs]) if model.languages else np.empty((0, 0))
+        self.clear()
 
-    def word(self, word: str) -> np.ndarray | None:
-        model = self.model
-        row = model.words.get(word)
+    def clear(self) -> None:
+        super().clear()
+        self.sums, self.bytes = np.empty((0, len(self.model.languages) + 1)), 0
+
+    def rows(self, word: str) -> list[int]:
+        """The table rows whose mean a word scores: its own, or those of its longest known n-grams."""
+        row = self.model.words.get(word)
         if row is not None:
-            return model.word_logs[row]
+            return [row]
+        grams, known = self.model.grams, self.known
         for length in LENGTHS:
-            rows = [row for gram in grams_of(word, length) if (row := model.grams.get(gram)) is not None]
+            rows = [known + row for gram in grams_of(word, length) if (row := grams.get(gram)) is not None]
             if rows:
-                return model.gram_logs[rows].mean(0)
-        return None
-
-    def piece(self, piece: str) -> np.ndarray:
-        total = np.zeros(self.sums.shape[1])
-        for word in WORD.findall(piece):
-            logs = self.word(word)
-            if logs is not None:
-                total[:-1] += logs
-                total[-1] += 1
-        return total
-
-    def __missing__(self, piece: str) -> int:
-        row = len(self)
-        self.sums[row] = self.piece(piece)
-        self[piece] = row
-        return row
-
-    def judge(self, text: str | None) -> tuple[str, float]:
-        model = self.model
-        if not text or not model.languages:
-            return UNKNOWN, 0.0
-        pieces = text.lower().split()
-        if len(self) + len(pieces) > MEMO_ENTRIES:
+                return rows
+        return []
+
+    def learn(self, pieces: set[str]) -> None:
+        """Score all pieces that are not known yet, together."""
+        if len(self) > MEMO_ENTRIES or self.bytes > MEMO_BYTES:
             self.clear()
-        if len(pieces) > MEMO_ENTRIES // 2 or max(map(len, pieces), default=0) > MEMO_CHARS:
-            total = sum((self.piece(p) if len(p) > MEMO_CHARS or len(self) >= MEMO_ENTRIES else self.sums[self[p]]
-                         for p in pieces), np.zeros(self.sums.shape[1]))
-        else:
-            total = self.sums[[self[p] for p in pieces]].sum(0) if pieces else np.zeros(self.sums.shape[1])
-        count = total[-1]
-        if not count and not WORD.search(text):
-            return UNKNOWN, 0.0
-        means = total[:-1] / max(count, 1)
-        best = int(np.argmax(means))
-        shares = np.exp((means - means[best]) * min(count, TRUST))
-        return model.languages[best], float(1.0 / shares.sum())
+        new = list(pieces - self.keys())
+        rows, counts, owners = [], [], []
+        for place, piece in enumerate(new):
+            for word in WORD.findall(piece):
+                own = self.rows(word)
+                if own:
+                    rows += own
+                    counts.append(len(own))
+                    owners.append(place)
+        added = np.zeros((len(new), self.sums.shape[1]))
+        if rows:
+            starts = np.cumsum([0, *counts[:-1]])
+            words = np.add.reduceat(self.logs[rows], starts, axis=0) / np.array(counts)[:, None]
+            np.add.at(added, owners, np.hstack([words, np.ones((len(words), 1))]))
+        first = len(self.sums)
+        self.sums = np.concatenate([self.sums, added])
+        self.update(zip(new, range(first, first + len(new))))
+        self.bytes += sum(map(len, new))
+
+    def judge_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, score) of each text."""
+        model = self.model
+        if not model.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        pieces = [text.lower().split() if text else [] for text in texts]
+        self.learn(set().union(*pieces))
+        found = []
+        for text, own in zip(texts, pieces):
+            total = self.sums[[self[piece] for piece in own]].sum(0) if own else np.zeros(self.sums.shape[1])
+            count = total[-1]
+            if not count and not WORD.search(text or ""):
+                found.append((UNKNOWN, 0.0))
+                continue
+            means = total[:-1] / max(count, 1)
+            best = int(np.argmax(means))
+            shares = np.exp((means - means[best]) * min(count, TRUST))
+            found.append((model.languages[best], float(1.0 / shares.sum())))
+        return found
 
 
 def predict(
@@ -187,8 +203,7 @@ def predict(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(texts: list[str | None]) -> list:
-        scorer = scorer_of(shared)
-        return list(zip(*map(scorer.judge, texts))) or [[], []]
+        return list(zip(*scorer_of(shared).judge_all(texts))) or [[], []]
 
     return with_results(docs, text, f"`{name}` string, `{score}` double", judge, carry)
 

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,24 +33,28 @@ def test_small_sample_is_enough(corpus):
 def test_backoff(model):
     scorer = langid.Scorer(model)
     known = next(iter(model.words))
-    assert (scorer.word(known) == model.word_logs[model.words[known]]).all()
-    for length in langid.LENGTHS:
-        gram = next(g for g in model.grams if len(g.strip("_")) == length == len(g))
-        assert (scorer.word(gram) if length == 1 and gram not in model.words else True) is not None
+    assert scorer.rows(known) == [model.words[known]]
     unseen = "zzthe"
     assert unseen not in model.words
-    rows = [model.grams[g] for g in langid.grams_of(unseen, 4) if g in model.grams]
-    rows = rows or [model.grams[g] for g in langid.grams_of(unseen, 3) if g in model.grams]
-    assert (scorer.word(unseen) == model.gram_logs[rows].mean(0)).all()
-    assert scorer.word("日") is None
+    length = next(n for n in langid.LENGTHS if any(g in model.grams for g in langid.grams_of(unseen, n)))
+    rows = [model.grams[g] for g in langid.grams_of(unseen, length) if g in model.grams]
+    assert scorer.rows(unseen) == [len(model.words) + row for row in rows]
+    assert scorer.rows("日") == []
+    # a piece of several words sums them; a word of n-grams scores their mean
+    scorer.learn({f"{known}-{unseen}", "日"})
+    total = scorer.sums[scorer[f"{known}-{unseen}"]]
+    assert np.allclose(total[:-1], model.word_logs[model.words[known]] + model.gram_logs[rows].mean(0))
+    assert total[-1] == 2 and not scorer.sums[scorer["日"]].any()
 
 
 def test_same_with_a_full_memo(model, monkeypatch):
-    text = " ".join(["the and of", LONG[:5000], "Straße " * 30])
-    whole = langid.Scorer(model).judge(text)
-    monkeypatch.setattr(langid, "MEMO_ENTRIES", 8)
-    small = langid.Scorer(model).judge(text)
-    assert whole[0] == small[0] and abs(whole[1] - small[1]) < 1e-9
+    texts = [" ".join(["the and of", LONG[:5000], "Straße " * 30]), "und der", None, "les la"]
+    whole = langid.Scorer(model).judge_all(texts)
+    monkeypatch.setattr(langid, "MEMO_ENTRIES", 2)
+    small = langid.Scorer(model)
+    again = [small.judge_all([text])[0] for text in texts]
+    assert [w[0] for w in whole] == [a[0] for a in again]
+    assert all(abs(w[1] - a[1]) < 1e-9 for w, a in zip(whole, again))
 
 
 def test_only_the_text_counts(corpus, model):
