@@ -137,7 +137,8 @@ def later_copies(levels: dict[int, DataFrame], windows: DataFrame) -> DataFrame:
         .select("row", "doc_id", "first", "size", "head", "tail")
     )
     place = F.struct("doc_id", "row", "first")
-    earliest = (
+    # stored, so that the join can split an interval that holds very many windows
+    earliest = reliable(
         named.groupBy("head", "tail", "size").agg(F.min(place).alias("earliest"), F.count("*").alias("n"))
         .filter("n > 1").select("head", "tail", "size", "earliest")
     )

@@ -227,8 +227,12 @@ def keep_one(
     frame = numbered(docs)
     own_id, own_text = (f"c{names.index(c)}" for c in (doc_id, text))
     folder = scratch_folder(spark, "fingerprints")
-    with_fingerprint(frame, own_text, "fp", shingle).write.parquet(folder)
+    # Numbers of rows hold only for a table that is written.
+    numbered_rows = with_fingerprint(frame, own_text, "fp", shingle).withColumn("row", F.monotonically_increasing_id())
+    numbered_rows.write.parquet(folder)
     own = spark.read.parquet(folder)
-    groups = classes(own, "fp", own_id, radius, bucket)
-    kept = own.join(groups, "fp").filter(F.col(own_id).eqNullSafe(F.col("component_id"))).dropDuplicates(["root"])
+    slim = own.select("row", F.col(own_id).alias("own_id"), "fp")
+    first = F.col("own_id").eqNullSafe(F.col("component_id"))
+    stay = slim.join(classes(slim, "fp", "own_id", radius, bucket), "fp").filter(first)
+    kept = own.join(stay.groupBy("root").agg(F.min("row").alias("row")).select("row"), "row", "left_semi")
     return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
