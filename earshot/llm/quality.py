@@ -4,7 +4,8 @@ A line is a piece between newlines; words are `[^\\x20\\x09-\\x0D]+`. A line wit
 words is removed if one of three rules fails:
 
 * punctuation: a short line without an end mark (`MIN_OPEN_WORDS`), or a line of
-  which more than `MAX_MARK_SHARE` of the characters are marks and symbols;
+  which more than `MAX_MARK_SHARE` of the characters are punctuation and symbols
+  (vowel signs and other combining characters are parts of words);
 * navigation: items between separators (`|`, `>`, bullets), or a short line of menu words;
 * boilerplate: a short line with one of the fixed phrases.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +45,7 @@ MAX_MENU_WORDS = 6
 MAX_LOSS = 0.5
 
 END_MARKS = (".", "!", "?", "…", ":", ";", '"', "'", "”", "’", "»", ")", "]", "。", "！", "？", "।", "؟", "۔")
-MARKS = re.compile(r"[^\w\s]|_")
+MARKS = regex.compile(r"[\p{P}\p{S}]")
 SEPARATORS = frozenset({b"|", b">", b"<", b"/", "»".encode(), "›".encode(), "·".encode(), "•".encode(), b"::"})
 MENU_WORDS = frozenset(
     b"home menu login logout register search contact about sitemap next previous back top share print "

@@ -56,6 +56,21 @@ def test_line_rules(line, rule):
     assert quality.line_fails(raw, raw.split()) == rule
 
 
+HINDI = "नदी के किनारे पुरानी चक्की के पास लोग हर शाम बैठकर अपने बचपन की कहानियाँ सुनाते हैं और धीरे धीरे घर लौट जाते हैं।"
+TAMIL = "பழைய ஆற்றின் கரையில் உள்ள ஆலையின் அருகில் மக்கள் ஒவ்வொரு மாலையும் அமர்ந்து கதைகள் சொல்லி மெதுவாக வீடு திரும்புகிறார்கள்."
+ARABIC = "ذَهَبَ الوَلَدُ إِلَى المَدْرَسَةِ فِي الصَّبَاحِ وَقَرَأَ كِتَابًا جَمِيلًا عَنِ البَحْرِ ثُمَّ عَادَ إِلَى بَيْتِهِ."
+
+
+@pytest.mark.parametrize("line", [HINDI, TAMIL, ARABIC])
+def test_combining_characters_are_parts_of_words(line):
+    text = "\n".join(line.replace(" ", f" {i} ", 1) for i in range(4))
+    judged = quality.judge(text)
+    assert quality.line_fails(line.encode(), line.encode().split()) is None
+    assert judged[8] == judged[9] == 0 and judged[-1] == text
+    noisy = line.replace(" ", "!! ")
+    assert quality.line_fails(noisy.encode(), noisy.encode().split()) == "punctuation"
+
+
 def test_document_is_rejected_for_what_it_lost():
     junk = "Start | About | Contact | Imprint | Events | Tickets | Matters"
     other = "Nobody remembers who built it or when, but the wheel still turns in spring."
