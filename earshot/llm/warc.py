@@ -15,8 +15,8 @@ looked at below nodes that agree.
 
 Defined results: a null url or html is written as empty; a null page_id as an empty
 id, and read back as null. Repeated rows are records of their own. A missing or
-unreadable file has no leaves, so all its ranges count as damaged. An empty table
-gives no rows.
+unreadable file of either replica has no leaves, so all ranges of the other one count
+as damaged. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -250,10 +250,15 @@ def leafless(scanned: DataFrame) -> DataFrame:
 
 
 def check_replicas(spark: SparkSession, first: str, second: str) -> DataFrame:
-    """(shard, offset, length, page_id, hash, intact): each record of the first replica, and whether both agree on it."""
-    own = reliable(scan(spark, first))
-    bad = audit(own, scan(spark, second)).select(
-        F.col("shard").alias("of_shard"), F.col("offset").alias("of_offset"), F.lit(True).alias("bad")
-    )
-    joined = own.join(bad, (own["shard"] == bad["of_shard"]) & (own["offset"] == bad["of_offset"]), "left")
-    return joined.select("shard", "offset", "length", "page_id", "hash", F.col("bad").isNull().alias("intact"))
+    """(shard, offset, length, page_id, hash, side, intact): each range of either replica, and whether both agree on it.
+
+    `side` names the replicas with a range at this offset: both, first or second.
+    Length and hash are the first's where it has one; so is page_id, if it can be read there.
+    """
+    own, copy = reliable(scan(spark, first)), reliable(scan(spark, second))
+    bad = audit(own, copy).withColumn("bad", F.lit(True))
+    other = copy.select("shard", "offset", *(F.col(c).alias(f"other_{c}") for c in ("length", "page_id", "hash")))
+    joined = own.join(other, ["shard", "offset"], "full_outer").join(bad, ["shard", "offset"], "left")
+    side = F.when(F.col("other_hash").isNull(), "first").when(F.col("hash").isNull(), "second").otherwise("both")
+    values = (F.coalesce(c, f"other_{c}").alias(c) for c in ("length", "page_id", "hash"))
+    return joined.select("shard", "offset", *values, side.alias("side"), F.col("bad").isNull().alias("intact"))

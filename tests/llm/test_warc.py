@@ -70,6 +70,37 @@ def test_missing_and_cut_files(spark, records, tmp_path):
     assert audited(spark, first, str(tmp_path)) == {5}
 
 
+def test_missing_and_cut_files_of_the_first_replica(spark, records, tmp_path):
+    second = stored(spark, records, "b")
+    missing = scratch_folder(spark, "test")
+    spark.createDataFrame([], "value string").write.text(missing)
+    found = warc.check_replicas(spark, missing, second).collect()
+    assert sorted((r["page_id"] or 0, r["side"], r["intact"]) for r in found) == [
+        (page, "second", False) for page in (0, 1, 2, 3, 4, 4, 5)]
+    scanned = {(r["shard"], r["offset"], r["length"], bytes(r["hash"])) for r in warc.scan(spark, second).collect()}
+    assert {(r["shard"], r["offset"], r["length"], bytes(r["hash"])) for r in found} == scanned
+    content = b"".join(warc.record(*r) + warc.END for r in ROWS)
+    last = len(warc.record(*ROWS[-1]) + warc.END)
+    (tmp_path / "shard=0").mkdir()
+    cut = tmp_path / "shard=0" / "part-0.gz"
+    for length, side in ((len(content) - 200, "both"), (len(content) - last, "second")):
+        cut.write_bytes(gzip.compress(content[:length]))
+        rows = warc.check_replicas(spark, str(tmp_path), second).collect()
+        assert len(rows) == len(ROWS)
+        assert [(r["page_id"], r["side"]) for r in rows if not r["intact"]] == [(5, side)]
+    cut.write_bytes(b"no gzip")
+    rows = warc.check_replicas(spark, str(tmp_path), second).collect()
+    assert len(rows) == len(ROWS) and not any(r["intact"] for r in rows)
+
+
+def test_damaged_header_in_the_first_replica_is_named(spark, records, tmp_path):
+    good = [warc.record(*r) + warc.END for r in ROWS]
+    (tmp_path / "shard=0").mkdir()
+    broken = b"".join([good[0].replace(b"Content-Length", b"Content-Lengtg"), *good[1:]])
+    (tmp_path / "shard=0" / "part-0.gz").write_bytes(gzip.compress(broken))
+    assert audited(spark, str(tmp_path), stored(spark, records, "b")) == {1}
+
+
 def test_many_records_need_many_levels(spark):
     """One damaged record among thousands, in trees of several levels over shards and offsets."""
     pages = spark.range(6000).select(
