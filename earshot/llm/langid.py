@@ -8,9 +8,12 @@ A word without any known letter says nothing. The language with the largest mean
 over all words of the whole text wins, ties go to the first by name; the score is
 its share after a softmax over the means times the words counted (`TRUST` at most).
 
-The model is fitted on a bounded sample, about `SAMPLE` labelled rows chosen by a
-hash, with tables of `WORDS` words and `GRAMS` n-grams a length and language, so
-that it can be sent to every executor at any size of the corpus.
+The model is fitted on a bounded sample: all labelled rows if there are at most
+`SAMPLE`, else about as many different texts, dealt evenly over the languages and
+chosen by a hash of the text. A small language is learned whole, and no language gets
+less than `LEAST` texts. Copies count as often as they stand where a language is
+learned whole, else once. The tables hold `WORDS` words and `GRAMS` n-grams a length
+and language, so that the model can be sent to every executor at any size of the corpus.
 
 Defined results: `und` with score 0 for a null text or one without a letter, and
 for all texts where nothing was learned. Repeated rows are judged each on its own.
@@ -30,6 +33,7 @@ from earshot.llm.common import numbered, reliable, whole, with_results
 
 # Production parameters.
 SAMPLE = 20_000
+LEAST = 20
 WORDS = 20_000
 GRAMS = 10_000
 LENGTHS = (4, 3, 2, 1)
@@ -88,6 +92,29 @@ def table_of(rows: list, languages: list[str], totals: dict) -> tuple[dict[str,
     return entries, logs
 
 
+def shares_of(texts: dict[str, int], sample: int) -> dict[str, float]:
+    """The share of each language's texts to learn: what small ones leave of their part goes to the others."""
+    shares, left = {}, float(sample)
+    for place, (language, n) in enumerate(sorted(texts.items(), key=lambda own: (own[1], own[0]))):
+        quota = max(LEAST, left / (len(texts) - place))
+        shares[language] = min(1.0, quota / max(1, n))
+        left = max(0.0, left - min(quota, n))
+    return shares
+
+
+def sample_of(known: DataFrame, sample: int) -> DataFrame:
+    """(lang, text, copies): a sample of the labelled rows with every language in it."""
+    if known.count() <= sample:
+        return known.filter("text is not null").withColumn("copies", F.lit(1))
+    known = known.filter("text is not null").withColumn("hashed", F.xxhash64("text"))
+    counted = known.groupBy("lang").agg(F.approx_count_distinct("hashed").alias("n")).collect()
+    shares = list(shares_of({r["lang"]: r["n"] for r in counted}, sample).items())
+    shared = F.broadcast(known.sparkSession.createDataFrame(shares, "lang string, share double"))
+    chosen = known.join(shared, "lang").filter(F.pmod("hashed", F.lit(1 << 31)) < F.col("share") * (1 << 31))
+    copies = F.when(F.first("share") < 1, 1).otherwise(F.count("*")).alias("copies")
+    return chosen.groupBy("lang", "text").agg(copies)
+
+
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE,
     words: int = WORDS, grams: int = GRAMS,
@@ -98,13 +125,11 @@ def fit(
     `words` and `grams` a language and length.
     """
     known = labelled.select(whole(text).alias("text"), whole(lang).alias("lang")).filter("lang is not null")
-    share = min(1.0, sample / max(1, known.count()))
-    known = known.filter("text is not null")
-    chosen = known.filter(F.rand(0) < share) if share < 1 else known
     found = reliable(
-        with_results(chosen, "text", "entries array<string>",
-                     lambda texts: [[words_of(t) for t in texts]], ["lang"])
-        .select("lang", F.explode("entries").alias("entry")).groupBy("lang", "entry").agg(F.count("*").alias("n"))
+        with_results(sample_of(known, sample), "text", "entries array<string>",
+                     lambda texts: [[words_of(t) for t in texts]], ["lang", "copies"])
+        .select("lang", "copies", F.explode("entries").alias("entry"))
+        .groupBy("lang", "entry").agg(F.sum("copies").alias("n"))
     )
     by_kind = [found.select("lang", F.lit(0).alias("kind"), "entry", "n")]
     for length in LENGTHS:

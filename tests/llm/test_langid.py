@@ -30,6 +30,32 @@ def test_small_sample_is_enough(corpus):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows)
 
 
+def test_every_language_is_learned_from_a_sample(spark):
+    """Rows 3,000 to 1: 20 rows of the small language, and one text as a third of the large one."""
+    large = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "the mill and the river").otherwise(F.concat(F.lit("the river number "), "id")).alias("text"),
+        F.lit("en").alias("lang"))
+    few = spark.range(20).select(F.lit("நதி பழைய ஆலை நதி").alias("text"), F.lit("ta").alias("lang"))
+    labelled = large.union(few)
+    rows = langid.sample_of(labelled, 200).collect()
+    own = [(r["text"], r["copies"]) for r in rows if r["lang"] == "ta"]
+    assert own == [("நதி பழைய ஆலை நதி", 20)]
+    assert 100 < len(rows) < 300 and all(r["copies"] == 1 for r in rows if r["lang"] == "en")
+    assert langid.sample_of(labelled.repartition(5), 200).exceptAll(langid.sample_of(labelled, 200)).count() == 0
+    learned = langid.fit(labelled, sample=200)
+    assert learned.languages == ["en", "ta"]
+    (lang, score), = langid.Scorer(learned).judge_all(["பழைய நதி"])
+    assert lang == "ta" and score > langid.MIN_SCORE
+
+
+def test_shares():
+    shares = langid.shares_of({"a": 10**7, "b": 10**6, "c": 500, "d": 0}, 20_000)
+    assert shares["c"] == shares["d"] == 1
+    assert abs(shares["a"] * 10**7 - 9750) < 1 and abs(shares["b"] * 10**6 - 9750) < 1
+    many = langid.shares_of({str(i): 1000 for i in range(5000)}, 20_000)
+    assert all(share == langid.LEAST / 1000 for share in many.values())
+
+
 def test_backoff(model):
     scorer = langid.Scorer(model)
     known = next(iter(model.words))
