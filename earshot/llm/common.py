@@ -100,3 +100,30 @@ def few_rows(spark: SparkSession) -> None:
 def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     few_rows(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+# Rows that may be broadcast, and rows of one key that stay in one part of a join.
+SMALL_ROWS = 1 << 20
+KEY_ROWS = 4096
+
+
+def join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with rows of a few numbers, stored: sent to every executor if counted to be few, else shuffled.
+
+    `big` holds long texts or lists; a shuffle of it is worth avoiding where that is safe.
+    """
+    return big.join(F.broadcast(small) if small.count() <= SMALL_ROWS else small, on)
+
+
+def join_spread(left: DataFrame, right: DataFrame, on: list[str], rows: int = KEY_ROWS) -> DataFrame:
+    """Inner join with one row a key on the right, whatever the rows of a key on the left.
+
+    A key with more than `rows` rows is cut into parts of about so many; its row on
+    the right goes to each part. `left` is read twice: store it.
+    """
+    parts = left.groupBy(*on).agg(F.ceil(F.count("*") / rows).cast("int").alias("__parts")).filter("__parts > 1")
+    parts = reliable(parts)
+    one = F.coalesce("__parts", F.lit(1))
+    cut = left.join(parts, on, "left").withColumn("__part", F.floor(F.rand(0) * one).cast("int")).drop("__parts")
+    copies = right.join(parts, on, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), one - 1))).drop("__parts")
+    return cut.join(copies, [*on, "__part"]).drop("__part")
