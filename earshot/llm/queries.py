@@ -8,8 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import ann, chat, langid, linededup, packing, quality, simhash, tokenstore, warc, wordbpe
-from earshot.llm.common import documents_of
+from earshot.llm import (
+    ann,
+    chat,
+    hardneg,
+    jaccard,
+    langid,
+    linededup,
+    packing,
+    prefixtrie,
+    quality,
+    simhash,
+    tokenstore,
+    warc,
+    wordbpe,
+)
+from earshot.llm.common import documents_of, reliable
 from earshot.session import scratch_folder, share_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +243,116 @@ with records as (
 select page_id, strlen(record) as length, sha256(record) as sha256, coalesce(page_id % 97 <> 13, true) as intact
 from records
 """
+
+
+# Fixed values of the contract: conversations that share a head, and turns it may have.
+HEAD_GROUP, MOST_HEAD = 5, 8
+
+
+@query
+def op11_conversation_trie(spark, sf_dir):
+    turns = prefixtrie.number_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    rebuilt, convs = prefixtrie.with_shared_heads(reliable(turns), HEAD_GROUP, MOST_HEAD)
+    return prefixtrie.trie(rebuilt, convs)
+
+
+# crc32 as its definition: bit by bit over the digits of the id.
+CRC_STEP = "xor(c >> 1, 3988292384 * (c & 1))"
+CRC_BYTE = CRC_STEP
+for _ in range(7):
+    CRC_BYTE = f"list_transform([{CRC_BYTE}], lambda c: {CRC_STEP})[1]"
+ORACLE["op11_conversation_trie"] = rf"""
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+    from conversations where conv_id is not null
+),
+convs as (
+    select conv_id, conv_id - conv_id % 5 as head, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda d: ascii(d)::bigint)),
+        lambda a, b: list_transform([xor(a, b)], lambda c: {CRC_BYTE})[1]), 4294967295) % 9 as h
+    from (select distinct conv_id from turns)
+),
+given as (
+    select c.conv_id, t.role, t.text, t.i from convs c join turns t on t.conv_id = c.head and t.i <= c.h
+),
+heads as (select conv_id, count(*) as n from given group by conv_id),
+rebuilt as (
+    select * from given
+    union all
+    select c.conv_id, t.role, t.text, coalesce(n, 0) + t.i - c.h
+    from convs c join turns t on t.conv_id = c.conv_id and t.i > c.h left join heads on heads.conv_id = c.conv_id
+),
+paths as (
+    select *, string_agg(md5(strlen(role) || ' ' || role || text), '' order by i)
+        over (partition by conv_id order by i rows unbounded preceding) as chain
+    from rebuilt
+),
+stops as (
+    select conv_id, 0 as depth, md5('') as node, 0 as bytes from convs
+    union all select conv_id, i, md5(chain), strlen(text) from paths
+),
+ends as (select conv_id, max_by(node, depth) as node from stops group by conv_id),
+ended as (
+    select node, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as sha from ends group by node
+),
+nodes as (
+    select node, any_value(depth) as depth, any_value(bytes) as bytes, min(conv_id) as conv_id, count(*) as n_convs
+    from stops group by node
+),
+edges as (
+    select distinct up.node as parent, down.node from stops up
+    join stops down on up.conv_id = down.conv_id and down.depth = up.depth + 1
+),
+families as (select parent, count(*) as n from edges group by parent),
+inside as (
+    select distinct up.node as top, down.node from stops up
+    join stops down on up.conv_id = down.conv_id and down.depth >= up.depth
+),
+sums as (
+    select top, count(*) filter (where f.n is null) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved
+    from inside join nodes n on n.node = inside.node left join families f on f.parent = inside.node group by top
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(f.n, 0) as n_children,
+    n_leaves, cast(saved as bigint) as saved_tokens, coalesce(sha, sha256('')) as ends_sha256
+from nodes n join sums on top = n.node left join families f on f.parent = n.node
+left join edges e on e.node = n.node left join nodes p on p.node = e.parent left join ended on ended.node = n.node
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(vectors.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = r"""
+with rows as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as vec
+    from embeddings
+    where vec_id is not null and label is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+),
+scored as (
+    select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+        cast(list_inner_product(a.vec, r.vec) as bigint) as score
+    from rows a join rows r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, cast(row_number() over w as int) as rank, vec_id as negative_id, positive_score,
+    score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not same
+    and 80 * positive_score <= 100 * score and score <= positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 5
+"""
+
+
+@query
+def op13_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(documents_of(spark, sf_dir).select("doc_id", "text"), words=3, percent=90)
