@@ -115,13 +115,17 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     return big.join(F.broadcast(small) if small.count() <= SMALL_ROWS else small, on)
 
 
-def join_spread(left: DataFrame, right: DataFrame, on: list[str], rows: int = KEY_ROWS) -> DataFrame:
+def join_spread(
+    left: DataFrame, right: DataFrame, on: list[str], rows: int = KEY_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Inner join with one row a key on the right, whatever the rows of a key on the left.
 
     A key with more than `rows` rows is cut into parts of about so many; its row on
-    the right goes to each part. `left` is read twice: store it.
+    the right goes to each part. The rows of a key are counted in `counted`, a stored
+    table with the keys of `left` (by default `left` itself).
     """
-    parts = left.groupBy(*on).agg(F.ceil(F.count("*") / rows).cast("int").alias("__parts")).filter("__parts > 1")
+    keys = left if counted is None else counted
+    parts = keys.groupBy(*on).agg(F.ceil(F.count("*") / rows).cast("int").alias("__parts")).filter("__parts > 1")
     parts = reliable(parts)
     one = F.coalesce("__parts", F.lit(1))
     cut = left.join(parts, on, "left").withColumn("__part", F.floor(F.rand(0) * one).cast("int")).drop("__parts")

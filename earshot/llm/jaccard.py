@@ -2,13 +2,18 @@
 
 A document is the set of its word shingles, each hashed to 64 bits (XXH3; two
 shingles of a pair of documents share a hash by accident with a chance of 2^-64 each).
-Equal sets are one class and searched once. Shingles stand in one global order: a
-`SHARE` of all hashes, the smallest, come first, rarest first by the exact number of
-classes that hold them and then by hash; the other hashes follow by hash. If two sets
-of sizes a and b reach the similarity t, they share a shingle among the first
-a - ceil(t a) + 1 of one and b - ceil(t b) + 1 of the other. So counts are needed for
-the first share only, which nearly always holds the whole prefix, and a shingle that
-one class alone holds is never moved again.
+Equal sets are one class and searched once. In any one order of all shingles, two sets
+of sizes a and b that reach the similarity t share a shingle among the first
+a - ceil(t a) + 1 of one and b - ceil(t b) + 1 of the other, their prefixes. This is used
+twice, so that most shingles are never moved:
+
+* Candidates. The order puts a `SHARE` of all hashes, the smallest, first, rarest first
+  by the exact number of classes that hold them, then the others by hash. The share
+  nearly always holds the whole prefix, so only it is counted. A class whose
+  prefix no other class meets has no link.
+* Join. The whole sets of the candidates, every shingle counted, rarest first. Here a
+  text with many words of its own has a prefix of its own, however much of the rest is
+  common.
 
 Prefixes meet by shingle, and three filters go over a meeting at places i and j:
 
@@ -79,14 +84,14 @@ def lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def with_sets(docs: DataFrame, text: str, words: int, percent: int, share: float, carry: list[str]) -> DataFrame:
-    """Per row: size, two halves of the set's digest, the counted hashes, their number, part sizes.
+    """Per row: size, two halves of the set's digest, and the hashes of the counted share.
 
-    `tokens` holds the hashes of the counted share, and so many more as the prefix needs.
+    `tokens` holds the `counted` hashes, and so many more as the prefix needs.
     """
     limit = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
 
     def compute(texts: list[str | None]) -> list:
-        sizes, halves, counted, tokens, parts = [], [], [], [], []
+        sizes, halves, counted, tokens = [], [], [], []
         for one in texts:
             shingles = shingles_of(one, words)
             hashes = hashes_of(shingles)
@@ -98,51 +103,59 @@ def with_sets(docs: DataFrame, text: str, words: int, percent: int, share: float
             halves.append(np.frombuffer(digest, "<i8"))
             counted.append(first)
             tokens.append(hashes[: max(first, prefix)].view(np.int64))
-            parts.append(np.bincount((hashes >> PIVOT_SHIFT).astype(np.int64), minlength=PIVOTS))
         first, second = zip(*halves) if halves else ((), ())
-        return [sizes, [int(h) for h in first], [int(h) for h in second], counted,
-                lists(tokens, pa.int64()), lists(parts, pa.int32())]
+        return [sizes, [int(h) for h in first], [int(h) for h in second], counted, lists(tokens, pa.int64())]
 
-    made = "size int, half1 bigint, half2 bigint, counted int, tokens array<bigint>, parts array<int>"
+    made = "size int, half1 bigint, half2 bigint, counted int, tokens array<bigint>"
     return with_results(docs, text, made, compute, carry)
 
 
 def with_hashes(docs: DataFrame, text: str, words: int, carry: list[str]) -> DataFrame:
-    """Per row: `hashes`, the whole set."""
+    """Per row: `tokens`, the whole set, its `size`, and the sizes of its `parts` between the pivots."""
 
     def compute(texts: list[str | None]) -> list:
-        return [lists([hashes_of(shingles_of(one, words)).view(np.int64) for one in texts], pa.int64())]
+        sets = [hashes_of(shingles_of(one, words)) for one in texts]
+        parts = [np.bincount((one >> PIVOT_SHIFT).astype(np.int64), minlength=PIVOTS) for one in sets]
+        return [[len(one) for one in sets], lists([one.view(np.int64) for one in sets], pa.int64()),
+                lists(parts, pa.int32())]
 
-    return with_results(docs, text, "hashes array<bigint>", compute, carry)
+    return with_results(docs, text, "size int, tokens array<bigint>, parts array<int>", compute, carry)
 
 
 def prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, size, place, rare, parts): the shingles of each prefix that other classes may hold.
+    """(token, node, size, place, rare): the shingles of each prefix that other classes may hold.
 
-    `classes` has node, size, counted, tokens and parts. `rare` is the share of the
-    counted shingles that no other class holds.
+    `classes` has node, size, counted (the first so many tokens are counted) and
+    tokens. `rare` is the share of the counted shingles that no other class holds.
     """
     counted = classes.select("node", F.explode(F.slice("tokens", F.lit(1), F.col("counted"))).alias("token"))
     often = reliable(counted.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     shared = (
-        counted.join(often, "token")
+        join_small(counted, often, ["token"])
         .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     )
     length = F.col("size") - overlap_of("size", percent) + 1
-    slim = classes.select("node", "size", "counted", "parts", length.alias("length"))
+    slim = classes.select("node", "size", "counted", length.alias("length"))
     rare = (F.col("alone") / F.greatest("counted", F.lit(1))).alias("rare")
     alone = slim.join(shared, "node").withColumn("alone", F.col("counted") - F.size("shared"))
-    first = alone.select("node", "size", rare, "parts", F.inline(F.transform(
+    first = alone.select("node", "size", rare, F.inline(F.transform(
         F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.col("length") - F.col("alone"))),
         lambda x, i: F.struct(x["token"].alias("token"), (F.col("alone") + i).alias("place")),
     )))
     # Sets with too few counted shingles: the next ones by hash.
     short = classes.withColumn("length", length).filter("length > counted")
-    rest = short.select("node", "size", F.lit(1.0).alias("rare"), "parts", F.inline(F.transform(
+    rest = short.select("node", "size", F.lit(1.0).alias("rare"), F.inline(F.transform(
         F.slice("tokens", F.col("counted") + 1, F.col("length") - F.col("counted")),
         lambda x, i: F.struct(x.alias("token"), (F.col("counted") + i).alias("place")),
     )))
-    return first.unionByName(rest).select("token", "node", "size", "place", "rare", "parts")
+    return first.unionByName(rest).select("token", "node", "size", "place", "rare")
+
+
+def candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """The nodes whose prefix meets another one."""
+    entries = reliable(prefixes(classes, percent).select("token", "node"))
+    met = entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
+    return entries.join(met, "token").select("node").distinct()
 
 
 def may_link(a: str, b: str, percent: int) -> Column:
@@ -193,16 +206,16 @@ def pairs_across(entries: DataFrame, roots: DataFrame, percent: int) -> DataFram
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that reach the similarity, from (node, hashes)."""
-    left = join_spread(pairs, sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a")), ["a"])
-    both = join_spread(left, sets.select(F.col("node").alias("b"), F.col("hashes").alias("of_b")), ["b"])
+    """The pairs (a, b) of nodes that reach the similarity, from (node, tokens)."""
+    left = join_spread(pairs, sets.select(F.col("node").alias("a"), F.col("tokens").alias("of_a")), ["a"])
+    both = join_spread(left, sets.select(F.col("node").alias("b"), F.col("tokens").alias("of_b")), ["b"], counted=pairs)
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - F.col("common")
     return both.withColumn("common", common).filter(100 * F.col("common") >= percent * union).select("a", "b")
 
 
 def classes_of(docs: DataFrame, text: str, words: int, percent: int, share: float) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): every row with its class, and the classes with their shingles.
+    """(rows, classes): every row with its class, and the classes with their counted shingles.
 
     `docs` has `id` and the text. A text is known by two hashes, so that the texts of
     classes can be found again without moving all.
@@ -213,28 +226,25 @@ def classes_of(docs: DataFrame, text: str, words: int, percent: int, share: floa
     own = ["half1", "half2", "size"]
     firsts = reliable(rows.groupBy(*own).agg(F.min("row").alias("node"), F.min("id").alias("first_id")))
     chosen = join_small(rows.filter("size > 0"), firsts.select(F.col("node").alias("row")), ["row"])
-    classes = chosen.select(F.col("row").alias("node"), "text1", "text2", "size", "counted", "tokens", "parts")
+    classes = chosen.select(F.col("row").alias("node"), "text1", "text2", "size", "counted", "tokens")
     return rows.select("id", *own).join(firsts, own), classes
 
 
 def links_between(docs: DataFrame, classes: DataFrame, text: str, words: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all classes of the similarity, directly or in steps."""
-    entries = reliable(prefixes(classes, percent))
-    known = classes.select("node", "text1", "text2")
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = reliable(known.join(needed, "node"))
-        keyed = docs.select(F.xxhash64(text).alias("text1"), F.xxhash64(F.lit(1), text).alias("text2"), text)
-        found = join_small(keyed, wanted, ["text1", "text2"])
-        # A text may stand in several rows.
-        return reliable(with_hashes(found, text, words, ["node"]).dropDuplicates(["node"]))
+    wanted = reliable(classes.select("node", "text1", "text2").join(candidates(classes, percent), "node"))
+    keyed = docs.select(F.xxhash64(text).alias("text1"), F.xxhash64(F.lit(1), text).alias("text2"), text)
+    found = join_small(keyed, wanted, ["text1", "text2"])
+    # A text may stand in several rows.
+    sets = reliable(with_hashes(found, text, words, ["node"]).dropDuplicates(["node"]))
+    entries = reliable(
+        prefixes(sets.withColumn("counted", F.col("size")), percent).join(sets.select("node", "parts"), "node"))
 
     first = reliable(pairs_with_leaders(entries, percent))
-    links = reliable(verified(first, sets_of(first), percent))
-    roots = components(links).withColumnRenamed("node", "of").select(F.col("of").alias("node"), "root")
+    links = reliable(verified(first, sets, percent))
+    roots = components(links).select("node", "root")
     second = reliable(pairs_across(entries, reliable(roots), percent).join(first, ["a", "b"], "left_anti"))
-    return links.unionByName(verified(second, sets_of(second), percent))
+    return links.unionByName(verified(second, sets, percent))
 
 
 def near_duplicates(
