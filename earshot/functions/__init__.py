@@ -10,9 +10,10 @@ from earshot.functions.dates import (
 from earshot.functions.numbers import (
     percent,
     round_to_long,
-    rounded_mean,
+    rounded_quotient,
     rounded_ratio,
     safe_long,
+    scaled_long,
 )
 from earshot.functions.text import (
     NULL_WORDS,
@@ -32,8 +33,9 @@ __all__ = [
     "null_words_to_null",
     "percent",
     "round_to_long",
-    "rounded_mean",
+    "rounded_quotient",
     "rounded_ratio",
     "safe_date",
     "safe_long",
+    "scaled_long",
 ]

@@ -1,11 +1,17 @@
 """DataFrame to DataFrame operators shared by the sources, models and views."""
 
 from earshot.operators.aggregate import (
+    Measure,
     aggregate_with_distincts,
+    count_where,
     distinct_values,
     group_known,
-    one_row_per_key,
+    mean,
     one_row_of_totals,
+    one_row_per_key,
+    row_count,
+    share_where,
+    total,
     value_at_largest,
 )
 from earshot.operators.filters import (
@@ -23,13 +29,16 @@ from earshot.operators.joins import (
     lookup_or_keep,
     pair_months_with,
 )
+from earshot.operators.order import with_place
 from earshot.operators.quality import QualityError, enforce, quality_report
 from earshot.operators.topk import top_ascending
 
 __all__ = [
+    "Measure",
     "QualityError",
     "Window",
     "aggregate_with_distincts",
+    "count_where",
     "distinct_values",
     "enforce",
     "full_join_on_month",
@@ -38,6 +47,7 @@ __all__ = [
     "keep_complete",
     "left_join_fanout",
     "lookup_or_keep",
+    "mean",
     "one_row_of_totals",
     "one_row_per_key",
     "pair_months_with",
@@ -45,7 +55,11 @@ __all__ = [
     "pick_date_column",
     "quality_report",
     "rename_dots",
+    "row_count",
+    "share_where",
     "top_ascending",
+    "total",
     "value_at_largest",
     "window_report",
+    "with_place",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,11 +61,12 @@ def pair_months_with(months: DataFrame, others: DataFrame, slots: int | None = N
     return copies.join(spread, "__slot", "inner").drop("__slot")
 
 
-def lookup_or_keep(df: DataFrame, names: DataFrame, key: str, name: str, output: str) -> DataFrame:
-    """Add `output`: the looked-up name, or the key itself if it has none.
+def lookup_or_keep(df: DataFrame, names: Mapping[str, str], key: str, output: str) -> DataFrame:
+    """Add `output`: the name of the key in a fixed list, or the key itself if it has none.
 
-    How it is joined is left to Spark, which knows the size of `names`.
+    The list is part of the program, so it is a constant of the plan: no join.
     """
-    return df.join(names, key, "left").withColumn(
-        output, F.coalesce(F.col(name), F.col(key))
-    ).drop(*({name} - {output}))
+    if not names:
+        return df.withColumn(output, F.col(key))
+    constants = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
+    return df.withColumn(output, F.coalesce(F.try_element_at(constants, F.col(key)), F.col(key)))

@@ -155,8 +155,8 @@ def build_marts(staged: Mapping[str, DataFrame], out: str) -> dict[str, DataFram
         "genre_category_matrix": marts.genre_category_matrix(genres, reviews, totals),
     }
     tables |= store(pairs, f"{out}/marts")
-    podcasts = marts.current_podcasts(reviews, tables["chart_monthly"], totals)
-    timeline = marts.ecosystem_timeline(genres, reviews, tables["music_trends"], podcasts)
+    timeline = marts.ecosystem_timeline(
+        genres, reviews, tables["music_trends"], tables["chart_monthly"], totals)
     return tables | store({"ecosystem_timeline": timeline}, f"{out}/marts")
 
 

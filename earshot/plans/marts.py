@@ -7,19 +7,24 @@ has to scan a fact table another one has already scanned.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions import (
-    contains_any,
-    month_key,
-    rounded_mean,
-    rounded_ratio,
+from earshot.functions import contains_any, month_key, rounded_ratio
+from earshot.operators.aggregate import (
+    aggregate_with_distincts,
+    count_where,
+    mean,
+    row_count,
+    share_where,
+    total,
+    value_at_largest,
 )
-from earshot.operators.aggregate import aggregate_with_distincts, value_at_largest
 from earshot.operators.joins import MONTH, full_join_on_month, pair_months_with
 
-MS_PER_MINUTE = 60000.0
+MS_PER_MINUTE = 60_000
+# Digits to which durations are added up; other values go to the library's default.
+DURATION_DIGITS = 3
 
 # A chart entry counts for a genre if its genre text holds one of
 # the words. The words overlap on purpose ("pop" is in "k-pop").
@@ -69,6 +74,8 @@ CHART_COLUMNS = {
     "podcast_shows_charting": "bigint",
     "podcast_top_category": "string",
 }
+# The column that names the window of a row, and its two values.
+SOURCE, REVIEWS, CHARTS = "podcast_data_source", "reviews", "charts"
 # Shows and ratings a category needs.
 MIN_SHOWS = 10
 MIN_RATINGS = 1000
@@ -89,12 +96,12 @@ def music_trends(charts: DataFrame) -> DataFrame:
         charts,
         keys={"month_start": F.trunc("snapshot_date", "month"), "country": F.col("country")},
         measures=[
-            F.count(F.lit(1)).alias("total_chart_entries"),
-            *[rounded_mean(c, digits).alias(f"avg_{c}") for c, digits in MUSIC_MEANS.items()],
-            rounded_ratio(F.count_if("is_explicit"), F.count(F.lit(1)), 3).alias("explicit_ratio"),
-            rounded_mean("duration_ms", 1, MS_PER_MINUTE).alias("avg_duration_minutes"),
+            row_count("total_chart_entries"),
+            *[mean(c, digits, f"avg_{c}") for c, digits in MUSIC_MEANS.items()],
+            share_where(F.col("is_explicit"), 3, "explicit_ratio"),
+            mean("duration_ms", 1, "avg_duration_minutes", MS_PER_MINUTE, DURATION_DIGITS),
         ],
-        distincts={"unique_tracks": "spotify_id", "unique_artists": "artists"},
+        distincts={"unique_artists": "artists", "unique_tracks": "spotify_id"},
     )
     return by_month.select(
         month_key(F.col("month_start")).alias(MONTH),
@@ -114,17 +121,17 @@ def genre_monthly(historical: DataFrame) -> DataFrame:
         historical,
         keys={MONTH: F.col("chart_month")},
         measures=[
-            F.count(F.lit(1)).alias("total_chart_entries"),
-            rounded_mean("streams", 0).alias("avg_streams"),
+            row_count("total_chart_entries"),
+            mean("streams", 0, "avg_streams", input_digits=0),
             *[
-                F.count_if(contains_any(F.col("artist_genres"), words)).alias(f"{genre}_entries")
+                count_where(contains_any(F.col("artist_genres"), words), f"{genre}_entries")
                 for genre, words in GENRE_WORDS.items()
             ],
         ],
         distincts={
-            "unique_tracks": "track_id",
-            "unique_artists": "artists",
             "countries_active": "country",
+            "unique_artists": "artists",
+            "unique_tracks": "track_id",
         },
     ).select(
         MONTH,
@@ -146,10 +153,10 @@ def review_monthly(reviews: DataFrame) -> DataFrame:
         reviews,
         keys={MONTH: F.col("review_month")},
         measures=[
-            F.count(F.lit(1)).alias("review_count"),
-            rounded_mean("rating", 2).alias("avg_rating"),
-            F.count_if(F.col("rating") == 5).alias("five_star_count"),
-            F.count_if(F.col("rating") == 1).alias("one_star_count"),
+            row_count("review_count"),
+            mean("rating", 2, "avg_rating", input_digits=0),
+            count_where(F.col("rating") == 5, "five_star_count"),
+            count_where(F.col("rating") == 1, "one_star_count"),
         ],
         distincts={"podcasts_reviewed": "podcast_id", "unique_reviewers": "author_id"},
     ).select(
@@ -174,8 +181,8 @@ def chart_monthly(charts: DataFrame) -> DataFrame:
         charts,
         keys={MONTH: F.col("chart_month")},
         measures=[
-            F.count(F.lit(1)).alias("chart_entries"),
-            rounded_mean("duration_ms", 1, MS_PER_MINUTE).alias("avg_episode_duration_minutes"),
+            row_count("chart_entries"),
+            mean("duration_ms", 1, "avg_episode_duration_minutes", MS_PER_MINUTE, 0),
         ],
         distincts={"unique_shows_charting": "show_name"},
     ).select(MONTH, "chart_entries", "unique_shows_charting", "avg_episode_duration_minutes")
@@ -187,8 +194,8 @@ def category_totals(shows: DataFrame) -> DataFrame:
         shows,
         keys={"category": F.col("category")},
         measures=[
-            rounded_mean("average_rating", 2).alias("category_avg_rating"),
-            F.sum("ratings_count").alias("category_total_ratings"),
+            mean("average_rating", 2, "category_avg_rating"),
+            total("ratings_count", "category_total_ratings"),
         ],
         distincts={"shows_in_category": "podcast_id"},
     ).select("category", "shows_in_category", "category_avg_rating", "category_total_ratings")
@@ -293,20 +300,31 @@ def current_music(trends: DataFrame) -> DataFrame:
     Tracks and artists are sums over countries, and the means are unweighted
     means of the already rounded country means.
     """
-    means = [c for c in MUSIC_PROFILE if c != "music_explicit_ratio"]
-    return trends.groupBy(MONTH).agg(
-        F.sum("total_chart_entries").alias("music_chart_entries"),
-        F.countDistinct("country").alias("countries_active"),
-        F.sum("unique_tracks").alias("music_unique_tracks"),
-        F.sum("unique_artists").alias("music_unique_artists"),
-        *[
-            rounded_mean(c.removeprefix("music_"), MUSIC_MEANS[c.removeprefix("music_avg_")]).alias(c)
-            for c in means
+    digits = {f"avg_{c}": n for c, n in MUSIC_MEANS.items()} | {"explicit_ratio": 3}
+    # A country stands once a month.
+    known = count_where(F.col("country").isNotNull(), "countries_active")
+    return aggregate_with_distincts(
+        trends,
+        keys={MONTH: F.col(MONTH)},
+        measures=[
+            total("total_chart_entries", "music_chart_entries"),
+            known,
+            total("unique_tracks", "music_unique_tracks"),
+            total("unique_artists", "music_unique_artists"),
+            *[mean(c, digits[c], f"music_{c}") for c in (name.removeprefix("music_") for name in MUSIC_PROFILE)],
         ],
-        rounded_mean("explicit_ratio", 3).alias("music_explicit_ratio"),
     )
 
 
+def active_categories(totals: DataFrame) -> DataFrame:
+    """One row: categories with enough shows, and the one with the most ratings; no row without a category."""
+    return category_summary_by_shows(totals).agg(
+        F.count("category").alias("podcast_categories_active"),
+        value_at_largest("category", "category_total_ratings").alias("podcast_top_category"),
+        F.count(F.lit(1)).alias("__rows"),
+    ).filter("__rows > 0").drop("__rows")
+
+
 def current_podcasts(reviews: DataFrame, charts: DataFrame, totals: DataFrame) -> DataFrame:
     """Window 2, podcast side, from the tables `podcast_trends` is made of.
 
@@ -318,13 +336,8 @@ def current_podcasts(reviews: DataFrame, charts: DataFrame, totals: DataFrame) -
         F.col("chart_entries").alias("podcast_chart_entries"),
         F.col("unique_shows_charting").alias("podcast_shows_charting"),
     )
-    categories = category_summary_by_shows(totals)
-    active = categories.agg(
-        F.count("category").alias("podcast_categories_active"),
-        value_at_largest("category", "category_total_ratings").alias("podcast_top_category"),
-        F.count(F.lit(1)).alias("__rows"),
-    ).filter("__rows > 0")
-    return pair_months_with(months, active, slots=1).select(MONTH, *_missing(REVIEW_COLUMNS), *CHART_COLUMNS)
+    paired = pair_months_with(months, active_categories(totals), slots=1)
+    return paired.select(MONTH, *_missing(REVIEW_COLUMNS), *CHART_COLUMNS)
 
 
 def _timeline_window(music: DataFrame, podcasts: DataFrame, source: str) -> DataFrame:
@@ -337,28 +350,66 @@ def _timeline_window(music: DataFrame, podcasts: DataFrame, source: str) -> Data
         *MUSIC_PROFILE,
         *REVIEW_COLUMNS,
         *CHART_COLUMNS,
-        F.lit(source).alias("podcast_data_source"),
+        F.lit(source).alias(SOURCE),
     )
 
 
 def ecosystem_window_1(genres: DataFrame, reviews: DataFrame) -> DataFrame:
     """Historical charts next to reviews, by month."""
-    return _timeline_window(historical_music(genres), historical_podcasts(reviews), "reviews")
+    return _timeline_window(historical_music(genres), historical_podcasts(reviews), REVIEWS)
 
 
 def ecosystem_window_2(music: DataFrame, podcasts: DataFrame) -> DataFrame:
     """Current music charts next to podcast charts, by month, from `music_trends` and `current_podcasts`."""
-    return _timeline_window(current_music(music), podcasts, "charts")
+    return _timeline_window(current_music(music), podcasts, CHARTS)
+
+
+def both_podcast_windows(reviews: DataFrame, charts: DataFrame, totals: DataFrame) -> DataFrame:
+    """`historical_podcasts` and `current_podcasts` stacked, with their source; each table is read once.
+
+    Reviews and charts are joined by month once; a month then gives a row for each
+    window it stands in.
+    """
+    marked = reviews.withColumn("__reviewed", F.lit(True))
+    months = full_join_on_month(marked, charts)
+    windows = months.withColumn(SOURCE, F.explode(F.array(F.lit(REVIEWS), F.lit(CHARTS))))
+    active = active_categories(totals).withColumn(SOURCE, F.lit(CHARTS))
+    rows = windows.join(active, SOURCE, "left").filter(
+        F.when(F.col(SOURCE) == REVIEWS, F.col("__reviewed")).otherwise(F.col("podcast_categories_active").isNotNull())
+    )
+    reviewed = {
+        "podcast_total_reviews": "review_count",
+        "podcast_shows_reviewed": "podcasts_reviewed",
+        "podcast_unique_reviewers": "unique_reviewers",
+        "podcast_avg_rating": "avg_rating",
+    }
+    charted = {
+        "podcast_categories_active": "podcast_categories_active",
+        "podcast_chart_entries": "chart_entries",
+        "podcast_shows_charting": "unique_shows_charting",
+        "podcast_top_category": "podcast_top_category",
+    }
+    return rows.select(
+        MONTH, SOURCE,
+        *[F.when(F.col(SOURCE) == REVIEWS, F.col(c)).alias(name) for name, c in reviewed.items()],
+        *[F.when(F.col(SOURCE) == CHARTS, F.col(c)).alias(name) for name, c in charted.items()],
+    )
 
 
 def ecosystem_timeline(
-    genres: DataFrame, reviews: DataFrame, music: DataFrame, podcasts: DataFrame
+    genres: DataFrame, reviews: DataFrame, music: DataFrame, charts: DataFrame, totals: DataFrame
 ) -> DataFrame:
-    """Both windows stacked, from `genre_monthly`, `review_monthly`, `music_trends` and
-    `current_podcasts`. A month may stand in both; both rows are kept."""
-    windows = ecosystem_window_1(genres, reviews).unionByName(ecosystem_window_2(music, podcasts))
+    """Both windows stacked, from `genre_monthly`, `review_monthly`, `music_trends`,
+    `chart_monthly` and `category_totals`, each read once. A month may stand in both
+    windows; both rows are kept."""
+    both_music = historical_music(genres).withColumn(SOURCE, F.lit(REVIEWS)).unionByName(
+        current_music(music).withColumn(SOURCE, F.lit(CHARTS)))
+    windows = both_music.join(both_podcast_windows(reviews, charts, totals), [MONTH, SOURCE], "full_outer")
     ratio = rounded_ratio("podcast_total_reviews", "music_chart_entries", 4)
-    return windows.withColumn("podcast_to_music_ratio", ratio)
+    return windows.select(
+        MONTH, "music_chart_entries", "countries_active", "music_unique_tracks", "music_unique_artists",
+        *MUSIC_PROFILE, *REVIEW_COLUMNS, *CHART_COLUMNS, SOURCE, ratio.alias("podcast_to_music_ratio"),
+    )
 
 
 # Row order of each mart. Tables store none, so it is applied on
@@ -371,6 +422,11 @@ SORT_KEYS = {
 }
 
 
+def mart_order(mart: str) -> list[Column]:
+    """What a mart is sorted by (NULLs first ascending, last descending)."""
+    return [F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in SORT_KEYS[mart]]
+
+
 def in_mart_order(df: DataFrame, mart: str) -> DataFrame:
-    """The mart sorted as published (NULLs first ascending, last descending)."""
-    return df.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in SORT_KEYS[mart]])
+    """The mart sorted as published."""
+    return df.orderBy(*mart_order(mart))

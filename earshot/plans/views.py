@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions import before_separator, percent
@@ -113,11 +113,6 @@ GENRE_LABELS = {
 DEFAULT_GENRES = ["Pop", "Hip-Hop/Rap", "Latin", "Rock"]
 
 
-def country_names(spark: SparkSession) -> DataFrame:
-    """The fixed display names as a table: country, display_name."""
-    return spark.createDataFrame(list(COUNTRY_NAMES.items()), "country string, display_name string")
-
-
 def headline_numbers(
     genres: DataFrame, reviews: DataFrame, charts: DataFrame, music: DataFrame, categories: DataFrame
 ) -> DataFrame:
@@ -132,13 +127,11 @@ def headline_numbers(
     months = F.count(F.lit(1))
     totals = one_row_of_totals(
         [
-            (genres, F.sum(entries).alias("old_entries")),
-            (music, F.sum(entries).alias("new_entries")),
-            (reviews, F.sum("review_count").alias("total_podcast_reviews")),
-            (reviews, months.alias("review_months")),
-            (charts, months.alias("chart_months")),
-            (music, F.avg("avg_popularity").alias("avg_music_popularity")),
-            (categories, F.avg("category_avg_rating").alias("avg_category_rating")),
+            (genres, [F.sum(entries).alias("old_entries")]),
+            (music, [F.sum(entries).alias("new_entries"), F.avg("avg_popularity").alias("avg_music_popularity")]),
+            (reviews, [F.sum("review_count").alias("total_podcast_reviews"), months.alias("review_months")]),
+            (charts, [months.alias("chart_months")]),
+            (categories, [F.avg("category_avg_rating").alias("avg_category_rating")]),
         ]
     )
     zero = F.lit(0)  # the sum of nothing is 0
@@ -178,8 +171,7 @@ def top_categories_by_score(categories: DataFrame, n: int = 15) -> DataFrame:
 
 def with_display_name(df: DataFrame) -> DataFrame:
     """Add `display_name`; an unknown code is its own name."""
-    names = country_names(df.sparkSession)
-    return lookup_or_keep(df, names, "country", "display_name", "display_name")
+    return lookup_or_keep(df, COUNTRY_NAMES, "country", "display_name")
 
 
 def country_list(music: DataFrame) -> DataFrame:

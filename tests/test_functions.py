@@ -66,12 +66,17 @@ def test_rounded_ratio_is_null_on_zero(spark):
     assert got == [None, None, 1.5]
 
 
-def test_rounded_mean_settles_exact_halves(spark):
-    # 0.0925 is the mean in any order; its last bits are not
-    values = [0.09, 0.095] * 500
-    for order in ("asc", "desc"):
-        frame = spark.createDataFrame([(v,) for v in values], "v double").orderBy(getattr(F, order)("v"))
-        assert frame.agg(fn.rounded_mean("v", 3)).first()[0] == 0.093
+def test_scaled_values_are_whole_and_halves_go_away_from_zero(column):
+    values = [0.1, 0.0005, -0.0005, 0.00049, 12.0, None, float("nan"), float("inf")]
+    assert column(lambda c: fn.scaled_long(c, 3), values, "double") == [100, 1, -1, 0, 12000, None, None, None]
+    assert column(lambda c: fn.scaled_long(c, 0), [7, None], "bigint") == [7, None]
+
+
+def test_quotients_are_rounded_once(spark):
+    cases = [(1, 8, 2, 0.13), (-1, 8, 2, -0.13), (5, 2000, 3, 0.003), (2499, 10**6, 3, 0.002), (10**18, 3, 0, 333333333333333333.0)]
+    for part, whole, digits, wanted in cases:
+        frame = spark.createDataFrame([(part, whole)], "p bigint, w bigint")
+        assert frame.select(fn.rounded_quotient(F.col("p"), F.col("w"), digits)).first()[0] == wanted
 
 
 def test_null_words(column):

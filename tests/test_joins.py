@@ -119,8 +119,9 @@ def test_full_join_merges_the_month(spark):
 
 def test_lookup_keeps_unknown_codes(spark):
     df = spark.createDataFrame([("US",), ("XX",)], "country string")
-    names = spark.createDataFrame([("US", "US – United States")], "country string, display_name string")
-    got = lookup_or_keep(df, names, "country", "display_name", "display_name")
+    got = lookup_or_keep(df, {"US": "US – United States"}, "country", "display_name")
+    assert "Join" not in got._jdf.queryExecution().toString()
+    assert lookup_or_keep(df, {}, "country", "name").count() == 2
     assert sorted(map(tuple, got.select("country", "display_name").collect())) == [
         ("US", "US – United States"), ("XX", "XX"),
     ]

@@ -31,14 +31,16 @@ def whole_number(text: str) -> str:
     return f"CASE WHEN regexp_full_match(trim({text}), '[+-]?[0-9]+') THEN CAST(trim({text}) AS BIGINT) END"
 
 
-def rounded(value: str, digits: int) -> str:
-    """A non-negative value rounded, halves up.
+def ratio(part: str, whole: str, digits: int, unit: int = 1) -> str:
+    """part / (whole * unit) of non-negative integers, rounded once, halves up, in whole numbers."""
+    part, whole = f"CAST({part} AS HUGEINT)", f"(CAST({whole} AS HUGEINT) * {unit})"
+    return f"CAST(({part} * {2 * 10**digits} + {whole}) // nullif(2 * {whole}, 0) AS DOUBLE) / 1e{digits}"
 
-    A mean depends in its last bits on the order of summation, and `round`
-    multiplies by a power of ten in floating point; both can move an exact half
-    to either side. Dropping the noise before the rounding settles it.
-    """
-    return f"floor(round(({value}) * 1e{digits}, 8) + 0.5) / 1e{digits}"
+
+def mean(value: str, digits: int, divisor: int = 1, input_digits: int = 9) -> str:
+    """Mean of non-negative values as a quotient of whole numbers: each value is taken to its digits first."""
+    scaled = f"CAST(round({value} * 1e{input_digits}) AS HUGEINT)"
+    return ratio(f"sum({scaled})", f"count({value})", digits, 10**input_digits * divisor)
 
 
 def any_word(text: str, words: list[str]) -> str:
@@ -166,7 +168,7 @@ TABLES["podcast_charts"] = f"""
 # ---- monthly tables and marts ------------------------------------------------
 
 MUSIC_MEANS = ", ".join(
-    f"{rounded(f'avg({c})', d)} AS avg_{c}"
+    f"{mean(c, d)} AS avg_{c}"
     for c, d in [
         ("popularity", 1), ("danceability", 3), ("energy", 3), ("speechiness", 3),
         ("acousticness", 3), ("valence", 3), ("tempo", 1), ("instrumentalness", 3),
@@ -176,25 +178,25 @@ TABLES["music_by_month"] = f"""
   SELECT strftime(snapshot_date, '%Y-%m') AS trend_month, country,
     count(DISTINCT spotify_id) AS unique_tracks, count(DISTINCT artists) AS unique_artists,
     count(*) AS total_chart_entries, {MUSIC_MEANS},
-    {rounded('count(*) FILTER (WHERE is_explicit) / count(*)', 3)} AS explicit_ratio,
-    {rounded('avg(duration_ms) / 60000.0', 1)} AS avg_duration_minutes
+    {ratio('count(*) FILTER (WHERE is_explicit)', 'count(*)', 3)} AS explicit_ratio,
+    {mean('duration_ms', 1, 60000, 3)} AS avg_duration_minutes
   FROM music_charts GROUP BY 1, 2"""
 
 TABLES["reviews_by_month"] = f"""
   SELECT review_month AS trend_month, count(*) AS review_count, count(DISTINCT podcast_id) AS podcasts_reviewed,
-    count(DISTINCT author_id) AS unique_reviewers, {rounded('avg(rating)', 2)} AS avg_rating,
+    count(DISTINCT author_id) AS unique_reviewers, {mean('rating', 2, 1, 0)} AS avg_rating,
     count(*) FILTER (WHERE rating = 5) AS five_star_count, count(*) FILTER (WHERE rating = 1) AS one_star_count
   FROM podcast_reviews GROUP BY review_month"""
 
 TABLES["charts_by_month"] = f"""
   SELECT chart_month AS trend_month, count(*) AS chart_entries,
     count(DISTINCT show_name) AS unique_shows_charting,
-    {rounded('avg(duration_ms) / 60000.0', 1)} AS avg_episode_duration_minutes
+    {mean('duration_ms', 1, 60000, 0)} AS avg_episode_duration_minutes
   FROM podcast_charts GROUP BY chart_month"""
 
 TABLES["big_categories"] = f"""
   SELECT category, count(DISTINCT podcast_id) AS shows_in_category,
-    {rounded('avg(average_rating)', 2)} AS category_avg_rating,
+    {mean('average_rating', 2)} AS category_avg_rating,
     CAST(sum(ratings_count) AS BIGINT) AS category_total_ratings
   FROM podcast_shows GROUP BY category HAVING count(DISTINCT podcast_id) >= 10"""
 
@@ -214,14 +216,14 @@ TABLES["podcasts_by_month"] = """
 TABLES["genres_by_month"] = f"""
   SELECT chart_month AS trend_month, count(*) AS total_chart_entries,
     count(DISTINCT track_id) AS unique_tracks, count(DISTINCT artists) AS unique_artists,
-    count(DISTINCT country) AS countries_active, {rounded('avg(streams)', 0)} AS avg_streams,
+    count(DISTINCT country) AS countries_active, {mean('streams', 0, 1, 0)} AS avg_streams,
     {", ".join(f"count(*) FILTER (WHERE {any_word('artist_genres', w)}) AS {g}_entries"
                for g, w in GENRE_WORDS.items())}
   FROM music_charts_historical GROUP BY chart_month"""
 
 ENTRIES = ", ".join(f"{g}_entries" for g in GENRE_WORDS)
 SHARES = ", ".join(
-    f"{rounded(f'{g}_entries / nullif(total_chart_entries, 0)', 4)} AS {g}_pct" for g in GENRE_WORDS
+    f"{ratio(f'{g}_entries', 'total_chart_entries', 4)} AS {g}_pct" for g in GENRE_WORDS
 )
 TABLES["genre_matrix"] = f"""
   SELECT g.trend_month, category, shows_in_category, category_total_ratings, review_count,
@@ -251,8 +253,8 @@ TABLES["new_music"] = f"""
   SELECT trend_month, CAST(sum(total_chart_entries) AS BIGINT) AS music_chart_entries,
     count(DISTINCT country) AS countries_active, CAST(sum(unique_tracks) AS BIGINT) AS music_unique_tracks,
     CAST(sum(unique_artists) AS BIGINT) AS music_unique_artists,
-    {", ".join(f"{rounded(f'avg(avg_{c})', d)} AS music_avg_{c}" for c, d in PROFILE)},
-    {rounded('avg(explicit_ratio)', 3)} AS music_explicit_ratio
+    {", ".join(f"{mean(f'avg_{c}', d)} AS music_avg_{c}" for c, d in PROFILE)},
+    {mean('explicit_ratio', 3)} AS music_explicit_ratio
   FROM music_by_month GROUP BY trend_month"""
 
 TABLES["new_podcasts"] = """
@@ -275,7 +277,7 @@ def window(music: str, podcasts: str, source: str) -> str:
 TABLES["old_window"] = window("old_music", "old_podcasts", "reviews")
 TABLES["new_window"] = window("new_music", "new_podcasts", "charts")
 TABLES["timeline"] = f"""
-  SELECT *, {rounded('podcast_total_reviews / nullif(music_chart_entries, 0)', 4)} AS podcast_to_music_ratio
+  SELECT *, {ratio('podcast_total_reviews', 'music_chart_entries', 4)} AS podcast_to_music_ratio
   FROM (SELECT * FROM old_window UNION ALL BY NAME SELECT * FROM new_window)"""
 
 TABLES["names"] = "SELECT * FROM (VALUES " + ", ".join(

@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as WindowSpec
 from pyspark.sql import functions as F
 
 from earshot.functions import (
@@ -35,6 +34,7 @@ from earshot.operators import (
     top_ascending,
     value_at_largest,
     window_report,
+    with_place,
 )
 from earshot.operators.filters import FIRST_VALUE, parse_moment
 from earshot.plans import marts, views
@@ -442,6 +442,13 @@ def matrix_mart(spark, sf_dir):
     )
 
 
+def timeline_mart(spark, sf_dir):
+    return marts.ecosystem_timeline(
+        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), music_trends_mart(spark, sf_dir),
+        chart_monthly(spark, sf_dir), totals(spark, sf_dir),
+    )
+
+
 def podcast_window(spark, sf_dir):
     return marts.current_podcasts(review_monthly(spark, sf_dir), chart_monthly(spark, sf_dir), totals(spark, sf_dir))
 
@@ -523,25 +530,21 @@ def ecosystem_window_2(spark, sf_dir):
 
 @query
 def ecosystem_timeline(spark, sf_dir):
-    timeline = marts.ecosystem_timeline(
-        genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir), music_trends_mart(spark, sf_dir),
-        podcast_window(spark, sf_dir),
-    )
-    return marts.in_mart_order(timeline, "ecosystem_timeline")
+    return marts.in_mart_order(timeline_mart(spark, sf_dir), "ecosystem_timeline")
 
 
 @query
 def mart_order(spark, sf_dir):
     """The place of each row in the published order of the marts, with what it is ordered by."""
-    order = WindowSpec.orderBy("id")
+    built = {"music_trends": music_trends_mart, "podcast_trends": podcast_trends_mart,
+             "genre_category_matrix": matrix_mart, "ecosystem_timeline": timeline_mart}
     found = None
     for mart, second in (("music_trends", "country"), ("podcast_trends", "category_total_ratings"),
                          ("genre_category_matrix", "category_total_ratings"), ("ecosystem_timeline", None)):
-        rows = QUERIES[mart](spark, sf_dir).select(
-            F.lit(mart).alias("mart"), F.monotonically_increasing_id().alias("id"), "trend_month",
-            (F.col(second).cast("string") if second else F.lit(None).cast("string")).alias("second"),
+        rows = with_place(built[mart](spark, sf_dir), *marts.mart_order(mart)).select(
+            F.lit(mart).alias("mart"), "trend_month",
+            (F.col(second).cast("string") if second else F.lit(None).cast("string")).alias("second"), "position",
         )
-        rows = rows.withColumn("position", F.row_number().over(order).cast("bigint")).drop("id")
         found = rows if found is None else found.unionByName(rows)
     return found
 
@@ -617,6 +620,5 @@ def country_profile_long(spark, sf_dir):
 
 @query
 def genre_share_vs_reviews(spark, sf_dir):
-    return rounded(views.genre_share_vs_reviews(
-        marts.genre_review_months(genre_monthly(spark, sf_dir), review_monthly(spark, sf_dir))
-    ), "share_percent")
+    """From the matrix, which repeats a month once per category."""
+    return rounded(views.genre_share_vs_reviews(matrix_mart(spark, sf_dir)), "share_percent")
