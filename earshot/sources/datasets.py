@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators.filters import FIRST_VALUE, Window, parse_and_window, pick_date_column, rename_dots
 from earshot.operators.joins import left_join_fanout
-from earshot.sources.files import csv_head, is_json_array, json_fields, json_objects, read_csv, read_json
+from earshot.sources.files import csv_head, is_json_array, json_fields, read_csv, read_json
 
 # Column names and types of the inputs. Dates stay text here and
 # are parsed by the window step.
@@ -145,15 +145,16 @@ def merge_categories(shows: DataFrame, categories: DataFrame | None) -> DataFram
 def read_podcast_shows(spark: SparkSession, folder: str, observation: Observation | None = None) -> DataFrame:
     """Shows, joined with their categories if the folder has that file and the
     objects of both files have the key."""
-    path = f"{folder}/podcasts.json"
-    shows = observed(read_json(spark, path, SHOWS, "podcast shows"), observation)
+    path, more = f"{folder}/podcasts.json", f"{folder}/categories.json"
+    own = json_fields(spark, path, "podcast shows")
+    shows = observed(read_json(spark, path, SHOWS, "podcast shows", own), observation)
     try:
-        found = json_fields(json_objects(spark, f"{folder}/categories.json", "categories"))
+        found = json_fields(spark, more, "categories")
     except FileNotFoundError:
         return shows
-    if KEY not in found or KEY not in json_fields(json_objects(spark, path)):
+    if KEY not in found or KEY not in own:
         return shows
-    return merge_categories(shows, read_json(spark, f"{folder}/categories.json", CATEGORIES, "categories"))
+    return merge_categories(shows, read_json(spark, more, CATEGORIES, "categories", found))
 
 
 def read_podcast_reviews(

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions import null_words_to_null
-from earshot.sources.records import csv_records, json_elements, read_lines
 
 
 @contextmanager
@@ -47,10 +44,6 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
 
 
-# Lines in which a header, which may hold line ends in quotes, has to end.
-HEADER_LINES = 64
-
-
 def first_file(spark: SparkSession, path: str, glob: str, dataset: str) -> str:
     """The first file by name."""
     with required(dataset, path):
@@ -61,29 +54,38 @@ def first_file(spark: SparkSession, path: str, glob: str, dataset: str) -> str:
     return found
 
 
-def parsed_records(records: DataFrame, names: list[str], options: dict[str, str]) -> DataFrame:
-    """Records of `csv_records` as text columns; every file must have the header."""
-    schema = ", ".join(f"`{name}` string" for name in names)
-    rows = records.withColumn("row", F.from_csv("value", schema, options))
-    header = reduce(lambda a, b: a & b, [F.col(f"row.`{n}`").eqNullSafe(F.lit(n)) for n in names])
-    other = F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean")
-    is_row = F.when(~F.col("is_first"), True).when(header, False).otherwise(other)
-    # lines of blanks are no records
-    return rows.filter(is_row & (F.btrim("value", F.lit(" \t")) != "")).select("row.*")
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+BROKEN = "__broken"
 
 
-def csv_header(spark: SparkSession, path: str, glob: str, dataset: str) -> list[str]:
-    """Column names of the first file by name, from the lines of its beginning."""
-    first = first_file(spark, path, glob, dataset)
-    lines = [r["value"] for r in read_lines(spark, first, "*").filter("_metadata.file_block_start = 0").head(HEADER_LINES)]
-    text = "\n".join(line.removesuffix("\r") for line in lines).removeprefix("\ufeff")
-    names = next(csv.reader(io.StringIO(text, newline="")), None)
+def csv_header(spark: SparkSession, path: str, dataset: str) -> list[str]:
+    """Column names of a file, however many lines they take: its first record, read by one task."""
+    names = spark.read.options(header=True, multiLine=True, **CSV_OPTIONS).csv(path).columns
     if not names:
-        raise ValueError(f"{dataset}: no header in {first}")
+        raise ValueError(f"{dataset}: no header in {path}")
     return names
 
 
-CSV_OPTIONS = {"quote": '"', "escape": '"'}
+def whole_records(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of the CSV source without its column of broken records.
+
+    The source marks every record whose number of fields is not that of the header. One of
+    blanks is none, one with fewer fields has missing ones; one with a quote that is
+    never closed, or with more fields, raises.
+    """
+    text = F.col(BROKEN)
+    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+    more = F.from_csv(text, ", ".join(f"c{i} string" for i in range(len(names) + 1)), CSV_OPTIONS)[f"c{len(names)}"]
+    # The first column is named, because the source refuses to be asked for broken records alone.
+    where = F.concat(F.lit(" in "), F.col("_metadata.file_path"), F.lit(", record "), F.coalesce(f"`{names[0]}`", F.lit("")))
+    kept = (
+        F.when(text.isNull(), True)
+        .when(F.btrim(text, F.lit(" \t\r\n")) == "", False)
+        .when(quotes % 2 == 1, F.raise_error(F.concat(F.lit("unbalanced quote"), where)).cast("boolean"))
+        .when(more.isNotNull(), F.raise_error(F.concat(F.lit("more fields than the header"), where)).cast("boolean"))
+        .otherwise(True)
+    )
+    return rows.filter(kept).select(*[F.col(f"`{n}`") for n in names])
 
 
 def read_csv(
@@ -99,20 +101,23 @@ def read_csv(
     `path` is a file or a folder; of a folder every *.csv is read (their headers
     must agree), or the first one by name with files="first". Columns are taken by
     header name and get the type declared in `types`; there is no inference pass.
-    Lines end with a newline, before which a carriage return is dropped; lines of
-    blanks are skipped.
+    Lines of a file end as its first line does, and such an end inside quotes is read as a
+    newline; lines of blanks are skipped.
 
-    `spanning` says whether quoted fields may hold line ends. Files of any size
-    are read in the same way, in splits: records are put together from the lines
-    of all splits, or, without `spanning`, each line is one.
+    `spanning` says whether quoted fields may hold line ends. Spark's source then reads
+    a file in one task, and many files at once; without it, files are read in splits.
     """
     glob = "*" if path.endswith(".csv") else "*.csv"
-    if files == "first" and not path.endswith(".csv"):
-        path, glob = first_file(spark, path, glob, dataset), "*"
-    with required(dataset, path):
-        names = csv_header(spark, path, glob, dataset)
-        raw = parsed_records(csv_records(spark, path, glob, spanning), names, CSV_OPTIONS)
-    return _clean(raw, types or {})
+    first = first_file(spark, path, glob, dataset)
+    if files == "first":
+        path, glob = first, "*"
+    names = csv_header(spark, first, dataset)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN]])
+    reader = spark.read.schema(schema).options(
+        header=True, enforceSchema=False, multiLine=spanning, pathGlobFilter=glob, columnPruning=False,
+        columnNameOfCorruptRecord=BROKEN, **CSV_OPTIONS,
+    )
+    return _clean(whole_records(reader.csv(path), names), types or {})
 
 
 def csv_head(
@@ -120,11 +125,7 @@ def csv_head(
 ) -> DataFrame:
     """The first file in file order, for taking a few rows: it is read from its
     beginning by one task, which stops when it has enough."""
-    if not path.endswith(".csv"):
-        path = first_file(spark, path, "*.csv", dataset)
-    reader = spark.read.options(header=True, multiLine=True, **CSV_OPTIONS)
-    with required(dataset, path):
-        return _clean(reader.csv(path), types or {})
+    return read_csv(spark, path, types, dataset, files="first")
 
 
 def _clean(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -138,21 +139,15 @@ def is_json_array(spark: SparkSession, path: str) -> bool:
     return head is not None and head["value"].strip().startswith("[")
 
 
-def json_objects(spark: SparkSession, path: str, dataset: str = "json") -> DataFrame:
-    """The objects of a JSON array or of JSON Lines, whichever the file is, as maps
-    from field to text, in the column `fields`. Malformed input raises."""
-    with required(dataset, path):
-        if is_json_array(spark, path):
-            texts = json_elements(spark, path).select("value")
-        else:
-            texts = read_lines(spark, path, "*").filter(F.btrim("value", F.lit(" \t\r")) != "")
-    return texts.select(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("fields"))
+def json_reader(spark: SparkSession, path: str) -> DataFrameReader:
+    """Spark's source for a JSON array (a file is one task) or for JSON Lines (read in splits)."""
+    return spark.read.options(multiLine=is_json_array(spark, path), mode="FAILFAST")
 
 
-def json_fields(objects: DataFrame) -> list[str]:
-    """Every field that some object has, sorted by name."""
-    names = objects.select(F.explode(F.map_keys("fields")).alias("name")).distinct().collect()
-    return sorted(r["name"] for r in names)
+def json_fields(spark: SparkSession, path: str, dataset: str = "json") -> list[str]:
+    """Every field that some object has, sorted by name: one pass, of which the merged schema is kept."""
+    with required(dataset, path):
+        return sorted(json_reader(spark, path).option("primitivesAsString", True).json(path).columns)
 
 
 def read_json(
@@ -160,18 +155,21 @@ def read_json(
     path: str,
     types: Mapping[str, str],
     dataset: str = "json",
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """A JSON array or JSON Lines, whichever the file is.
 
     Fields are read as text and cast, so a number in quotes is still a number. The
     declared fields come first, NULL where they are missing; all other fields that
-    some object has follow by name, as text. Files of any size are read in the
-    same way, in splits, an array without line ends too.
+    some object has follow by name, as text; a list or object is the text that stands in
+    the file. `fields` are those of `json_fields`,
+    where they are known already. Malformed input raises.
     """
-    objects = json_objects(spark, path, dataset)
-    names = [*types, *(name for name in json_fields(objects) if name not in types)]
-    raw = objects.select(*[F.element_at("fields", F.lit(name)).alias(name) for name in names])
-    return apply_types(raw, types)
+    found = json_fields(spark, path, dataset) if fields is None else fields
+    names = [*types, *(name for name in found if name not in types)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    with required(dataset, path):
+        return apply_types(json_reader(spark, path).schema(schema).json(path), types)
 
 
 def input_profile(df: DataFrame, dataset: str) -> DataFrame:

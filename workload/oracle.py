@@ -412,6 +412,8 @@ SELECTS: dict[str, str] = {
         o_orderpriority AS category FROM customer LEFT JOIN orders ON c_custkey = o_custkey
       UNION ALL SELECT f.*, CAST(c_custkey AS VARCHAR), c_name, NULL
         FROM customer, (VALUES ('without'), ('no key')) f(file)""",
+    "missing_input": """SELECT 'podcast reviews' AS dataset, count(*) AS row_count, NULL AS error FROM orders
+      UNION ALL SELECT 'podcast shows', NULL, 'podcast shows'""",
     "load_partitioned": "SELECT *, count(*) OVER () AS loaded_rows FROM orders",
     "filter_report": f"""SELECT count(*) AS total_rows, count(created_at) AS dated_rows,
         count(*) FILTER (WHERE {IN_WINDOW}) AS kept_rows,

@@ -46,6 +46,7 @@ from earshot.sources import (
     raw_path,
     read_csv,
     read_json,
+    read_podcast_reviews,
     read_podcast_shows,
     read_table,
     read_table_by_month,
@@ -340,6 +341,27 @@ def optional_categories(spark, sf_dir):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+@query
+def missing_input(spark, sf_dir):
+    """Required inputs that are there, with their rows, and one that is not, with the error that names it."""
+    folder = scratch_folder(spark, "required")
+    table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("podcast_id"), F.col("o_orderdate").cast("string").alias("created_at")
+    ).write.json(f"{folder}/reviews.json")
+    found = None
+    for dataset, reader in (("podcast reviews", read_podcast_reviews), ("podcast shows", read_podcast_shows)):
+        try:
+            frame = reader(spark, folder, Window("1900-01-01", "2100-01-01")) if "reviews" in dataset else reader(spark, folder)
+            row = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(dataset).alias("dataset"), "row_count", F.lit(None).cast("string").alias("error"))
+        except FileNotFoundError as error:
+            row = spark.range(1).select(
+                F.lit(dataset).alias("dataset"), F.lit(None).cast("bigint").alias("row_count"),
+                F.lit(str(error).split(":")[0]).alias("error"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 @query
 def load_partitioned(spark, sf_dir):
     """A Parquet input loaded into a raw table with a partition column and a cluster column."""
