@@ -11,19 +11,25 @@ from earshot.sources.datasets import (
 from earshot.sources.files import input_profile, read_csv, read_json
 from earshot.sources.tables import (
     RAW_LAYOUT,
+    create_database,
     load_raw,
+    publish,
     raw_form,
     raw_path,
     read_table,
     read_table_by_month,
+    refresh_partitions,
+    write_buckets,
     write_table,
 )
 
 __all__ = [
     "RAW_LAYOUT",
+    "create_database",
     "input_profile",
     "load_raw",
     "merge_categories",
+    "publish",
     "raw_form",
     "raw_path",
     "read_csv",
@@ -35,5 +41,7 @@ __all__ = [
     "read_podcast_shows",
     "read_table",
     "read_table_by_month",
+    "refresh_partitions",
+    "write_buckets",
     "write_table",
 ]

@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+import uuid
 from pathlib import Path
 
 import duckdb
@@ -8,14 +9,23 @@ import pytest
 
 from earshot.operators import QualityError
 from earshot.plans import marts
-from earshot.plans.build import build_all, ingest, stage
+from earshot.plans.build import build_all, ingest, refresh_days, stage
 from earshot.plans.staging import STAGED
-from earshot.sources import read_table
+from earshot.sources import raw_path, read_table
 from workload.standins import RAW
 
 GENRES = ["dance pop", "Trap, Hip Hop", "indie rock", "k-pop", "", "soul", "deep house"]
 
 
+@pytest.fixture
+def prefix(spark):
+    """Names of databases of its own for a test."""
+    own = f"b{uuid.uuid4().hex}_"
+    yield own
+    for name in ("lake", "raw", "staged", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS {own}{name} CASCADE")
+
+
 @pytest.fixture(scope="module")
 def sources(tmp_path_factory):
     """Small source folders with quirks: dotted names, quotes, null words, bad dates."""
@@ -72,11 +82,11 @@ def sources(tmp_path_factory):
     return {k: str(v) for k, v in folders.items()}
 
 
-def test_sources_to_marts(spark, sources, tmp_path):
-    written = ingest(spark, sources, str(tmp_path / "lake"))
-    assert all(Path(path).is_dir() for path in written.values())
-    raw = {name: read_table(spark, path) for name, path in written.items()}
-    report = {r["dataset"]: r for r in read_table(spark, str(tmp_path / "lake" / "raw" / "ingest_report")).collect()}
+def test_sources_to_marts(spark, sources, tmp_path, prefix):
+    written = ingest(spark, sources, str(tmp_path / "lake"), prefix=prefix)
+    assert all(Path(raw_path(str(tmp_path / "lake"), name)).is_dir() for name in written)
+    raw = {name: read_table(spark, table) for name, table in written.items()}
+    report = {r["dataset"]: r for r in read_table(spark, f"{prefix}lake.ingest_report").collect()}
     assert set(report) == set(written)
     charts = report["music_charts"]
     assert charts["total_rows"] == 400 > charts["dated_rows"] > charts["kept_rows"] == charts["written_rows"] > 0
@@ -86,7 +96,7 @@ def test_sources_to_marts(spark, sources, tmp_path):
     assert dict(raw["music_charts"].dtypes)["snapshot_date"] == "bigint"
     assert dict(raw["podcast_reviews"].dtypes)["created_at"] == "bigint"
 
-    tables = build_all(spark, str(tmp_path / "lake"), str(tmp_path / "out"))
+    tables = build_all(spark, str(tmp_path / "out"), prefix)
     frames = {name: df.toPandas() for name, df in tables.items()}
     assert set(marts.SORT_KEYS) < set(frames)
 
@@ -118,7 +128,7 @@ def test_sources_to_marts(spark, sources, tmp_path):
     assert charts["podcast_to_music_ratio"].isna().all()
 
     # a second run replaces everything and gives the same tables
-    again = build_all(spark, str(tmp_path / "lake"), str(tmp_path / "out"))
+    again = build_all(spark, str(tmp_path / "out"), prefix)
     for name, df in again.items():
         key = [c for c in ("trend_month", "country", "category", "podcast_data_source") if c in df.columns]
         left = df.toPandas().sort_values(key).reset_index(drop=True)
@@ -126,13 +136,13 @@ def test_sources_to_marts(spark, sources, tmp_path):
         assert left.equals(right), name
 
 
-def test_a_failed_check_stops_the_build(spark, sf_dir, tmp_path):
+def test_a_failed_check_stops_the_build(spark, sf_dir, tmp_path, prefix):
     raw = {name: RAW[name](spark, sf_dir) for name in STAGED}
     raw["music_charts_historical"] = raw["music_charts_historical"].selectExpr(
         "if(position = 1, null, track_id) as track_id", "* except (track_id)"
     )
     with pytest.raises(QualityError, match="music_charts_historical.track_id not_null"):
-        stage(raw, str(tmp_path / "out"))
+        stage(raw, str(tmp_path / "out"), prefix)
 
 
 def sound(spark, sf_dir):
@@ -144,22 +154,38 @@ def sound(spark, sf_dir):
     return raw
 
 
-def test_a_failed_check_leaves_every_table(spark, sf_dir, tmp_path):
+def test_a_failed_check_leaves_every_table(spark, sf_dir, tmp_path, prefix):
     out, raw = str(tmp_path / "out"), sound(spark, sf_dir)
-    rows = {name: df.count() for name, df in stage(raw, out).items()}
+    rows = {name: df.count() for name, df in stage(raw, out, prefix).items()}
     raw["podcast_shows"] = raw["podcast_shows"].limit(10)
     raw["podcast_charts"] = RAW["podcast_charts"](spark, sf_dir)
     with pytest.raises(QualityError, match="podcast_charts.rank positive"):
-        stage(raw, out)
-    assert {name: read_table(spark, f"{out}/staged/{name}").count() for name in rows} == rows
+        stage(raw, out, prefix)
+    assert {name: read_table(spark, f"{prefix}staged.{name}").count() for name in rows} == rows
 
 
-def test_a_failed_write_leaves_every_table(spark, sf_dir, tmp_path):
+def test_a_failed_write_leaves_every_table(spark, sf_dir, tmp_path, prefix):
     out, raw = str(tmp_path / "out"), sound(spark, sf_dir)
-    rows = {name: df.count() for name, df in stage(raw, out).items()}
+    rows = {name: df.count() for name, df in stage(raw, out, prefix).items()}
     raw["podcast_reviews"] = raw["podcast_reviews"].selectExpr(
         "* except (title)", "if(author_id = '7', raise_error('lost'), title) as title")
     raw["podcast_shows"] = raw["podcast_shows"].limit(10)
     with pytest.raises(Exception, match="lost"):
-        stage(raw, out)
-    assert {name: read_table(spark, f"{out}/staged/{name}").count() for name in rows} == rows
+        stage(raw, out, prefix)
+    assert {name: read_table(spark, f"{prefix}staged.{name}").count() for name in rows} == rows
+
+
+def test_a_daily_refresh_of_a_staged_table(spark, sf_dir, tmp_path, prefix):
+    raw = sound(spark, sf_dir)
+    stage(raw, str(tmp_path / "out"), prefix)
+    before = read_table(spark, f"{prefix}staged.music_charts").groupBy("snapshot_date").count().collect()
+    days = sorted(r["snapshot_date"] for r in before)
+    one = raw["music_charts"].filter(f"date_from_unix_date(snapshot_date div 86400000000000) = date '{days[3]}'").limit(2)
+    refresh_days(one, "music_charts", prefix)
+    after = {r["snapshot_date"]: r["count"] for r in
+             read_table(spark, f"{prefix}staged.music_charts").groupBy("snapshot_date").count().collect()}
+    assert after == {r["snapshot_date"]: r["count"] for r in before} | {days[3]: 2}
+    with pytest.raises(QualityError, match="daily_rank positive"):
+        refresh_days(one.selectExpr("* except (daily_rank)", "0L as daily_rank"), "music_charts", prefix)
+    with pytest.raises(ValueError, match="not partitioned"):
+        refresh_days(raw["podcast_shows"], "podcast_shows", prefix)

@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+import uuid
 from contextlib import contextmanager
 from datetime import datetime
 from pathlib import Path
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from earshot.operators.filters import FIRST_VALUE
 from earshot.session import scratch_folder
 from earshot.sources import (
+    create_database,
     input_profile,
     load_raw,
     merge_categories,
+    publish,
     raw_form,
     raw_path,
     read_csv,
@@ -28,6 +31,8 @@ from earshot.sources import (
     read_podcast_shows,
     read_table,
     read_table_by_month,
+    refresh_partitions,
+    write_buckets,
     write_table,
 )
 from earshot.sources.files import typed
@@ -349,100 +354,160 @@ def test_input_profile(spark):
 # ---- tables -------------------------------------------------------------------
 
 
-def test_nanosecond_parquet_is_read_as_bigint(spark, tmp_path):
+@pytest.fixture
+def database(spark, tmp_path):
+    name = "t_" + uuid.uuid4().hex
+    yield create_database(spark, name, str(tmp_path / "tables"))
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_nanosecond_parquet_is_read_as_bigint(spark, tmp_path, database):
     path = str(tmp_path / "n.parquet")
     pq.write_table(pa.table({"t": pa.array([1735639200123456789, None], pa.timestamp("ns"))}), path)
     got = read_table(spark, path)
     assert got.dtypes == [("t", "bigint")]
-    assert load_raw(spark, path, str(tmp_path / "raw")) == 2
-    assert [r.t for r in read_table(spark, str(tmp_path / "raw")).collect()] == [1735639200123456789, None]
+    assert load_raw(spark, path, f"{database}.raw") == 2
+    assert [r.t for r in read_table(spark, f"{database}.raw").collect()] == [1735639200123456789, None]
+    # a table is a source too
+    assert load_raw(spark, f"{database}.raw", f"{database}.again") == 2
 
 
 def test_raw_layout():
     assert raw_path("s3a://lake/", "podcast_shows") == "s3a://lake/raw/podcast_reviews/podcast_shows.parquet"
 
 
-def test_write_replaces_and_returns_the_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write_table(spark.range(5).selectExpr("id as a", "1 as b"), path, ["a"])
-    got = write_table(spark.createDataFrame([(9, 1)], "a bigint, b int"), path, ["a"])
+def test_write_replaces_and_returns_the_table(spark, tmp_path, database):
+    name = f"{database}.t"
+    write_table(spark.range(5).selectExpr("id as a", "1 as b"), name, ["a"])
+    got = write_table(spark.createDataFrame([(9, 1)], "a bigint, b int"), name, ["a"])
     assert got.columns == ["a", "b"] and [tuple(r) for r in got.collect()] == [(9, 1)]
-    assert read_table(spark, path).count() == 1
+    assert [r.a for r in spark.sql(f"select a from {name}").collect()] == [9]
+
 
+def test_other_columns_or_layout_define_the_table_anew(spark, database):
+    name = f"{database}.t"
+    write_table(spark.range(5), name)
+    write_table(spark.range(3).selectExpr("id % 2 as day", "cast(id as string) as v"), name, ["day"])
+    assert sorted(map(tuple, read_table(spark, name).select("day", "v").collect())) == [(0, "0"), (0, "2"), (1, "1")]
+    write_table(spark.range(2).selectExpr("id as day", "'x' as v"), name)
+    assert read_table(spark, name).columns == ["day", "v"]
 
-def test_a_failed_write_leaves_the_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write_table(spark.range(5), path)
+
+def test_a_failed_write_leaves_the_table(spark, tmp_path, database):
+    name, folder = f"{database}.t", str(tmp_path / "elsewhere" / "t.parquet")
+    write_table(spark.range(5), name, folder=folder)
     with pytest.raises(Exception, match="lost"):
-        write_table(spark.range(7).selectExpr("if(id = 6, raise_error('lost'), id) as id"), path)
-    assert read_table(spark, path).count() == 5
-    # a table can be replaced by what is computed from it, and only one version is kept
-    write_table(read_table(spark, path).filter("id > 1"), path)
-    assert read_table(spark, path).count() == 3
-    assert len(list(Path(path).glob("version-*"))) == 1
+        write_table(spark.range(7).selectExpr("if(id = 6, raise_error('lost'), id) as id"), name, folder=folder)
+    assert read_table(spark, name).count() == 5
+    # a table can be replaced by what is computed from it
+    write_table(read_table(spark, name).filter("id > 1"), name, folder=folder)
+    assert read_table(spark, name).count() == 3
+
 
+def test_a_running_reader_keeps_its_version(spark, tmp_path, database):
+    name = f"{database}.t"
+    for rows in (5, 6, 7, 8):
+        write_table(spark.range(rows), name)
+    open_reader = read_table(spark, name)
+    write_table(spark.range(2), name)
+    assert open_reader.count() == 8 and read_table(spark, name).count() == 2
+    assert len(list((tmp_path / "tables" / "t").glob("version-*"))) == 2
 
-def test_a_plain_folder_is_replaced(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(5).write.parquet(path)
-    assert read_table(spark, path).count() == 5
-    write_table(spark.range(2), path)
-    assert read_table(spark, path).count() == 2 and not list(Path(path).glob("part-*"))
 
+def test_a_missing_table_is_an_error(spark, database):
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        read_table(spark, f"{database}.nothing")
 
-def test_names_with_dots(spark, tmp_path):
+
+def test_names_with_dots(spark, database):
     df = raw_form(spark.sql("select 1 as `a.b`, timestamp '2024-01-01' as `c.d`"))
-    assert write_table(df, str(tmp_path / "t")).columns == ["a.b", "c.d"]
+    assert write_table(df, f"{database}.t").columns == ["a.b", "c.d"]
+    assert read_table(spark, f"{database}.t").columns == ["a.b", "c.d"]
 
 
-def test_replace_is_whole_even_with_dynamic_overwrite_on(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_replace_is_whole_even_with_dynamic_overwrite_on(spark, database):
+    name = f"{database}.t"
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        write_table(spark.createDataFrame([(1, "x"), (2, "y")], "d int, v string"), path, ["d"])
-        write_table(spark.createDataFrame([(2, "z")], "d int, v string"), path, ["d"])
+        write_table(spark.createDataFrame([(1, "x"), (2, "y")], "d int, v string"), name, ["d"])
+        write_table(spark.createDataFrame([(2, "z")], "d int, v string"), name, ["d"])
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-    assert [tuple(r) for r in read_table(spark, path).select("d", "v").collect()] == [(2, "z")]
-
-
-def test_hot_partition_is_split_and_files_are_clustered(spark, tmp_path):
+    assert [tuple(r) for r in read_table(spark, name).select("d", "v").collect()] == [(2, "z")]
+
+
+def test_a_refresh_rewrites_only_the_days_it_holds(spark, tmp_path, database):
+    name = f"{database}.t"
+    days = spark.range(40).selectExpr("id % 4 as v", "date_add(date '2024-01-01', cast(id % 4 as int)) as day")
+    write_table(days, name, ["day"], ["v"])
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "t").rglob("*.parquet")}
+    again = spark.createDataFrame([(7, "2024-01-02"), (9, "2024-02-01")], "v bigint, day string").selectExpr("v", "date(day) as day")
+    got = refresh_partitions(again, name, ["day"], ["v"])
+    counts = {str(r["day"]): (r["n"], r["s"]) for r in got.groupBy("day").agg(F.count("*").alias("n"), F.sum("v").alias("s")).collect()}
+    assert counts == {"2024-01-01": (10, 0), "2024-01-02": (1, 7), "2024-01-03": (10, 20), "2024-01-04": (10, 30),
+                      "2024-02-01": (1, 9)}
+    assert read_table(spark, name).count() == 32
+    left = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "t").rglob("*.parquet")}
+    assert all(left.get(p) == t for p, t in files.items() if "2024-01-02" not in str(p))
+    assert not [p for p in files if "2024-01-02" in str(p) and p in left]
+    with pytest.raises(Exception, match="lost"):
+        refresh_partitions(again.selectExpr("if(v = 9, raise_error('lost'), v) as v", "day"), name, ["day"])
+    assert read_table(spark, name).count() == 32
+    with pytest.raises(ValueError, match="columns"):
+        refresh_partitions(again.withColumn("w", F.lit(1)), name, ["day"])
+    # the next whole replacement is as ever
+    write_table(days.filter("v = 1"), name, ["day"], ["v"])
+    assert read_table(spark, name).count() == 10
+
+
+def test_buckets_save_the_shuffle(spark, database):
+    name = f"{database}.b"
+    rows = spark.range(1000).selectExpr("cast(id % 37 as string) as k", "id as v").repartition(5)
+    for factor in (1, 2):
+        publish(write_buckets(rows.withColumn("v", F.col("v") * factor), name, "k", 4))
+        got = read_table(spark, name).groupBy("k").agg(F.sum("v").alias("s"))
+        assert "Exchange" not in got._jdf.queryExecution().toString()
+        assert {r.k: r.s for r in got.collect()} == {str(k): factor * sum(range(k, 1000, 37)) for k in range(37)}
+    joined = read_table(spark, name).join(read_table(spark, name).groupBy("k").count().hint("merge"), "k")
+    assert "Exchange" not in joined._jdf.queryExecution().toString() and joined.count() == 1000
+
+
+def test_hot_partition_is_split_and_files_are_clustered(spark, tmp_path, database):
     """One day holds most rows: it becomes several files, each sorted."""
-    path = str(tmp_path / "t")
+    name, path = f"{database}.t", tmp_path / "tables" / "t"
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50000")
     try:
         source = spark.range(0, 60000, 1, 16).selectExpr(
             "if(id % 3 < 2, 0, id % 5) as day", "cast(id % 70 as string) as country", "uuid() as v"
         )
-        write_table(source, path, ["day"], ["country"])
+        write_table(source, name, ["day"], ["country"])
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    files = sorted(Path(path).glob("version-*/day=0/*.parquet"))
+    files = sorted(path.glob("version-*/day=0/*.parquet"))
     assert len(files) > 3
-    assert len(list(Path(path).glob("version-*/day=*"))) == 5
+    assert len(list(path.glob("version-*/day=*"))) == 5
     for file in files:
         countries = pq.read_table(file, partitioning=None)["country"].to_pylist()
         assert countries == sorted(countries)
-    assert read_table(spark, path).count() == 60000
+    assert read_table(spark, name).count() == 60000
 
 
-def test_partition_pruning_by_day_and_month(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_partition_pruning_by_day_and_month(spark, database):
+    name = f"{database}.t"
     source = spark.range(40).selectExpr("date_add(date '2024-01-01', cast(id as int)) as day", "id")
-    write_table(source, path, ["day"])
+    write_table(source, name, ["day"])
     for condition in ("day >= date '2024-02-01'", "date_format(day, 'yyyy-MM') = '2024-02'"):
-        df = read_table(spark, path).filter(condition)
+        df = read_table(spark, name).filter(condition)
         plan = df._jdf.queryExecution().toString()
         assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(date_format" in plan
         assert df.count() == 9
 
 
-def test_read_by_month_is_sorted(spark, tmp_path):
-    path = str(tmp_path / "t")
+def test_read_by_month_is_sorted(spark, database):
     months = [(f"20{y:02d}-{m:02d}",) for y in (24, 22, 23) for m in (5, 1, 12)]
-    write_table(spark.createDataFrame(months, "trend_month string").repartition(4), path)
-    got = [r.trend_month for r in read_table_by_month(spark, path).collect()]
+    write_table(spark.createDataFrame(months, "trend_month string").repartition(4), f"{database}.t")
+    got = [r.trend_month for r in read_table_by_month(spark, f"{database}.t").collect()]
     assert got == sorted(got) and len(got) == 9
 
 

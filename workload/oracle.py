@@ -438,6 +438,10 @@ SELECTS: dict[str, str] = {
     "parquet_overwrite_roundtrip": "SELECT * FROM raw_podcast_reviews",
     "raw_load": "SELECT *, count(*) OVER () AS loaded_rows FROM supplier",
     "partitioned_roundtrip": "SELECT * FROM music_charts",
+    "daily_refresh": """SELECT * REPLACE (CASE WHEN day(snapshot_date) % 2 = 0 THEN popularity + 100 ELSE popularity END
+        AS popularity) FROM music_charts""",
+    "bucketed_reviews": """SELECT author_id, count(*) AS review_count, max(review_date) AS last_review
+        FROM podcast_reviews GROUP BY author_id""",
     "mart_read_by_month": "SELECT * FROM music_by_month ORDER BY trend_month",
     "stg_music_charts": "SELECT * FROM music_charts",
     "stg_music_charts_historical": "SELECT * FROM music_charts_historical",

@@ -41,8 +41,10 @@ from earshot.plans import marts, views
 from earshot.plans.staging import STAGED
 from earshot.session import prepare, scratch_folder
 from earshot.sources import (
+    create_database,
     input_profile,
     load_raw,
+    publish,
     raw_path,
     read_csv,
     read_json,
@@ -50,6 +52,8 @@ from earshot.sources import (
     read_podcast_shows,
     read_table,
     read_table_by_month,
+    refresh_partitions,
+    write_buckets,
     write_table,
 )
 from workload.standins import RAW, table
@@ -79,6 +83,12 @@ def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return STAGED[name].build(raw(spark, sf_dir, name))
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """A new database in the shared scratch folder."""
+    folder = scratch_folder(prepare(spark), "database")
+    return create_database(spark, "scratch_" + folder.rsplit("-", 1)[1], folder)
+
+
 # ---- column functions ------------------------------------------------------
 
 
@@ -365,41 +375,63 @@ def missing_input(spark, sf_dir):
 @query
 def load_partitioned(spark, sf_dir):
     """A Parquet input loaded into a raw table with a partition column and a cluster column."""
-    folder = scratch_folder(spark, "load")
-    rows = load_raw(spark, f"{sf_dir}/orders.parquet", f"{folder}/orders", "o_orderstatus", ["o_custkey"])
-    return read_table(spark, f"{folder}/orders").withColumn("loaded_rows", F.lit(rows).cast("bigint"))
+    name = f"{scratch_database(spark)}.orders"
+    rows = load_raw(spark, f"{sf_dir}/orders.parquet", name, "o_orderstatus", ["o_custkey"])
+    return read_table(spark, name).withColumn("loaded_rows", F.lit(rows).cast("bigint"))
 
 
 @query
 def parquet_overwrite_roundtrip(spark, sf_dir):
     """A second write replaces the first."""
-    path = raw_path(scratch_folder(spark, "lake"), "podcast_reviews")
-    write_table(raw(spark, sf_dir, "podcast_shows"), path)
-    return write_table(raw(spark, sf_dir, "podcast_reviews"), path)
+    lake = scratch_folder(spark, "lake")
+    name, folder = f"{scratch_database(spark)}.podcast_reviews", raw_path(lake, "podcast_reviews")
+    write_table(raw(spark, sf_dir, "podcast_shows"), name, folder=folder)
+    write_table(raw(spark, sf_dir, "podcast_reviews"), name, folder=folder)
+    return read_table(spark, name)
 
 
 @query
 def raw_load(spark, sf_dir):
     """A Parquet input loaded into a raw table, clustered; with the loaded count."""
-    folder = scratch_folder(spark, "load")
-    rows = load_raw(spark, f"{sf_dir}/supplier.parquet", f"{folder}/supplier", None, ["s_nationkey"])
-    return read_table(spark, f"{folder}/supplier").withColumn("loaded_rows", F.lit(rows).cast("bigint"))
+    name = f"{scratch_database(spark)}.supplier"
+    rows = load_raw(spark, f"{sf_dir}/supplier.parquet", name, None, ["s_nationkey"])
+    return read_table(spark, name).withColumn("loaded_rows", F.lit(rows).cast("bigint"))
 
 
 @query
 def partitioned_roundtrip(spark, sf_dir):
     """Staged music charts, partitioned by day and clustered by country."""
-    path = scratch_folder(spark, "staged")
+    name = f"{scratch_database(spark)}.music_charts"
     model = STAGED["music_charts"]
-    write_table(staged(spark, sf_dir, "music_charts"), path, model.partition_by, model.cluster_by)
-    return read_table(spark, path)
+    write_table(staged(spark, sf_dir, "music_charts"), name, model.partition_by, model.cluster_by)
+    return read_table(spark, name)
+
+
+@query
+def daily_refresh(spark, sf_dir):
+    """Staged music charts; then the days of even number are staged again, with other popularities."""
+    name = f"{scratch_database(spark)}.music_charts"
+    model = STAGED["music_charts"]
+    charts = staged(spark, sf_dir, "music_charts")
+    write_table(charts, name, model.partition_by, model.cluster_by)
+    again = charts.filter(F.dayofmonth("snapshot_date") % 2 == 0).withColumn("popularity", F.col("popularity") + 100)
+    return refresh_partitions(again, name, model.partition_by, model.cluster_by)
+
+
+@query
+def bucketed_reviews(spark, sf_dir):
+    """Reviews per reviewer from a table in buckets of the reviewer: no shuffle after the load."""
+    name = f"{scratch_database(spark)}.reviews"
+    publish(write_buckets(staged(spark, sf_dir, "podcast_reviews"), name, "author_id", 16))
+    by_reviewer = read_table(spark, name).groupBy("author_id")
+    return by_reviewer.agg(F.count(F.lit(1)).alias("review_count"), F.max("review_date").alias("last_review"))
 
 
 @query
 def mart_read_by_month(spark, sf_dir):
-    path = scratch_folder(spark, "mart")
-    write_table(music_trends_mart(spark, sf_dir), path)
-    return read_table_by_month(spark, path)
+    name = f"{scratch_database(spark)}.music_trends"
+    write_table(music_trends_mart(spark, sf_dir), name)
+    return read_table_by_month(spark, name)
 
 
 # ---- staged tables -----------------------------------------------------------
