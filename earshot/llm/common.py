@@ -43,12 +43,13 @@ def with_results(
     results: str,
     compute: Callable[[list[str | None]], list],
     carry: list[str] | None = None,
+    arrow: bool = False,
 ) -> DataFrame:
     """Columns computed from a text column in Python, next to the columns in `carry` (all by default).
 
     `results` is a DDL list of the new columns; `compute` takes the texts of some
-    rows and returns one list or Arrow array per new column. A new column
-    replaces a carried one of the same name.
+    rows (as an Arrow array with `arrow`) and returns one list or Arrow array per new
+    column. A new column replaces a carried one of the same name.
     """
     added = T._parse_datatype_string(results)
     taken = {field.name.lower() for field in added.fields}
@@ -62,7 +63,8 @@ def with_results(
         names = kept + [field.name for field in added.fields]
         for batch in batches:
             for piece in pieces(batch, place):
-                values = compute(piece.column(place).to_pylist())
+                texts = piece.column(place)
+                values = compute(texts if arrow else texts.to_pylist())
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)]
                 yield pa.RecordBatch.from_arrays(piece.columns[: len(kept)] + arrays, names=names)
 

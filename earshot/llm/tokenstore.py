@@ -18,7 +18,9 @@ its own part.
 
 Encoding is the tokenizers library's, asked once for each distinct word of many
 texts: its pattern never joins characters across white space, save that a space
-belongs to the word after it.
+belongs to the word after it. A batch of texts is split into words and these numbered
+by Arrow; only distinct words are looked up, and ids gathered by number. Texts with
+other white space than single spaces and newlines are encoded whole.
 
 Defined results: a null or empty text has the end id alone; rows with equal
 doc_id are ordered by text; null doc_ids come first. An empty table gives no rows.
@@ -36,6 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,58 +58,71 @@ CONTINUES, NULL_ID = 1, 2
 
 # ---- encoding --------------------------------------------------------------
 
-# A worker's memo is emptied between batches beyond so many words or bytes of them.
+# A worker's memo has two halves of up to so many words, or bytes of them. When the young
+# half is full it becomes the old one, and words of the old one that are not met again go.
 MEMO_ENTRIES = 400_000
 MEMO_BYTES = 32 << 20
 
-# White space of the library's pattern; a space and what follows it, white space up
-# to its last character, that character.
-SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-UNIT = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
-# The library and Python differ on whether these are white space.
-CONTROLS = re.compile("[\x1c-\x1f]")
-NEWLINE = "\n"
+# Texts in which words are kept apart by anything but one space or one newline, and
+# controls on which the library and others differ. White space is that of the library's pattern.
+UNEVEN = (
+    r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+# Before the first word of a text, and of a line: no space goes with it. (No even text has the former.)
+FIRST, NEWLINE = "\r", "\n"
 # Latin letters, the same in all Unicode versions, and a mark that may stand behind them.
-PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,]?)")
+PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]+)([.,]?)")
 
 
-class Words(dict):
-    """Word -> its ids as little-endian bytes, after a prefix that stands before every word."""
+class Words:
+    """Word -> its ids as little-endian bytes; a space before it unless it is marked as the first of a line."""
 
-    def __init__(self, library: Tokenizer, prefix: str):
-        super().__init__()
-        self.library, self.prefix, self.bytes = library, prefix, 0
+    def __init__(self, library: Tokenizer):
+        self.library, self.young, self.old, self.bytes = library, {}, {}, 0
         self.letter_of = str.maketrans({chr(byte): letter for byte, letter in enumerate(byte_letters())})
-        self.tails = {tail: self.ids(tail) for tail in ".,"}
+        self.space = " ".translate(self.letter_of)
+        self.newline, self.tails = self.ids(NEWLINE), {tail: self.ids(tail) for tail in ".,"}
 
     def ids(self, text: str) -> bytes:
         return array("i", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Ask the library for all words that are not known yet.
+    def piece(self, word: str, spaced: bool) -> bytes:
+        """Ids of a word, from the library.
 
         A word of letters alone is one piece of its pattern, and a mark after a
         letter is another: these go straight to the library's model, as byte letters.
         """
-        if len(self) > MEMO_ENTRIES or self.bytes > MEMO_BYTES:
-            self.clear()
-            self.bytes = 0
-        new = words - self.keys()
-        tokenize, letter_of = self.library.model.tokenize, self.letter_of
-        prefix, tails = self.prefix.translate(letter_of), self.tails
-        for word in new:
-            plain = PLAIN.fullmatch(word)
-            if not plain:
-                self[word] = self.ids(self.prefix + word)
-                continue
-            core, tail = plain.groups()
-            ids = self.get(core)
+        plain = PLAIN.fullmatch(word)
+        if not plain:
+            return self.ids(" " + word if spaced else word)
+        core, tail = plain.groups()
+        ids = (self.young.get(core) or self.old.get(core)) if tail and spaced else None
+        if ids is None:
+            letters = core if core.isascii() else core.encode().decode("latin-1").translate(self.letter_of)
+            tokens = self.library.model.tokenize(self.space + letters if spaced else letters)
+            ids = array("i", [token.id for token in tokens]).tobytes()
+        return ids + self.tails[tail] if tail else ids
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        young, old, found = self.young, self.old, []
+        for word in words:
+            ids = young.get(word)
             if ids is None:
-                letters = core if core.isascii() else core.encode().decode("latin-1").translate(letter_of)
-                ids = self[core] = array("i", [token.id for token in tokenize(prefix + letters)]).tobytes()
-            if tail:
-                self[word] = ids + tails[tail]
-        self.bytes += sum(map(len, new))
+                ids = old.get(word)
+                if ids is None:
+                    if word[:1] == FIRST:
+                        ids = self.piece(word[1:], False)
+                    elif word[:1] == NEWLINE:
+                        ids = self.newline + self.piece(word[1:], False)
+                    else:
+                        ids = self.piece(word, True)
+                young[word] = ids
+                self.bytes += len(word)
+            found.append(ids)
+        if len(young) > MEMO_ENTRIES or self.bytes > MEMO_BYTES:
+            self.young, self.old, self.bytes = {}, young, 0
+        return found
 
 
 class Encoder:
@@ -116,46 +132,57 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
-        self.spaced, self.plain = Words(self.library, " "), Words(self.library, "")
-
-    def slowly(self, text: str) -> bytes:
-        """Ids of a text with uneven white space, control characters or special tokens."""
-        if any(token in text for token in self.special) or CONTROLS.search(text):
-            return self.plain.ids(text)
-        return b"".join([self.plain.ids(unit) for unit in UNIT.findall(text)])
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        special = [re.escape(token.content) for token in self.library.get_added_tokens_decoder().values()]
+        self.uneven = "|".join([UNEVEN, *special])
+        self.words = Words(self.library)
+
+    def _even(self, texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """(which texts are even, ids of their distinct words, the word at each place, ends of the texts in places)."""
+        uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False).astype(bool)
+        even = texts.filter(pa.array(~uneven))
+        marked = pc.binary_join_element_wise(pa.scalar(FIRST), pc.replace_substring(even, NEWLINE, " " + NEWLINE), "")
+        split = pc.split_pattern(marked, " ")
+        words = split.flatten().dictionary_encode()
+        ids = self.words.look_up(words.dictionary.to_pylist())
+        places = words.indices.to_numpy(zero_copy_only=False)
+        return ~uneven, ids, places, np.cumsum(np.asarray(split.value_lengths(), np.int64))
+
+    def lengths(self, texts: pa.Array | list[str | None]) -> np.ndarray:
+        """Number of ids of each text."""
+        texts = _filled(texts)
+        even, ids, places, ends = self._even(texts)
+        found = np.zeros(len(texts), np.int64)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        total = np.concatenate([[0], np.cumsum(sizes[places])])
+        found[even] = np.diff(total[np.concatenate([[0], ends])])
+        for at in np.flatnonzero(~even):
+            found[at] = len(self.words.ids(texts[int(at)].as_py())) // 4
+        return found
+
+    def encode_all(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        done: list[bytes | list] = []
-        firsts, rests = set(), set()
-        for text in texts:
-            lines = [line.split(" ") for line in text.split(NEWLINE)] if text else []
-            words = list(itertools.chain.from_iterable(lines))
-            if words != (text or "").split() or any(token in text for token in self.special if text):
-                done.append(self.slowly(text))
-                continue
-            firsts.update([line[0] for line in lines])
-            for line in lines:
-                rests.update(line[1:])
-            done.append(lines)
-        self.plain.learn(firsts)
-        self.spaced.learn(rests)
-        newline = self.plain.ids(NEWLINE)
-        plain, spaced = self.plain, self.spaced
-        for at, lines in enumerate(done):
-            if isinstance(lines, list):
-                parts = []
-                for line in lines:
-                    parts += (newline, plain[line[0]])
-                    parts += [spaced[word] for word in line[1:]]
-                done[at] = b"".join(parts[1:])
-        return done
+        texts = _filled(texts)
+        even, ids, places, ends = self._even(texts)
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        of_place = sizes[places]
+        upto = np.concatenate([[0], np.cumsum(of_place)])
+        # Each word's ids, one place after another.
+        content = flat[np.arange(upto[-1]) + np.repeat(starts[places] - upto[:-1], of_place)].tobytes()
+        borders = 4 * upto[np.concatenate([[0], ends])]
+        made = iter([content[a:b] for a, b in itertools.pairwise(borders.tolist())])
+        return [next(made) if own else self.words.ids(texts[at].as_py()) for at, own in enumerate(even.tolist())]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
 
 
+def _filled(texts: pa.Array | list[str | None]) -> pa.Array:
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    return texts.fill_null("")
+
+
 @functools.cache
 def encoder_of(path: str) -> Encoder:
     return Encoder(path)
@@ -166,10 +193,10 @@ def with_token_count(
 ) -> DataFrame:
     """`docs` with the number of ids of each text, the end id included."""
 
-    def count(texts: list[str | None]) -> list:
-        return [[len(ids) // 4 + 1 for ids in encoder_of(tokenizer).encode_all(texts)]]
+    def count(texts: pa.Array) -> list:
+        return [pa.array(encoder_of(tokenizer).lengths(texts) + 1)]
 
-    return with_results(docs, text, f"`{name}` bigint", count, carry)
+    return with_results(docs, text, f"`{name}` bigint", count, carry, arrow=True)
 
 
 # ---- blocks ----------------------------------------------------------------
@@ -289,7 +316,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "do
         def documents():
             for batch in batches:
                 for piece in pieces(batch, 1):
-                    for own, ids in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1).to_pylist())):
+                    for own, ids in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1))):
                         yield own, ids + end
 
         for content in frames(TaskContext.get().partitionId(), documents()):
