@@ -373,7 +373,8 @@ def both_podcast_windows(reviews: DataFrame, charts: DataFrame, totals: DataFram
     marked = reviews.withColumn("__reviewed", F.lit(True))
     months = full_join_on_month(marked, charts)
     windows = months.withColumn(SOURCE, F.explode(F.array(F.lit(REVIEWS), F.lit(CHARTS))))
-    active = active_categories(totals).withColumn(SOURCE, F.lit(CHARTS))
+    # A key made from the row keeps this an equality join; a constant would make it a nested loop.
+    active = active_categories(totals).withColumn(SOURCE, F.when(F.col("podcast_categories_active") >= 0, CHARTS))
     rows = windows.join(active, SOURCE, "left").filter(
         F.when(F.col(SOURCE) == REVIEWS, F.col("__reviewed")).otherwise(F.col("podcast_categories_active").isNotNull())
     )
