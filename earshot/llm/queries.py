@@ -70,7 +70,7 @@ judged as (
             >= greatest({quality.MIN_SEPARATORS}, len(own) / {quality.MAX_WORDS_PER_SEPARATOR})
         or len(own) <= {quality.MAX_MENU_WORDS} and len(list_filter(own,
             lambda w: trim(lower(w), '.,:!') not in {sql_list(x.decode() for x in quality.MENU_WORDS)})) = 0
-        or len(regexp_extract_all(body, '[^\p{{L}}\p{{N}}\s]')) >= greatest({quality.LEAST_MARKS},
+        or len(regexp_extract_all(body, '[\p{{P}}\p{{S}}]')) >= greatest({quality.LEAST_MARKS},
             {quality.MAX_MARK_SHARE} * length(array_to_string(own, '')) + 1e-9)
         or len(own) <= {quality.MAX_PHRASE_WORDS} and regexp_matches(lower(body), '{quality.PHRASES.pattern}') as fails
     from lines where len(own) > 0
@@ -232,13 +232,19 @@ def op10_warc_audit(spark, sf_dir):
 
 
 ORACLE["op10_warc_audit"] = r"""
-with records as (
+with named as (
+    select page_id, coalesce(cast(page_id as varchar), '') as id, coalesce(url, '') as url, coalesce(html, '') as html,
+        sha256(coalesce(html, '')) as digest, sha256(concat_ws(' ', id, coalesce(url, ''), digest)) as name
+    from pages
+),
+records as (
     select page_id,
-           'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
-           || 'WARC-Block-Digest: sha256:' || sha256(coalesce(html, '')) || e
-           || 'X-Page-Id: ' || coalesce(cast(page_id as varchar), '') || e || 'Content-Type: text/html' || e
-           || 'Content-Length: ' || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || e as record
-    from pages, (select chr(13) || chr(10) as e)
+           'WARC/1.1' || e || 'WARC-Type: resource' || e
+           || 'WARC-Record-ID: <urn:uuid:' || concat_ws('-', name[1:8], name[9:12], name[13:16], name[17:20], name[21:32])
+           || '>' || e || 'WARC-Date: 1970-01-01T00:00:00Z' || e || 'WARC-Target-URI: ' || url || e
+           || 'WARC-Block-Digest: sha256:' || digest || e || 'X-Page-Id: ' || id || e || 'Content-Type: text/html' || e
+           || 'Content-Length: ' || strlen(html) || e || e || html || e || e as record
+    from named, (select chr(13) || chr(10) as e)
 )
 select page_id, strlen(record) as length, sha256(record) as sha256, coalesce(page_id % 97 <> 13, true) as intact
 from records

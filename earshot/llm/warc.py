@@ -2,8 +2,14 @@ r"""WARC files of pages, and a Merkle fixity audit of their replicas.
 
 Files: one per shard, a shard being the consecutive pages of one input split, cut
 at `SHARD_BYTES`. A file is a row of records, each a header, an empty line, the
-page, and two line ends (`\r\n\r\n`); it is stored gzipped. Offsets count bytes of
-the records before compression.
+page, and two line ends (`\r\n\r\n`), stored as a gzip member of its own. Offsets
+count bytes of the records before compression. Record ids are made from content, so
+repeated rows share theirs; the date is that of `record`, pages have none.
+
+Reading goes through all members of a file, however records are dealt to them. A
+member that cannot be read, or whose checksum or length is wrong, is a damaged range:
+its length is that of its data or the one its trailer states, so that records behind
+it keep their offsets, and its hash that of the stored bytes. So are bytes that are no member.
 
 Audit: each replica is scanned into records, hashed, with their offset ranges; what is
 no record up to the next header is a range of its own. Offset, length and hash of a
@@ -15,14 +21,18 @@ looked at below nodes that agree.
 
 Defined results: a null url or html is written as empty; a null page_id as an empty
 id, and read back as null. Repeated rows are records of their own. A missing or
-unreadable file of either replica has no leaves, so all ranges of the other one count
-as damaged. An empty table gives no rows.
+unreadable file of either replica has no record, so all ranges of the other one count
+as damaged. Zero bytes behind the last member are padding. A very long page is one
+record and one row. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -38,12 +48,18 @@ SHARD_BYTES = 4 << 20
 RANGE_BITS = 16
 FANOUT_BITS = 4
 
-# The format.
+# The formats.
 VERSION = b"WARC/1.1"
+DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
 LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
 PAGE = re.compile(rb"\r\nX-Page-Id: (-?\d*)\r\n")
 NEXT = b"\r\n\r\n" + VERSION + b"\r\n"
+MEMBER = b"\x1f\x8b\x08"
+HEADER_BYTES, TRAILER_BYTES = 10, 8
+# Deflate makes at most so many bytes of one.
+MOST_INFLATED = 1032
+READ_BYTES = 1 << 14
 
 # Shards of one input split; the split's number comes first.
 SHARDS_PER_SPLIT = 1 << 12
@@ -52,14 +68,16 @@ SHARDS_PER_SPLIT = 1 << 12
 RECORDS = "shard bigint, number bigint, page_id bigint, record binary"
 
 
-def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
+def record(page_id: int | None, url: str | None, html: str | None, date: str = DATE) -> bytes:
     """A record without its closing line ends."""
     block = (html or "").encode("utf-8")
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     digest = hashlib.sha256(block).hexdigest()
+    own = "" if page_id is None else page_id
+    name = uuid.UUID(hex=hashlib.sha256(f"{own} {uri} {digest}".encode()).hexdigest()[:32])
     head = (
-        f"{VERSION.decode()}\r\nWARC-Type: resource\r\nWARC-Target-URI: {uri}\r\n"
-        f"WARC-Block-Digest: sha256:{digest}\r\nX-Page-Id: {'' if page_id is None else page_id}\r\n"
+        f"{VERSION.decode()}\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Date: {date}\r\n"
+        f"WARC-Target-URI: {uri}\r\nWARC-Block-Digest: sha256:{digest}\r\nX-Page-Id: {own}\r\n"
         f"Content-Type: text/html\r\nContent-Length: {len(block)}"
     )
     return head.encode("utf-8") + END + block
@@ -95,10 +113,28 @@ def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     return rows.mapInArrow(run, RECORDS)
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member; an empty one is added where it would not end in a zero byte (data of 16 MB and more)."""
+    packer = zlib.compressobj(wbits=31)
+    made = packer.compress(data) + packer.flush()
+    return made if not made[-1] else made + member(b"")
+
+
 def write_warc(records: DataFrame, folder: str) -> None:
-    """One gzipped file per shard, its records in order. `records` has a shard's rows in one partition."""
-    text = records.sortWithinPartitions("shard", "number").select("shard", F.col("record").cast("string").alias("value"))
-    text.write.partitionBy("shard").option("lineSep", END.decode()).option("compression", "gzip").text(folder)
+    """One file per shard, its records in order, a gzip member each. `records` has a shard's rows in one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 2):
+                made = [member(content.as_py() + END)[:-1] for content in piece.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [*piece.columns[:2], pa.array(made, pa.binary())], names=["shard", "number", "member"]
+                )
+
+    rows = records.select("shard", "number", "record").mapInArrow(run, "shard bigint, number bigint, member binary")
+    lines = rows.sortWithinPartitions("shard", "number").select("shard", F.col("member").cast("string").alias("value"))
+    # Every member ends in a zero byte, which the text writer adds as the end of a line.
+    lines.write.partitionBy("shard").option("lineSep", "\0").text(folder)
 
 
 def damaged(records: DataFrame, where: Column) -> DataFrame:
@@ -116,13 +152,68 @@ def files_of(spark: SparkSession, folder: str) -> DataFrame:
     return files.load(folder).select(number.alias("shard"), "content")
 
 
-def plain(content: bytes) -> bytes:
-    """The bytes of a gzipped file, as far as they can be read."""
-    stream = zlib.decompressobj(wbits=31)
+def inflated(content: bytes, at: int) -> tuple[bytes, int] | None:
+    """The data of the gzip member that begins at `at`, and its end; None if it is not whole and right."""
+    stream, parts = zlib.decompressobj(wbits=31), []
     try:
-        return stream.decompress(content)
+        while not stream.eof and at < len(content):
+            parts.append(stream.decompress(content[at : at + READ_BYTES]))
+            at += READ_BYTES
     except zlib.error:
-        return b""
+        return None
+    return (b"".join(parts), min(at, len(content)) - len(stream.unused_data)) if stream.eof else None
+
+
+def length_of(stored: bytes) -> int:
+    """The length before compression of a damaged member: of its data if their checksum is right, else as stated."""
+    if len(stored) < HEADER_BYTES + TRAILER_BYTES:
+        return len(stored)
+    checksum, size = struct.unpack("<2I", stored[-TRAILER_BYTES:])
+    stream = zlib.decompressobj(wbits=-15)
+    try:
+        data = stream.decompress(stored[HEADER_BYTES:-TRAILER_BYTES])
+        size = len(data) if zlib.crc32(data) == checksum else size
+    except zlib.error:
+        pass
+    return size if 0 < size <= MOST_INFLATED * len(stored) else len(stored)
+
+
+def members_of(content: bytes) -> Iterator[tuple[bytes | None, bytes, int]]:
+    """(data, stored bytes, length before compression) of each member; data is None for what cannot be read."""
+    at = 0
+    while at < len(content):
+        found = inflated(content, at)
+        if found:
+            data, end = found
+            yield data, content[at:end], len(data)
+            at = end
+            continue
+        end = content.find(MEMBER, at + 1)
+        while end >= 0 and not inflated(content, end):
+            end = content.find(MEMBER, end + 1)
+        stored = content[at:] if end < 0 else content[at:end]
+        at += len(stored)
+        if end < 0 and not stored.strip(b"\0"):
+            return
+        yield None, stored, length_of(stored)
+
+
+def parts_of(content: bytes) -> Iterator[tuple[int, int, int | None, bytes, bool]]:
+    """(offset, length, page_id, bytes, readable) of each range of a file, in order.
+
+    Readable members that follow each other are read as one text: records may go over their ends.
+    """
+    at = 0
+    for readable, group in itertools.groupby(members_of(content), lambda own: own[0] is not None):
+        if readable:
+            text = b"".join(data for data, _, _ in group)
+            for start, size, page in ranges_of(text):
+                yield at + start, size, page, text[start : start + size], True
+            at += len(text)
+        else:
+            for _, stored, size in group:
+                yield at, size, None, stored, False
+                at += size
 
 
 def ranges_of(content: bytes) -> Iterator[tuple[int, int, int | None]]:
@@ -143,14 +234,13 @@ def ranges_of(content: bytes) -> Iterator[tuple[int, int, int | None]]:
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard, number, page_id, record) of a replica, as they can be written to another one."""
+    """(shard, number, page_id, record) of a replica's readable ranges, as they can be written to another one."""
 
     def run(batches):
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = plain(content.as_py())
-                rows = [(shard, n, page, data[at : at + size].removesuffix(END))
-                        for n, (at, size, page) in enumerate(ranges_of(data))]
+                rows = [(shard, n, page, data.removesuffix(END))
+                        for n, (_, _, page, data, readable) in enumerate(parts_of(content.as_py())) if readable]
                 columns = list(zip(*rows)) or [[]] * 4
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -166,9 +256,8 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = plain(content.as_py())
-                rows = [(shard, at, size, page, hashlib.sha256(data[at : at + size]).digest())
-                        for at, size, page in ranges_of(data)]
+                rows = [(shard, at, size, page, hashlib.sha256(data).digest())
+                        for at, size, page, data, _ in parts_of(content.as_py())]
                 columns = list(zip(*rows)) or [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(

@@ -52,6 +52,78 @@ def test_damage_is_found(spark, records):
         assert audited(spark, first, stored(spark, warc.damaged(records, where), "b")) == bad
 
 
+def members(rows=ROWS):
+    return [warc.member(warc.record(*r) + warc.END) for r in rows]
+
+
+def test_stored_as_one_member_a_record(spark, records):
+    """Any gzip reader sees the records; each is a member with the mandatory headers."""
+    content = b"".join(bytes(r["content"]) for r in warc.files_of(spark, stored(spark, records, "a")).collect())
+    assert content == b"".join(members())
+    assert gzip.decompress(content) == b"".join(warc.record(*r) + warc.END for r in ROWS)
+    for data, _, _ in warc.members_of(content):
+        head = data[: data.find(warc.END)].decode().split("\r\n")
+        assert head[0] == "WARC/1.1"
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= {h.split(": ")[0] for h in head[1:]}
+
+
+def test_long_records_end_in_a_zero_byte():
+    data = bytes(20 << 20) + b"x"
+    assert gzip.decompress(warc.member(data)) == data and warc.member(data)[-1] == 0
+
+
+def test_members_however_records_are_dealt(spark, records, tmp_path):
+    first = stored(spark, records, "a")
+    content = b"".join(warc.record(*r) + warc.END for r in ROWS)
+    (tmp_path / "shard=0").mkdir()
+    file = tmp_path / "shard=0" / "part-0.gz"
+    for size in (7, 100, 5000, len(content)):
+        file.write_bytes(b"".join(gzip.compress(content[i : i + size]) for i in range(0, len(content), size)) + bytes(9))
+        assert audited(spark, first, str(tmp_path)) == set()
+
+
+def test_changed_and_added_later_members(spark, records, tmp_path):
+    first = stored(spark, records, "a")
+    (tmp_path / "shard=0").mkdir()
+    file = tmp_path / "shard=0" / "part-0.gz"
+    more = warc.member(warc.record(99, "http://new", "new") + warc.END)
+    file.write_bytes(b"".join(members()) + more)
+    assert audited(spark, first, str(tmp_path)) == {99}
+    file.write_bytes(b"".join([*members(ROWS[:-1]), warc.member(warc.record(5, "http://é", "other") + warc.END)]))
+    assert audited(spark, first, str(tmp_path)) == {5}
+    file.write_bytes(b"".join(members()) + b"no member")
+    bad = [r for r in warc.check_replicas(spark, first, str(tmp_path)).collect() if not r["intact"]]
+    assert [(r["length"], r["page_id"], r["side"]) for r in bad] == [(9, None, "second")]
+
+
+def test_any_flipped_byte_costs_its_own_member():
+    rows = [(i, f"http://{i}", f"<p>{i} " + "some text " * i + "</p>") for i in range(30)]
+    own = members(rows)
+    good = list(warc.parts_of(b"".join(own)))
+    assert [page for _, _, page, _, _ in good] == list(range(30))
+    broken = own[11]
+    for at in range(len(broken)):
+        content = b"".join([*own[:11], broken[:at] + bytes([broken[at] ^ 0x10]) + broken[at + 1 :], *own[12:]])
+        found = list(warc.parts_of(content))
+        if at in (4, 5, 6, 7, 8, 9):  # time stamp and system in the header: data and checksum are right
+            assert found == good
+        else:
+            assert found[:11] == good[:11] and not found[11][-1] and found[11][2] is None, at
+            assert found[12:] == good[12:], at
+
+
+def test_flipped_byte_of_a_stored_file_is_located(spark, records, tmp_path):
+    first = stored(spark, records, "a")
+    content = b"".join(members())
+    (tmp_path / "shard=0").mkdir()
+    file = tmp_path / "shard=0" / "part-0.gz"
+    at = sum(map(len, members(ROWS[:3]))) + 400
+    file.write_bytes(content[:at] + bytes([content[at] ^ 1]) + content[at + 1 :])
+    assert audited(spark, first, str(tmp_path)) == {3}
+    assert audited(spark, str(tmp_path), first) == {3}
+    assert warc.read_records(spark, str(tmp_path)).count() == len(ROWS) - 1
+
+
 def test_damaged_header_costs_its_own_record(spark):
     good = [warc.record(i, f"http://{i}", f"<p>{i}</p>") + warc.END for i in range(50)]
     broken = [*good[:7], good[7].replace(b"Content-Length", b"Content-Lengtg"), *good[8:]]
