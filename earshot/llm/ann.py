@@ -11,7 +11,11 @@ go to every part.
 
 How many probes a table gets is measured: the exact neighbours of `TUNE_QUERIES`
 queries among all rows are found block by block, and the least number of probes
-that finds `TARGET` of them is taken. Every row is indexed.
+that finds `TARGET` of them is taken. Every row is indexed. Where `MOST_PROBES` of
+`MOST_TABLES` tables do not find so many, a bucket is made of one rotation less, down
+to one, of which every axis can be probed. Where probing costs as much as ranking
+every row, that is done: one table, all buckets, so that the search is exact.
+A task holds `PROBED` probes at a time, whatever the batch, and one bucket's part.
 
 Equal vectors are one class: it is hashed, searched and ranked once, and stands
 for its smallest ids, as many as a result can hold.
@@ -25,7 +29,7 @@ row with its id. Ties go to the smaller id. No queries or one row give no rows.
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +53,9 @@ QUERY_ROWS = 512
 HELD_QUERIES = 20_000
 # Slots over which the rows of one class are spread before its smallest ids are taken.
 SLOTS = 64
-# Scores this close are ranked by the exact sums.
+# Probes a task makes at once.
+PROBED = 1 << 20
+# Scores this close, as a share of the product of the norms, are ranked by the exact sums.
 CLOSE = 1e-9
 
 
@@ -77,6 +83,16 @@ class Hasher:
     def width(self) -> int:
         return 1 << int(self.dimension).bit_length()
 
+    @property
+    def buckets(self) -> int:
+        """Buckets of a table."""
+        return (2 * self.width) ** self.functions
+
+    @property
+    def most(self) -> int:
+        """The probes a table can get: of one rotation all its axes."""
+        return self.buckets if self.functions == 1 else min(MOST_PROBES, self.buckets)
+
     def rotated(self, rows: np.ndarray, table: int, function: int) -> np.ndarray:
         signs = np.random.default_rng([SEED, table, function]).choice([-1.0, 1.0], (ROUNDS, self.width))
         for own in signs:
@@ -126,6 +142,12 @@ class Hasher:
         return found
 
 
+    def blocks(self, rows: int, count: int) -> list[slice]:
+        """Ranges of `rows` queries whose probes are made together."""
+        step = max(1, PROBED // (max(4 * count, 2 * self.width) + self.tables * count))
+        return [slice(at, at + step) for at in range(0, rows, step)]
+
+
 def matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(-1, dimension)
 
@@ -151,11 +173,15 @@ def classes_of(vectors: DataFrame, ids: str, vector: str, most: int) -> DataFram
     )
 
 
-def best_rows(scores: np.ndarray, most: int) -> list[np.ndarray]:
-    """Places of the `most` largest of each row, and of all as close as makes no difference."""
+def longest(vectors: np.ndarray) -> float:
+    return float(np.linalg.norm(vectors, axis=1).max(initial=0.0))
+
+
+def best_rows(scores: np.ndarray, most: int, norms: float) -> list[np.ndarray]:
+    """Places of the `most` largest of each row, and of all as close as rounding; `norms` is the largest product of norms."""
     if scores.shape[1] <= most:
         return [np.arange(scores.shape[1])] * len(scores)
-    least = np.partition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most] - CLOSE
+    least = np.partition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most] - CLOSE * norms
     return [np.flatnonzero(row >= bound) for row, bound in zip(scores, least)]
 
 
@@ -167,15 +193,16 @@ def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float,
     ids = np.array([r["cid"] for r in chosen])
     own = np.array([r["vec"] for r in chosen], np.float64)
     shared = classes.sparkSession.sparkContext.broadcast((ids, own))
-    dimension = hasher.dimension
+    dimension, tables = hasher.dimension, hasher.tables
 
     def run(batches):
         query_ids, vectors = shared.value
+        largest = longest(vectors)
         for batch in batches:
             points, cids = matrix(batch.column(1), dimension), batch.column(0).to_numpy()
             scores = vectors @ points.T
             scores[query_ids[:, None] == cids[None, :]] = -np.inf
-            for query, (places, row) in enumerate(zip(best_rows(scores, NEIGHBOURS), scores)):
+            for query, (places, row) in enumerate(zip(best_rows(scores, NEIGHBOURS, largest * longest(points)), scores)):
                 places = places[np.isfinite(row[places])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(places), query)), pa.array(row[places]), batch.column(1).take(pa.array(places))],
@@ -191,16 +218,29 @@ def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float,
     of = np.array([r["query"] for r in exact])
     near = np.array([r["vec"] for r in exact], np.float64)
     while True:
-        most = min(MOST_PROBES, (2 * hasher.width) ** hasher.functions)
-        codes, probes = hasher.codes(near), hasher.probes(own, most)
-        ranks = np.full(len(of), most)
-        for at, (query, code) in enumerate(zip(of, codes)):
-            hits = np.nonzero(probes[query] == code[:, None])[1]
+        needed = probes_for(hasher, own, near, of, target)
+        if needed <= hasher.most:
+            break
+        if hasher.tables < MOST_TABLES:
+            hasher = replace(hasher, tables=2 * hasher.tables)
+        else:
+            hasher = replace(hasher, tables=tables, functions=hasher.functions - 1)
+    if hasher.tables * needed >= hasher.buckets:
+        hasher = replace(hasher, tables=1, functions=1)
+        needed = hasher.most
+    return hasher, needed
+
+
+def probes_for(hasher: Hasher, queries: np.ndarray, near: np.ndarray, of: np.ndarray, target: float) -> int:
+    """The probes a table needs so that `target` of the rows `near` are found by their queries `of`."""
+    codes, most = hasher.codes(near), hasher.most
+    ranks = np.full(len(of), most)
+    for block in hasher.blocks(len(queries), most):
+        probes = hasher.probes(queries[block], most)
+        for at in np.flatnonzero((of >= block.start) & (of < block.stop)):
+            hits = np.nonzero(probes[of[at] - block.start] == codes[at][:, None])[1]
             ranks[at] = hits.min(initial=most)
-        needed = int(np.sort(ranks)[max(0, int(np.ceil(target * len(ranks))) - 1)]) + 1
-        if needed <= most or hasher.tables >= MOST_TABLES:
-            return hasher, min(needed, most)
-        hasher = Hasher(hasher.dimension, hasher.largest, 2 * hasher.tables, hasher.functions)
+    return int(np.sort(ranks)[max(0, int(np.ceil(target * len(ranks))) - 1)]) + 1
 
 
 def ranked_in_buckets(rows: DataFrame, dimension: int, most: int) -> DataFrame:
@@ -246,10 +286,13 @@ class Bucket:
         if len(self.points) > 1:
             self.points = [tuple(map(np.concatenate, zip(*self.points)))]
         own_ids, own_firsts, points = self.points[0]
+        norms = longest(points)
         for at in range(0, len(cids), QUERY_ROWS):
             block = vectors[at : at + QUERY_ROWS]
             scores = block @ points.T
-            for query, vector, places in zip(cids[at : at + QUERY_ROWS], block, best_rows(scores, self.most + 1)):
+            for query, vector, places in zip(
+                cids[at : at + QUERY_ROWS], block, best_rows(scores, self.most + 1, norms * longest(block))
+            ):
                 places = places[own_ids[places] != query]
                 exact = (points[places] * vector).sum(1)
                 self.merge(int(query), np.rec.fromarrays([own_ids[places], own_firsts[places], exact], names="c,f,s"))
@@ -306,8 +349,8 @@ def nearest(
     hasher = Hasher(dimension, float(np.sqrt(largest)) * (1 + 1e-12), tables, functions)
     hasher, probes = tuned(classes, queries, hasher, target, tune_queries)
 
-    hashed = reliable(_hashed(classes, hasher, "array<bigint>", lambda v: hasher.codes(v)))
-    probing = _hashed(queries, hasher, "array<array<bigint>>", lambda v: hasher.probes(v, probes))
+    hashed = reliable(_hashed(classes, hasher))
+    probing = _hashed(queries, hasher, probes)
     points = hashed.select("cid", "first", "vec", F.posexplode("codes").alias("tab", "bucket"))
     parts = reliable(
         points.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / bucket).cast("int").alias("parts"))
@@ -348,21 +391,26 @@ def nearest(
     )
 
 
-def _hashed(classes: DataFrame, hasher: Hasher, kind: str, hashes) -> DataFrame:
-    """cid, first, vec and the column `codes` of the given kind."""
+def _hashed(classes: DataFrame, hasher: Hasher, probes: int = 0) -> DataFrame:
+    """cid, first, vec and `codes`: the bucket of each table, or with `probes` the list of its nearest buckets."""
     rows = classes.select("cid", "first", "vec")
+    kind = "array<array<bigint>>" if probes else "array<bigint>"
     schema = f"cid bigint, first bigint, vec {rows.schema['vec'].dataType.simpleString()}, codes {kind}"
 
     def run(batches):
         for batch in batches:
-            codes = hashes(matrix(batch.column(2), hasher.dimension))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(codes.tolist(), _arrow_list(codes.ndim - 1))],
-                names=["cid", "first", "vec", "codes"],
-            )
+            for block in hasher.blocks(batch.num_rows, probes):
+                piece = batch.slice(block.start, block.stop - block.start)
+                vectors = matrix(piece.column(2), hasher.dimension)
+                codes = hasher.probes(vectors, probes) if probes else hasher.codes(vectors)
+                yield pa.RecordBatch.from_arrays([*piece.columns, _lists(codes)], names=["cid", "first", "vec", "codes"])
 
     return rows.mapInArrow(run, schema)
 
 
-def _arrow_list(depth: int) -> pa.DataType:
-    return pa.int64() if not depth else pa.list_(_arrow_list(depth - 1))
+def _lists(values: np.ndarray) -> pa.Array:
+    """An array of two or more dimensions as lists, without Python objects."""
+    made = pa.array(values.reshape(-1))
+    for width in values.shape[:0:-1]:
+        made = pa.ListArray.from_arrays(pa.array(np.arange(0, len(made) + 1, width, dtype=np.int32)), made)
+    return made

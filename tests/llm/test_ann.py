@@ -67,6 +67,46 @@ def test_exact_when_all_buckets_are_probed(spark, bucket):
     assert found == exact(rows)
 
 
+@pytest.mark.parametrize("probes, tables", [(64, 12), (4, 6)])
+def test_hard_vectors(spark, monkeypatch, probes, tables):
+    """Weak neighbours and two rotations: where the caps do not reach the recall, fewer rotations or all rows do.
+
+    The recall is that of queries which had no part in the tuning.
+    """
+    monkeypatch.setattr(ann, "MOST_PROBES", probes)
+    monkeypatch.setattr(ann, "MOST_TABLES", tables)
+    rng = np.random.default_rng(5)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(4000, 48)))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], VECTORS)
+    hasher = ann.Hasher(48, 12.0, 6, 2)
+    classes = ann.classes_of(df, "vec_id", "embedding", 21).cache()
+    needed = ann.probes_for(hasher, np.array([v for _, v in rows[:20]]), np.array([v for _, v in rows[20:40]]),
+                            np.arange(20), 1.0)
+    assert needed > hasher.most  # the first tables cannot do it
+    found_hasher, count = ann.tuned(classes, classes.filter("first % 20 = 0"), hasher, 0.95, 50)
+    assert count <= found_hasher.most and found_hasher.functions == 1
+    wanted, found = exact(rows), grouped(ann.nearest(df, QUERY, bucket=16, tune_queries=50, tables=6))
+    asked = {r["first"] for r in classes.filter("first % 20 = 0").orderBy(ann.F.xxhash64("vec"), "cid").limit(50).collect()}
+    rest = [q for q in wanted if q not in asked]
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) for q in rest)
+    assert len(rest) == 150 and hits >= 0.9 * 20 * len(rest)
+
+
+def test_blocks_of_queries_probe_alike(monkeypatch):
+    hasher = ann.Hasher(20, 5.0, 3, 2)
+    vectors = np.random.default_rng(1).normal(size=(70, 20))
+    whole = hasher.probes(vectors, 30)
+    monkeypatch.setattr(ann, "PROBED", 2000)
+    blocks = hasher.blocks(70, 30)
+    assert len(blocks) > 5 and (np.concatenate([hasher.probes(vectors[b], 30) for b in blocks]) == whole).all()
+    assert ann._lists(whole).to_pylist() == whole.tolist()
+
+
+def test_large_norms_rank_by_exact_sums():
+    scores = np.array([[1e12, 1e12 + 1e-3, 1e12 - 1e-3, 0.0]])
+    assert ann.best_rows(scores, 1, 1e12)[0].tolist() == [0, 1, 2]
+
+
 def test_awkward_rows_and_clashing_names(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [2.0, 0.0]), (3, [0.5, 0.5]), (3, [0.5, 0.5]), (4, None), (5, []), (6, [0.0, 0.0]),
