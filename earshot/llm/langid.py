@@ -4,6 +4,9 @@ Model: per language the log frequency of its frequent words, and of the characte
 n-grams (lengths 4 to 1, with a mark before and behind the word) of all its words.
 A word that is known in any language scores its log frequencies; any other takes
 the mean log frequency of its known n-grams of the greatest length that has one.
+What a language has not seen scores the least of all languages there, so that a
+small language gains nothing from words that it does not know. The tables hold only
+what was seen, as the gain over that floor.
 A word without any known letter says nothing. The language with the largest mean
 over all words of the whole text wins, ties go to the first by name; the score is
 its share after a softmax over the means times the words counted (`TRUST` at most).
@@ -13,11 +16,13 @@ The model is fitted on a bounded sample: all labelled rows if there are at most
 chosen by a hash of the text. A small language is learned whole, and no language gets
 less than `LEAST` texts. Copies count as often as they stand where a language is
 learned whole, else once. The tables hold `WORDS` words and `GRAMS` n-grams a length
-and language, so that the model can be sent to every executor at any size of the corpus.
+and language, also those seen once, so that the model can be sent to every executor at
+any size of the corpus. A task scores `VALUES` numbers at a time, whatever the
+languages and the length of a text.
 
 Defined results: `und` with score 0 for a null text or one without a letter, and
 for all texts where nothing was learned. Repeated rows are judged each on its own.
-An empty table gives no rows.
+Columns named as the results are replaced by them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,15 +53,18 @@ WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 # A worker's memo is emptied between batches beyond so many pieces or bytes of them.
 MEMO_ENTRIES = 300_000
 MEMO_BYTES = 32 << 20
+# Numbers (pieces times languages) that are scored or kept at once.
+VALUES = 8 << 20
 
 
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, int]  # word -> row of word_logs
-    word_logs: np.ndarray
-    grams: dict[str, int]  # n-gram of any length -> row of gram_logs
-    gram_logs: np.ndarray
+    words: dict[str, int]  # word -> row
+    grams: dict[str, int]  # n-gram of any length -> row
+    starts: np.ndarray  # the cells of row i are starts[i] to starts[i + 1]
+    places: np.ndarray  # the language of each cell
+    gains: np.ndarray  # its log frequency above the floor
 
 
 def words_of(text: str) -> list[str]:
@@ -75,21 +84,28 @@ def cut_grams(length: int) -> Column:
     return F.when(F.length(own) >= length, grams)
 
 
-def table_of(rows: list, languages: list[str], totals: dict) -> tuple[dict[str, int], np.ndarray]:
-    """Entries and their smoothed log frequency per language; rows are (lang, kind, entry, n)."""
-    entries = {entry: i for i, entry in enumerate(sorted({row[2] for row in rows}))}
-    kinds = np.zeros(len(entries), np.int64)
-    counts = np.zeros((len(entries), len(languages)))
+def model_of(rows: pa.Table, totals: dict[tuple[str, int], int]) -> Model:
+    """The model of counted entries (lang, kind, entry, n) and the sums of all counts by language and kind."""
+    languages = sorted({language for language, _ in totals})
     place = {language: i for i, language in enumerate(languages)}
-    for language, kind, entry, n in rows:
-        counts[entries[entry], place[language]] = n
-        kinds[entries[entry]] = kind
-    logs = np.zeros_like(counts)
+    kinds = rows["kind"].to_numpy()
+    langs = np.array([place[language] for language in rows["lang"].to_pylist()], np.int32)
+    logs = np.log(rows["n"].to_numpy() + SMOOTHING)
+    entry_rows, tables, first = np.zeros(len(kinds), np.int64), [], 0
+    for own in (kinds == 0, kinds != 0):
+        coded = rows["entry"].combine_chunks().filter(pa.array(own)).dictionary_encode()
+        entry_rows[own] = coded.indices.to_numpy() + first
+        tables.append({entry: first + i for i, entry in enumerate(coded.dictionary.to_pylist())})
+        first += len(coded.dictionary)
     for kind in np.unique(kinds):
-        total = np.array([totals.get((language, int(kind)), 0) for language in languages], float)
         own = kinds == kind
-        logs[own] = np.log((counts[own] + SMOOTHING) / (total + SMOOTHING * (1 + own.sum())))
-    return entries, logs
+        entries = len(np.unique(entry_rows[own]))
+        total = np.array([totals.get((language, int(kind)), 0) for language in languages], float)
+        sizes = total + SMOOTHING * (1 + entries)
+        logs[own] -= np.log(sizes)[langs[own]] + np.log(SMOOTHING / sizes.max())
+    order = np.lexsort([langs, entry_rows])
+    starts = np.searchsorted(entry_rows[order], np.arange(first + 1))
+    return Model(languages, *tables, starts, langs[order], logs[order])
 
 
 def shares_of(texts: dict[str, int], sample: int) -> dict[str, float]:
@@ -142,12 +158,8 @@ def fit(
     totals = {(r["lang"], r["kind"]): r["n"] for r in counted.groupBy("lang", "kind").agg(F.sum("n").alias("n")).collect()}
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "entry")
     limit = F.when(F.col("kind") == 0, words).otherwise(grams)
-    kept = counted.filter("n > 1").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
-    rows = [tuple(r) for r in kept.select("lang", "kind", "entry", "n").collect()]
-    languages = sorted({language for language, _ in totals})
-    word_rows = [r for r in rows if r[1] == 0]
-    gram_rows = [r for r in rows if r[1] != 0]
-    return Model(languages, *table_of(word_rows, languages, totals), *table_of(gram_rows, languages, totals))
+    kept = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
+    return model_of(kept.select("lang", "kind", "entry", F.col("n").cast("long").alias("n")).toArrow(), totals)
 
 
 class Scorer(dict):
@@ -156,29 +168,29 @@ class Scorer(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.known = len(model.words)
-        self.logs = np.concatenate([model.word_logs, model.gram_logs]) if model.languages else np.empty((0, 0))
+        self.languages = len(model.languages)
+        self.step = max(1, VALUES // (self.languages + 1))
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.sums, self.bytes = np.empty((0, len(self.model.languages) + 1)), 0
+        self.sums, self.bytes = np.empty((0, self.languages + 1)), 0
 
     def rows(self, word: str) -> list[int]:
         """The table rows whose mean a word scores: its own, or those of its longest known n-grams."""
         row = self.model.words.get(word)
         if row is not None:
             return [row]
-        grams, known = self.model.grams, self.known
+        grams = self.model.grams
         for length in LENGTHS:
-            rows = [known + row for gram in grams_of(word, length) if (row := grams.get(gram)) is not None]
+            rows = [row for gram in grams_of(word, length) if (row := grams.get(gram)) is not None]
             if rows:
                 return rows
         return []
 
     def learn(self, pieces: set[str]) -> None:
         """Score all pieces that are not known yet, together."""
-        if len(self) > MEMO_ENTRIES or self.bytes > MEMO_BYTES:
+        if len(self) > min(MEMO_ENTRIES, self.step) or self.bytes > MEMO_BYTES:
             self.clear()
         new = list(pieces - self.keys())
         rows, counts, owners = [], [], []
@@ -189,26 +201,50 @@ class Scorer(dict):
                     rows += own
                     counts.append(len(own))
                     owners.append(place)
-        added = np.zeros((len(new), self.sums.shape[1]))
+        added = np.zeros((len(new), self.languages + 1))
         if rows:
-            starts = np.cumsum([0, *counts[:-1]])
-            words = np.add.reduceat(self.logs[rows], starts, axis=0) / np.array(counts)[:, None]
-            np.add.at(added, owners, np.hstack([words, np.ones((len(words), 1))]))
+            model, rows = self.model, np.array(rows)
+            sizes = model.starts[rows + 1] - model.starts[rows]
+            cells = np.arange(sizes.sum()) + np.repeat(model.starts[rows] - np.cumsum(sizes) + sizes, sizes)
+            of = np.repeat(np.repeat(owners, counts), sizes)
+            shares = np.repeat(np.repeat(1 / np.array(counts), counts), sizes)
+            flat = np.bincount(of * self.languages + model.places[cells], model.gains[cells] * shares,
+                               minlength=len(new) * self.languages)
+            added[:, :-1] = flat.reshape(len(new), self.languages)
+            added[:, -1] = np.bincount(owners, minlength=len(new))
         first = len(self.sums)
         self.sums = np.concatenate([self.sums, added])
         self.update(zip(new, range(first, first + len(new))))
         self.bytes += sum(map(len, new))
 
+    def totals_of(self, texts: list[str | None]) -> np.ndarray:
+        """The sums of each text's words per language, and its words; pieces of several texts are learned together."""
+        totals = np.zeros((len(texts), self.languages + 1))
+        waiting, size = [], 0
+
+        def add() -> None:
+            self.learn(set().union(*(part for _, part in waiting)))
+            for place, part in waiting:
+                totals[place] += self.sums[[self[piece] for piece in part]].sum(0)
+
+        for place, text in enumerate(texts):
+            pieces = text.lower().split() if text else []
+            for at in range(0, len(pieces), self.step):
+                waiting.append((place, pieces[at : at + self.step]))
+                size += len(waiting[-1][1])
+                if size >= self.step:
+                    add()
+                    waiting, size = [], 0
+        add()
+        return totals
+
     def judge_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
-        model = self.model
-        if not model.languages:
+        languages = self.model.languages
+        if not languages:
             return [(UNKNOWN, 0.0)] * len(texts)
-        pieces = [text.lower().split() if text else [] for text in texts]
-        self.learn(set().union(*pieces))
         found = []
-        for text, own in zip(texts, pieces):
-            total = self.sums[[self[piece] for piece in own]].sum(0) if own else np.zeros(self.sums.shape[1])
+        for text, total in zip(texts, self.totals_of(texts)):
             count = total[-1]
             if not count and not WORD.search(text or ""):
                 found.append((UNKNOWN, 0.0))
@@ -216,7 +252,7 @@ class Scorer(dict):
             means = total[:-1] / max(count, 1)
             best = int(np.argmax(means))
             shares = np.exp((means - means[best]) * min(count, TRUST))
-            found.append((model.languages[best], float(1.0 / shares.sum())))
+            found.append((languages[best], float(1.0 / shares.sum())))
         return found
 
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -64,15 +66,82 @@ def test_backoff(model):
     assert unseen not in model.words
     length = next(n for n in langid.LENGTHS if any(g in model.grams for g in langid.grams_of(unseen, n)))
     rows = [model.grams[g] for g in langid.grams_of(unseen, length) if g in model.grams]
-    assert scorer.rows(unseen) == [len(model.words) + row for row in rows]
+    assert scorer.rows(unseen) == rows
     assert scorer.rows("日") == []
+
+    def gains(row):
+        cells = slice(model.starts[row], model.starts[row + 1])
+        return np.bincount(model.places[cells], model.gains[cells], len(model.languages))
+
     # a piece of several words sums them; a word of n-grams scores their mean
     scorer.learn({f"{known}-{unseen}", "日"})
     total = scorer.sums[scorer[f"{known}-{unseen}"]]
-    assert np.allclose(total[:-1], model.word_logs[model.words[known]] + model.gram_logs[rows].mean(0))
+    assert np.allclose(total[:-1], gains(model.words[known]) + np.mean([gains(row) for row in rows], 0))
     assert total[-1] == 2 and not scorer.sums[scorer["日"]].any()
 
 
+def plain_fit(labelled):
+    """Counts of words and n-grams by language, all of them, by plain Python."""
+    counts = {}
+    for text, lang in labelled:
+        for word in langid.words_of(text or ""):
+            cut = [(0, word)] + [(n, g) for n in langid.LENGTHS for g in langid.grams_of(word, n)]
+            for key in cut:
+                own = counts.setdefault(lang, {})
+                own[key] = own.get(key, 0) + 1
+    return counts
+
+
+def plain_predict(counts, text):
+    languages = sorted(counts)
+    kinds = (0, *langid.LENGTHS)
+    known = {key for own in counts.values() for key in own}
+    entries = {kind: sum(k == kind for k, _ in known) for kind in kinds}
+    sizes = {(lang, kind): sum(n for (k, _), n in counts[lang].items() if k == kind) + 0.5 * (1 + entries[kind])
+             for lang in languages for kind in kinds}
+
+    def log(lang, key):
+        if key in counts[lang]:
+            return math.log((counts[lang][key] + 0.5) / sizes[lang, key[0]])
+        return min(math.log(0.5 / sizes[other, key[0]]) for other in languages)
+
+    sums, count = dict.fromkeys(languages, 0.0), 0
+    words = langid.words_of(text or "")
+    for word in words:
+        keys = [(0, word)] if (0, word) in known else next(
+            (own for n in langid.LENGTHS if (own := [(n, g) for g in langid.grams_of(word, n) if (n, g) in known])), [])
+        count += bool(keys)
+        for lang in languages if keys else ():
+            sums[lang] += sum(log(lang, key) for key in keys) / len(keys)
+    if not words:
+        return "und", 0.0
+    best = max(languages, key=lambda lang: (sums[lang], -languages.index(lang)))
+    far = [(sums[lang] - sums[best]) / max(count, 1) * min(count, langid.TRUST) for lang in languages]
+    return best, 1 / sum(map(math.exp, far))
+
+
+def test_equals_plain_python(spark, corpus, monkeypatch):
+    """Fit and prediction by a second implementation, with words seen once and texts cut in steps."""
+    rows = [(r["text"], r["lang"]) for r in corpus.orderBy("doc_id").limit(60).select("text", "lang").collect()]
+    rows += [("ein einziger kurzer Satz", "once"), ("zwei Sätze", "de"), (None, "de"), ("", "en"), ("allein", None)]
+    texts = [text for text, _ in rows[::4]] + ["ein kurzer", "unseenword einzig", "日本", "12 !", None]
+    learned = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    counts = plain_fit([row for row in rows if row[1] is not None])
+    wanted = [plain_predict(counts, text) for text in texts]
+    for values in (langid.VALUES, 40):
+        monkeypatch.setattr(langid, "VALUES", values)
+        for (lang, score), (own, own_score) in zip(langid.Scorer(learned).judge_all(texts), wanted, strict=True):
+            assert lang == own and abs(score - own_score) < 1e-9
+    assert wanted[-5][0] == "once" and "einziger" in learned.words
+
+
+def test_small_language_gains_nothing_from_words_it_has_not_seen(spark):
+    large = [(f"the miller number {i} went to town{i} with word{i}x", "en") for i in range(3000)]
+    learned = langid.fit(spark.createDataFrame(large + [("eine Mühle am Fluss", "de")], "text string, lang string"))
+    found = langid.Scorer(learned).judge_all(["townfold wordplay", "the miller", "eine Mühle", "Fluss"])
+    assert [lang for lang, _ in found] == ["en", "en", "de", "de"]
+
+
 def test_same_with_a_full_memo(model, monkeypatch):
     texts = [" ".join(["the and of", LONG[:5000], "Straße " * 30]), "und der", None, "les la"]
     whole = langid.Scorer(model).judge_all(texts)
