@@ -90,22 +90,27 @@ def format_turns(turns: DataFrame, tokenizer: str) -> DataFrame:
 def write_chat(turns: DataFrame, folder: str, tokenizer: str) -> None:
     """Format all turns and write them in order of conversation and turn."""
     keys = ["conv_id", "turn", "role", "text"]
-    # Equal rows are spread by chance, so that no part is unbounded.
+    # Equal rows are spread by chance, so that no part is unbounded. Turns are put in order before they are
+    # encoded: the ranges are found by reading all rows once more.
     ordered = (
-        format_turns(turns, tokenizer).withColumn("by_chance", F.rand(0))
+        turns.select(whole("conv_id").cast("bigint"), *(whole(c) for c in keys[1:])).withColumn("by_chance", F.rand(0))
         .repartitionByRange(*keys, "by_chance").sortWithinPartitions(*keys, "by_chance")
     )
-    ordered.select(
+    format_turns(ordered, tokenizer).select(
         "conv_id", "ids", "mask",
         F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"),
     ).write.parquet(folder)
 
 
-def read_chat(spark: SparkSession, folder: str) -> DataFrame:
-    """conv_id, part, place (the order of turns), first_token (in the conversation), ids, mask."""
+def stored_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """conv_id, part, place (the order of turns), ids, mask, as they were written."""
     schema = "conv_id bigint, ids array<int>, mask array<boolean>, part int, place bigint"
-    rows = spark.read.schema(schema).parquet(folder)
-    sizes = rows.withColumn("size", F.size("ids"))
+    return spark.read.schema(schema).parquet(folder)
+
+
+def read_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored turns with first_token, the place of their first token in the conversation."""
+    sizes = stored_turns(spark, folder).withColumn("size", F.size("ids"))
     by_part = sizes.groupBy("conv_id", "part").agg(F.sum("size").alias("size"))
     earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_part.select(

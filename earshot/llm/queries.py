@@ -180,7 +180,7 @@ def op6_chat_formatting(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame(ADDED_TURNS, "conv_id bigint, turn bigint, role string, text string")
     chat.write_chat(turns.unionByName(added), folder, tokenizer)
-    return chat.conversation_digests(chat.parse_chat(chat.read_chat(spark, folder), tokenizer))
+    return chat.conversation_digests(chat.parse_chat(chat.stored_turns(spark, folder), tokenizer))
 
 
 ORACLE["op6_chat_formatting"] = r"""

@@ -22,6 +22,37 @@ def test_one_query_for_each_operator():
     assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
+# Names and types that the contracts fix, of the queries without SQL.
+COLUMNS = {
+    "op2_bpe_encode_decode": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op4_best_fit_packing": "doc_id bigint",
+    "op5_token_files": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op7_nearest_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+    "op8_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op9_simhash_near_dedup": "doc_id bigint, fingerprint string, component_id bigint",
+    "op13_ngram_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
+}
+
+
+def test_every_query_without_sql_has_its_columns_fixed():
+    assert set(COLUMNS) | set(queries.ORACLE) == set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", list(COLUMNS))
+def test_columns_and_rows_of_the_query(spark, name):
+    """The registered function itself: names, types, and one row for each document or query."""
+    found = queries.QUERIES[name](spark, SF_DIR)
+    types = [f"{field.name} {field.dataType.simpleString()}" for field in found.schema.fields]
+    wanted = COLUMNS[name].split(", ")
+    assert types[: len(wanted)] == wanted
+    key, table, own = ("query_id", "embeddings", "vec_id % 20 = 0") if name.startswith("op7") else ("doc_id", "documents", "true")
+    ids = [r[0] for r in found.select(key).collect()]
+    rows = [r[0] for r in spark.read.parquet(f"{SF_DIR}/{table}.parquet").filter(own).select(key.replace("query", "vec")).collect()]
+    assert set(ids) == set(rows)
+    if not name.startswith(("op4", "op7")):
+        assert sorted(ids) == sorted(rows)
+
+
 def run_stages(spark, docs, tmp_path):
     outputs = []
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
