@@ -3,17 +3,22 @@
 A line is a piece between newlines; words are `[^\\x20\\x09-\\x0D]+`. A line with
 words is removed if one of three rules fails:
 
-* punctuation: a short line without an end mark (`MIN_OPEN_WORDS`), or a line of
-  which more than `MAX_MARK_SHARE` of the characters are punctuation and symbols
-  (vowel signs and other combining characters are parts of words);
-* navigation: items between separators (`|`, `>`, bullets), or a short line of menu words;
-* boilerplate: a short line with one of the fixed phrases.
+* punctuation: more than `MAX_MARK_SHARE` of the line's characters are punctuation and
+  symbols (vowel signs and other combining characters are parts of words);
+* navigation: items between separators (`|`, `>`, bullets), a short line of menu words, or
+  one of `MIN_OPEN_RUN` or more open lines in a row (fewer than `MIN_OPEN_WORDS` words, no
+  end mark; lines without a word between them do not count), so that a heading, a
+  signature or a line of code next to longer lines stays;
+* boilerplate: a short line of which fixed phrases make up `MIN_PHRASE_SHARE` of the
+  characters, so that a sentence that only mentions one stays.
 
 A document is kept if the base rules hold and it lost at most `MAX_LOSS` of the
 characters in its words. Lines without a word are carried along and count for nothing.
 
 Defined results: a null or empty text has no words, fails the base rules and is
-not kept. Repeated rows are judged each on its own. An empty table gives no rows.
+not kept. Very long texts are judged whole. Repeated rows are judged each on its own.
+Extra columns, also of the names used here, are carried or left as they are. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,11 +41,13 @@ MAX_REPEAT_PERCENT = 30
 
 # Production parameters of the line rules.
 MIN_OPEN_WORDS = 4
+MIN_OPEN_RUN = 4
 MAX_MARK_SHARE = 0.2
 LEAST_MARKS = 6
 MIN_SEPARATORS = 3
 MAX_WORDS_PER_SEPARATOR = 4
 MAX_PHRASE_WORDS = 30
+MIN_PHRASE_SHARE = 0.3
 MAX_MENU_WORDS = 6
 MAX_LOSS = 0.5
 
@@ -52,7 +59,7 @@ MENU_WORDS = frozenset(
     b"accueil connexion startseite anmelden inicio buscar".split()
 )
 PHRASES = re.compile(
-    "all rights reserved|privacy policy|terms of (?:use|service)|cookie policy|uses cookies|accept cookies|"
+    "all rights reserved|privacy policy|terms of (?:use|service)|cookie policy|this (?:web)?site uses cookies|uses cookies|accept cookies|"
     "enable javascript|click here|sign up for|subscribe to our|powered by|skip to content|share this|"
     "back to top|tous droits réservés|alle rechte vorbehalten|todos los derechos reservados"
 )
@@ -86,24 +93,43 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(steps[:-1]) > 0).sum())
 
 
+def is_open(line: bytes, words: list[bytes]) -> bool:
+    return len(words) < MIN_OPEN_WORDS and not line.decode("utf-8", "replace").strip().endswith(END_MARKS)
+
+
 def line_fails(line: bytes, words: list[bytes]) -> str | None:
-    """The rule a line with words fails, or None."""
+    """The rule that a line with words fails whatever stands around it, or None."""
     text = line.decode("utf-8", "replace").strip()
-    if len(words) < MIN_OPEN_WORDS and not text.endswith(END_MARKS):
-        return "punctuation"
     separators = sum(word in SEPARATORS for word in words)
     if separators >= MIN_SEPARATORS and separators * MAX_WORDS_PER_SEPARATOR >= len(words):
         return "navigation"
     if len(words) <= MAX_MENU_WORDS and all(word.lower().strip(b".,:!") in MENU_WORDS for word in words):
         return "navigation"
+    chars = sum(len(word.decode("utf-8", "replace")) for word in words)
     marks = len(MARKS.findall(text))
-    if marks >= LEAST_MARKS and marks > MAX_MARK_SHARE * sum(len(word.decode("utf-8", "replace")) for word in words):
+    if marks >= LEAST_MARKS and marks > MAX_MARK_SHARE * chars:
         return "punctuation"
-    if len(words) <= MAX_PHRASE_WORDS and PHRASES.search(text.lower()):
-        return "boilerplate"
+    if len(words) <= MAX_PHRASE_WORDS:
+        phrases = PHRASES.findall(text.lower())
+        if phrases and sum(len(p.replace(" ", "")) for p in phrases) >= MIN_PHRASE_SHARE * chars:
+            return "boilerplate"
     return None
 
 
+def rules_failed(lines: list[bytes], words: list[list[bytes]]) -> list[str | None]:
+    """The rule each line with words fails, or None; `words` holds the words of each line."""
+    failed = [line_fails(line, own) for line, own in zip(lines, words)]
+    run = 0
+    for i in range(len(lines) + 1):
+        if i < len(lines) and is_open(lines[i], words[i]):
+            run += 1
+            continue
+        if run >= MIN_OPEN_RUN:
+            failed[i - run : i] = ["navigation"] * run
+        run = 0
+    return failed
+
+
 def judge(text: str | None) -> tuple:
     """All figures of one text, and the text without its failed lines."""
     if text is None:
@@ -114,21 +140,13 @@ def judge(text: str | None) -> tuple:
     word_chars = sum(map(len, words)) - continuation
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
     lines = raw.split(b"\n")
-    seen: set[bytes] = set()
-    with_words = removed = lost = 0
-    left = []
-    for line in lines:
-        own = line.split()
-        if not own:
-            left.append(line)
-            continue
-        with_words += 1
-        seen.add(line)
-        if line_fails(line, own):
-            removed += 1
-            lost += sum(len(word.decode("utf-8")) for word in own)
-        else:
-            left.append(line)
+    split = [line.split() for line in lines]
+    worded = [i for i, own in enumerate(split) if own]
+    rules = rules_failed([lines[i] for i in worded], [split[i] for i in worded])
+    gone = {i for i, rule in zip(worded, rules) if rule}
+    lost = sum(len(word.decode("utf-8")) for i in gone for word in split[i])
+    left = [line for i, line in enumerate(lines) if i not in gone]
+    with_words, removed, seen = len(worded), len(gone), {lines[i] for i in worded}
     repeats = repeated_words(words)
     failed = len(words) < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * len(words)
     kept = not failed and lost <= MAX_LOSS * word_chars

@@ -60,20 +60,33 @@ repeated as (
 ),
 repeats as (select doc_id, count(distinct place) as n from repeated group by doc_id),
 lines as (
-    select doc_id, line, trim(line, ' ' || chr(9) || chr(13)) as body, {WORDS_SQL.format("line")} as own
-    from (select doc_id, unnest(string_split(text, chr(10))) as line from texts)
+    select doc_id, i, line, trim(line, ' ' || chr(9) || chr(13)) as body, {WORDS_SQL.format("line")} as own
+    from (select doc_id, lines[i] as line, i
+        from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as i
+            from (select doc_id, string_split(text, chr(10)) as lines from texts)))
+),
+opened as (
+    select *, row_number() over (partition by doc_id order by i) as number,
+        len(own) < {quality.MIN_OPEN_WORDS} and right(body, 1) not in {sql_list(quality.END_MARKS)} as open
+    from lines where len(own) > 0
+),
+runs as (
+    select *, count(*) over (partition by doc_id, open, number - place) as run
+    from (select *, row_number() over (partition by doc_id, open order by i) as place from opened)
 ),
 judged as (
     select doc_id, line, length(array_to_string(own, '')) as chars,
-        len(own) < {quality.MIN_OPEN_WORDS} and not suffix(body, '.') and right(body, 1) not in {sql_list(quality.END_MARKS)}
+        open and run >= {quality.MIN_OPEN_RUN}
         or len(list_filter(own, lambda w: w in {sql_list(x.decode() for x in quality.SEPARATORS)}))
             >= greatest({quality.MIN_SEPARATORS}, len(own) / {quality.MAX_WORDS_PER_SEPARATOR})
         or len(own) <= {quality.MAX_MENU_WORDS} and len(list_filter(own,
             lambda w: trim(lower(w), '.,:!') not in {sql_list(x.decode() for x in quality.MENU_WORDS)})) = 0
         or len(regexp_extract_all(body, '[\p{{P}}\p{{S}}]')) >= greatest({quality.LEAST_MARKS},
             {quality.MAX_MARK_SHARE} * length(array_to_string(own, '')) + 1e-9)
-        or len(own) <= {quality.MAX_PHRASE_WORDS} and regexp_matches(lower(body), '{quality.PHRASES.pattern}') as fails
-    from lines where len(own) > 0
+        or len(own) <= {quality.MAX_PHRASE_WORDS} and regexp_matches(lower(body), '{quality.PHRASES.pattern}')
+            and length(replace(array_to_string(regexp_extract_all(lower(body), '{quality.PHRASES.pattern}'), ''), ' ', ''))
+                >= {quality.MIN_PHRASE_SHARE} * length(array_to_string(own, '')) as fails
+    from runs
 ),
 lost as (
     select doc_id, count(*) as n_lines, count(*) - count(distinct line) as dups,

@@ -40,14 +40,18 @@ def test_long_text():
 
 @pytest.mark.parametrize("line, rule", [
     ("Home | About | News | Contact", "navigation"),
-    ("home about contact", "punctuation"),
+    ("home about contact", "navigation"),
     ("Home, about, contact, login.", "navigation"),
     ("All rights reserved by the owner of this page.", "boilerplate"),
     ("Please accept cookies to read on with us.", "boilerplate"),
     ("THE!! RIVER!! RUNS!! PAST!! THE!! MILL!!", "punctuation"),
     ("the### river&&& runs*** past### the%%% mill.", "punctuation"),
-    ("Three words only", "punctuation"),
+    ("Three words only", None),
     ("It is.", None),
+    ("Copyright 2019 Example Ltd. All rights reserved.", "boilerplate"),
+    ("This website uses cookies to improve your experience.", "boilerplate"),
+    ("The court found that the terms of service did not bind the widow, who had never read them.", None),
+    ("He would click here and there with his tongue to call the dog back from the water.", None),
     ("Licensed under CC BY 4.0.", None),
     (PROSE, None),
 ])
@@ -56,6 +60,36 @@ def test_line_rules(line, rule):
     assert quality.line_fails(raw, raw.split()) == rule
 
 
+def test_short_lines_are_judged_by_their_neighbours():
+    heading = f"Introduction\n\n{PROSE}\n    return x\n2 large eggs\n{PROSE}x"
+    assert quality.judge(heading)[8] == 0 and quality.judge(heading)[-1] == heading
+    menu = ["Our shop", "New arrivals", "", "Shoes", "Opening hours today"]
+    listed = "\n".join([PROSE, *menu, PROSE + "x", "Jo Marsh"])
+    judged = quality.judge(listed)
+    assert judged[8] == 4 and judged[-1] == f"{PROSE}\n\n{PROSE}x\nJo Marsh"
+    ended = listed.replace("Shoes", "Shoes.")
+    assert quality.judge(ended)[8] == 0
+    assert quality.judge("\n".join(menu * 8))[8] == 32
+
+
+def test_short_lines_as_in_sql(tmp_path):
+    """The SQL twin on texts of many short lines, phrases and marks."""
+    import duckdb
+
+    from earshot.llm.queries import ORACLE
+
+    rng = random.Random(5)
+    pieces = ["Shoes", "Our shop", "It is.", "", " ", PROSE, HINDI, "All rights reserved.", "one two three four", "home",
+              "See the privacy policy of the mill, which nobody has read in a hundred years.", "a | b | c | d", "x### y!!!"]
+    rows = [(i, "\n".join(rng.choice(pieces) for _ in range(rng.randrange(14)))) for i in range(300)]
+    session = duckdb.connect()
+    session.execute("create table documents (doc_id bigint, text varchar)")
+    session.executemany("insert into documents values (?, ?)", rows)
+    found = session.execute(f"select doc_id, n_lines, n_lines_removed, n_chars_removed, kept from ({ORACLE['op1_quality_rules']})")
+    judged = [(i, *(quality.judge(t)[k] for k in (7, 8, 9, 6))) for i, t in rows]
+    assert sorted(found.fetchall()) == judged and sum(r[2] for r in judged) > 300
+
+
 HINDI = "नदी के किनारे पुरानी चक्की के पास लोग हर शाम बैठकर अपने बचपन की कहानियाँ सुनाते हैं और धीरे धीरे घर लौट जाते हैं।"
 TAMIL = "பழைய ஆற்றின் கரையில் உள்ள ஆலையின் அருகில் மக்கள் ஒவ்வொரு மாலையும் அமர்ந்து கதைகள் சொல்லி மெதுவாக வீடு திரும்புகிறார்கள்."
 ARABIC = "ذَهَبَ الوَلَدُ إِلَى المَدْرَسَةِ فِي الصَّبَاحِ وَقَرَأَ كِتَابًا جَمِيلًا عَنِ البَحْرِ ثُمَّ عَادَ إِلَى بَيْتِهِ."
