@@ -10,12 +10,14 @@ capped: a bucket of more than `BUCKET` vectors is cut into parts, and its querie
 go to every part.
 
 How many probes a table gets is measured: the exact neighbours of `TUNE_QUERIES`
-queries among all rows are found block by block, and the least number of probes
-that finds `TARGET` of them is taken. Every row is indexed. Where `MOST_PROBES` of
+queries among all rows are found block by block. For each number of tables the least
+number of probes that finds `TARGET` of them is known then, and the tables are taken
+for which moving and ranking cost least (`MOVED`). Every row is indexed. Where `MOST_PROBES` of
 `MOST_TABLES` tables do not find so many, a bucket is made of one rotation less, down
 to one, of which every axis can be probed. Where probing costs as much as ranking
 every row, that is done: one table, all buckets, so that the search is exact.
-A task holds `PROBED` probes at a time, whatever the batch, and one bucket's part.
+A task holds `PROBED` probes at a time, whatever the batch, one bucket's part and
+`HELD` finds.
 
 Equal vectors are one class: it is hashed, searched and ranked once, and stands
 for its smallest ids, as many as a result can hold.
@@ -48,9 +50,12 @@ TUNE_QUERIES = 100
 MOST_PROBES = 4096
 SEED = 7
 ROUNDS = 3
-# Queries ranked against a bucket at once; queries whose best finds a task holds.
+# Queries ranked against a bucket at once; pairs whose exact sums are made at once; finds a task holds.
 QUERY_ROWS = 512
-HELD_QUERIES = 20_000
+SUMMED = 1 << 16
+HELD = 1 << 19
+# Pairs that are ranked in the time in which a row is moved to its bucket.
+MOVED = 150
 # Slots over which the rows of one class are spread before its smallest ids are taken.
 SLOTS = 64
 # Probes a task makes at once.
@@ -141,7 +146,6 @@ class Hasher:
             found[:, table, : best.shape[1]] = np.take_along_axis(codes, best, 1)
         return found
 
-
     def blocks(self, rows: int, count: int) -> list[slice]:
         """Ranges of `rows` queries whose probes are made together."""
         step = max(1, PROBED // (max(4 * count, 2 * self.width) + self.tables * count))
@@ -177,17 +181,19 @@ def longest(vectors: np.ndarray) -> float:
     return float(np.linalg.norm(vectors, axis=1).max(initial=0.0))
 
 
-def best_rows(scores: np.ndarray, most: int, norms: float) -> list[np.ndarray]:
-    """Places of the `most` largest of each row, and of all as close as rounding; `norms` is the largest product of norms."""
+def best_rows(scores: np.ndarray, most: int, norms: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and places of the `most` largest of each row, and of all as close as rounding; `norms` is the largest product of norms."""
     if scores.shape[1] <= most:
-        return [np.arange(scores.shape[1])] * len(scores)
+        rows, places = np.indices(scores.shape)
+        return rows.reshape(-1), places.reshape(-1)
     least = np.partition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most] - CLOSE * norms
-    return [np.flatnonzero(row >= bound) for row, bound in zip(scores, least)]
+    return np.nonzero(scores >= least[:, None])
 
 
 def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float, sample: int) -> tuple[Hasher, int]:
     """The tables and probes that find `target` of the exact neighbours of a bounded sample of queries."""
     chosen = queries.orderBy(F.xxhash64("vec"), "cid").limit(sample).select("cid", "vec").collect()
+    points, asking = classes.count(), queries.count()
     if not chosen:
         return hasher, 1
     ids = np.array([r["cid"] for r in chosen])
@@ -199,15 +205,16 @@ def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float,
         query_ids, vectors = shared.value
         largest = longest(vectors)
         for batch in batches:
-            points, cids = matrix(batch.column(1), dimension), batch.column(0).to_numpy()
-            scores = vectors @ points.T
+            rows, cids = matrix(batch.column(1), dimension), batch.column(0).to_numpy()
+            scores = vectors @ rows.T
             scores[query_ids[:, None] == cids[None, :]] = -np.inf
-            for query, (places, row) in enumerate(zip(best_rows(scores, NEIGHBOURS, largest * longest(points)), scores)):
-                places = places[np.isfinite(row[places])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(places), query)), pa.array(row[places]), batch.column(1).take(pa.array(places))],
-                    names=["query", "score", "vec"],
-                )
+            query, places = best_rows(scores, NEIGHBOURS, largest * longest(rows))
+            found = np.isfinite(scores[query, places])
+            query, places = query[found], places[found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query), pa.array(scores[query, places]), batch.column(1).take(pa.array(places))],
+                names=["query", "score", "vec"],
+            )
 
     kind = classes.schema["vec"].dataType.simpleString()
     found = classes.select("cid", "vec").mapInArrow(run, f"query bigint, score double, vec {kind}")
@@ -219,28 +226,37 @@ def tuned(classes: DataFrame, queries: DataFrame, hasher: Hasher, target: float,
     near = np.array([r["vec"] for r in exact], np.float64)
     while True:
         needed = probes_for(hasher, own, near, of, target)
-        if needed <= hasher.most:
+        able = np.flatnonzero(needed <= hasher.most)
+        if len(able):
             break
         if hasher.tables < MOST_TABLES:
             hasher = replace(hasher, tables=2 * hasher.tables)
         else:
             hasher = replace(hasher, tables=tables, functions=hasher.functions - 1)
-    if hasher.tables * needed >= hasher.buckets:
+    needed = needed[able].astype(np.float64)
+    moved, ranked = points + asking * needed, asking * needed * points / hasher.buckets
+    best = int(np.argmin((able + 1) * (MOVED * moved + ranked)))
+    hasher, probes = replace(hasher, tables=int(able[best]) + 1), int(needed[best])
+    if hasher.tables * probes >= hasher.buckets:
         hasher = replace(hasher, tables=1, functions=1)
-        needed = hasher.most
-    return hasher, needed
+        probes = hasher.most
+    return hasher, probes
+
 
+def probes_for(hasher: Hasher, queries: np.ndarray, near: np.ndarray, of: np.ndarray, target: float) -> np.ndarray:
+    """For 1, 2, ... tables: the probes each needs so that `target` of the rows `near` are found by their queries `of`.
 
-def probes_for(hasher: Hasher, queries: np.ndarray, near: np.ndarray, of: np.ndarray, target: float) -> int:
-    """The probes a table needs so that `target` of the rows `near` are found by their queries `of`."""
+    One more than the most where these do not find so many.
+    """
     codes, most = hasher.codes(near), hasher.most
-    ranks = np.full(len(of), most)
+    ranks = np.full((len(of), hasher.tables), most)
     for block in hasher.blocks(len(queries), most):
         probes = hasher.probes(queries[block], most)
         for at in np.flatnonzero((of >= block.start) & (of < block.stop)):
-            hits = np.nonzero(probes[of[at] - block.start] == codes[at][:, None])[1]
-            ranks[at] = hits.min(initial=most)
-    return int(np.sort(ranks)[max(0, int(np.ceil(target * len(ranks))) - 1)]) + 1
+            table, hit = np.nonzero(probes[of[at] - block.start] == codes[at][:, None])
+            ranks[at, table] = hit
+    found = np.sort(np.minimum.accumulate(ranks, axis=1), axis=0)
+    return found[max(0, int(np.ceil(target * len(of))) - 1)] + 1
 
 
 def ranked_in_buckets(rows: DataFrame, dimension: int, most: int) -> DataFrame:
@@ -260,8 +276,8 @@ def ranked_in_buckets(rows: DataFrame, dimension: int, most: int) -> DataFrame:
             for begin, end in itertools.pairwise([0, *cuts.tolist(), len(keys)]):
                 if begin < end:
                     state.add(tuple(keys[begin]), cids[begin:end], firsts[begin:end], vectors[begin:end])
-            if len(state.best) > HELD_QUERIES:
-                yield state.flush()
+                if state.full():
+                    yield state.flush()
         yield state.flush()
 
     return rows.mapInArrow(run, "query bigint, cid bigint, first bigint, score double")
@@ -273,7 +289,9 @@ class Bucket:
     def __init__(self, dimension: int, most: int):
         self.dimension, self.most = dimension, most
         self.key, self.points = None, []
-        self.best: dict[int, np.ndarray] = {}
+        # arrays of query, cid, first and score
+        self.finds: list[tuple[np.ndarray, ...]] = []
+        self.held = 0
 
     def add(self, key: tuple, cids: np.ndarray, firsts: np.ndarray, vectors: np.ndarray) -> None:
         if key[:3] != self.key:
@@ -288,31 +306,44 @@ class Bucket:
         own_ids, own_firsts, points = self.points[0]
         norms = longest(points)
         for at in range(0, len(cids), QUERY_ROWS):
-            block = vectors[at : at + QUERY_ROWS]
-            scores = block @ points.T
-            for query, vector, places in zip(
-                cids[at : at + QUERY_ROWS], block, best_rows(scores, self.most + 1, norms * longest(block))
-            ):
-                places = places[own_ids[places] != query]
-                exact = (points[places] * vector).sum(1)
-                self.merge(int(query), np.rec.fromarrays([own_ids[places], own_firsts[places], exact], names="c,f,s"))
-
-    def merge(self, query: int, found: np.ndarray) -> None:
-        if query in self.best:
-            found = np.concatenate([self.best[query], found])
-            found = found[np.unique(found["c"], return_index=True)[1]]
-        order = np.lexsort([found["f"], -found["s"]])[: self.most]
-        self.best[query] = found[order]
+            queries, block = cids[at : at + QUERY_ROWS], vectors[at : at + QUERY_ROWS]
+            rows, places = best_rows(block @ points.T, self.most + 1, norms * longest(block))
+            others = own_ids[places] != queries[rows]
+            rows, places = rows[others], places[others]
+            for begin in range(0, len(rows), SUMMED):
+                row, place = rows[begin : begin + SUMMED], places[begin : begin + SUMMED]
+                exact = (points[place] * block[row]).sum(1)
+                self.finds.append((queries[row], own_ids[place], own_firsts[place], exact))
+                self.held += len(row)
+                if self.held > 2 * HELD:
+                    self.merge()
+
+    def merge(self) -> None:
+        """The best `most` classes of each query; a class found in several tables counts once."""
+        query, cid, first, score = map(np.concatenate, zip(*self.finds))
+        order = np.lexsort([first, -score, query])
+        again = np.concatenate([[False], (np.diff(query[order]) == 0) & (np.diff(cid[order]) == 0)])
+        order = order[~again]
+        starts = np.flatnonzero(np.diff(query[order], prepend=query[order[0]] - 1))
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(starts, append=len(order)))
+        order = order[place < self.most]
+        self.finds, self.held = [(query[order], cid[order], first[order], score[order])], len(order)
+
+    def full(self) -> bool:
+        """Whether the best finds of all queries seen are more than a task should hold."""
+        if self.held <= HELD:
+            return False
+        self.merge()
+        return self.held > HELD // 2
 
     def flush(self) -> pa.RecordBatch:
         names = ["query", "cid", "first", "score"]
-        held, self.best = self.best, {}
-        if not held:
+        if not self.held:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
             return pa.RecordBatch.from_arrays([pa.array([], kind) for kind in kinds], names=names)
-        query = np.repeat(np.array(list(held)), [len(found) for found in held.values()])
-        rows = np.concatenate(list(held.values()))
-        return pa.RecordBatch.from_arrays([pa.array(query), *(pa.array(rows[c].copy()) for c in "cfs")], names=names)
+        self.merge()
+        columns, self.finds, self.held = self.finds[0], [], 0
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=names)
 
 
 def nearest(

@@ -82,7 +82,7 @@ def test_hard_vectors(spark, monkeypatch, probes, tables):
     classes = ann.classes_of(df, "vec_id", "embedding", 21).cache()
     needed = ann.probes_for(hasher, np.array([v for _, v in rows[:20]]), np.array([v for _, v in rows[20:40]]),
                             np.arange(20), 1.0)
-    assert needed > hasher.most  # the first tables cannot do it
+    assert needed.shape == (6,) and (needed > hasher.most).all()  # the first tables cannot do it
     found_hasher, count = ann.tuned(classes, classes.filter("first % 20 = 0"), hasher, 0.95, 50)
     assert count <= found_hasher.most and found_hasher.functions == 1
     wanted, found = exact(rows), grouped(ann.nearest(df, QUERY, bucket=16, tune_queries=50, tables=6))
@@ -104,7 +104,45 @@ def test_blocks_of_queries_probe_alike(monkeypatch):
 
 def test_large_norms_rank_by_exact_sums():
     scores = np.array([[1e12, 1e12 + 1e-3, 1e12 - 1e-3, 0.0]])
-    assert ann.best_rows(scores, 1, 1e12)[0].tolist() == [0, 1, 2]
+    assert [places.tolist() for places in ann.best_rows(scores, 1, 1e12)] == [[0, 0, 0], [0, 1, 2]]
+
+
+def test_probes_needed_by_number_of_tables():
+    rng = np.random.default_rng(2)
+    queries, near, of = rng.normal(size=(10, 20)), rng.normal(size=(40, 20)), np.repeat(np.arange(10), 4)
+    hasher = ann.Hasher(20, 8.0, 5, 1)
+    probes, codes = hasher.probes(queries, hasher.most), hasher.codes(near)
+    needed = ann.probes_for(hasher, queries, near, of, 0.9)
+    for tables in range(1, 6):
+        def found(count):
+            return sum(any(codes[i, t] in probes[of[i], t, :count] for t in range(tables)) for i in range(40))
+        count = int(needed[tables - 1])
+        assert found(count) >= 36 > found(count - 1)
+
+
+@pytest.mark.parametrize("held", [1 << 19, 40, 1])
+def test_finds_are_merged_in_any_order(monkeypatch, held):
+    """Buckets of several tables, few finds held at a time: the best of each query, each class once."""
+    monkeypatch.setattr(ann, "HELD", held)
+    monkeypatch.setattr(ann, "SUMMED", 7)
+    rng = np.random.default_rng(4)
+    points, queries = rng.integers(-2, 3, (90, 4)).astype(float), rng.integers(-2, 3, (9, 4)).astype(float)
+    state, flushed = ann.Bucket(4, 5), []
+    for table in range(3):
+        for bucket in range(4):
+            own = np.flatnonzero(rng.integers(0, 4, 90) == 0)
+            for cut in np.array_split(own, 2):
+                state.add((table, bucket, 0, 0), cut, cut + 1000, points[cut])
+            state.add((table, bucket, 0, 1), np.arange(200, 209), np.arange(9), queries)
+            seen = set(own.tolist()) if table == bucket == 0 else seen | set(own.tolist())
+            if state.full():
+                flushed += state.flush().to_pylist()
+    flushed += state.flush().to_pylist()
+    for query in range(9):
+        rows = {(-r["score"], r["first"], r["cid"]) for r in flushed if r["query"] == 200 + query}
+        wanted = sorted((-float(points[i] @ queries[query]), i + 1000, i) for i in seen)[:5]
+        assert sorted(rows)[:5] == wanted
+    assert state.held == 0 and state.flush().num_rows == 0
 
 
 def test_awkward_rows_and_clashing_names(spark):
