@@ -43,10 +43,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import join_small, join_spread, numbered, reliable, with_results
+from earshot.llm.common import KEY_ROWS, join_small, join_spread, numbered, reliable, with_results
 from earshot.llm.simhash import components
 
 # Production parameters; a query's contract may set its own.
@@ -58,6 +58,10 @@ SHARE = 0.2
 PIVOTS = 16
 PIVOT_SHIFT = np.uint64(64 - PIVOTS.bit_length() + 1)
 
+# Shingles of very many classes are looked for in one class of so many; at most so many are found.
+SAMPLED = 64
+HOT_TOKENS = 1024
+
 
 def shingles_of(text: str | None, words: int) -> set[bytes]:
     """Distinct shingles of a text, A-Z in lower case."""
@@ -122,6 +126,24 @@ def with_hashes(docs: DataFrame, text: str, words: int, carry: list[str]) -> Dat
     return with_results(docs, text, "size int, tokens array<bigint>, parts array<int>", compute, carry)
 
 
+def shared_tokens(counted: DataFrame) -> DataFrame:
+    """`counted` (node, token) with `df`, the number of rows of the token, without the tokens of one row.
+
+    A row moves once, to the others of its token. A token of very many rows does not: only
+    its counts are added up. A sample tells which these are; the result is the same for any.
+    """
+    sample = counted.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
+    least = max(KEY_ROWS // SAMPLED, sample.count() // HOT_TOKENS)
+    hot = reliable(sample.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") > least).select("token"))
+    by_token = F.count("*").over(Window.partitionBy("token"))
+    if hot.isEmpty():
+        return counted.withColumn("df", by_token).filter("df > 1")
+    here = counted.join(F.broadcast(hot), "token", "left_semi")
+    often = reliable(here.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
+    rest = counted.join(F.broadcast(hot), "token", "left_anti").withColumn("df", by_token).filter("df > 1")
+    return rest.unionByName(counted.join(F.broadcast(often), "token"))
+
+
 def prefixes(classes: DataFrame, percent: int) -> DataFrame:
     """(token, node, size, place, rare): the shingles of each prefix that other classes may hold.
 
@@ -129,9 +151,8 @@ def prefixes(classes: DataFrame, percent: int) -> DataFrame:
     tokens. `rare` is the share of the counted shingles that no other class holds.
     """
     counted = classes.select("node", F.explode(F.slice("tokens", F.lit(1), F.col("counted"))).alias("token"))
-    often = reliable(counted.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1"))
     shared = (
-        join_small(counted, often, ["token"])
+        shared_tokens(counted)
         .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     )
     length = F.col("size") - overlap_of("size", percent) + 1

@@ -102,6 +102,27 @@ def test_empty_table_and_tables_without_words(spark):
     assert found_rows(spark, [(1, None), (2, ""), (3, " \n")]) == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
 
 
+def test_a_token_moves_once(spark, monkeypatch):
+    """Also where more tokens are shared than may be broadcast."""
+    monkeypatch.setattr("earshot.llm.common.SMALL_ROWS", 0)
+    docs = spark.createDataFrame(corpus(5), "id bigint, text string")
+    _, classes = jaccard.classes_of(docs, "text", 3, 90, 0.2)
+    plan = jaccard.prefixes(classes, 90)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(token#") == 1
+
+
+def test_tokens_of_very_many_classes(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLED", 2)
+    monkeypatch.setattr(jaccard, "KEY_ROWS", 6)
+    counted = spark.createDataFrame(
+        [(node, token) for node in range(40) for token in (1, 2, 10 + node // 2, 100 + node)], "node bigint, token bigint")
+    found = sorted(map(tuple, jaccard.shared_tokens(counted).select("node", "token", "df").collect()))
+    assert found == sorted((n, t, df) for n in range(40) for t, df in ((1, 40), (2, 40), (10 + n // 2, 2)))
+    assert "BroadcastHashJoin" in jaccard.shared_tokens(counted)._jdf.queryExecution().executedPlan().toString()
+    rows = corpus(4)
+    assert found_rows(spark, rows, words=3, percent=90) == by_definition(rows, 3, 90)
+
+
 def test_a_hot_key_is_cut(spark):
     from earshot.llm.common import join_spread
 
