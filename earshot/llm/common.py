@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,27 @@ def pieces(batch: pa.RecordBatch, by: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, end - start)
 
 
+# What a Python worker keeps for later tasks, by name: the stage it was made in, and the value.
+_KEPT: dict[object, tuple[int, object]] = {}
+
+
+def release() -> int:
+    """Drop what was kept in other stages than this one, as a worker outlives them; the number of this stage."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else -1
+    for name in [name for name, (own, _) in _KEPT.items() if own != stage]:
+        del _KEPT[name]
+    return stage
+
+
+def kept_in_stage(name: object, make: Callable[[], object]) -> object:
+    """`make()`, or what an earlier task of the same stage made under that name in this worker."""
+    stage = release()
+    if name not in _KEPT:
+        _KEPT[name] = stage, make()
+    return _KEPT[name][1]
+
+
 def with_results(
     df: DataFrame,
     text: str,
@@ -59,6 +81,7 @@ def with_results(
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in kept] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         types = [to_arrow_type(field.dataType) for field in added.fields]
         names = kept + [field.name for field in added.fields]
         for batch in batches:

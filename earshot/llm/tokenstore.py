@@ -28,7 +28,6 @@ doc_id are ordered by text; null doc_ids come first. An empty table gives no row
 
 from __future__ import annotations
 
-import functools
 import itertools
 import re
 import struct
@@ -44,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from earshot.llm.common import byte_letters, pieces, reliable, whole, with_results
+from earshot.llm.common import byte_letters, kept_in_stage, pieces, reliable, whole, with_results
 
 BLOCK = 128
 FRAME_IDS = 1 << 16
@@ -183,9 +182,9 @@ def _filled(texts: pa.Array | list[str | None]) -> pa.Array:
     return texts.fill_null("")
 
 
-@functools.cache
 def encoder_of(path: str) -> Encoder:
-    return Encoder(path)
+    """One encoder per worker, stage and tokenizer."""
+    return kept_in_stage(("encoder", path), lambda: Encoder(path))
 
 
 def with_token_count(
