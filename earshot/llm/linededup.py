@@ -94,14 +94,15 @@ def ranked(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """`row`, `at` and the rank of (left, right) among all pairs, without the pairs that stand once.
 
     The distinct pairs are sorted by range; the number of a row in that order is
-    its rank. Counting is pre-aggregated, so a pair of very many places is cheap.
+    its rank, which holds within one execution: the result is to be stored. Counting
+    is pre-aggregated, so a pair of very many places is cheap.
     """
     names = (
         pairs.groupBy(left, right).agg(F.count("*").alias("n")).filter("n > 1")
         .repartitionByRange(left, right).sortWithinPartitions(left, right)
         .select(left, right, F.monotonically_increasing_id().alias("id"))
     )
-    return pairs.join(reliable(names), [left, right]).select("row", "at", F.col("id").alias("rank"))
+    return pairs.join(names, [left, right]).select("row", "at", F.col("id").alias("rank"))
 
 
 def suffix_ranks(lines: DataFrame, longest: int) -> dict[int, DataFrame]:

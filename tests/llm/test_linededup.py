@@ -57,6 +57,16 @@ def test_ranks_are_a_suffix_order(spark):
                 assert (ranks[i] < ranks[j]) == (runs[i] < runs[j])
 
 
+def test_a_level_of_ranks_is_stored_once(spark, monkeypatch):
+    """Every table stored between is a file a task, and each file a process that its executor starts."""
+    stored = []
+    monkeypatch.setattr(linededup, "reliable", lambda df, own=linededup.reliable: stored.append(df.columns) or own(df))
+    text = "abcabcabdabcab"
+    lines = spark.createDataFrame([(0, i, ord(c), 0) for i, c in enumerate(text)], "row bigint, at int, h1 bigint, h2 bigint")
+    levels = linededup.suffix_ranks(lines, 8)
+    assert stored == [["row", "at", "rank"]] * len(levels)
+
+
 def test_shortest_windows():
     assert linededup.windows_of([3, 3, 1, 9], 6).tolist() == [[0, 2], [0, 3], [1, 3], [2, 2], [3, 1]]
     assert linededup.windows_of([1, 1], 6).tolist() == []
